@@ -1,0 +1,58 @@
+"""Every registered query against its SQL in DuckDB."""
+
+import os
+
+import duckdb
+import pytest
+
+from __spark_entry__ import entry, oracle_sql, queries
+
+FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
+TABLES = [name.removesuffix(".parquet") for name in sorted(os.listdir(FOLDER))]
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for table in TABLES:
+        connection.execute(
+            f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{FOLDER}/{table}.parquet')"
+        )
+    return connection
+
+
+def _rows(names, rows):
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return sorted(
+        (tuple(row[i] for i in order) for row in rows),
+        key=lambda row: [(value is None, str(value)) for value in row],
+    )
+
+
+KINDS = {
+    "string": "VARCHAR",
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "date": "DATE",
+    "boolean": "BOOLEAN",
+}
+
+
+def test_every_query_has_an_oracle():
+    assert set(queries()) == set(oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_query(name, spark, duck):
+    df = queries()[name](spark, FOLDER)
+    want = duck.execute(oracle_sql()[name])
+    columns = {c[0]: str(c[1]) for c in want.description}
+    assert {f.name: KINDS[f.dataType.simpleString()] for f in df.schema} == columns
+    got = _rows(df.columns, [tuple(row) for row in df.collect()])
+    assert got
+    assert got == _rows(list(columns), want.fetchall())
+
+
+def test_entry(spark):
+    assert entry(spark).count() > 0
