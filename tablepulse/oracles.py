@@ -171,10 +171,10 @@ ORACLES: dict[str, str] = {
     "calendar_join": _with(
         f"""SELECT restaurant_id, c.review_date, coalesce(rating_sum, 0) AS rating_sum,
                coalesce(rating_count, 0) AS rating_count
-        FROM both_calendar c LEFT JOIN (SELECT * FROM rated_daily WHERE {_GOOGLE})
+        FROM both_sites_calendar c LEFT JOIN (SELECT * FROM rated_daily WHERE {_GOOGLE})
         USING (restaurant_id, review_date)""",
         _RATED,
-        _timeline("both", "all_reviews", "restaurant_id"),
+        _timeline("both_sites", "all_reviews", "restaurant_id"),
     ),
     "grade_calendar_join": _with(
         "SELECT restaurant_id, grade_date, health_grade "

@@ -102,3 +102,8 @@ HEALTH_RESTAURANTS = _struct(
     last_date=DateType,
     batch=StringType,
 )
+
+
+def with_site(schema: StructType) -> StructType:
+    """The schema of a table over all sites."""
+    return StructType([*schema.fields, StructField("site", StringType())])

@@ -71,7 +71,7 @@ def publish_warehouse(spark: SparkSession, root: str, prefix: str = "") -> dict[
         spark,
         log,
         f"{root}/restaurants",
-        StructType(schemas.HEALTH_RESTAURANTS.fields).add("site", "string"),
+        schemas.with_site(schemas.HEALTH_RESTAURANTS),
         "site",
         "batch",
     )
@@ -83,7 +83,7 @@ def publish_warehouse(spark: SparkSession, root: str, prefix: str = "") -> dict[
             continue
         facts, view = f"{prefix}{table}_facts", f"{prefix}{table}"
         publish_table(
-            spark, facts, path, StructType(schema.fields).add("site", "string"), "site", date_col
+            spark, facts, path, schemas.with_site(schema), "site", date_col
         )
         spark.sql(
             f"CREATE OR REPLACE VIEW `{view}` AS SELECT {VIEW_COLUMNS[table]} FROM `{facts}` f "

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tablepulse.operators.merge import in_dates
+from tablepulse.schemas import with_site
 
 
 def read_raw(spark: SparkSession, path: str, schema: StructType, **options) -> DataFrame:
@@ -50,12 +50,9 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A stored table; one that was never written is empty."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], schema)
-        raise
+    if not table_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def read_dates(
@@ -73,8 +70,6 @@ def read_sites(
     spark: SparkSession, root: str, table: str, schema: StructType, sites: Iterable[str] = ()
 ) -> DataFrame:
     """A table of all sites, or of those named, with the site as a column."""
-    df = spark.read.schema(StructType(schema.fields).add("site", "string")).parquet(
-        f"{root.rstrip('/')}/{table}"
-    )
+    df = spark.read.schema(with_site(schema)).parquet(f"{root.rstrip('/')}/{table}")
     chosen = list(sites)
     return df.where(F.col("site").isin(chosen)) if chosen else df
