@@ -105,13 +105,14 @@ _GRADE_VALUES = _with(
 
 def _correlation(keys: str) -> str:
     return _with(
-        f"""SELECT {keys}, count(*) AS n_days,
+        f"""SELECT {keys.replace("rated.", "")}, n_days, CASE WHEN r = 0 THEN 0 ELSE r END AS r FROM (
+    SELECT {keys}, count(*) AS n_days,
            round(covar_pop(final_rating, health_grade)
                  / nullif(stddev_pop(final_rating) * stddev_pop(health_grade), 0), 6) AS r
     FROM rated JOIN grades ON rated.restaurant_id = grades.restaurant_id
                           AND review_date = grade_date
     WHERE final_rating IS NOT NULL AND health_grade IS NOT NULL
-    GROUP BY {keys}""",
+    GROUP BY {keys})""",
         _RATED,
     )
 

@@ -91,6 +91,12 @@ def _all_timelines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _rounded(column: str):
+    """Six digits, and zero without a sign."""
+    rounded = F.round(column, 6)
+    return F.when(rounded == 0, F.lit(0.0)).otherwise(rounded)
+
+
 def _land(raw: DataFrame, schema, path: str) -> None:
     """Upload one more set of files."""
     raw.select(schema.names).write.mode("append").option("header", True).csv(path)
@@ -344,14 +350,14 @@ def rating_hygiene_corr(spark: SparkSession, folder: str) -> DataFrame:
     result = insights.rating_hygiene_correlation(
         _all_timelines(spark, folder), fill_grades(sample.health(spark, folder))
     )
-    return result.withColumn("r", F.round("r", 6))
+    return result.withColumn("r", _rounded("r"))
 
 
 def rating_hygiene_corr_by_restaurant(spark: SparkSession, folder: str) -> DataFrame:
     result = insights.rating_hygiene_correlation(
         _all_timelines(spark, folder), fill_grades(sample.health(spark, folder)), per_restaurant=True
     )
-    return result.withColumn("r", F.round("r", 6))
+    return result.withColumn("r", _rounded("r"))
 
 
 def quality_timeline(spark: SparkSession, folder: str) -> DataFrame:
