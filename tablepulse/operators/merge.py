@@ -3,13 +3,35 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from datetime import date
+from datetime import date, timedelta
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 Dates = Iterable[date] | DataFrame
 
+ONE_DAY = timedelta(days=1)
+# More ranges than this are listed day by day, which Spark looks up as a set.
+MOST_RANGES = 20
+
+
+def listed(date_col: str, dates: Iterable[date]) -> Column:
+    """True where the date is one of ``dates``; literals only, so that partitions are pruned.
+
+    Where most dates follow each other, as those of a filled gap do, a few
+    ranges say the same as thousands of literals.
+    """
+    days = sorted(set(dates))
+    starts = [d for d, before in zip(days, [None, *days]) if before != d - ONE_DAY]
+    ends = [d for d, after in zip(days, [*days[1:], None]) if after != d + ONE_DAY]
+    column = F.col(date_col)
+    if len(starts) > MOST_RANGES:
+        return column.isin(days)
+    ranges = [column.between(first, last) for first, last in zip(starts, ends)]
+    return reduce(or_, ranges) if ranges else column.isin([])
+
 
 def in_dates(df: DataFrame, date_col: str, dates: Dates) -> DataFrame:
     """Rows on the given dates.
@@ -19,7 +41,7 @@ def in_dates(df: DataFrame, date_col: str, dates: Dates) -> DataFrame:
     """
     if isinstance(dates, DataFrame):
         return df.join(dates.toDF(date_col), date_col, "left_semi").select(df.columns)
-    return df.where(F.col(date_col).isin(list(dates)))
+    return df.where(listed(date_col, dates))
 
 
 def not_in_dates(df: DataFrame, date_col: str, dates: Dates, keep_null: bool = False) -> DataFrame:
@@ -27,7 +49,7 @@ def not_in_dates(df: DataFrame, date_col: str, dates: Dates, keep_null: bool = F
     if isinstance(dates, DataFrame):
         rest = df.join(dates.toDF(date_col), date_col, "left_anti").select(df.columns)
         return rest if keep_null else rest.where(F.col(date_col).isNotNull())
-    other = ~F.col(date_col).isin(list(dates))
+    other = ~listed(date_col, dates)
     return df.where(other | F.col(date_col).isNull() if keep_null else other)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,11 +42,23 @@ def normalize_health(raw: DataFrame) -> DataFrame:
     ).to(HEALTH)
 
 
-def usable(date_col: str) -> Column:
-    """True where a normalized row has the two keys that every later step needs."""
-    return F.col(date_col).isNotNull() & F.col("restaurant_id").isNotNull()
+def usable(date_col: str, plausible: tuple[date, date] | None = None) -> Column:
+    """True where a normalized row has the two keys that every later step needs.
+
+    ``plausible`` also turns away dates outside a closed range: one review dated
+    to the wrong century would give its restaurant a calendar of that length.
+    """
+    known = F.col(date_col).isNotNull() & F.col("restaurant_id").isNotNull()
+    if plausible:
+        known = known & F.coalesce(F.col(date_col).between(*plausible), F.lit(False))
+    return known
 
 
-def rejected(raw: DataFrame, date_col: str) -> DataFrame:
+def rejected(raw: DataFrame, date_col: str, plausible: tuple[date, date] | None = None) -> DataFrame:
     """The raw rows that :func:`usable` turns away, with their text unchanged."""
-    return raw.where(parse_compact_date(date_col).isNull() | F.col("restaurant_id").isNull())
+    parsed = raw.select(
+        F.struct(*raw.columns).alias("row"),
+        parse_compact_date(date_col).alias(date_col),
+        "restaurant_id",
+    )
+    return parsed.where(~usable(date_col, plausible)).select("row.*")

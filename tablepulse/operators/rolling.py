@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import date
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,15 +13,18 @@ from tablepulse.operators.calendar import densify
 from tablepulse.operators.rollups import daily_rating
 
 WINDOW_DAYS = 7
+SERIES = ("restaurant_id",)
 
 
-def rolling_rating(daily: DataFrame, days: int = WINDOW_DAYS) -> DataFrame:
-    """Add ``final_rating``: the mean of all ratings in the last ``days`` rows of a restaurant.
+def rolling_rating(
+    daily: DataFrame, days: int = WINDOW_DAYS, keys: Sequence[str] = SERIES
+) -> DataFrame:
+    """Add ``final_rating``: the mean of all ratings in the last ``days`` rows of a series.
 
     ``daily`` must be dense (see :func:`densify`), so that rows are days. It is
     null, not an error, when there is no rating in the window.
     """
-    recent = Window.partitionBy("restaurant_id").orderBy("review_date").rowsBetween(1 - days, 0)
+    recent = Window.partitionBy(*keys).orderBy("review_date").rowsBetween(1 - days, 0)
     return (
         daily.withColumn("_rolling_sum", F.sum("rating_sum").over(recent))
         .withColumn("_rolling_count", F.sum("rating_count").over(recent))
@@ -27,22 +33,28 @@ def rolling_rating(daily: DataFrame, days: int = WINDOW_DAYS) -> DataFrame:
     )
 
 
-def rating_timeline(reviews: DataFrame, days: int = WINDOW_DAYS, until=None) -> DataFrame:
+def rating_timeline(
+    reviews: DataFrame,
+    days: int = WINDOW_DAYS,
+    keys: Sequence[str] = SERIES,
+    until: date | None = None,
+) -> DataFrame:
     """Reviews to the dense daily series with the rolling rating, without names.
 
-    The series is keyed by the restaurant alone: one that changes its name
-    keeps one series. Two shuffles: daily totals by restaurant and day, then by
-    restaurant; filling the gaps and rolling both use the second.
+    A series is keyed by the restaurant (and the site, where ``keys`` name it),
+    so a restaurant that changes its name keeps one series. Two shuffles: daily
+    totals by series and day, then by series; filling the gaps and rolling both
+    use the second, where a series has at most one row per day.
     """
-    daily = daily_rating(reviews, ("restaurant_id",))
+    daily = daily_rating(reviews, keys)
     dense = densify(
-        daily, ("restaurant_id",), "review_date", {"rating_sum": 0, "rating_count": 0}, until=until
+        daily, keys, "review_date", {"rating_sum": 0, "rating_count": 0}, until=until
     )
-    return rolling_rating(dense, days)
+    return rolling_rating(dense, days, keys)
 
 
 def attach_restaurants(
-    facts: DataFrame, restaurants: DataFrame, *attributes: str, keys=("restaurant_id",)
+    facts: DataFrame, restaurants: DataFrame, *attributes: str, keys: Sequence[str] = SERIES
 ) -> DataFrame:
     """Join the named attributes onto facts by restaurant.
 

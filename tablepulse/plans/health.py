@@ -11,6 +11,8 @@ date, so that a repeated file changes nothing.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tablepulse import schemas
@@ -27,19 +29,22 @@ from tablepulse.sources.writers import overwrite_partitions, replace_table, writ
 ATTRIBUTES = ("restaurant_name", "county", "cuisine")
 
 
-def ingest_health(site: Site, raw: DataFrame, batch_key: str) -> None:
+def ingest_health(
+    site: Site, raw: DataFrame, batch_key: str, plausible: tuple[date, date] | None = None
+) -> None:
     """Merge one batch of raw inspections and recompute the days it affects."""
     spark = raw.sparkSession
     raw = raw.persist()
     try:
         batch = normalize_health(raw)
         write_archive(raw, site.history, batch_key)
-        good = batch.where(usable("grade_date"))
+        good = batch.where(usable("grade_date", plausible))
         days_seen = touched_dates(
-            batch.withColumn("usable", usable("grade_date")), "grade_date", "usable"
+            batch.withColumn("usable", usable("grade_date", plausible)), "grade_date", "usable"
         ).collect()
         if any(row["n_rows"] > row["n_usable"] for row in days_seen):
-            replace_table(rejected(raw, "grade_date"), f"{site.rejects}/batch={batch_key}", None)
+            bad = rejected(raw, "grade_date", plausible)
+            replace_table(bad, f"{site.rejects}/batch={batch_key}", None)
         touched = [row["grade_date"] for row in days_seen if row["n_usable"]]
         if not touched:
             return

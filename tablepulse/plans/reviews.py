@@ -17,6 +17,7 @@ without any rating gives null.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from tablepulse import schemas
 from tablepulse.layout import Site
 from tablepulse.operators.affected import affected_dates, days_of_ranges, span_growth
-from tablepulse.operators.merge import in_dates, merge_partitions, union_all
+from tablepulse.operators.merge import in_dates, listed, merge_partitions, union_all
 from tablepulse.operators.normalize import normalize_reviews, rejected, usable
 from tablepulse.operators.rolling import (
     WINDOW_DAYS,
@@ -47,33 +48,41 @@ from tablepulse.sources.writers import (
 )
 
 ATTRIBUTES = ("restaurant_name", "county")
+DateRange = tuple[date, date]
 BACKFILL = "backfill"
 
 
 def backfill_reviews(
-    spark: SparkSession, site: Site, raw_path: str | None = None, days: int = WINDOW_DAYS, **options
+    spark: SparkSession,
+    site: Site,
+    raw_path: str | None = None,
+    days: int = WINDOW_DAYS,
+    plausible: DateRange | None = None,
+    **options,
 ) -> None:
-    """Load all raw files of a site and replace its tables.
-
-    ``final_rating`` is written before ``rating_sum``: it holds the same totals,
-    so the second table is copied from the first, date by date, without another
-    shuffle.
-    """
+    """Load all raw files of a site and replace its tables. ``options`` reach the file reader."""
     raw = read_raw(spark, raw_path or site.landing, schemas.RAW_REVIEWS, **options)
     write_archive(raw, site.history, BACKFILL)
     counts = Observation()
     reviews = normalize_reviews(raw).observe(
-        counts, F.count_if(~usable("review_date")).alias("n_rejected")
+        counts, F.count_if(~usable("review_date", plausible)).alias("n_rejected")
     )
-    replace_table(reviews.where(usable("review_date")).distinct(), site.input, "review_date")
+    good = reviews.where(usable("review_date", plausible)).distinct()
+    replace_table(good, site.input, "review_date")
     delete_folder(spark, site.rejects)
     if counts.get["n_rejected"]:
-        replace_table(rejected(raw, "review_date"), f"{site.rejects}/batch={BACKFILL}", None)
+        bad = rejected(raw, "review_date", plausible)
+        replace_table(bad, f"{site.rejects}/batch={BACKFILL}", None)
     recompute_reviews(spark, site, days)
 
 
 def recompute_reviews(spark: SparkSession, site: Site, days: int = WINDOW_DAYS) -> None:
-    """Rebuild everything that derives from the stored reviews of a site."""
+    """Rebuild everything that derives from the stored reviews of a site.
+
+    ``final_rating`` is written before ``rating_sum``: it holds the same totals,
+    so the second table is copied from the first, date by date, without another
+    shuffle.
+    """
     stored = read_table(spark, site.input, schemas.REVIEWS)
     replace_table(
         restaurants(stored, ATTRIBUTES).withColumn("batch", F.lit(BACKFILL)),
@@ -86,7 +95,13 @@ def recompute_reviews(spark: SparkSession, site: Site, days: int = WINDOW_DAYS)
     replace_table(totals, site.rating_sum, "review_date", clustered=True)
 
 
-def ingest_reviews(site: Site, raw: DataFrame, batch_key: str, days: int = WINDOW_DAYS) -> None:
+def ingest_reviews(
+    site: Site,
+    raw: DataFrame,
+    batch_key: str,
+    days: int = WINDOW_DAYS,
+    plausible: DateRange | None = None,
+) -> None:
     """Merge one batch of raw rows and recompute the dates it affects.
 
     Safe to repeat: each write replaces whole partitions with content that does
@@ -98,11 +113,13 @@ def ingest_reviews(site: Site, raw: DataFrame, batch_key: str, days: int = WINDO
     try:
         batch = normalize_reviews(raw)
         write_archive(raw, site.history, batch_key)
-        good = batch.where(usable("review_date"))
-        seen = touched_dates(batch.withColumn("usable", usable("review_date")), "review_date", "usable")
-        days_seen = seen.collect()
+        good = batch.where(usable("review_date", plausible))
+        days_seen = touched_dates(
+            batch.withColumn("usable", usable("review_date", plausible)), "review_date", "usable"
+        ).collect()
         if any(row["n_rows"] > row["n_usable"] for row in days_seen):
-            replace_table(rejected(raw, "review_date"), f"{site.rejects}/batch={batch_key}", None)
+            bad = rejected(raw, "review_date", plausible)
+            replace_table(bad, f"{site.rejects}/batch={batch_key}", None)
         touched = [row["review_date"] for row in days_seen if row["n_usable"]]
         if not touched:
             return
@@ -160,7 +177,7 @@ def updated_totals(
     touched date only say that the restaurant has that day; its numbers are
     counted again. One grouping with map-side sums brings all three together.
     """
-    is_touched = F.col("review_date").isin(touched)
+    is_touched = listed("review_date", touched)
     none = F.lit(0).cast("long")
     counted = reviews.select(
         "restaurant_id",

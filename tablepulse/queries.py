@@ -39,7 +39,7 @@ from tablepulse.plans.reviews import backfill_reviews as backfill, read_final_ra
 from tablepulse.session import scratch_dir
 from tablepulse.sources import sample_tables as sample
 from tablepulse.sources.catalog import publish_warehouse, register_view
-from tablepulse.sources.readers import read_dates, read_raw, read_table, tag_site
+from tablepulse.sources.readers import read_dates, read_raw, read_table, stream_raw, tag_site
 from tablepulse.sources.writers import (
     append_rows,
     overwrite_partitions,
@@ -47,7 +47,6 @@ from tablepulse.sources.writers import (
     replace_table,
 )
 from tablepulse.streaming.bookmark import ingest_new_health, ingest_new_reviews, run_new_files
-from tablepulse.sources.readers import stream_raw
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -83,12 +82,8 @@ def _timeline(spark: SparkSession, folder: str, site: str = GOOGLE) -> DataFrame
 
 
 def _all_timelines(spark: SparkSession, folder: str) -> DataFrame:
-    return union_all(
-        *(
-            tag_site(rating_timeline(sample.reviews(spark, folder, site)), site)
-            for site in sample.SITE_EVENTS
-        )
-    )
+    """Rolling rating of all sites in one pass."""
+    return rating_timeline(sample.all_reviews(spark, folder), keys=("site", "restaurant_id"))
 
 
 def _rounded(column: str):
@@ -132,9 +127,10 @@ def bookmark_ingest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def site_tagged_reviews(spark: SparkSession, folder: str) -> DataFrame:
-    return sample.all_reviews(spark, folder).select(
-        "review_id", "restaurant_id", "rating", "review_date", "site"
-    )
+    """One site after the other by the same code, each tagged with its name."""
+    return union_all(
+        *(tag_site(sample.reviews(spark, folder, site), site) for site in sample.SITE_EVENTS)
+    ).select("review_id", "restaurant_id", "rating", "review_date", "site")
 
 
 def _partitioned_reviews(spark: SparkSession, folder: str) -> str:

@@ -10,9 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablepulse.operators.merge import union_all
-from tablepulse.sources.readers import tag_site
-
 SITE_EVENTS = {"google_reviews": "view", "yelp_reviews": "click"}
 HEALTH_EVENT = "signup"
 MASKED = "masked"
@@ -38,11 +35,17 @@ def _stars(column: str):
     return (F.floor(column).cast("bigint") % 5 + 1).cast("int")
 
 
-def reviews(spark: SparkSession, folder: str, site: str) -> DataFrame:
-    """Reviews of one site without restaurant attributes. ``posted_hour`` splits them into uploads."""
+def all_reviews(spark: SparkSession, folder: str) -> DataFrame:
+    """Reviews of all sites without restaurant attributes, in one scan.
+
+    ``posted_hour`` splits them into uploads.
+    """
+    site = F.when(F.col("event_type") == SITE_EVENTS["google_reviews"], "google_reviews").otherwise(
+        "yelp_reviews"
+    )
     return (
         table(spark, folder, "events")
-        .where(F.col("event_type") == SITE_EVENTS[site])
+        .where(F.col("event_type").isin(list(SITE_EVENTS.values())))
         .select(
             F.col("event_id").cast("string").alias("review_id"),
             F.col("user_id").cast("string").alias("restaurant_id"),
@@ -52,13 +55,14 @@ def reviews(spark: SparkSession, folder: str, site: str) -> DataFrame:
             F.lit("add").alias("operation"),
             F.col("ts").cast("date").alias("review_date"),
             F.hour("ts").alias("posted_hour"),
+            site.alias("site"),
         )
     )
 
 
-def all_reviews(spark: SparkSession, folder: str) -> DataFrame:
-    """Reviews of all sites, tagged by site."""
-    return union_all(*(tag_site(reviews(spark, folder, site), site) for site in SITE_EVENTS))
+def reviews(spark: SparkSession, folder: str, site: str) -> DataFrame:
+    """Reviews of one site, without the site column."""
+    return all_reviews(spark, folder).where(F.col("site") == site).drop("site")
 
 
 def health(spark: SparkSession, folder: str) -> DataFrame:

@@ -8,6 +8,7 @@ and the jobs are safe to repeat.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,6 +55,7 @@ def ingest_new_reviews(
     site: Site,
     days: int = WINDOW_DAYS,
     max_files_per_trigger: int | None = None,
+    plausible: tuple[date, date] | None = None,
     **options,
 ) -> int:
     """Ingest the review files that landed since the last run."""
@@ -61,15 +63,19 @@ def ingest_new_reviews(
         spark, site.landing, schemas.RAW_REVIEWS, max_files_per_trigger, **options
     )
     return run_new_files(
-        stream, site.checkpoint, lambda batch, key: ingest_reviews(site, batch, key, days)
+        stream, site.checkpoint, lambda batch, key: ingest_reviews(site, batch, key, days, plausible)
     )
 
 
 def ingest_new_health(
-    spark: SparkSession, site: Site, max_files_per_trigger: int | None = None, **options
+    spark: SparkSession,
+    site: Site,
+    max_files_per_trigger: int | None = None,
+    plausible: tuple[date, date] | None = None,
+    **options,
 ) -> int:
     """Ingest the health-grade files that landed since the last run."""
     stream = stream_raw(spark, site.landing, schemas.RAW_HEALTH, max_files_per_trigger, **options)
     return run_new_files(
-        stream, site.checkpoint, lambda batch, key: ingest_health(site, batch, key)
+        stream, site.checkpoint, lambda batch, key: ingest_health(site, batch, key, plausible)
     )

@@ -25,6 +25,7 @@ from tablepulse.plans.reviews import (
     read_final_rating,
     read_rating_sum,
 )
+from tablepulse.plans.upkeep import compact_restaurants
 from tablepulse.sources.catalog import publish_warehouse, refresh, register_view
 from tablepulse.sources.readers import read_raw, read_table
 from tablepulse.sources.writers import overwrite_partitions, replace_date_partitions, replace_table
@@ -257,3 +258,22 @@ def test_published_tables(spark, tmp_path):
     ingest_reviews(site, raw_reviews(spark, new), "b1")
     names = publish_warehouse(spark, root, "t1_")
     assert spark.table(names["final_rating"]).where("restaurant_id = '1'").count() == 4
+
+
+def test_compacted_restaurants(spark, site):
+    rows = random_reviews(4, n=12, span=10)
+    ingest_reviews(site, raw_reviews(spark, rows[:4]), "b0")
+    ingest_reviews(site, raw_reviews(spark, rows[4:8]), "b1")
+    compact_restaurants(spark, site)
+    assert spark.read.parquet(site.restaurants).select("batch").distinct().count() == 1
+    ingest_reviews(site, raw_reviews(spark, rows[8:]), "b2")
+    check(spark, site, rows)
+
+
+def test_implausible_dates_are_rejected(spark, site):
+    rows = [review("k1", START, "1", 3), review("k2", date(1023, 1, 1), "1", 3)]
+    rows.append(review("k3", "bad", "1", 3))
+    raw = raw_reviews(spark, rows)
+    ingest_reviews(site, raw, "b0", plausible=(date(2000, 1, 1), date(2100, 1, 1)))
+    check(spark, site, rows[:1])
+    assert spark.read.parquet(site.rejects).count() == 2

@@ -1,0 +1,99 @@
+"""Physical plans: pruning, number of shuffles, no Python, no quadratic joins."""
+
+import re
+
+import pytest
+from frames import REVIEW_ROWS, raw_reviews
+from pyspark.sql import functions as F
+
+from __spark_entry__ import queries
+from tablepulse import schemas
+from tablepulse.operators.merge import listed
+from tablepulse.operators.normalize import normalize_reviews
+from tablepulse.operators.rolling import rating_timeline
+from tablepulse.operators.rollups import daily_rating
+from tablepulse.session import cluster_settings, scratch_dir
+from tablepulse.sources import sample_tables as sample
+from tablepulse.sources.readers import read_dates
+from tablepulse.sources.writers import replace_table
+
+FOLDER = "/root/testdata/sf0.001"
+WRITING = {
+    "raw_csv_roundtrip",
+    "bookmark_ingest",
+    "pruned_dates",
+    "excluded_dates",
+    "appended_grades",
+    "merge_partitions",
+    "replace_dates",
+    "backfill_reviews",
+    "incremental_reviews",
+    "ingest_health",
+    "published_sql",
+}
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def count(text, node):
+    return len(re.findall(rf"(?:^|[\s*)-]){node}[ (]", text))
+
+
+@pytest.mark.parametrize("name", sorted(set(queries()) - WRITING))
+def test_no_python_and_no_quadratic_join(name, spark):
+    text = plan(queries()[name](spark, FOLDER))
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas", "ArrowEval"):
+        assert node not in text
+
+
+def test_timeline_shuffles_twice(spark):
+    text = plan(rating_timeline(sample.reviews(spark, FOLDER, "google_reviews")))
+    assert count(text, "Exchange") == 2
+    assert count(text, "Window") == 2
+    assert "SortAggregate" not in text
+    assert "Join" not in text
+    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string,value:double>" in text
+    assert "EqualTo(event_type,view)" in text or "In(event_type" in text
+
+
+def test_all_sites_share_one_scan(spark):
+    text = plan(rating_timeline(sample.all_reviews(spark, FOLDER), keys=("site", "restaurant_id")))
+    assert count(text, "FileScan") == 1
+    assert count(text, "Exchange") == 2
+
+
+def test_daily_totals_combine_before_the_shuffle(spark):
+    text = plan(daily_rating(sample.reviews(spark, FOLDER, "yelp_reviews"), ("restaurant_id",)))
+    assert "partial_sum" in text and text.index("Exchange") < text.index("partial_sum")
+
+
+def test_dates_prune_partitions(spark):
+    path = scratch_dir(spark)
+    reviews = normalize_reviews(raw_reviews(spark, REVIEW_ROWS))
+    replace_table(reviews, path, "review_date")
+    day = reviews.agg(F.min("review_date")).first()[0]
+    df = read_dates(spark, path, schemas.REVIEWS, "review_date", [day])
+    text = plan(df.select("rating"))
+    assert re.search(r"PartitionFilters: \[[^\]]*review_date", text)
+    assert "ReadSchema: struct<rating:int>" in text
+    assert df.count() == 2
+
+
+def test_long_lists_become_ranges(spark):
+    dates = spark.sql("SELECT explode(sequence(DATE'2000-01-01', DATE'2009-12-31')) AS d")
+    days = [row.d for row in dates.collect()]
+    kept = dates.where(listed("d", days[:100] + days[200:]))
+    assert kept.count() == len(days) - 100
+    assert plan(kept).count("2000-") < 20
+    scattered = dates.where(listed("d", days[::2]))
+    assert scattered.count() == (len(days) + 1) // 2
+    assert dates.where(listed("d", [])).count() == 0
+    assert dates.where(~listed("d", [])).count() == len(days)
+
+
+def test_cluster_settings_follow_the_data():
+    small, large = cluster_settings(10**9, 64), cluster_settings(10**14, 4000)
+    assert small["spark.sql.shuffle.partitions"] == "64"
+    assert int(large["spark.sql.shuffle.partitions"]) > 500_000
