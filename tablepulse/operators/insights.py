@@ -20,11 +20,12 @@ def ratings_with_grades(final_rating: DataFrame, grades: DataFrame) -> DataFrame
     """Days that have both a rating series and a grade in force, per restaurant.
 
     The keys are restaurant and day, so a restaurant with a long series spreads
-    over all tasks.
+    over all tasks. Both series are dense. Spark's size estimate misses the days
+    that filling adds, so the merge hint keeps it from broadcasting one of them.
     """
     graded = grades.select(
         "restaurant_id", F.col("grade_date").alias("review_date"), "health_grade"
-    )
+    ).hint("merge")
     return final_rating.join(graded, ["restaurant_id", "review_date"])
 
 

@@ -23,6 +23,7 @@ from tablepulse.operators.merge import in_dates, merge_partitions
 from tablepulse.operators.normalize import normalize_health, rejected, usable
 from tablepulse.operators.rolling import attach_restaurants
 from tablepulse.operators.rollups import merge_restaurants, restaurants, touched_dates
+from tablepulse.plans.report import BatchReport, batch_report
 from tablepulse.sources.readers import read_sites, read_table
 from tablepulse.sources.writers import overwrite_partitions, replace_table, write_archive
 
@@ -31,7 +32,7 @@ ATTRIBUTES = ("restaurant_name", "county", "cuisine")
 
 def ingest_health(
     site: Site, raw: DataFrame, batch_key: str, plausible: tuple[date, date] | None = None
-) -> None:
+) -> BatchReport:
     """Merge one batch of raw inspections and recompute the days it affects."""
     spark = raw.sparkSession
     raw = raw.persist()
@@ -42,15 +43,16 @@ def ingest_health(
         days_seen = touched_dates(
             batch.withColumn("usable", usable("grade_date", plausible)), "grade_date", "usable"
         ).collect()
-        if any(row["n_rows"] > row["n_usable"] for row in days_seen):
+        report = batch_report(batch_key, days_seen)
+        if report.rejected:
             bad = rejected(raw, "grade_date", plausible)
             replace_table(bad, f"{site.rejects}/batch={batch_key}", None)
         touched = [row["grade_date"] for row in days_seen if row["n_usable"]]
         if not touched:
-            return
+            return report
 
         stored = read_table(spark, site.input, schemas.HEALTH)
-        merged = merge_partitions(stored, good, "grade_date", touched)
+        merged = merge_partitions(stored, good, "grade_date", touched, match_on="restaurant_id")
         overwrite_partitions(merged, site.input, "grade_date")
         replace_table(
             restaurants(good, ATTRIBUTES, "grade_date"), f"{site.restaurants}/batch={batch_key}", None
@@ -68,6 +70,7 @@ def ingest_health(
         site.grade_values,
         "grade_date",
     )
+    return report
 
 
 def read_health_restaurants(spark: SparkSession, root: str) -> DataFrame:

@@ -39,6 +39,7 @@ from tablepulse.operators.rollups import (
     restaurants,
     touched_dates,
 )
+from tablepulse.plans.report import BatchReport, batch_report
 from tablepulse.sources.readers import read_dates, read_raw, read_sites, read_table
 from tablepulse.sources.writers import (
     delete_folder,
@@ -101,7 +102,7 @@ def ingest_reviews(
     batch_key: str,
     days: int = WINDOW_DAYS,
     plausible: DateRange | None = None,
-) -> None:
+) -> BatchReport:
     """Merge one batch of raw rows and recompute the dates it affects.
 
     Safe to repeat: each write replaces whole partitions with content that does
@@ -117,25 +118,27 @@ def ingest_reviews(
         days_seen = touched_dates(
             batch.withColumn("usable", usable("review_date", plausible)), "review_date", "usable"
         ).collect()
-        if any(row["n_rows"] > row["n_usable"] for row in days_seen):
+        report = batch_report(batch_key, days_seen)
+        if report.rejected:
             bad = rejected(raw, "review_date", plausible)
             replace_table(bad, f"{site.rejects}/batch={batch_key}", None)
         touched = [row["review_date"] for row in days_seen if row["n_usable"]]
         if not touched:
-            return
+            return report
 
         stored = read_table(spark, site.input, schemas.REVIEWS)
-        merged = merge_partitions(stored, good, "review_date", touched)
+        merged = merge_partitions(stored, good, "review_date", touched, match_on="review_id")
         overwrite_partitions(merged, site.input, "review_date")
         replace_table(restaurants(good, ATTRIBUTES), f"{site.restaurants}/batch={batch_key}", None)
     finally:
         raw.unpersist()
 
     update_ratings(spark, site, touched, batch_key, days)
+    return report
 
 
 def update_ratings(
-    spark: SparkSession, site: Site, touched: list, batch_key: str, days: int = WINDOW_DAYS
+    spark: SparkSession, site: Site, touched: list[date], batch_key: str, days: int = WINDOW_DAYS
 ) -> None:
     """Recompute ``rating_sum`` and ``final_rating`` on the dates that a merged batch affects.
 
@@ -152,12 +155,15 @@ def update_ratings(
     ).collect()
     needed = [row["review_date"] for row in plan]
     outputs = [row["review_date"] for row in plan if row["is_output"]]
-    changed = [row["review_date"] for row in plan if row["is_touched"] or row["is_grown"]]
+    grown = [row["review_date"] for row in plan if row["is_grown"]]
+    changed = [*touched, *grown]
 
     reviews = read_dates(spark, site.input, schemas.REVIEWS, "review_date", touched)
     totals = read_dates(spark, site.rating_sum, schemas.RATING_SUM, "review_date", changed)
     overwrite_partitions(
-        updated_totals(reviews, totals, growth, touched), site.rating_sum, "review_date"
+        updated_totals(reviews, totals, growth if grown else None, touched),
+        site.rating_sum,
+        "review_date",
     )
 
     dense = read_dates(spark, site.rating_sum, schemas.RATING_SUM, "review_date", needed)
@@ -168,7 +174,7 @@ def update_ratings(
 
 
 def updated_totals(
-    reviews: DataFrame, totals: DataFrame, growth: DataFrame, touched: list
+    reviews: DataFrame, totals: DataFrame, growth: DataFrame | None, touched: list[date]
 ) -> DataFrame:
     """Dense daily totals of the changed dates.
 
@@ -193,14 +199,18 @@ def updated_totals(
             for name in ("rating_sum", "rating_count")
         ),
     )
-    added = growth.select(
-        "restaurant_id",
-        F.explode(F.sequence("first_day", "last_day")).alias("review_date"),
-        none.alias("rating_sum"),
-        none.alias("rating_count"),
-    )
+    parts = [counted, kept]
+    if growth is not None:
+        parts.append(
+            growth.select(
+                "restaurant_id",
+                F.explode(F.sequence("first_day", "last_day")).alias("review_date"),
+                none.alias("rating_sum"),
+                none.alias("rating_count"),
+            )
+        )
     return (
-        union_all(counted, kept, added)
+        union_all(*parts)
         .groupBy("restaurant_id", "review_date")
         .agg(F.sum("rating_sum").alias("rating_sum"), F.sum("rating_count").alias("rating_count"))
         .select(schemas.RATING_SUM.names)

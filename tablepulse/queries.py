@@ -269,7 +269,8 @@ def merge_partitions(spark: SparkSession, folder: str) -> DataFrame:
     replace_table(stored, path, "review_date")
     dates = [row["review_date"] for row in touched(batch).collect()]
     stored = read_table(spark, path, schemas.REVIEWS)
-    overwrite_partitions(merge(stored, batch, "review_date", dates), path, "review_date")
+    merged = merge(stored, batch, "review_date", dates, match_on="review_id")
+    overwrite_partitions(merged, path, "review_date")
     return read_table(spark, path, schemas.REVIEWS)
 
 

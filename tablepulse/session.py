@@ -53,6 +53,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
+        # Small test data would otherwise end up in one task per write.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "16KB")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

@@ -166,7 +166,8 @@ def test_changed_review_is_another_row(spark, site):
 def test_ids_and_rejects_of_a_batch(spark, site):
     rows = [review("k1", START, "00123", 3), review("k2", START, "abc", 4)]
     bad = [review("k3", "2023xx01", "1", 3)]
-    ingest_reviews(site, raw_reviews(spark, rows + bad), "b0")
+    report = ingest_reviews(site, raw_reviews(spark, rows + bad), "b0")
+    assert report == ("b0", 3, 1, 1)
     check(spark, site, rows)
     assert spark.read.parquet(site.rejects).count() == 1
     ingest_reviews(site, raw_reviews(spark, bad), "b1")

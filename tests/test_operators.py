@@ -301,6 +301,25 @@ def test_merge_is_a_set_union_of_touched_dates(spark, reviews):
     assert set_union(reviews, reviews).count() == 5
 
 
+def test_merge_of_distinct_rows_equals_the_set_union(spark):
+    random.seed(8)
+    some = lambda: (
+        random.choice([None, "a", "b"]),
+        random.choice([None, 1, 2]),
+        date(2023, 1, random.randrange(1, 4)),
+    )
+    schema = "review_id string, rating int, review_date date"
+    for _ in range(3):
+        stored = spark.createDataFrame({some() for _ in range(9)}, schema)
+        batch = spark.createDataFrame([some() for _ in range(14)], schema)
+        days = [date(2023, 1, 1), date(2023, 1, 2)]
+        batch = in_dates(batch, "review_date", days)
+        order = ("review_date", "review_id", "rating")
+        plain = rows(merge_partitions(stored, batch, "review_date", days), *order)
+        matched = merge_partitions(stored, batch, "review_date", days, match_on="review_id")
+        assert rows(matched, *order) == plain
+
+
 def test_affected_dates_against_sets(spark):
     touched = {date(2023, 1, 1), date(2023, 1, 2), date(2023, 2, 10)}
     grown = {date(2023, 1, 20), date(2023, 1, 21), date(2023, 2, 10)}
