@@ -33,21 +33,27 @@ def listed(date_col: str, dates: Iterable[date]) -> Column:
     return reduce(or_, ranges) if ranges else column.isin([])
 
 
+def _date_side(dates: DataFrame, date_col: str) -> DataFrame:
+    """Distinct dates for a broadcast: no more rows than the calendar has days."""
+    return F.broadcast(dates.toDF(date_col).select(F.col(date_col).cast("date")).distinct())
+
+
 def in_dates(df: DataFrame, date_col: str, dates: Dates) -> DataFrame:
     """Rows on the given dates.
 
     A list becomes literals, which prune partitions at planning time. A
-    one-column frame becomes a semi join, for dates that were never collected.
+    one-column frame becomes a broadcast semi join, for dates that were never
+    collected; a shuffle by date would put a heavy date into one task.
     """
     if isinstance(dates, DataFrame):
-        return df.join(dates.toDF(date_col), date_col, "left_semi").select(df.columns)
+        return df.join(_date_side(dates, date_col), date_col, "left_semi").select(df.columns)
     return df.where(listed(date_col, dates))
 
 
 def not_in_dates(df: DataFrame, date_col: str, dates: Dates, keep_null: bool = False) -> DataFrame:
     """Rows on any other date. As in SQL ``NOT IN``, a null date is dropped unless kept."""
     if isinstance(dates, DataFrame):
-        rest = df.join(dates.toDF(date_col), date_col, "left_anti").select(df.columns)
+        rest = df.join(_date_side(dates, date_col), date_col, "left_anti").select(df.columns)
         return rest if keep_null else rest.where(F.col(date_col).isNotNull())
     other = ~listed(date_col, dates)
     return df.where(other | F.col(date_col).isNull() if keep_null else other)

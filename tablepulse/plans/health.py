@@ -24,7 +24,7 @@ from tablepulse.operators.normalize import normalize_health, rejected, usable
 from tablepulse.operators.rolling import attach_restaurants
 from tablepulse.operators.rollups import merge_restaurants, restaurants, touched_dates
 from tablepulse.plans.report import BatchReport, batch_report
-from tablepulse.sources.readers import read_sites, read_table
+from tablepulse.sources.readers import read_dates, read_sites, read_table
 from tablepulse.sources.writers import overwrite_partitions, replace_table, write_archive
 
 ATTRIBUTES = ("restaurant_name", "county", "cuisine")
@@ -51,7 +51,7 @@ def ingest_health(
         if not touched:
             return report
 
-        stored = read_table(spark, site.input, schemas.HEALTH)
+        stored = read_dates(spark, site.input, schemas.HEALTH, "grade_date", touched)
         merged = merge_partitions(stored, good, "grade_date", touched, match_on="restaurant_id")
         overwrite_partitions(merged, site.input, "grade_date")
         replace_table(

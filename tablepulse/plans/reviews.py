@@ -126,7 +126,7 @@ def ingest_reviews(
         if not touched:
             return report
 
-        stored = read_table(spark, site.input, schemas.REVIEWS)
+        stored = read_dates(spark, site.input, schemas.REVIEWS, "review_date", touched)
         merged = merge_partitions(stored, good, "review_date", touched, match_on="review_id")
         overwrite_partitions(merged, site.input, "review_date")
         replace_table(restaurants(good, ATTRIBUTES), f"{site.restaurants}/batch={batch_key}", None)

@@ -12,6 +12,9 @@ from pyspark.sql.types import StructType
 from tablepulse.operators.merge import in_dates
 from tablepulse.schemas import with_site
 
+# Reading more dates than this starts from the whole table and prunes.
+MOST_FOLDERS = 500
+
 
 def read_raw(spark: SparkSession, path: str, schema: StructType, **options) -> DataFrame:
     """Delimited files with a header line.
@@ -58,8 +61,25 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 def read_dates(
     spark: SparkSession, path: str, schema: StructType, date_col: str, dates: Iterable[date]
 ) -> DataFrame:
-    """The date partitions of a stored table that are listed in ``dates``."""
-    return in_dates(read_table(spark, path, schema), date_col, dates)
+    """The date partitions of a stored table that are listed in ``dates``.
+
+    A moderate number of dates is read by folder, so that planning lists the
+    files of these dates only and not those of the whole table.
+    """
+    days = sorted(set(dates))
+    if len(days) > MOST_FOLDERS:
+        return in_dates(read_table(spark, path, schema), date_col, days)
+    folders = f"{path}/{date_col}={{{','.join(day.isoformat() for day in days)}}}"
+    if not days or not _matches(spark, folders):
+        return spark.createDataFrame([], schema)
+    table = spark.read.schema(schema).option("basePath", path).parquet(folders)
+    return in_dates(table, date_col, days)
+
+
+def _matches(spark: SparkSession, pattern: str) -> bool:
+    glob = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = glob.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(glob)
+    return found is not None and len(found) > 0
 
 
 def tag_site(df: DataFrame, site: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Physical plans: pruning, number of shuffles, no Python, no quadratic joins."""
 
 import re
+from datetime import timedelta
 
 import pytest
 from frames import REVIEW_ROWS, raw_reviews
@@ -79,6 +80,13 @@ def test_dates_prune_partitions(spark):
     assert re.search(r"PartitionFilters: \[[^\]]*review_date", text)
     assert "ReadSchema: struct<rating:int>" in text
     assert df.count() == 2
+    assert len(df.inputFiles()) < len(spark.read.parquet(path).inputFiles())
+    missing = day.replace(year=1999)
+    assert read_dates(spark, path, schemas.REVIEWS, "review_date", [missing]).count() == 0
+    assert read_dates(spark, path, schemas.REVIEWS, "review_date", []).count() == 0
+    assert read_dates(spark, path + "x", schemas.REVIEWS, "review_date", [day]).count() == 0
+    many = [day + timedelta(i) for i in range(700)]
+    assert read_dates(spark, path, schemas.REVIEWS, "review_date", many).count() == 5
 
 
 def test_long_lists_become_ranges(spark):
