@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,6 +18,11 @@ def parse_compact_date(column: str | Column, strict: bool = False) -> Column:
     return F.to_date(text, "yyyyMMdd") if strict else F.try_to_date(text, "yyyyMMdd")
 
 
+def day(value: date) -> Column:
+    """A date literal, also for years before 1000, which ``lit`` rejects."""
+    return F.lit(value.isoformat()).cast("date")
+
+
 def as_id(column: str) -> Column:
     return F.col(column).cast("string")
 

@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablepulse.functions import day
 from tablepulse.operators.rollups import active_span
 
 
@@ -60,18 +61,16 @@ def densify(
     fill = dict(fill or {})
     series = Window.partitionBy(*keys).orderBy(date_col)
     day_before_next = F.date_sub(F.lead(date_col).over(series), 1)
-    end_of_series = F.lit(until) if until else F.col(date_col)
-    spread = df.withColumn(
-        "_last_day", F.greatest(F.col(date_col), F.coalesce(day_before_next, end_of_series))
-    ).withColumn("_first_day", F.col(date_col))
+    end_of_series = day(until) if until else F.col(date_col)
+    first_day = F.col(date_col)
+    last_day = F.greatest(F.col(date_col), F.coalesce(day_before_next, end_of_series))
     if only:
-        low, high = only
-        spread = (
-            spread.withColumn("_first_day", F.greatest("_first_day", F.lit(low)))
-            .withColumn("_last_day", F.least("_last_day", F.lit(high)))
-            .where(F.col("_first_day") <= F.col("_last_day"))
-        )
-    spread = spread.withColumn("_day", F.explode(F.sequence("_first_day", "_last_day")))
+        first_day = F.greatest(first_day, day(only[0]))
+        last_day = F.least(last_day, day(only[1]))
+    spread = df.withColumns({"_first_day": first_day, "_last_day": last_day})
+    if only:
+        spread = spread.where(F.col("_first_day") <= F.col("_last_day"))
+    spread = spread.select("*", F.explode(F.sequence("_first_day", "_last_day")).alias("_day"))
 
     is_row = F.col("_day") == F.col(date_col)
 

@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablepulse.functions import day as as_day
 from tablepulse.functions import ratio
 
 
@@ -62,8 +63,8 @@ def quality_timeline(
     )
     graded = grades.select("restaurant_id", F.col("grade_date").alias("day"), "health_grade")
     for bound, keep in (
-        (first_day, lambda limit: F.col("day") >= F.lit(limit)),
-        (last_day, lambda limit: F.col("day") <= F.lit(limit)),
+        (first_day, lambda limit: F.col("day") >= as_day(limit)),
+        (last_day, lambda limit: F.col("day") <= as_day(limit)),
     ):
         if bound is not None:
             rated, graded = rated.where(keep(bound)), graded.where(keep(bound))

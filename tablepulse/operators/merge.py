@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from datetime import date, timedelta
+from datetime import date
 from functools import reduce
 from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablepulse.functions import day
+
 Dates = Iterable[date] | DataFrame
 
-ONE_DAY = timedelta(days=1)
 # More ranges than this are listed day by day, which Spark looks up as a set.
 MOST_RANGES = 20
 
@@ -24,13 +25,16 @@ def listed(date_col: str, dates: Iterable[date]) -> Column:
     ranges say the same as thousands of literals.
     """
     days = sorted(set(dates))
-    starts = [d for d, before in zip(days, [None, *days]) if before != d - ONE_DAY]
-    ends = [d for d, after in zip(days, [*days[1:], None]) if after != d + ONE_DAY]
-    column = F.col(date_col)
+    numbers = {d.toordinal() for d in days}
+    starts = [d for d in days if d.toordinal() - 1 not in numbers]
+    ends = [d for d in days if d.toordinal() + 1 not in numbers]
+    if not days:
+        return F.lit(False)
     if len(starts) > MOST_RANGES:
-        return column.isin(days)
-    ranges = [column.between(first, last) for first, last in zip(starts, ends)]
-    return reduce(or_, ranges) if ranges else column.isin([])
+        literals = ", ".join(f"DATE'{d.isoformat()}'" for d in days)
+        return F.expr(f"`{date_col}` IN ({literals})")
+    ranges = (F.col(date_col).between(day(a), day(b)) for a, b in zip(starts, ends))
+    return reduce(or_, ranges)
 
 
 def _date_side(dates: DataFrame, date_col: str) -> DataFrame:

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablepulse.functions import as_id, parse_compact_date
+from tablepulse.functions import as_id, day, parse_compact_date
 from tablepulse.schemas import HEALTH, REVIEWS
 
 
@@ -50,7 +50,8 @@ def usable(date_col: str, plausible: tuple[date, date] | None = None) -> Column:
     """
     known = F.col(date_col).isNotNull() & F.col("restaurant_id").isNotNull()
     if plausible:
-        known = known & F.coalesce(F.col(date_col).between(*plausible), F.lit(False))
+        first, last = plausible
+        known = known & F.coalesce(F.col(date_col).between(day(first), day(last)), F.lit(False))
     return known
 
 

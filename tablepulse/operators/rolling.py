@@ -25,12 +25,8 @@ def rolling_rating(
     null, not an error, when there is no rating in the window.
     """
     recent = Window.partitionBy(*keys).orderBy("review_date").rowsBetween(1 - days, 0)
-    return (
-        daily.withColumn("_rolling_sum", F.sum("rating_sum").over(recent))
-        .withColumn("_rolling_count", F.sum("rating_count").over(recent))
-        .withColumn("final_rating", ratio("_rolling_sum", "_rolling_count"))
-        .drop("_rolling_sum", "_rolling_count")
-    )
+    total, number = F.sum("rating_sum").over(recent), F.sum("rating_count").over(recent)
+    return daily.withColumn("final_rating", ratio(total, number))
 
 
 def rating_timeline(

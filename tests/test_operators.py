@@ -288,6 +288,15 @@ def test_date_filters(spark):
         assert rows(replace_dates(df, new, "d", dates).select("n"), "n") == [(2,), (3,), (9,)]
 
 
+def test_dates_before_the_year_1000(spark):
+    old = [date(1, 1, 1), date(999, 5, 5)]
+    df = spark.createDataFrame([(d,) for d in [*old, date(2023, 1, 1)]], "d date")
+    assert in_dates(df, "d", old).count() == 2
+    assert in_dates(df, "d", [date(900 + i, 1, 1) for i in range(40)]).count() == 0
+    one = spark.createDataFrame([("1", date(999, 5, 5), 1)], "k string, d date, v int")
+    assert densify(one, ["k"], "d", only=(date(1, 1, 1), date(9999, 12, 31))).count() == 1
+
+
 def test_merge_is_a_set_union_of_touched_dates(spark, reviews):
     changed = normalize_reviews(
         raw_reviews(spark, [REVIEW_ROWS[0], (*REVIEW_ROWS[0][:5], "5", "x", "x", "add")])

@@ -4,6 +4,7 @@ import pytest
 from frames import REVIEW_ROWS, expected_final_rating, raw_health, raw_reviews, review
 
 from tablepulse import schemas
+from tablepulse.__main__ import main
 from tablepulse.layout import Site, health_site
 from tablepulse.plans.health import read_grade_values
 from tablepulse.plans.reviews import read_final_rating
@@ -77,3 +78,18 @@ def test_health_stream(spark, tmp_path):
         assert ingest_new_health(spark, site) == 1
     got = read_grade_values(spark, site.root).orderBy("grade_date").collect()
     assert [r.health_grade for r in got] == [2, 2, 2, 5]
+
+
+def test_jobs_by_command(spark, site):
+    late = review("k9", "20230601", "1", 5)
+    land(spark, site, REVIEW_ROWS)
+    main(["backfill-reviews", "--root", site.root, "--site", site.name])
+    assert ratings(spark, site) == expected(REVIEW_ROWS)
+    land(spark, site, [review("k8", "20230504", "1", 1), late])
+    main(
+        ["ingest-reviews", "--root", site.root, "--site", site.name, "--max-files", "5"]
+        + ["--latest", "2023-05-31"]
+    )
+    assert ratings(spark, site) == expected([*REVIEW_ROWS, review("k8", "20230504", "1", 1)])
+    main(["publish", "--root", site.root, "--prefix", "cmd_"])
+    assert spark.table("cmd_final_rating").count() == len(ratings(spark, site))
