@@ -178,7 +178,7 @@ ORACLES: dict[str, str] = {
         _timeline("both_sites", "all_reviews", "restaurant_id"),
     ),
     "grade_calendar_join": _with(
-        "SELECT restaurant_id, grade_date, health_grade "
+        "SELECT restaurant_id, grade_date, CAST(health_grade AS DOUBLE) AS health_grade "
         "FROM grade_calendar LEFT JOIN daily_grade USING (restaurant_id, grade_date)"
     ),
     "densify": _with(
@@ -216,7 +216,8 @@ ORACLES: dict[str, str] = {
     "rating_hygiene_corr_by_restaurant": _correlation("site, rated.restaurant_id"),
     "quality_timeline": _with(
         """SELECT coalesce(rated.restaurant_id, grades.restaurant_id) AS restaurant_id,
-               coalesce(review_date, grade_date) AS "day", site, final_rating, health_grade
+               coalesce(review_date, grade_date) AS "day", site, final_rating,
+               CAST(health_grade AS DOUBLE) AS health_grade
         FROM rated FULL OUTER JOIN grades ON rated.restaurant_id = grades.restaurant_id
                                          AND review_date = grade_date""",
         _RATED,

@@ -46,7 +46,7 @@ from tablepulse.sources.writers import (
     replace_date_partitions,
     replace_table,
 )
-from tablepulse.streaming.bookmark import ingest_new_health, ingest_new_reviews, run_new_files
+from tablepulse.streaming.bookmark import ingest_all_sites, ingest_new_health, run_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -227,7 +227,8 @@ def calendar_join(spark: SparkSession, folder: str) -> DataFrame:
 def grade_calendar_join(spark: SparkSession, folder: str) -> DataFrame:
     grades = daily_grade(sample.health(spark, folder))
     calendar = daily_calendar(grades, ("restaurant_id",), "grade_date")
-    return join_calendar(calendar, grades, ("restaurant_id", "grade_date"))
+    joined = join_calendar(calendar, grades, ("restaurant_id", "grade_date"))
+    return joined.withColumn("health_grade", F.col("health_grade").cast("double"))
 
 
 def densify(spark: SparkSession, folder: str) -> DataFrame:
@@ -318,14 +319,14 @@ def backfill_reviews(spark: SparkSession, folder: str) -> DataFrame:
 def incremental_reviews(spark: SparkSession, folder: str) -> DataFrame:
     """Three uploads per site, the earliest days last and some rows twice."""
     root = scratch_dir(spark)
-    for name in sample.SITE_EVENTS:
-        site = Site(root, name)
-        raw = sample.raw_reviews(spark, folder, name)
-        early = F.col("review_date") < "20240111"
-        hour = F.col("posted_hour")
-        for upload in (~early & (hour < EVENING), ~early & (hour >= NOON), early):
-            _land(raw.where(upload), schemas.RAW_REVIEWS, site.landing)
-            ingest_new_reviews(spark, site)
+    sites = [Site(root, name) for name in sample.SITE_EVENTS]
+    early = F.col("review_date") < "20240111"
+    hour = F.col("posted_hour")
+    for upload in (~early & (hour < EVENING), ~early & (hour >= NOON), early):
+        for site in sites:
+            raw = sample.raw_reviews(spark, folder, site.name).where(upload)
+            _land(raw, schemas.RAW_REVIEWS, site.landing)
+        ingest_all_sites(spark, sites)
     return read_final_rating(spark, root)
 
 
@@ -358,9 +359,11 @@ def rating_hygiene_corr_by_restaurant(spark: SparkSession, folder: str) -> DataF
 
 
 def quality_timeline(spark: SparkSession, folder: str) -> DataFrame:
-    return insights.quality_timeline(
+    timeline = insights.quality_timeline(
         _all_timelines(spark, folder), fill_grades(sample.health(spark, folder))
-    ).orderBy("restaurant_id", "day", "site")
+    )
+    grade = F.col("health_grade").cast("double")
+    return timeline.withColumn("health_grade", grade).orderBy("restaurant_id", "day", "site")
 
 
 def cuisine_site_counts(spark: SparkSession, folder: str) -> DataFrame:

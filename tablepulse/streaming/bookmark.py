@@ -7,10 +7,13 @@ and the jobs are safe to repeat.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import date
+from functools import partial
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from tablepulse import schemas
 from tablepulse.layout import Site
@@ -22,15 +25,15 @@ from tablepulse.sources.readers import stream_raw
 Job = Callable[[DataFrame, str], None]
 
 
-def run_new_files(stream: DataFrame, checkpoint: str, job: Job) -> int:
-    """Give all files not seen before to ``job``, then stop. Returns the number of batches.
+def start_new_files(stream: DataFrame, checkpoint: str, job: Job) -> tuple[StreamingQuery, list]:
+    """Begin to give all files not seen before to ``job``; returns the query and its batch keys.
 
     A batch key joins the stream's own id to the batch number, so that a stream
     started over with a fresh checkpoint does not reuse the keys of the old one.
     Without a new file no batch runs.
     """
     spark = stream.sparkSession
-    keys = []
+    keys: list[str] = []
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
@@ -46,6 +49,12 @@ def run_new_files(stream: DataFrame, checkpoint: str, job: Job) -> int:
         .trigger(availableNow=True)
         .start()
     )
+    return query, keys
+
+
+def run_new_files(stream: DataFrame, checkpoint: str, job: Job) -> int:
+    """Give all files not seen before to ``job``, then stop. Returns the number of batches."""
+    query, keys = start_new_files(stream, checkpoint, job)
     query.awaitTermination()
     return len(keys)
 
@@ -59,12 +68,43 @@ def ingest_new_reviews(
     **options,
 ) -> int:
     """Ingest the review files that landed since the last run."""
-    stream = stream_raw(
-        spark, site.landing, schemas.RAW_REVIEWS, max_files_per_trigger, **options
-    )
-    return run_new_files(
-        stream, site.checkpoint, lambda batch, key: ingest_reviews(site, batch, key, days, plausible)
-    )
+    return ingest_all_sites(spark, [site], days, max_files_per_trigger, plausible, **options)[0]
+
+
+def ingest_all_sites(
+    spark: SparkSession,
+    sites: Sequence[Site],
+    days: int = WINDOW_DAYS,
+    max_files_per_trigger: int | None = None,
+    plausible: tuple[date, date] | None = None,
+    **options,
+) -> list[int]:
+    """Ingest the new files of several sites side by side, one stream each.
+
+    The sites share no table folder. If one fails, the others still finish
+    before its error is raised. Returns the number of batches per site.
+    """
+    started = [
+        start_new_files(
+            stream_raw(spark, site.landing, schemas.RAW_REVIEWS, max_files_per_trigger, **options),
+            site.checkpoint,
+            partial(_ingest, site, days, plausible),
+        )
+        for site in sites
+    ]
+    errors = []
+    for query, _ in started:
+        try:
+            query.awaitTermination()
+        except StreamingQueryException as error:
+            errors.append(error)
+    if errors:
+        raise errors[0]
+    return [len(keys) for _, keys in started]
+
+
+def _ingest(site: Site, days: int, plausible, batch: DataFrame, key: str) -> None:
+    ingest_reviews(site, batch, key, days, plausible)
 
 
 def ingest_new_health(

@@ -9,7 +9,13 @@ from tablepulse.layout import Site, health_site
 from tablepulse.plans.health import read_grade_values
 from tablepulse.plans.reviews import read_final_rating
 from tablepulse.sources.readers import stream_raw
-from tablepulse.streaming.bookmark import ingest_new_health, ingest_new_reviews, run_new_files
+from tablepulse.streaming import bookmark
+from tablepulse.streaming.bookmark import (
+    ingest_all_sites,
+    ingest_new_health,
+    ingest_new_reviews,
+    run_new_files,
+)
 
 
 @pytest.fixture
@@ -60,6 +66,37 @@ def test_files_per_batch_and_failure(spark, site):
     assert len({key for key, _ in seen}) == 3
 
 
+def test_sites_side_by_side(spark, tmp_path):
+    sites = [Site(str(tmp_path), name) for name in ("google_reviews", "yelp_reviews")]
+    halves = REVIEW_ROWS[:3], REVIEW_ROWS[3:]
+    for site, rows in zip(sites, halves):
+        land(spark, site, rows)
+    assert ingest_all_sites(spark, sites) == [1, 1]
+    assert ingest_all_sites(spark, sites) == [0, 0]
+    for site, rows in zip(sites, halves):
+        got = read_final_rating(spark, site.root, [site.name]).collect()
+        assert {(r.restaurant_id, r.review_date): r.final_rating for r in got} == expected(rows)
+
+
+def test_one_failing_site_leaves_the_others(spark, tmp_path, monkeypatch):
+    sites = [Site(str(tmp_path), name) for name in ("google_reviews", "yelp_reviews")]
+    for site in sites:
+        land(spark, site, REVIEW_ROWS)
+    real = bookmark.ingest_reviews
+
+    def sometimes(site, *args):
+        if site.name == "google_reviews":
+            raise RuntimeError("lost")
+        real(site, *args)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(bookmark, "ingest_reviews", sometimes)
+        with pytest.raises(Exception, match="lost"):
+            ingest_all_sites(spark, sites)
+    assert ingest_all_sites(spark, sites) == [1, 0]
+    assert read_final_rating(spark, str(tmp_path)).count() == 2 * len(expected(REVIEW_ROWS))
+
+
 def test_quoted_text_survives(spark, site):
     row = list(review("k1", "20230501", "1", 4))
     row[7] = 'said "fine", twice'
