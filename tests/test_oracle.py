@@ -5,7 +5,9 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, queries
+from tablepulse.oracles import ORACLES
+from tablepulse.queries import QUERIES
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 TABLES = [name.removesuffix(".parquet") for name in sorted(os.listdir(FOLDER))]
@@ -40,13 +42,13 @@ KINDS = {
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(name, spark, duck):
     df = queries()[name](spark, FOLDER)
-    want = duck.execute(oracle_sql()[name])
+    want = duck.execute(ORACLES[name])
     columns = {c[0]: str(c[1]) for c in want.description}
     assert {f.name: KINDS[f.dataType.simpleString()] for f in df.schema} == columns
     got = _rows(df.columns, [tuple(row) for row in df.collect()])
