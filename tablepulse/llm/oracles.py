@@ -42,4 +42,34 @@ SELECT doc_id, size, source_size, target,
 FROM rated
 """
 
-ORACLES = {"op3_source_mix": MIX}
+SUBSTRINGS = rf"""
+WITH split AS (
+    SELECT row_number() OVER () AS row, doc_id,
+           coalesce(regexp_extract_all(text, '{WORD}'), []) AS words
+    FROM documents
+), windows AS (
+    SELECT row, place, array_to_string(words[place:place + 34], ' ') AS words
+    FROM (SELECT row, words, unnest(range(1, len(words) - 33)) AS place FROM split)
+), repeats AS (
+    SELECT words FROM windows GROUP BY words HAVING count(*) > 1
+), starts AS (
+    SELECT row, place FROM windows SEMI JOIN repeats USING (words)
+), each AS (
+    SELECT row, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM split
+), marked AS (
+    SELECT each.row, each.place, word,
+           max(CASE WHEN starts.row IS NULL THEN 0 ELSE 1 END) OVER (
+               PARTITION BY each.row ORDER BY each.place
+               ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS removed
+    FROM each LEFT JOIN starts ON each.row = starts.row AND each.place = starts.place
+), kept AS (
+    SELECT row, sum(removed) AS removed,
+           string_agg(word, ' ' ORDER BY place) FILTER (removed = 0) AS text
+    FROM marked GROUP BY row
+)
+SELECT doc_id, len(words) AS n_words, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM split LEFT JOIN kept USING (row)
+"""
+
+ORACLES = {"op3_source_mix": MIX, "op9_substring_dedup": SUBSTRINGS}

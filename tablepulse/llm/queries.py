@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, mixing, pii, quality, tokens
+from . import language, mixing, pii, quality, substrings, tokens
 
 FOLDS = 5
 
@@ -48,6 +48,13 @@ def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find_pii(_read(spark, folder, "documents"))
 
 
+def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document that repeated windows of 35 words cover, removed."""
+    kept = substrings.remove_repeats(_read(spark, folder, "documents"))
+    digest = F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    return kept.select("doc_id", "n_words", "n_removed", digest)
+
+
 def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document."""
     docs = _read(spark, folder, "documents")
@@ -58,5 +65,12 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     query.__name__: query
-    for query in (op3_source_mix, op5_quality, op7_token_lengths, op8_pii, op10_language)
+    for query in (
+        op3_source_mix,
+        op5_quality,
+        op7_token_lengths,
+        op8_pii,
+        op9_substring_dedup,
+        op10_language,
+    )
 }
