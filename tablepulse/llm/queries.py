@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, mixing, pii, quality, substrings, tokens
+from . import language, mixing, near_dedup, pii, quality, substrings, tokens
 
 FOLDS = 5
 
@@ -22,6 +22,11 @@ def _held_out() -> Column:
     return F.coalesce(_remainder() == 0, F.lit(False)).alias("held_out")
 
 
+def op1_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """The near-duplicate class of every document."""
+    return near_dedup.near_duplicate_classes(_read(spark, folder, "documents"))
+
+
 def op3_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with its size, its source's target and the words taken."""
     mixed = mixing.mix_sources(_read(spark, folder, "documents"))
@@ -66,6 +71,7 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     query.__name__: query
     for query in (
+        op1_order_minhash,
         op3_source_mix,
         op5_quality,
         op7_token_lengths,
