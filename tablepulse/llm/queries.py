@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, mixing, near_dedup, pii, quality, substrings, tokens
+from . import decontaminate, language, mixing, near_dedup, pii, quality, substrings, tokens
 
 FOLDS = 5
 
@@ -43,6 +43,12 @@ def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", _held_out(), "score", "predicted")
 
 
+def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that contain benchmark items, and which."""
+    docs = _read(spark, folder, "documents")
+    return decontaminate.contaminated(docs, _read(spark, folder, "benchmark"))
+
+
 def op7_token_lengths(spark: SparkSession, folder: str) -> DataFrame:
     """Exact histogram of encoded lengths with its suffix sums."""
     return tokens.length_histogram(tokens.token_lengths(_read(spark, folder, "documents")))
@@ -74,6 +80,7 @@ QUERIES = {
         op1_order_minhash,
         op3_source_mix,
         op5_quality,
+        op6_decontaminate,
         op7_token_lengths,
         op8_pii,
         op9_substring_dedup,
