@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, mixing, near_dedup, pii, quality, substrings, tokens
+from . import decontaminate, fingerprints, language, mixing, near_dedup, pii, quality, substrings, tokens
 
 FOLDS = 5
 
@@ -35,6 +35,11 @@ def op3_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_lz_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return fingerprints.compare_with_next(_read(spark, folder, "documents"))
+
+
 def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Calibrated quality of every document."""
     docs = _read(spark, folder, "documents")
@@ -79,6 +84,7 @@ QUERIES = {
     for query in (
         op1_order_minhash,
         op3_source_mix,
+        op4_lz_fingerprint,
         op5_quality,
         op6_decontaminate,
         op7_token_lengths,
