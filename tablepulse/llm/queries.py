@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprints, language, mixing, near_dedup, pii, quality, substrings, tokens
+from . import decontaminate, fingerprints, html_text, language, mixing, near_dedup, pii, quality, substrings, tokens
 
 FOLDS = 5
 
@@ -27,6 +27,12 @@ def op1_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicate_classes(_read(spark, folder, "documents"))
 
 
+def op2_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page."""
+    pages = _read(spark, folder, "pages").select("page_id", "url", "html")
+    return html_text.main_text(pages, html_text.fit_extractor(pages))
+
+
 def op3_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with its size, its source's target and the words taken."""
     mixed = mixing.mix_sources(_read(spark, folder, "documents"))
@@ -83,6 +89,7 @@ QUERIES = {
     query.__name__: query
     for query in (
         op1_order_minhash,
+        op2_html_text,
         op3_source_mix,
         op4_lz_fingerprint,
         op5_quality,
