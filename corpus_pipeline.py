@@ -22,8 +22,7 @@ from tablepulse.session import scratch_dir
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language.fit_language(docs)
-    predicted = language.predict_language(docs, model)
-    return predicted.where(F.col("lang_pred") != language.UNKNOWN).select(*docs.columns)
+    return language.keep_known_language(docs, model)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,9 +35,8 @@ def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = pii.find_pii(docs, tuple(c for c in docs.columns if c != "text"), redacted=True)
-    text = found.withColumn("text", F.col("redacted"))
-    return text.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    redacted = pii.redact_documents(docs)
+    return redacted.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

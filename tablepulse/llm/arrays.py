@@ -110,3 +110,17 @@ def rolling(hashes: np.ndarray, size: int) -> np.ndarray:
 def bounded_batches(spark, size: str = "8m") -> None:
     """Arrow batches of texts are bounded by bytes, not only by rows."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
+def free_name(name: str, taken) -> str:
+    """The name, or a longer one that no column has in any case."""
+    taken = {column.lower() for column in taken}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def without(columns, replaced) -> list[str]:
+    """The columns but those that results replace, whatever their case."""
+    replaced = {name.lower() for name in replaced}
+    return [column for column in columns if column.lower() not in replaced]

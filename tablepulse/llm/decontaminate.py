@@ -18,7 +18,7 @@ items of at most about ``BLOCK`` characters, one pass over the documents a block
 Null and empty documents match nothing. Items with fewer than ``SHORTEST`` characters,
 null ones among them, are too short to be told from common prose and match nothing.
 Items with equal texts match alike, each under its id. Repeated rows get equal results,
-all columns are kept (``matches`` is replaced), empty tables give no match. Very long
+all columns are kept (one named like the result is replaced), empty tables give no match. Very long
 texts are read in overlapping pieces.
 """
 
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .arrays import CHARS, bounded_batches, codes_of
+from .arrays import CHARS, bounded_batches, codes_of, free_name, without
 
 Q = 9
 WINDOW = 80
@@ -245,8 +245,10 @@ def _blocks(benchmark: DataFrame):
         yield benchmark.where(block == at).select("item_id", "text").collect()
 
 
-def match_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """All columns of ``docs`` and ``matches``: item, windows found, place and least edits."""
+def match_benchmark(
+    docs: DataFrame, benchmark: DataFrame, into: str = "matches"
+) -> DataFrame:
+    """All columns of ``docs``, and ``into``: item, windows found, place and least edits."""
     spark = docs.sparkSession
     bounded_batches(spark)
     item = benchmark.schema["item_id"].dataType
@@ -257,8 +259,8 @@ def match_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             + [(name, pa.int32()) for name in ("windows", "place", "edits")]
         )
     )
-    kept = [c for c in docs.columns if c != "matches"]
-    out = docs.select(*kept, F.array().cast(kind).alias("matches"))
+    kept = without(docs.columns, [into])
+    out = docs.select(*kept, F.array().cast(kind).alias(into))
     at = kept.index("text")
     for block in _blocks(benchmark):
         shared = spark.sparkContext.broadcast(cut_windows([tuple(row) for row in block]))
@@ -269,7 +271,7 @@ def match_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 before = batch.column(len(kept)).to_pylist()
                 both = [old + new for old, new in zip(before, found, strict=True)]
                 columns = [*batch.columns[:-1], pa.array(both, arrow)]
-                yield pa.RecordBatch.from_arrays(columns, [*kept, "matches"])
+                yield pa.RecordBatch.from_arrays(columns, [*kept, into])
 
         out = out.mapInArrow(search, out.schema)
     return out
@@ -283,4 +285,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that contain no item, with all their columns."""
-    return match_benchmark(docs, benchmark).where(F.size("matches") == 0).select(*docs.columns)
+    found = free_name("matches", docs.columns)
+    matched = match_benchmark(docs, benchmark, found)
+    return matched.where(F.size(found) == 0).select(*docs.columns)

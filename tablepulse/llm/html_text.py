@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from .arrays import bounded_batches
+from .arrays import bounded_batches, without
 from .boosting import Trees, fit_trees
 from .dom import BLOCKS, Node, parse
 
@@ -272,7 +272,7 @@ def main_text(pages: DataFrame, trees: Trees) -> DataFrame:
     spark = pages.sparkSession
     bounded_batches(spark)
     shared = spark.sparkContext.broadcast(trees)
-    kept = [c for c in pages.columns if c not in ("html", "text", "n_chars")]
+    kept = without(pages.columns, ("html", "text", "n_chars"))
     read = pages.select(*kept, pages["html"].alias("_html"))
 
     def read_pages(batches):

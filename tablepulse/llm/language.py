@@ -15,7 +15,7 @@ all rows in one pass without a shuffle. A model is a few megabytes whatever the
 Null texts and texts without a letter are ``und`` with score 0; no language is learned
 from them. Without any labelled text all are ``und``. Ties go to the first language by
 code point. Repeated rows get the same answer and one copy of a text is learned from.
-Very long texts are read in pieces of a fixed size.
+Columns named ``lang_pred`` or ``score`` are replaced by the results, others kept. Very long texts are read in pieces of a fixed size.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .arrays import bounded_batches, codes_of, pieces
+from .arrays import bounded_batches, codes_of, pieces, without
 
 UNKNOWN = "und"
 BUCKETS = 1 << 14
@@ -185,12 +185,26 @@ def _answers(model: LanguageModel | None, texts: list[str | None]):
     return languages, scores
 
 
+def keep_known_language(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
+    """The documents whose language is recognised, with the columns they have."""
+    bounded_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def keep(batches):
+        for batch in batches:
+            languages, _ = _answers(shared.value, batch.column(at).to_pylist())
+            yield batch.filter(pa.array([x != UNKNOWN for x in languages], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def predict_language(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
     """All columns of ``docs`` with ``lang_pred`` and ``score`` (0 to 1)."""
     spark = docs.sparkSession
     bounded_batches(spark)
     shared = spark.sparkContext.broadcast(model)
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    kept = without(docs.columns, ("lang_pred", "score"))
     read = docs.select(*kept)
     at = kept.index("text")
 

@@ -11,7 +11,7 @@ small; otherwise a shuffle join follows whose hot sources adaptive execution spl
 
 Null text counts no word. A null source is a source of its own, last in the order.
 Repeated rows draw alike. An empty table gives no row. Columns named like the
-results (``size``, ``source_size``, ``target``, ``rate``, ``taken``, ``copies``)
+results (``size``, ``source_size``, ``target``, ``rate``, ``taken``, ``copies``, ``copy``)
 are replaced by them.
 """
 
@@ -22,10 +22,10 @@ from pyspark.sql import functions as F
 
 from tablepulse.session import scratch_dir
 
-from .arrays import WORD
+from .arrays import WORD, free_name, without
 
 DRAW_DIGITS = 13
-RESULTS = ("size", "source_size", "target", "rate", "copies", "taken")
+RESULTS = ("size", "source_size", "target", "rate", "copies", "taken", "copy")
 
 
 def words(text: str = "text") -> Column:
@@ -85,17 +85,18 @@ def mix_sources(
     seed: str = "mix",
 ) -> DataFrame:
     """Each document with its size, rate, copies and the words taken."""
-    kept = [c for c in docs.columns if c not in RESULTS]
+    kept = without(docs.columns, RESULTS)
+    other = free_name("_source", kept)
     sized = docs.select(*kept, words().alias("size"))
     path = scratch_dir(docs.sparkSession)
     source_targets(sized, weights, share, cap).write.parquet(path)
-    targets = docs.sparkSession.read.parquet(path).withColumnRenamed("source", "_source")
+    targets = docs.sparkSession.read.parquet(path).withColumnRenamed("source", other)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size"))
     whole = F.floor("rate")
     extra = (draw(seed) < F.col("rate") - whole).cast("long")
-    joined = sized.join(targets, F.col("source").eqNullSafe(F.col("_source")), "left")
+    joined = sized.join(targets, F.col("source").eqNullSafe(F.col(other)), "left")
     return (
-        joined.drop("_source")
+        joined.drop(other)
         .withColumn("rate", F.coalesce(rate, F.lit(0.0)))
         .withColumn("copies", whole + extra)
         .withColumn("taken", F.col("copies") * F.col("size"))

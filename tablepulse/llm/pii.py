@@ -17,8 +17,9 @@ scheme; ``account`` is an identifier of six or more of ``[A-Za-z0-9_-]`` with th
 more digits, after a cue word and up to four of ``[\\x20:=#"']``.
 
 Spans count code points, end exclusive. Null and empty texts have no span. Rows are
-independent of each other: repeated rows give equal rows, other columns are kept or
-left out by the caller, an empty table gives no row. Work on a text is linear in it.
+independent of each other: repeated rows give equal rows. ``find_pii`` reads id and text
+alone, ``redact_documents`` keeps every other column. An empty table gives no row. Work
+on a text is linear in it.
 """
 
 from __future__ import annotations
@@ -150,35 +151,42 @@ def redact(text: str | None, spans: list[Span]) -> str | None:
     return "".join([*out, text[at:]])
 
 
-def _row(text: str | None, with_text: bool) -> dict:
+def _row(text: str | None) -> dict:
     spans = find_spans(text)
     base = [span for span in spans if span[0] in BASE]
     counts = {f"n_{kind}": sum(span[0] == kind for span in base) for kind in BASE}
     digest = hashlib.sha256(written(base).encode()).hexdigest()
-    row = counts | {"base_sha256": digest, "spans": written(spans)}
-    return row | {"redacted": redact(text, spans)} if with_text else row
+    return counts | {"base_sha256": digest, "spans": written(spans)}
 
 
-def find_pii(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), redacted: bool = False):
-    """Counts, digest and spans of every document, beside the kept columns.
-
-    With ``redacted`` also the text in which spans are replaced by their kind.
-    """
+def find_pii(docs: DataFrame) -> DataFrame:
+    """``doc_id`` with counts and digest of the base spans and all spans of each document."""
     bounded_batches(docs.sparkSession)
-    names = [f"n_{kind}" for kind in BASE] + ["base_sha256", "spans"] + ["redacted"] * redacted
-    types = [pa.int64()] * len(BASE) + [pa.string()] * (2 + redacted)
+    names = [f"n_{kind}" for kind in BASE] + ["base_sha256", "spans"]
+    types = [pa.int64()] * len(BASE) + [pa.string()] * 2
 
     def search(batches):
         for batch in batches:
-            rows = [_row(text, redacted) for text in batch.column("_text").to_pylist()]
-            columns = [batch.column(at) for at in range(len(keep))]
-            columns += [
+            rows = [_row(text) for text in batch.column(1).to_pylist()]
+            columns = [
                 pa.array([row[name] for row in rows], kind)
                 for name, kind in zip(names, types, strict=True)
             ]
-            yield pa.RecordBatch.from_arrays(columns, [*keep, *names])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", *names])
+
+    fields = [f"doc_id {docs.schema['doc_id'].dataType.simpleString()}"]
+    fields += [f"n_{kind} long" for kind in BASE] + ["base_sha256 string", "spans string"]
+    return docs.select("doc_id", "text").mapInArrow(search, ", ".join(fields))
+
+
+def redact_documents(docs: DataFrame) -> DataFrame:
+    """The documents with each span of their text replaced by its kind."""
+    bounded_batches(docs.sparkSession)
+    at = docs.columns.index("text")
+
+    def replace(batches):
+        for batch in batches:
+            texts = [redact(text, find_spans(text)) for text in batch.column(at).to_pylist()]
+            yield batch.set_column(at, "text", pa.array(texts, pa.string()))
 
-    fields = [f"`{name}` {docs.schema[name].dataType.simpleString()}" for name in keep]
-    fields += [f"{n} {'long' if t == pa.int64() else 'string'}" for n, t in zip(names, types)]
-    read = docs.select(*keep, docs["text"].alias("_text"))
-    return read.mapInArrow(search, ", ".join(fields))
+    return docs.mapInArrow(replace, docs.schema)

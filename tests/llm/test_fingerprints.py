@@ -1,0 +1,97 @@
+import hashlib
+
+import numpy as np
+
+from tablepulse.llm import fingerprints as fp
+
+from .common import SF, prose
+
+
+def lz_phrases(text):
+    known, phrase = set(), ""
+    for letter in text:
+        phrase += letter
+        if phrase not in known:
+            known.add(phrase)
+            phrase = ""
+    return known
+
+
+def plain(rows):
+    """Edited texts by the definition; rows are (doc_id, text) in their order."""
+    out = {}
+    for at, (doc_id, text) in enumerate(rows):
+        tail = len(text) // 3
+        out[doc_id] = text[: len(text) - tail] + rows[(at + 1) % len(rows)][1][:tail]
+    return out
+
+
+def signature(text):
+    phrases = fp.Phrases()
+    phrases.parse(text)
+    return phrases.values()
+
+
+def test_phrases_are_those_of_the_parse():
+    for text in ("", "a", "aaaaaa", "abababab", prose(1, 300), "é😀é😀😀"):
+        phrases = fp.Phrases()
+        phrases.parse(text)
+        assert len(phrases.hashes) - 1 == len(lz_phrases(text))
+
+
+def test_going_back_gives_the_state_at_the_mark():
+    a, b, c = prose(1, 80), prose(2, 50), prose(3, 60)
+    phrases = fp.Phrases()
+    phrases.parse(a)
+    phrases.mark()
+    phrases.parse(b)
+    phrases.back()
+    phrases.parse(c)
+    assert (phrases.values() == signature(a + c)).all()
+
+
+def test_likeness_estimates_that_of_the_phrase_sets():
+    for seed in range(5):
+        base = prose(seed, 1500)
+        other = base[: len(base) * 2 // 3] + prose(100 + seed, 500)
+        x, y = lz_phrases(base), lz_phrases(other)
+        got = fp.likeness(signature(base), signature(other))
+        assert abs(got - len(x & y) / len(x | y)) < 0.15
+        assert (fp.values_of(fp.fingerprint(signature(base))) == signature(base)).all()
+    none = np.empty(0, np.uint64)
+    assert fp.likeness(none, none) == 1.0 and fp.likeness(none, signature("abc")) == 0.0
+
+
+def check(got, rows):
+    edits = plain(rows)
+    order = [doc_id for doc_id, _ in rows]
+    texts = dict(rows)
+    assert len(got) == len(rows)
+    for row in got:
+        doc_id, edit = row["doc_id"], edits[row["doc_id"]]
+        following = texts[order[(order.index(doc_id) + 1) % len(order)]]
+        assert row["n_chars"] == len(texts[doc_id])
+        assert row["edited_sha256"] == hashlib.sha256(edit.encode()).hexdigest()
+        assert row["fingerprint"] == fp.fingerprint(signature(texts[doc_id]))
+        assert row["edited_fingerprint"] == fp.fingerprint(signature(edit))
+        assert row["near_edited"] == fp.likeness(signature(texts[doc_id]), signature(edit))
+        assert row["near_next"] == fp.likeness(signature(texts[doc_id]), signature(following))
+
+
+def test_whole_table_against_the_definition(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = [(r["doc_id"], r["text"] or "") for r in docs.orderBy("doc_id", ascending=False).collect()]
+    check(fp.compare_with_next(docs).collect(), rows)
+
+
+def test_edges(documents):
+    rows = [(9, "abc" * 40), (8, ""), (7, "xy"), (5, prose(1, 9000)), (-3, "é😀" * 30)]
+    frame = documents([*rows, (2, None)])
+    check(fp.compare_with_next(frame).collect(), [*rows[:4], (2, ""), rows[4]])
+    check(fp.compare_with_next(documents(rows[:1])).collect(), rows[:1])
+    assert fp.compare_with_next(frame.limit(0)).count() == 0
+    repeated = documents([(4, "same text here", "en", "s", 1)] * 3 + [(None, "n", "x", "y", 2)] * 2,
+                         ", fingerprint long")
+    got = fp.compare_with_next(repeated).collect()
+    assert sorted(str(r["doc_id"]) for r in got) == ["4", "4", "4", "None", "None"]
+    assert len({r["fingerprint"] for r in got if r["doc_id"] == 4}) == 1

@@ -1,0 +1,78 @@
+import re
+
+import numpy as np
+import pytest
+
+from tablepulse.llm import substrings as ss
+from tablepulse.llm.arrays import WORD, rolling, word_hashes
+
+from .common import prose
+
+
+def brute_force(texts, size):
+    split = [re.findall(WORD, text or "") for text in texts]
+    count = {}
+    for words in split:
+        for at in range(len(words) - size + 1):
+            key = tuple(words[at : at + size])
+            count[key] = count.get(key, 0) + 1
+    out = []
+    for words in split:
+        kept = [True] * len(words)
+        for at in range(len(words) - size + 1):
+            if count[tuple(words[at : at + size])] > 1:
+                kept[at : at + size] = [False] * size
+        text = " ".join(word for word, keep in zip(words, kept) if keep)
+        out.append((len(words), len(words) - sum(kept), text))
+    return out
+
+
+def table():
+    shared, line = prose(1, 60), prose(2, 12)
+    texts = [f"{prose(10 + i, 40)} {shared} {prose(50 + i, 30)}" for i in range(12)]
+    texts += [f"{prose(100 + i, 20)}\n{line}\n{prose(150 + i, 20)}" for i in range(12)]
+    texts += [prose(3, 90), prose(3, 90), prose(4, 34), prose(4, 34), prose(5, 35), prose(5, 35)]
+    texts += ["a b " * 60, "same " * 100, None, "", " \t\n", "x", prose(6, 30000)]
+    texts += [prose(7, 50).replace(" ", "  \t"), prose(7, 50), " ".join(["q"] * 80)]
+    return texts
+
+
+@pytest.mark.parametrize("rows_in_a_bucket", [ss.BUCKET_ROWS, 3])
+def test_equals_brute_force(documents, monkeypatch, rows_in_a_bucket):
+    monkeypatch.setattr(ss, "BUCKET_ROWS", rows_in_a_bucket)
+    texts = table()
+    want = brute_force(texts, 35)
+    got = ss.remove_repeats(documents(list(enumerate(texts))).repartition(5)).collect()
+    by = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept"]) for r in got}
+    assert len(got) == len(texts)
+    assert [by[at] for at in range(len(texts))] == want
+    assert want[0][1] == 60 and want[12][1] == 0
+
+
+def test_repeated_rows_null_ids_and_clashing_columns(documents):
+    long, once = prose(1, 50), prose(2, 50)
+    rows = [(1, long), (1, long), (None, once), (None, prose(3, 50)), (4, prose(3, 50)), (5, prose(9, 40))]
+    frame = documents([(*row, "en", "s", "z") for row in rows], ", kept string")
+    got = sorted((str(r["doc_id"]), r["n_removed"]) for r in ss.remove_repeats(frame).collect())
+    assert got == [("1", 50), ("1", 50), ("4", 50), ("5", 0), ("None", 0), ("None", 50)]
+    assert ss.remove_repeats(frame.limit(0)).count() == 0
+
+
+def test_other_window_sizes(documents):
+    texts = [prose(i % 7, 20 + i) for i in range(20)]
+    for size in (1, 3, 8, 12):
+        got = ss.remove_repeats(documents(list(enumerate(texts))), size).collect()
+        by = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept"]) for r in got}
+        assert [by[at] for at in range(len(texts))] == brute_force(texts, size)
+
+
+def test_super_kmers_cover_each_window_once_by_its_minimiser():
+    for words in word_hashes([prose(1, 400), "a b " * 100, "z " * 90, prose(2, 35), prose(2, 34)]):
+        minimisers, first, number = ss.super_kmers(words, 35)
+        seeds = rolling(words, ss.SEED_WORDS).view(np.int64)
+        covered = [at for f, n in zip(first, number) for at in range(f, f + n)]
+        assert covered == list(range(max(len(words) - 34, 0)))
+        for minimiser, f, n in zip(minimisers, first, number):
+            for at in (f, f + n - 1):
+                inside = seeds[at : at + 35 - ss.SEED_WORDS + 1].view(np.uint64)
+                assert minimiser == inside.min().view(np.int64)
