@@ -5,14 +5,16 @@ runs of ``SEED_WORDS`` words (the first of equals), and neighbouring windows wit
 minimiser at the same place form a super-k-mer. Equal windows have equal minimisers,
 and two equal windows never lie in one super-k-mer. So:
 
-1. Each document yields its super-k-mers as (minimiser, place, number of windows),
-   without text. Minimisers are counted with map-side sums; one that occurs once
-   cannot hold a repeat, and its super-k-mer is dropped here.
+1. Each document yields its super-k-mers as places and numbers of windows, one row a
+   minimiser, without text. Minimisers are counted with map-side sums; one that occurs
+   once cannot hold a repeat, and its super-k-mer is dropped here.
 2. The words of what is left travel as one packed string to the bucket of their
-   minimiser. A task reads its buckets in sorted order, one at a time, and sorts the
-   windows of a bucket: equal neighbours are repeats, compared as text, not by hash.
-   A bucket of over ``BUCKET_ROWS`` super-k-mers is not gathered: its windows become
-   rows of their own, counted with map-side sums and joined back, with equal result.
+   minimiser; equal strings of a document travel once, with their places. A task reads
+   its buckets in sorted order, one at a time, and sorts the windows of a bucket: equal
+   neighbours are repeats, compared as text, not by hash. A bucket of over
+   ``BUCKET_ROWS`` documents (some 100 MB of windows) is not gathered: its windows
+   become rows of their own, counted with map-side sums and joined back, with equal
+   result.
 3. Repeated stretches return to their documents and the words in them are removed.
 
 Rows are told apart by id and text. A row that occurs twice is two rows, so all its
@@ -36,7 +38,7 @@ from tablepulse.session import scratch_dir
 from .arrays import WORD, bounded_batches, rolling, word_hashes
 
 SEED_WORDS = 8
-BUCKET_ROWS = 4096
+BUCKET_ROWS = 1 << 14
 
 _WORD = re.compile(WORD)
 _KEY = ("doc_id", "_hash")
@@ -63,21 +65,42 @@ def super_kmers(hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray,
     return values[best[first]].view(np.int64), first.astype(np.int32), number.astype(np.int32)
 
 
+def _lists(values: np.ndarray, begin: np.ndarray) -> pa.ListArray:
+    """Lists that begin at these places of the values."""
+    offsets = np.append(begin, len(values)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int32()))
+
+
 def _places(docs: DataFrame, size: int, kind: str) -> DataFrame:
-    """Super-k-mers of all documents, without text."""
+    """Super-k-mers of all documents, one row a document and minimiser, without text."""
 
     def find(batches):
         for batch in batches:
-            rows = [super_kmers(h, size) for h in word_hashes(batch.column(2).to_pylist())]
-            owner = pa.array(np.repeat(np.arange(len(rows)), [len(row[0]) for row in rows]))
-            columns = [np.concatenate([row[at] for row in rows]) if rows else [] for at in range(3)]
+            found = [super_kmers(h, size) for h in word_hashes(batch.column(2).to_pylist())]
+            if not found:
+                continue
+            owner = np.repeat(np.arange(len(found)), [len(row[0]) for row in found])
+            minimiser, first, number = (np.concatenate(column) for column in zip(*found))
+            order = np.lexsort((first, minimiser, owner))
+            owner, minimiser = owner[order], minimiser[order]
+            fresh = np.ones(len(owner), bool)
+            fresh[1:] = (owner[1:] != owner[:-1]) | (minimiser[1:] != minimiser[:-1])
+            begin = np.flatnonzero(fresh)
+            rows = pa.array(owner[begin])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(owner), batch.column(1).take(owner), *map(pa.array, columns)],
-                [*_KEY, "minimiser", "first", "number"],
+                [
+                    batch.column(0).take(rows),
+                    batch.column(1).take(rows),
+                    pa.array(minimiser[begin]),
+                    _lists(first[order], begin),
+                    _lists(number[order], begin),
+                ],
+                [*_KEY, "minimiser", "firsts", "numbers"],
             )
 
     return docs.mapInArrow(
-        find, f"doc_id {kind}, _hash long, minimiser long, first int, number int"
+        find,
+        f"doc_id {kind}, _hash long, minimiser long, firsts array<int>, numbers array<int>",
     )
 
 
@@ -99,12 +122,12 @@ def _words(batches):
         )
 
 
-def _offsets(packed: str) -> tuple[np.ndarray, np.ndarray]:
+def _offsets(packed: str) -> tuple[list[int], list[int]]:
     """Start and end of each word of a packed string."""
     words = packed.split(" ")
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(lengths + 1) - 1
-    return ends - lengths, ends
+    return (ends - lengths).tolist(), ends.tolist()
 
 
 def _cutter(size: int, hot: bool):
@@ -115,38 +138,51 @@ def _cutter(size: int, hot: bool):
             rows = []
             texts, cuts = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             for at, (packed, places) in enumerate(zip(texts, cuts, strict=True)):
-                starts, ends = (x.tolist() for x in _offsets(packed))
+                starts, ends = _offsets(packed)
                 for place in places:
                     if place["hot"] != hot:
                         continue
-                    first, last = place["first"], place["first"] + place["number"] + size - 2
-                    text = packed[starts[first] : ends[last]]
-                    rows.append((at, place["minimiser"], first, text))
+                    strings: dict[str, list[int]] = {}
+                    for first, number in zip(place["firsts"], place["numbers"], strict=True):
+                        text = packed[starts[first] : ends[first + number + size - 2]]
+                        strings.setdefault(text, []).append(first)
+                    rows += [(at, place["minimiser"], f, text) for text, f in strings.items()]
             owner, *columns = zip(*rows, strict=True) if rows else [()] * 4
             owner = pa.array(owner, pa.int64())
-            kinds = (pa.int64(), pa.int32(), pa.string())
+            kinds = (pa.int64(), pa.list_(pa.int32()), pa.string())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(owner),
                     batch.column(1).take(owner),
                     *(pa.array(x, kind) for x, kind in zip(columns, kinds, strict=True)),
                 ],
-                [*_KEY, "minimiser", "first", "packed"],
+                [*_KEY, "minimiser", "firsts", "packed"],
             )
 
     return cut
 
 
 def windows_of(packed: str, size: int) -> list[str]:
-    starts, ends = (x.tolist() for x in _offsets(packed))
+    starts, ends = _offsets(packed)
     return [packed[starts[at] : ends[at + size - 1]] for at in range(len(starts) - size + 1)]
 
 
-def repeated_stretches(bucket: list[str], size: int) -> dict[str, list[tuple[int, int]]]:
-    """For each super-k-mer of a bucket, the word ranges covered by repeated windows."""
-    number: dict[str, int] = {}
-    for packed in bucket:
-        number[packed] = number.get(packed, 0) + 1
+def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Ascending ranges with those that touch joined."""
+    out: list[tuple[int, int]] = []
+    for start, end in sorted(ranges):
+        if out and start <= out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((start, end))
+    return out
+
+
+def repeated_stretches(number: dict[str, int], size: int) -> dict[str, list[tuple[int, int]]]:
+    """For each super-k-mer of a bucket, the word ranges covered by repeated windows.
+
+    ``number`` tells how often each one occurs.
+    """
     windows = sorted(
         (window, packed, at)
         for packed in number
@@ -160,26 +196,25 @@ def repeated_stretches(bucket: list[str], size: int) -> dict[str, list[tuple[int
             or (here + 1 < len(windows) and windows[here + 1][0] == window)
         ):
             hits[packed].append(at)
-    found = {}
-    for packed, places in hits.items():
-        ranges: list[tuple[int, int]] = []
-        for at in sorted(places):
-            if ranges and at <= ranges[-1][1]:
-                ranges[-1] = (ranges[-1][0], at + size)
-            else:
-                ranges.append((at, at + size))
-        found[packed] = ranges
-    return found
+    return {
+        packed: merged([(at, at + size) for at in places]) for packed, places in hits.items()
+    }
 
 
 def _counter(size: int, kind: pa.DataType):
     """Repeated stretches of one bucket after the other; rows come sorted by minimiser."""
 
     def settle(rows):
-        found = repeated_stretches([row[4] for row in rows], size)
-        for doc_id, key, _, first, packed in rows:
-            for start, end in found[packed]:
-                yield doc_id, key, first + start, first + end
+        number: dict[str, int] = {}
+        for *_, firsts, packed in rows:
+            number[packed] = number.get(packed, 0) + len(firsts)
+        if sum(number.values()) == 1:
+            return
+        found = repeated_stretches(number, size)
+        for doc_id, key, _, firsts, packed in rows:
+            here = [(at + start, at + end) for at in firsts for start, end in found[packed]]
+            for start, end in merged(here):
+                yield doc_id, key, start, end
 
     def table(rows):
         columns = zip(*rows, strict=True) if rows else [()] * 4
@@ -193,12 +228,11 @@ def _counter(size: int, kind: pa.DataType):
             out: list[tuple] = []
             for row in zip(*(column.to_pylist() for column in batch.columns), strict=True):
                 if bucket and bucket[0][2] != row[2]:
-                    if len(bucket) > 1:
-                        out += settle(bucket)
+                    out += settle(bucket)
                     bucket = []
                 bucket.append(row)
             yield table(out)
-        yield table(list(settle(bucket)) if len(bucket) > 1 else [])
+        yield table(list(settle(bucket)))
 
     return count
 
@@ -208,22 +242,27 @@ def _hot_stretches(hot: DataFrame, size: int, kind: str) -> DataFrame:
 
     def spread(batches):
         for batch in batches:
-            found = [windows_of(packed, size) for packed in batch.column(3).to_pylist()]
-            owner = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
-            first = batch.column(2).take(owner).to_numpy()
-            inside = [np.arange(len(x)) for x in found]
-            start = first + np.concatenate(inside) if inside else first
+            rows = [
+                (at, first + inside, window)
+                for at, (firsts, packed) in enumerate(
+                    zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
+                )
+                for inside, window in enumerate(windows_of(packed, size))
+                for first in firsts
+            ]
+            owner, start, window = zip(*rows, strict=True) if rows else [()] * 3
+            owner = pa.array(owner, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(owner),
                     batch.column(1).take(owner),
-                    pa.array(start.astype(np.int32)),
-                    pa.array([window for row in found for window in row], pa.string()),
+                    pa.array(start, pa.int32()),
+                    pa.array(window, pa.string()),
                 ],
                 [*_KEY, "start", "window"],
             )
 
-    windows = hot.select(*_KEY, "first", "packed").mapInArrow(
+    windows = hot.select(*_KEY, "firsts", "packed").mapInArrow(
         spread, f"doc_id {kind}, _hash long, start int, window string"
     )
     repeats = windows.groupBy("window").count().where("count > 1").select("window")
@@ -268,16 +307,18 @@ def remove_repeats(docs: DataFrame, size: int = 35) -> DataFrame:
     places = _places(rows, size, kind)
     shared = (
         places.groupBy("minimiser")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .where("rows > 1")
+        .agg(F.sum(F.size("firsts")).alias("number"), F.count(F.lit(1)).alias("rows"))
+        .where("number > 1")
         .select("minimiser", (F.col("rows") > BUCKET_ROWS).alias("hot"))
     )
-    place = F.struct("minimiser", "first", "number", "hot")
+    place = F.struct("minimiser", "firsts", "numbers", "hot")
     cuts = places.join(shared, "minimiser").groupBy(*_KEY).agg(F.collect_set(place).alias("cuts"))
     with_cuts = rows.join(cuts, _join_key(rows, cuts), "left").select(
         rows["doc_id"], rows["_hash"], rows["text"], cuts["cuts"]
     )
-    struct = "array<struct<minimiser: long, first: int, number: int, hot: boolean>>"
+    struct = (
+        "array<struct<minimiser: long, firsts: array<int>, numbers: array<int>, hot: boolean>>"
+    )
     schema = f"doc_id {kind}, _hash long, cuts {struct}, packed string, n_words long"
     path = scratch_dir(spark)
     with_cuts.mapInArrow(_words, schema).write.option("compression", "zstd").parquet(path)
@@ -288,7 +329,7 @@ def remove_repeats(docs: DataFrame, size: int = 35) -> DataFrame:
     pieces, hot_pieces = (
         some.select(*_KEY, "packed", "cuts").mapInArrow(
             _cutter(size, hot),
-            f"doc_id {kind}, _hash long, minimiser long, first int, packed string",
+            f"doc_id {kind}, _hash long, minimiser long, firsts array<int>, packed string",
         )
         for some, hot in ((touched, False), (some_hot, True))
     )
