@@ -15,10 +15,13 @@ from datetime import date
 from pyspark.sql import SparkSession
 
 from tablepulse.layout import Site, health_site
-from tablepulse.plans.reviews import backfill_reviews
 from tablepulse.session import apply_runtime_settings
 from tablepulse.sources.catalog import publish_warehouse
-from tablepulse.streaming.bookmark import ingest_new_health, ingest_new_reviews
+from tablepulse.streaming.bookmark import (
+    backfill_landed_reviews,
+    ingest_new_health,
+    ingest_new_reviews,
+)
 
 
 def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
@@ -52,7 +55,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     if args.job == "publish":
         publish_warehouse(spark, args.root, args.prefix)
     elif args.job == "backfill-reviews":
-        backfill_reviews(spark, Site(args.root, args.site), plausible=_plausible(args))
+        backfill_landed_reviews(spark, Site(args.root, args.site), plausible=_plausible(args))
     elif args.job == "ingest-reviews":
         ingest_new_reviews(
             spark,

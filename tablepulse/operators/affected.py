@@ -78,10 +78,14 @@ def span_growth(batch_spans: DataFrame, known_spans: DataFrame) -> DataFrame:
 
 
 def days_of_ranges(ranges: DataFrame, date_col: str = "review_date") -> DataFrame:
-    """The distinct days that lie in any of the ranges. Equal ranges are spread once."""
+    """The distinct days that lie in any of the ranges.
+
+    Of the ranges with one first day the longest holds the others, so no more ranges
+    are spread than the calendar has days.
+    """
     return (
-        ranges.select("first_day", "last_day")
-        .distinct()
+        ranges.groupBy("first_day")
+        .agg(F.max("last_day").alias("last_day"))
         .select(F.explode(F.sequence("first_day", "last_day")).alias(date_col))
         .distinct()
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,40 +14,30 @@ from tablepulse.functions import day
 
 Dates = Iterable[date] | DataFrame
 
-# More ranges than this are listed day by day, which Spark looks up as a set.
-MOST_RANGES = 20
-
-
 def listed(date_col: str, dates: Iterable[date]) -> Column:
     """True where the date is one of ``dates``; literals only, so that partitions are pruned.
 
-    Where most dates follow each other, as those of a filled gap do, a few
-    ranges say the same as thousands of literals.
+    Spark looks the literals up as a set; the first and the last of them bound the
+    scan where only minimum and maximum are known.
     """
     days = sorted(set(dates))
-    numbers = {d.toordinal() for d in days}
-    starts = [d for d in days if d.toordinal() - 1 not in numbers]
-    ends = [d for d in days if d.toordinal() + 1 not in numbers]
     if not days:
         return F.lit(False)
-    if len(starts) > MOST_RANGES:
-        literals = ", ".join(f"DATE'{d.isoformat()}'" for d in days)
-        return F.expr(f"`{date_col}` IN ({literals})")
-    ranges = (F.col(date_col).between(day(a), day(b)) for a, b in zip(starts, ends))
-    return reduce(or_, ranges)
+    literals = ", ".join(f"DATE'{d.isoformat()}'" for d in days)
+    inside = F.col(date_col).between(day(days[0]), day(days[-1]))
+    return inside & F.expr(f"`{date_col}` IN ({literals})")
 
 
 def _date_side(dates: DataFrame, date_col: str) -> DataFrame:
-    """Distinct dates for a broadcast: no more rows than the calendar has days."""
-    return F.broadcast(dates.toDF(date_col).select(F.col(date_col).cast("date")).distinct())
+    """Distinct dates, no more than the calendar has days; Spark broadcasts them if small."""
+    return dates.toDF(date_col).select(F.col(date_col).cast("date")).distinct()
 
 
 def in_dates(df: DataFrame, date_col: str, dates: Dates) -> DataFrame:
     """Rows on the given dates.
 
     A list becomes literals, which prune partitions at planning time. A
-    one-column frame becomes a broadcast semi join, for dates that were never
-    collected; a shuffle by date would put a heavy date into one task.
+    one-column frame becomes a semi join, for dates that were never collected.
     """
     if isinstance(dates, DataFrame):
         return df.join(_date_side(dates, date_col), date_col, "left_semi").select(df.columns)

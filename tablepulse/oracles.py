@@ -12,9 +12,10 @@ all_reviews AS (
     SELECT CAST(event_id AS VARCHAR) AS review_id, CAST(user_id AS VARCHAR) AS restaurant_id,
            CAST(CAST(floor(value) AS BIGINT) % 5 + 1 AS INTEGER) AS rating,
            'masked' AS reviewer_name, props AS comments, 'add' AS operation,
-           CAST(ts AS DATE) AS review_date, hour(ts) AS posted_hour,
-           CASE event_type WHEN 'view' THEN 'google_reviews' ELSE 'yelp_reviews' END AS site
-    FROM events WHERE event_type IN ('view', 'click')
+           CAST(ts AS DATE) AS review_date, coalesce(hour(ts), 0) AS posted_hour,
+           CASE event_type WHEN 'view' THEN 'google_reviews' WHEN 'click' THEN 'yelp_reviews'
+                WHEN 'purchase' THEN 'purchase_reviews' ELSE 'other_reviews' END AS site
+    FROM events WHERE event_type IS DISTINCT FROM 'signup'
 ),
 named_reviews AS (SELECT * FROM all_reviews LEFT JOIN restaurants USING (restaurant_id)),
 health AS (
@@ -70,7 +71,6 @@ def _with(query: str, *ctes: str) -> str:
     return "WITH " + ",".join((_BASE, *ctes)) + "\n" + query
 
 
-_GOOGLE = "site = 'google_reviews'"
 _REVIEW = (
     "review_id, restaurant_id, restaurant_name, county, rating, reviewer_name, comments, "
     "operation, review_date"
@@ -79,21 +79,22 @@ _SERIES = "restaurant_id, restaurant_name, county, review_date, rating_sum, rati
 _FACTS = "restaurant_id, rating_sum, rating_count, final_rating, review_date"
 _IS_WEEKEND = "dayofweek(review_date) IN (0, 6)"
 
-_GOOGLE_REVIEWS = f"SELECT {_REVIEW} FROM named_reviews WHERE {_GOOGLE}"
+_ALL_REVIEWS = f"SELECT {_REVIEW} FROM named_reviews WHERE TRUE"
 _RATED = _timeline("rated", "all_reviews")
+_POOLED = _timeline("pooled", "all_reviews", "restaurant_id")
 _NAMED_SERIES = (
-    f"SELECT {_SERIES} FROM rated LEFT JOIN restaurants USING (restaurant_id) WHERE {_GOOGLE}"
+    f"SELECT {_SERIES} FROM pooled LEFT JOIN restaurants USING (restaurant_id)"
 )
 _FINAL_RATING = (
     f"SELECT site, {_SERIES} FROM rated LEFT JOIN restaurants USING (restaurant_id)"
 )
 _REPLACED = _with(
     f"SELECT {_FACTS} FROM morning WHERE NOT ({_IS_WEEKEND}) "
-    f"UNION ALL SELECT {_FACTS} FROM rated WHERE {_GOOGLE} AND {_IS_WEEKEND}",
-    _RATED,
+    f"UNION ALL SELECT {_FACTS} FROM pooled WHERE {_IS_WEEKEND}",
+    _POOLED,
     _timeline(
         "morning",
-        f"(SELECT * FROM all_reviews WHERE {_GOOGLE} AND posted_hour < 12)",
+        "(SELECT * FROM all_reviews WHERE posted_hour < 12)",
         "restaurant_id",
     ),
 )
@@ -118,13 +119,18 @@ def _correlation(keys: str) -> str:
 
 
 ORACLES: dict[str, str] = {
-    "raw_csv_roundtrip": _with(_GOOGLE_REVIEWS),
-    "bookmark_ingest": _with(_GOOGLE_REVIEWS),
+    "raw_csv_roundtrip": _with(_ALL_REVIEWS),
+    "raw_history": _with(
+        "SELECT review_id, strftime(review_date, '%Y%m%d') AS review_date, restaurant_id, "
+        "restaurant_name, county, rating, reviewer_name, comments, operation, "
+        "CAST(posted_hour AS INTEGER) AS posted_hour FROM named_reviews"
+    ),
+    "bookmark_ingest": _with(_ALL_REVIEWS),
     "site_tagged_reviews": _with(
         "SELECT review_id, restaurant_id, rating, review_date, site FROM all_reviews"
     ),
-    "pruned_dates": _with(f"{_GOOGLE_REVIEWS} AND {_IS_WEEKEND}"),
-    "excluded_dates": _with(f"{_GOOGLE_REVIEWS} AND NOT ({_IS_WEEKEND})"),
+    "pruned_dates": _with(f"{_ALL_REVIEWS} AND {_IS_WEEKEND}"),
+    "excluded_dates": _with(f"{_ALL_REVIEWS} AND NOT ({_IS_WEEKEND})"),
     "appended_grades": _with("SELECT restaurant_id, health_grade, grade_date FROM health"),
     "cast_project": _with(
         "SELECT grade_date, restaurant_id, restaurant_name, cuisine, health_grade "
@@ -133,11 +139,11 @@ ORACLES: dict[str, str] = {
     "daily_rating": _with(
         "SELECT restaurant_id, restaurant_name, county, review_date, "
         "CAST(sum(rating) AS BIGINT) AS rating_sum, count(rating) AS rating_count "
-        f"FROM named_reviews WHERE {_GOOGLE} GROUP BY ALL"
+        f"FROM named_reviews GROUP BY ALL"
     ),
     "active_span": _with(
         "SELECT restaurant_id, restaurant_name, county, min(review_date) AS first_date, "
-        f"max(review_date) AS last_date FROM named_reviews WHERE {_GOOGLE} GROUP BY ALL"
+        f"max(review_date) AS last_date FROM named_reviews GROUP BY ALL"
     ),
     "restaurant_attributes": _with(
         f"""SELECT restaurant_id, restaurant_name, county, first_date, last_date FROM (
@@ -146,11 +152,11 @@ ORACLES: dict[str, str] = {
                    max(review_date) OVER (PARTITION BY restaurant_id) AS last_date,
                    row_number() OVER (PARTITION BY restaurant_id
                        ORDER BY review_date DESC, restaurant_name DESC, county DESC) AS place
-            FROM named_reviews WHERE {_GOOGLE}) WHERE place = 1"""
+            FROM named_reviews) WHERE place = 1"""
     ),
-    "distinct_reviews": _with(_GOOGLE_REVIEWS),
+    "distinct_reviews": _with(_ALL_REVIEWS),
     "touched_dates": _with(
-        f"SELECT review_date, count(*) AS n_rows FROM all_reviews WHERE {_GOOGLE} GROUP BY ALL"
+        f"SELECT review_date, count(*) AS n_rows FROM all_reviews GROUP BY ALL"
     ),
     "row_counts": _with("SELECT site, count(*) AS n_rows FROM all_reviews GROUP BY ALL"),
     "rating_profile": _with(
@@ -159,23 +165,21 @@ ORACLES: dict[str, str] = {
                unnest([count(rating), round(avg(rating), 6), round(stddev_samp(rating), 6),
                    min(rating), quantile_disc(rating, 0.25), quantile_disc(rating, 0.5),
                    quantile_disc(rating, 0.75), max(rating)]::DOUBLE[]) AS rating
-        FROM all_reviews WHERE {_GOOGLE}"""
+        FROM all_reviews"""
     ),
     "date_sequence": _with(
         "SELECT restaurant_id, restaurant_name, county, review_date FROM rated_calendar",
         _timeline(
             "rated",
-            f"(SELECT * FROM named_reviews WHERE {_GOOGLE})",
+            "named_reviews",
             "restaurant_id, restaurant_name, county",
         ),
     ),
     "calendar_join": _with(
         f"""SELECT restaurant_id, c.review_date, coalesce(rating_sum, 0) AS rating_sum,
                coalesce(rating_count, 0) AS rating_count
-        FROM both_sites_calendar c LEFT JOIN (SELECT * FROM rated_daily WHERE {_GOOGLE})
-        USING (restaurant_id, review_date)""",
-        _RATED,
-        _timeline("both_sites", "all_reviews", "restaurant_id"),
+        FROM pooled_calendar c LEFT JOIN pooled_daily USING (restaurant_id, review_date)""",
+        _POOLED,
     ),
     "grade_calendar_join": _with(
         "SELECT restaurant_id, grade_date, CAST(health_grade AS DOUBLE) AS health_grade "
@@ -183,27 +187,27 @@ ORACLES: dict[str, str] = {
     ),
     "densify": _with(
         "SELECT restaurant_id, review_date, rating_sum, rating_count "
-        f"FROM rated_dense WHERE {_GOOGLE}",
-        _RATED,
+        "FROM pooled_dense",
+        _POOLED,
     ),
-    "rolling_rating": _with(_NAMED_SERIES, _RATED),
+    "rolling_rating": _with(_NAMED_SERIES, _POOLED),
     "shipment_timeline": "WITH shipped AS (SELECT CAST(l_suppkey AS VARCHAR) AS restaurant_id, "
     "CAST(l_shipdate AS DATE) AS review_date, CAST(floor(l_quantity) AS BIGINT) % 5 + 1 AS rating "
     "FROM lineitem),"
     + _timeline("rated", "shipped", "restaurant_id")
     + "\nSELECT restaurant_id, review_date, rating_sum, rating_count, final_rating FROM rated",
-    "ordered_head": _with(f"{_NAMED_SERIES} ORDER BY restaurant_id, review_date LIMIT 20", _RATED),
+    "ordered_head": _with(f"{_NAMED_SERIES} ORDER BY restaurant_id, review_date LIMIT 20", _POOLED),
     "ordered_tail": _with(
-        f"{_NAMED_SERIES} ORDER BY restaurant_id DESC, review_date DESC LIMIT 5", _RATED
+        f"{_NAMED_SERIES} ORDER BY restaurant_id DESC, review_date DESC LIMIT 5", _POOLED
     ),
     "forward_fill_grades": _GRADE_VALUES,
-    "merge_partitions": _with(_GOOGLE_REVIEWS),
+    "merge_partitions": _with(_ALL_REVIEWS),
     "affected_dates": _with(
         f"""SELECT review_date, bool_or(reach = 0) AS is_touched,
                bool_or(reach BETWEEN 0 AND 6) AS is_output
         FROM (SELECT CAST(review_date + r.reach AS DATE) AS review_date, r.reach
               FROM (SELECT DISTINCT review_date FROM all_reviews
-                    WHERE {_GOOGLE} AND {_IS_WEEKEND}),
+                    WHERE {_IS_WEEKEND}),
                    (SELECT CAST(unnest(range(-6, 7)) AS INTEGER) AS reach) r)
         GROUP BY ALL"""
     ),

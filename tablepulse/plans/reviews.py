@@ -61,7 +61,10 @@ def backfill_reviews(
     plausible: DateRange | None = None,
     **options,
 ) -> None:
-    """Load all raw files of a site and replace its tables. ``options`` reach the file reader."""
+    """Load all raw files of a site and replace its tables. ``options`` reach the file reader.
+
+    See ``streaming.bookmark.backfill_landed_reviews`` for a site that a stream goes on with.
+    """
     raw = read_raw(spark, raw_path or site.landing, schemas.RAW_REVIEWS, **options)
     write_archive(raw, site.history, BACKFILL)
     counts = Observation()

@@ -35,7 +35,7 @@ from tablepulse.operators.rollups import (
     touched_dates as touched,
 )
 from tablepulse.plans.health import read_grade_values
-from tablepulse.plans.reviews import backfill_reviews as backfill, read_final_rating
+from tablepulse.plans.reviews import read_final_rating
 from tablepulse.session import scratch_dir
 from tablepulse.sources import sample_tables as sample
 from tablepulse.sources.catalog import publish_warehouse, register_view
@@ -46,11 +46,16 @@ from tablepulse.sources.writers import (
     replace_date_partitions,
     replace_table,
 )
-from tablepulse.streaming.bookmark import ingest_all_sites, ingest_new_health, run_new_files
+from tablepulse.streaming.bookmark import (
+    backfill_landed_reviews,
+    ingest_all_sites,
+    ingest_new_health,
+    run_new_files,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-GOOGLE, YELP = sample.SITE_EVENTS
+GOOGLE = "google_reviews"
 IDENTITY = ("restaurant_id", "restaurant_name", "county")
 TIMELINE = (*IDENTITY, "review_date", "rating_sum", "rating_count", "final_rating")
 ZERO = {"rating_sum": 0, "rating_count": 0}
@@ -60,8 +65,8 @@ NOON, EVENING = 12, 18
 WEEKEND = (1, 7)
 
 
-def _named_reviews(spark: SparkSession, folder: str, site: str = GOOGLE) -> DataFrame:
-    return sample.named(sample.reviews(spark, folder, site), spark, folder)
+def _named_reviews(spark: SparkSession, folder: str) -> DataFrame:
+    return sample.named(sample.reviews(spark, folder), spark, folder)
 
 
 def _stored_form(df: DataFrame) -> DataFrame:
@@ -74,9 +79,9 @@ def _weekends(reviews: DataFrame) -> list[date]:
     return [row["review_date"] for row in dates.collect()]
 
 
-def _timeline(spark: SparkSession, folder: str, site: str = GOOGLE) -> DataFrame:
-    """Rolling rating of one site; names are joined to the finished series."""
-    series = rating_timeline(sample.reviews(spark, folder, site))
+def _timeline(spark: SparkSession, folder: str) -> DataFrame:
+    """Rolling rating of all sites together; names are joined to the finished series."""
+    series = rating_timeline(sample.reviews(spark, folder))
     names = sample.restaurants(spark, folder)
     return attach_restaurants(series, names, "restaurant_name", "county").select(*TIMELINE)
 
@@ -102,14 +107,26 @@ def _land(raw: DataFrame, schema, path: str) -> None:
 
 def raw_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     site = Site(scratch_dir(spark), GOOGLE)
-    _land(sample.raw_reviews(spark, folder, GOOGLE), schemas.RAW_REVIEWS, site.landing)
+    _land(sample.raw_reviews(spark, folder), schemas.RAW_REVIEWS, site.landing)
     return normalize_reviews(read_raw(spark, site.landing, schemas.RAW_REVIEWS))
 
 
+def raw_history(spark: SparkSession, folder: str) -> DataFrame:
+    """The archive of an upload with its columns in another order and one more."""
+    site = Site(scratch_dir(spark), GOOGLE)
+    raw = sample.raw_reviews(spark, folder)
+    raw.select(*reversed(raw.columns)).write.option("header", True).csv(site.landing)
+    ingest_all_sites(spark, [site])
+    archived = read_raw(spark, site.history, schemas.RAW_REVIEWS)
+    hour = F.col("posted_hour").cast("int").alias("posted_hour")
+    reviews = archived.withColumn("rating", F.col("rating").cast("int"))
+    return reviews.select(*schemas.RAW_REVIEWS.names, hour)
+
+
 def bookmark_ingest(spark: SparkSession, folder: str) -> DataFrame:
     """Two uploads, a run after each and one more without a new file; each row arrives once."""
     site = Site(scratch_dir(spark), GOOGLE)
-    raw = sample.raw_reviews(spark, folder, GOOGLE)
+    raw = sample.raw_reviews(spark, folder)
 
     def keep(batch: DataFrame, key: str) -> None:
         replace_table(normalize_reviews(batch), f"{site.input}/batch={key}", None)
@@ -129,7 +146,7 @@ def bookmark_ingest(spark: SparkSession, folder: str) -> DataFrame:
 def site_tagged_reviews(spark: SparkSession, folder: str) -> DataFrame:
     """One site after the other by the same code, each tagged with its name."""
     return union_all(
-        *(tag_site(sample.reviews(spark, folder, site), site) for site in sample.SITE_EVENTS)
+        *(tag_site(sample.reviews(spark, folder, site), site) for site in sample.SITES)
     ).select("review_id", "restaurant_id", "rating", "review_date", "site")
 
 
@@ -141,13 +158,13 @@ def _partitioned_reviews(spark: SparkSession, folder: str) -> str:
 
 def pruned_dates(spark: SparkSession, folder: str) -> DataFrame:
     path = _partitioned_reviews(spark, folder)
-    dates = _weekends(sample.reviews(spark, folder, GOOGLE))
+    dates = _weekends(sample.reviews(spark, folder))
     return read_dates(spark, path, schemas.REVIEWS, "review_date", dates)
 
 
 def excluded_dates(spark: SparkSession, folder: str) -> DataFrame:
     path = _partitioned_reviews(spark, folder)
-    dates = _weekends(sample.reviews(spark, folder, GOOGLE))
+    dates = _weekends(sample.reviews(spark, folder))
     return not_in_dates(read_table(spark, path, schemas.REVIEWS), "review_date", dates)
 
 
@@ -196,7 +213,7 @@ def distinct_reviews(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def touched_dates(spark: SparkSession, folder: str) -> DataFrame:
-    return touched(sample.reviews(spark, folder, GOOGLE))
+    return touched(sample.reviews(spark, folder))
 
 
 def row_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -204,7 +221,7 @@ def row_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def rating_profile(spark: SparkSession, folder: str) -> DataFrame:
-    profile = insights.column_profile(sample.reviews(spark, folder, GOOGLE), "rating")
+    profile = insights.column_profile(sample.reviews(spark, folder), "rating")
     return profile.select(
         F.col("summary").alias("statistic"), F.round(F.col("rating").cast("double"), 6).alias("rating")
     )
@@ -218,9 +235,9 @@ def date_sequence(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def calendar_join(spark: SparkSession, folder: str) -> DataFrame:
-    """Daily totals on the calendar of both sites together."""
+    """Daily totals on the calendar of all sites together."""
     calendar = daily_calendar(sample.all_reviews(spark, folder), ("restaurant_id",), "review_date")
-    facts = daily(sample.reviews(spark, folder, GOOGLE), ("restaurant_id",))
+    facts = daily(sample.reviews(spark, folder), ("restaurant_id",))
     return join_calendar(calendar, facts, ("restaurant_id", "review_date"), ZERO)
 
 
@@ -232,7 +249,7 @@ def grade_calendar_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def densify(spark: SparkSession, folder: str) -> DataFrame:
-    facts = daily(sample.reviews(spark, folder, GOOGLE), ("restaurant_id",))
+    facts = daily(sample.reviews(spark, folder), ("restaurant_id",))
     return fill_gaps(facts, ("restaurant_id",), "review_date", ZERO)
 
 
@@ -276,7 +293,7 @@ def merge_partitions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def affected_dates(spark: SparkSession, folder: str) -> DataFrame:
-    dates = touched(sample.reviews(spark, folder, GOOGLE)).where(
+    dates = touched(sample.reviews(spark, folder)).where(
         F.dayofweek("review_date").isin(*WEEKEND)
     )
     return affected(dates).select("review_date", "is_touched", "is_output")
@@ -285,7 +302,7 @@ def affected_dates(spark: SparkSession, folder: str) -> DataFrame:
 def replace_dates(spark: SparkSession, folder: str) -> DataFrame:
     """A series from the morning's reviews, recomputed from all reviews on weekends."""
     path = Site(scratch_dir(spark), GOOGLE).final_rating
-    rows = sample.reviews(spark, folder, GOOGLE)
+    rows = sample.reviews(spark, folder)
     columns = schemas.FINAL_RATING.names
     replace_table(
         rating_timeline(rows.where(F.col("posted_hour") < NOON)).select(columns), path, "review_date"
@@ -298,7 +315,7 @@ def replace_dates(spark: SparkSession, folder: str) -> DataFrame:
 
 def replaced_dates_in_memory(spark: SparkSession, folder: str) -> DataFrame:
     """The same replacement as a transform, the dates taken from a frame."""
-    rows = sample.reviews(spark, folder, GOOGLE)
+    rows = sample.reviews(spark, folder)
     dates = (
         touched(rows).where(F.dayofweek("review_date").isin(*WEEKEND)).select("review_date")
     )
@@ -309,18 +326,18 @@ def replaced_dates_in_memory(spark: SparkSession, folder: str) -> DataFrame:
 
 def backfill_reviews(spark: SparkSession, folder: str) -> DataFrame:
     root = scratch_dir(spark)
-    for name in sample.SITE_EVENTS:
+    for name in sample.SITES:
         site = Site(root, name)
         _land(sample.raw_reviews(spark, folder, name), schemas.RAW_REVIEWS, site.landing)
-        backfill(spark, site)
+        backfill_landed_reviews(spark, site)
     return read_final_rating(spark, root)
 
 
 def incremental_reviews(spark: SparkSession, folder: str) -> DataFrame:
     """Three uploads per site, the earliest days last and some rows twice."""
     root = scratch_dir(spark)
-    sites = [Site(root, name) for name in sample.SITE_EVENTS]
-    early = F.col("review_date") < "20240111"
+    sites = [Site(root, name) for name in sample.SITES]
+    early = F.coalesce(F.col("review_date") < "20240111", F.lit(False))
     hour = F.col("posted_hour")
     for upload in (~early & (hour < EVENING), ~early & (hour >= NOON), early):
         for site in sites:
@@ -335,7 +352,8 @@ def ingest_health(spark: SparkSession, folder: str) -> DataFrame:
     root = scratch_dir(spark)
     site = health_site(root)
     raw = sample.raw_health(spark, folder)
-    for upload in (F.col("grade_date") >= "20240116", F.col("grade_date") < "20240116"):
+    early = F.coalesce(F.col("grade_date") < "20240116", F.lit(False))
+    for upload in (~early, early):
         _land(raw.where(upload), schemas.RAW_HEALTH, site.landing)
         ingest_new_health(spark, site)
     return read_grade_values(spark, root)
@@ -377,12 +395,12 @@ def cross_site_outliers(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def published_sql(spark: SparkSession, folder: str) -> DataFrame:
-    """Ad-hoc SQL over the published tables of both sites."""
+    """Ad-hoc SQL over the published tables of all sites."""
     root = scratch_dir(spark)
-    for name in sample.SITE_EVENTS:
+    for name in sample.SITES:
         site = Site(root, name)
         _land(sample.raw_reviews(spark, folder, name), schemas.RAW_REVIEWS, site.landing)
-        backfill(spark, site)
+        backfill_landed_reviews(spark, site)
     names = publish_warehouse(spark, root, prefix=f"run_{root.rsplit('/', 1)[-1]}_")
     return spark.sql(
         f"SELECT site, county, CAST(count(*) AS BIGINT) AS n_days, sum(rating_count) AS n_reviews, "
@@ -394,6 +412,7 @@ QUERIES: dict[str, Query] = {
     function.__name__: function
     for function in (
         raw_csv_roundtrip,
+        raw_history,
         bookmark_ingest,
         site_tagged_reviews,
         pruned_dates,

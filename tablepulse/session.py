@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -62,14 +61,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A new, not yet existing folder below the shared ``spark.checkpoint.dir``.
+    """A new, not yet existing folder that all executors share.
 
-    Only a local session without that setting falls back to the machine's own
-    temporary folder; on a cluster the executors would not share it.
+    Below ``spark.checkpoint.dir``, or below the warehouse where that is not set.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="tablepulse-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/tablepulse/{uuid.uuid4().hex}"

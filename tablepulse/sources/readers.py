@@ -12,19 +12,47 @@ from pyspark.sql.types import StructType
 from tablepulse.operators.merge import in_dates
 from tablepulse.schemas import with_site
 
-# Reading more dates than this starts from the whole table and prunes.
-MOST_FOLDERS = 500
+# Files are known by their paths alone; none is too old to be new.
+ANY_AGE = "36500d"
+
+
+def _raw_schema(spark: SparkSession, path: str, schema: StructType, **options) -> StructType:
+    """All columns of the files as text, in the order of their header line.
+
+    Fails, with its name, on a column of ``schema`` that the header lacks.
+    """
+    reader = spark.read.options(header=True, recursiveFileLookup=True, **options)
+    if not reader.schema(schema).csv(path).inputFiles():
+        return schema
+    found = spark.read.options(header=True, recursiveFileLookup=True, **options).csv(path).schema
+    known = {name.lower() for name in found.names}
+    missing = [name for name in schema.names if name.lower() not in known]
+    if missing:
+        raise ValueError(f"files in {path} have no column {', '.join(missing)}")
+    return found
 
 
 def read_raw(spark: SparkSession, path: str, schema: StructType, **options) -> DataFrame:
-    """Delimited files with a header line.
+    """Delimited files with a header line, by the names in it.
+
+    The columns of ``schema`` come first, then all others, whatever their order in the
+    files. A file whose header differs from that of the others fails the read, so no
+    value gets into a wrong column; files of another layout belong into another folder.
 
     ``options`` reach Spark's reader, for instance ``multiLine`` for texts with
     line breaks (such a file is read by a single task).
     """
-    return (
-        spark.read.schema(schema).options(header=True, recursiveFileLookup=True, **options).csv(path)
+    found = _raw_schema(spark, path, schema, **options)
+    reader = spark.read.schema(found).options(
+        header=True, enforceSchema=False, recursiveFileLookup=True, **options
     )
+    return _known_first(reader.csv(path), schema)
+
+
+def _known_first(raw: DataFrame, schema: StructType) -> DataFrame:
+    known = {name.lower() for name in schema.names}
+    others = [name for name in raw.columns if name.lower() not in known]
+    return raw.select(*(F.col(f"`{name}`").alias(name) for name in [*schema.names, *others]))
 
 
 def stream_raw(
@@ -36,14 +64,16 @@ def stream_raw(
 ) -> DataFrame:
     """The same files as a stream, each of them once.
 
-    A file is known by its path, so every upload needs a new name.
+    A file is known by its path, so every upload needs a new name, and a file with an
+    old modification time is as new as any.
     """
-    reader = spark.readStream.schema(schema).options(
-        header=True, recursiveFileLookup=True, **options
+    found = _raw_schema(spark, path, schema, **options)
+    reader = spark.readStream.schema(found).options(
+        header=True, enforceSchema=False, recursiveFileLookup=True, maxFileAge=ANY_AGE, **options
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.csv(path)
+    return _known_first(reader.csv(path), schema)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -61,25 +91,8 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 def read_dates(
     spark: SparkSession, path: str, schema: StructType, date_col: str, dates: Iterable[date]
 ) -> DataFrame:
-    """The date partitions of a stored table that are listed in ``dates``.
-
-    A moderate number of dates is read by folder, so that planning lists the
-    files of these dates only and not those of the whole table.
-    """
-    days = sorted(set(dates))
-    if len(days) > MOST_FOLDERS:
-        return in_dates(read_table(spark, path, schema), date_col, days)
-    folders = f"{path}/{date_col}={{{','.join(day.isoformat() for day in days)}}}"
-    if not days or not _matches(spark, folders):
-        return spark.createDataFrame([], schema)
-    table = spark.read.schema(schema).option("basePath", path).parquet(folders)
-    return in_dates(table, date_col, days)
-
-
-def _matches(spark: SparkSession, pattern: str) -> bool:
-    glob = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = glob.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(glob)
-    return found is not None and len(found) > 0
+    """The date partitions of a stored table that are listed in ``dates``."""
+    return in_dates(read_table(spark, path, schema), date_col, dates)
 
 
 def tag_site(df: DataFrame, site: str) -> DataFrame:

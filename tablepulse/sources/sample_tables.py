@@ -1,8 +1,8 @@
 """Views of the sample star schema as restaurant data.
 
 Users of ``events`` act as restaurants, described by ``customer`` and
-``nation``; one event type stands for each review site and one for the health
-department.
+``nation``; one event type stands for the health department, every other one is a
+review on some site.
 """
 
 from __future__ import annotations
@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SITE_EVENTS = {"google_reviews": "view", "yelp_reviews": "click"}
+SITE_EVENTS = {"google_reviews": "view", "yelp_reviews": "click", "purchase_reviews": "purchase"}
+OTHER_SITE = "other_reviews"
+SITES = (*SITE_EVENTS, OTHER_SITE)
 HEALTH_EVENT = "signup"
 MASKED = "masked"
 
@@ -52,12 +54,12 @@ def all_reviews(spark: SparkSession, folder: str) -> DataFrame:
 
     ``posted_hour`` splits them into uploads.
     """
-    site = F.when(F.col("event_type") == SITE_EVENTS["google_reviews"], "google_reviews").otherwise(
-        "yelp_reviews"
-    )
+    site = F.lit(OTHER_SITE)
+    for name, event in SITE_EVENTS.items():
+        site = F.when(F.col("event_type") == event, name).otherwise(site)
     return (
         table(spark, folder, "events")
-        .where(F.col("event_type").isin(list(SITE_EVENTS.values())))
+        .where(~F.col("event_type").eqNullSafe(HEALTH_EVENT))
         .select(
             F.col("event_id").cast("string").alias("review_id"),
             F.col("user_id").cast("string").alias("restaurant_id"),
@@ -66,15 +68,16 @@ def all_reviews(spark: SparkSession, folder: str) -> DataFrame:
             F.col("props").alias("comments"),
             F.lit("add").alias("operation"),
             F.col("ts").cast("date").alias("review_date"),
-            F.hour("ts").alias("posted_hour"),
+            F.coalesce(F.hour("ts"), F.lit(0)).alias("posted_hour"),
             site.alias("site"),
         )
     )
 
 
-def reviews(spark: SparkSession, folder: str, site: str) -> DataFrame:
-    """Reviews of one site, without the site column."""
-    return all_reviews(spark, folder).where(F.col("site") == site).drop("site")
+def reviews(spark: SparkSession, folder: str, site: str | None = None) -> DataFrame:
+    """Reviews of one site, or of all sites together, without the site column."""
+    rows = all_reviews(spark, folder)
+    return (rows if site is None else rows.where(F.col("site") == site)).drop("site")
 
 
 def health(spark: SparkSession, folder: str) -> DataFrame:
@@ -86,7 +89,7 @@ def health(spark: SparkSession, folder: str) -> DataFrame:
             F.col("user_id").cast("string").alias("restaurant_id"),
             F.col("ts").cast("date").alias("grade_date"),
             _stars("value").alias("health_grade"),
-            F.hour("ts").alias("posted_hour"),
+            F.coalesce(F.hour("ts"), F.lit(0)).alias("posted_hour"),
         )
     )
 
@@ -95,7 +98,7 @@ def named(df: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
     return df.join(restaurants(spark, folder), "restaurant_id", "left")
 
 
-def raw_reviews(spark: SparkSession, folder: str, site: str) -> DataFrame:
+def raw_reviews(spark: SparkSession, folder: str, site: str | None = None) -> DataFrame:
     """Reviews as they come in a file, with ``posted_hour`` as an extra column."""
     return named(reviews(spark, folder, site), spark, folder).select(
         "review_id",

@@ -19,8 +19,8 @@ from tablepulse import schemas
 from tablepulse.layout import Site
 from tablepulse.operators.rolling import WINDOW_DAYS
 from tablepulse.plans.health import ingest_health
-from tablepulse.plans.reviews import ingest_reviews
-from tablepulse.sources.readers import stream_raw
+from tablepulse.plans.reviews import backfill_reviews, ingest_reviews
+from tablepulse.sources.readers import stream_raw, table_exists
 
 Job = Callable[[DataFrame, str], None]
 
@@ -59,6 +59,27 @@ def run_new_files(stream: DataFrame, checkpoint: str, job: Job) -> int:
     return len(keys)
 
 
+def backfill_landed_reviews(
+    spark: SparkSession,
+    site: Site,
+    days: int = WINDOW_DAYS,
+    plausible: tuple[date, date] | None = None,
+    **options,
+) -> None:
+    """Load all landed files of a site, replace its tables, and take the files as seen.
+
+    The load runs as the stream's batch, so the bookmark moves on only once the tables
+    are written, and files that land meanwhile are left to the next run.
+    """
+
+    def load(*_) -> None:
+        backfill_reviews(spark, site, days=days, plausible=plausible, **options)
+
+    stream = stream_raw(spark, site.landing, schemas.RAW_REVIEWS, **options)
+    if not run_new_files(stream, site.checkpoint, load):
+        load()
+
+
 def ingest_new_reviews(
     spark: SparkSession,
     site: Site,
@@ -81,26 +102,33 @@ def ingest_all_sites(
 ) -> list[int]:
     """Ingest the new files of several sites side by side, one stream each.
 
-    The sites share no table folder. If one fails, the others still finish
-    before its error is raised. Returns the number of batches per site.
+    The sites share no table folder. If one fails, even before it has begun, the
+    others still finish before its error is raised. A site without a landing folder
+    has no new file. Returns the number of batches per site.
     """
-    started = [
-        start_new_files(
-            stream_raw(spark, site.landing, schemas.RAW_REVIEWS, max_files_per_trigger, **options),
-            site.checkpoint,
-            partial(_ingest, site, days, plausible),
-        )
-        for site in sites
-    ]
-    errors = []
-    for query, _ in started:
+    started: list[tuple[StreamingQuery, list] | None] = []
+    errors: list[Exception] = []
+    for site in sites:
+        if not table_exists(spark, site.landing):
+            started.append(None)
+            continue
+        try:
+            stream = stream_raw(
+                spark, site.landing, schemas.RAW_REVIEWS, max_files_per_trigger, **options
+            )
+            job = partial(_ingest, site, days, plausible)
+            started.append(start_new_files(stream, site.checkpoint, job))
+        except Exception as error:
+            errors.append(error)
+    for begun in started:
         try:
-            query.awaitTermination()
+            if begun:
+                begun[0].awaitTermination()
         except StreamingQueryException as error:
             errors.append(error)
     if errors:
         raise errors[0]
-    return [len(keys) for _, keys in started]
+    return [len(begun[1]) if begun else 0 for begun in started]
 
 
 def _ingest(site: Site, days: int, plausible, batch: DataFrame, key: str) -> None:
@@ -115,6 +143,8 @@ def ingest_new_health(
     **options,
 ) -> int:
     """Ingest the health-grade files that landed since the last run."""
+    if not table_exists(spark, site.landing):
+        return 0
     stream = stream_raw(spark, site.landing, schemas.RAW_HEALTH, max_files_per_trigger, **options)
     return run_new_files(
         stream, site.checkpoint, lambda batch, key: ingest_health(site, batch, key, plausible)

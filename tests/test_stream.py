@@ -1,16 +1,22 @@
 """The bookmarked file stream: every file once, also after a failure."""
 
+import glob
+import os
+import time
+
 import pytest
 from frames import REVIEW_ROWS, expected_final_rating, raw_health, raw_reviews, review
+from pyspark.sql import functions as F
 
 from tablepulse import schemas
 from tablepulse.__main__ import main
 from tablepulse.layout import Site, health_site
 from tablepulse.plans.health import read_grade_values
 from tablepulse.plans.reviews import read_final_rating
-from tablepulse.sources.readers import stream_raw
+from tablepulse.sources.readers import read_raw, read_table, stream_raw
 from tablepulse.streaming import bookmark
 from tablepulse.streaming.bookmark import (
+    backfill_landed_reviews,
     ingest_all_sites,
     ingest_new_health,
     ingest_new_reviews,
@@ -45,6 +51,67 @@ def test_only_new_files_are_read(spark, site):
     assert ratings(spark, site) == expected(REVIEW_ROWS)
 
 
+def test_old_modification_times_and_missing_folders(spark, site):
+    for number, age in enumerate((0, 30 * 86400, 1)):
+        land(spark, site, [review(f"k{number}", "20230501", "1", number + 1)])
+        for path in glob.glob(f"{site.landing}/part-*"):
+            os.utime(path, (time.time() - age,) * 2)
+        assert ingest_new_reviews(spark, site) == 1
+    stored = {row.review_id for row in spark.read.parquet(site.input).collect()}
+    assert stored == {"k0", "k1", "k2"}
+    nowhere = Site(site.root, "unknown_reviews")
+    assert ingest_all_sites(spark, [nowhere, site]) == [0, 0]
+    assert not spark.streams.active
+
+
+def land_as(spark, site, rows, *columns):
+    raw = raw_reviews(spark, rows).select(*columns).coalesce(1)
+    raw.write.mode("append").option("header", True).csv(site.landing)
+
+
+def test_columns_go_by_name(spark, site):
+    order = [*reversed(schemas.RAW_REVIEWS.names), F.lit("x").alias("app.version")]
+    land_as(spark, site, REVIEW_ROWS, *order)
+    known = raw_reviews(spark, REVIEW_ROWS).collect()
+    got = read_raw(spark, site.landing, schemas.RAW_REVIEWS)
+    assert got.columns == [*schemas.RAW_REVIEWS.names, "app.version"]
+    assert sorted(tuple(row)[:-1] for row in got.collect()) == sorted(tuple(row) for row in known)
+    assert got.select("rating").distinct().count() == len({row.rating for row in known})
+    assert ingest_new_reviews(spark, site) == 1
+    assert ratings(spark, site) == expected(REVIEW_ROWS)
+    archived = read_raw(spark, site.history, schemas.RAW_REVIEWS)
+    assert sorted(map(tuple, archived.collect())) == sorted(map(tuple, got.collect()))
+
+
+def test_missing_and_misplaced_columns_fail(spark, site):
+    names = schemas.RAW_REVIEWS.names
+    land_as(spark, site, REVIEW_ROWS, *(name for name in names if name != "county"))
+    with pytest.raises(ValueError, match="no column county"):
+        read_raw(spark, site.landing, schemas.RAW_REVIEWS)
+    with pytest.raises(ValueError, match="no column county"):
+        ingest_new_reviews(spark, site)
+    mixed = Site(site.root, "google_reviews")
+    land(spark, mixed, REVIEW_ROWS)
+    land_as(spark, mixed, REVIEW_ROWS, *reversed(names))
+    with pytest.raises(Exception, match="header"):
+        read_raw(spark, mixed.landing, schemas.RAW_REVIEWS).collect()
+    with pytest.raises(Exception, match="header"):
+        ingest_new_reviews(spark, mixed)
+    assert read_table(spark, mixed.input, schemas.REVIEWS).count() == 0
+
+
+def test_backfill_takes_its_files_as_seen(spark, site):
+    land(spark, site, REVIEW_ROWS)
+    backfill_landed_reviews(spark, site)
+    assert ingest_new_reviews(spark, site) == 0
+    late = review("k8", "20230504", "1", 1)
+    land(spark, site, [late])
+    assert ingest_new_reviews(spark, site) == 1
+    assert ratings(spark, site) == expected([*REVIEW_ROWS, late])
+    backfill_landed_reviews(spark, site)
+    assert ratings(spark, site) == expected([*REVIEW_ROWS, late])
+
+
 def test_files_per_batch_and_failure(spark, site):
     for number in range(3):
         land(spark, site, [review(f"k{number}", "20230501", "1", number + 1)])
