@@ -244,4 +244,12 @@ ORACLES: dict[str, str] = {
         FROM rated LEFT JOIN restaurants USING (restaurant_id) GROUP BY site, county""",
         _RATED,
     ),
+    "published_cuisine_counts": _with(
+        """SELECT cuisine, site, count(*) AS n_reviews
+        FROM (SELECT DISTINCT * EXCLUDE (posted_hour) FROM all_reviews
+              WHERE review_date IS NOT NULL AND restaurant_id IS NOT NULL)
+        LEFT JOIN (SELECT DISTINCT restaurant_id, cuisine FROM restaurants
+                   JOIN health USING (restaurant_id) WHERE grade_date IS NOT NULL)
+        USING (restaurant_id) GROUP BY cuisine, site"""
+    ),
 }

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablepulse import schemas
-from tablepulse.layout import Site, health_site
+from tablepulse.layout import HEALTH_SITE, Site, health_site
 from tablepulse.operators import insights
 from tablepulse.operators.affected import affected_dates as affected
 from tablepulse.operators.calendar import daily_calendar, densify as fill_gaps, join_calendar
@@ -38,7 +38,7 @@ from tablepulse.plans.health import read_grade_values
 from tablepulse.plans.reviews import read_final_rating
 from tablepulse.session import scratch_dir
 from tablepulse.sources import sample_tables as sample
-from tablepulse.sources.catalog import publish_warehouse, register_view
+from tablepulse.sources.catalog import publish_warehouse, refresh, register_view
 from tablepulse.sources.readers import read_dates, read_raw, read_table, stream_raw, tag_site
 from tablepulse.sources.writers import (
     append_rows,
@@ -394,20 +394,42 @@ def cross_site_outliers(spark: SparkSession, folder: str) -> DataFrame:
     return insights.cross_site_outliers(sample.all_reviews(spark, folder), threshold=0.5)
 
 
-def published_sql(spark: SparkSession, folder: str) -> DataFrame:
-    """Ad-hoc SQL over the published tables of all sites."""
+def _published(spark: SparkSession, folder: str) -> dict[str, str]:
+    """A warehouse of all sites and its SQL names, which each run replaces."""
     root = scratch_dir(spark)
     for name in sample.SITES:
         site = Site(root, name)
         _land(sample.raw_reviews(spark, folder, name), schemas.RAW_REVIEWS, site.landing)
         backfill_landed_reviews(spark, site)
-    names = publish_warehouse(spark, root, prefix=f"run_{root.rsplit('/', 1)[-1]}_")
+    _land(sample.raw_health(spark, folder), schemas.RAW_HEALTH, health_site(root).landing)
+    ingest_new_health(spark, health_site(root))
+    names = publish_warehouse(spark, root, prefix="sample_")
+    for name in names.values():
+        refresh(spark, name)
+    return names
+
+
+def published_sql(spark: SparkSession, folder: str) -> DataFrame:
+    """Ad-hoc SQL over the published tables of all sites."""
+    names = _published(spark, folder)
     return spark.sql(
         f"SELECT site, county, CAST(count(*) AS BIGINT) AS n_days, sum(rating_count) AS n_reviews, "
         f"max(final_rating) AS best_rating FROM {names['final_rating']} GROUP BY site, county"
     )
 
 
+def published_cuisine_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored reviews per cuisine and site, in SQL; the cuisine comes from inspections."""
+    names = _published(spark, folder)
+    return spark.sql(
+        f"SELECT c.cuisine, r.site, CAST(sum(r.n) AS BIGINT) AS n_reviews FROM "
+        f"(SELECT site, restaurant_id, count(*) AS n FROM {names['reviews']} GROUP BY ALL) r "
+        f"LEFT JOIN (SELECT restaurant_id, cuisine FROM {names['restaurants']} "
+        f"WHERE site = '{HEALTH_SITE}') c ON r.restaurant_id = c.restaurant_id "
+        f"GROUP BY c.cuisine, r.site"
+    )
+
+
 QUERIES: dict[str, Query] = {
     function.__name__: function
     for function in (
@@ -448,5 +470,6 @@ QUERIES: dict[str, Query] = {
         cuisine_site_counts,
         cross_site_outliers,
         published_sql,
+        published_cuisine_counts,
     )
 }

@@ -13,7 +13,10 @@ FACTS = (
     ("rating_sum", schemas.RATING_SUM, "review_date"),
     ("final_rating", schemas.FINAL_RATING, "review_date"),
     ("grade_values", schemas.GRADE_VALUES, "grade_date"),
+    ("reviews", schemas.REVIEWS, "review_date"),
 )
+# Published names whose folder is called otherwise.
+FOLDERS = {"reviews": "input_parquet"}
 # Columns of each published view. Attributes come from the restaurants view.
 VIEW_COLUMNS = {
     "rating_sum": "f.site, f.restaurant_id, r.restaurant_name, r.county, f.rating_sum, "
@@ -21,6 +24,8 @@ VIEW_COLUMNS = {
     "final_rating": "f.site, r.restaurant_name, r.county, f.rating_sum, f.rating_count, "
     "f.review_date, f.final_rating, f.restaurant_id",
     "grade_values": "f.restaurant_id, f.grade_date, r.restaurant_name, r.cuisine, f.health_grade",
+    "reviews": "f.site, f.review_id, f.restaurant_id, r.restaurant_name, r.county, f.rating, "
+    "f.reviewer_name, f.comments, f.operation, f.review_date",
 }
 RESTAURANTS_VIEW = """
     SELECT site, restaurant_id, latest.restaurant_name, latest.county, latest.cuisine,
@@ -45,10 +50,11 @@ def publish_table(
     Run it again after a job has added partitions. No data is moved.
     """
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    location = path.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(f"DROP TABLE IF EXISTS `{name}`")
     spark.sql(
         f"CREATE TABLE `{name}` ({columns}) USING parquet "
-        f"PARTITIONED BY ({', '.join(partition_cols)}) LOCATION '{path}'"
+        f"PARTITIONED BY ({', '.join(partition_cols)}) LOCATION '{location}'"
     )
     spark.sql(f"MSCK REPAIR TABLE `{name}`")
 
@@ -78,7 +84,7 @@ def publish_warehouse(spark: SparkSession, root: str, prefix: str = "") -> dict[
     spark.sql(f"CREATE OR REPLACE VIEW `{restaurants}` AS {RESTAURANTS_VIEW.format(log=log)}")
     names = {"restaurants": restaurants}
     for table, schema, date_col in FACTS:
-        path = f"{root}/{table}"
+        path = f"{root}/{FOLDERS.get(table, table)}"
         if not table_exists(spark, path):
             continue
         facts, view = f"{prefix}{table}_facts", f"{prefix}{table}"

@@ -240,7 +240,10 @@ def test_published_tables(spark, tmp_path):
     ingest_reviews(site, raw_reviews(spark, REVIEW_ROWS), "b0")
     ingest_health(health, raw_health(spark, HEALTH_ROWS), "b0")
     names = publish_warehouse(spark, root, "t1_")
-    assert set(names) == {"restaurants", "rating_sum", "final_rating", "grade_values"}
+    assert set(names) == {"restaurants", "rating_sum", "final_rating", "grade_values", "reviews"}
+    stored = spark.table(names["reviews"])
+    assert {r.site for r in stored.collect()} == {site.name}
+    assert stored.count() == len(set(REVIEW_ROWS))
     rated = spark.table(names["final_rating"])
     want = read_final_rating(spark, root, [site.name]).select(rated.columns)
     assert {tuple(r) for r in rated.collect()} == {tuple(r) for r in want.collect()}

@@ -31,6 +31,7 @@ WRITING = {
     "incremental_reviews",
     "ingest_health",
     "published_sql",
+    "published_cuisine_counts",
     "raw_history",
 }
 
