@@ -43,6 +43,7 @@ def densify(
     carry: Sequence[str] = (),
     until: date | None = None,
     only: tuple[date, date] | None = None,
+    reach: int | None = None,
 ) -> DataFrame:
     """Add a row for every missing day between the rows of each entity.
 
@@ -50,7 +51,9 @@ def densify(
     columns keep the value of the row before, all others are null. ``fill``
     also replaces nulls on the rows that exist, as a filled left join does.
     ``until`` extends each series beyond its own last date; ``only`` emits the
-    days of a closed range and skips the rest before they are made.
+    days of a closed range and skips the rest before they are made. With ``reach``
+    only the days that lie at most so many after a row are added, also after the
+    last one.
 
     Each row is spread up to the day before the next one. This needs one
     shuffle by ``keys`` and neither a second grouping nor a join, and it leaves
@@ -64,6 +67,9 @@ def densify(
     end_of_series = day(until) if until else F.col(date_col)
     first_day = F.col(date_col)
     last_day = F.greatest(F.col(date_col), F.coalesce(day_before_next, end_of_series))
+    if reach is not None:
+        within = F.date_add(date_col, reach)
+        last_day = F.least(within, F.coalesce(day_before_next, within))
     if only:
         first_day = F.greatest(first_day, day(only[0]))
         last_day = F.least(last_day, day(only[1]))

@@ -29,6 +29,25 @@ def rolling_rating(
     return daily.withColumn("final_rating", ratio(total, number))
 
 
+def rated_days(
+    daily: DataFrame, days: int = WINDOW_DAYS, keys: Sequence[str] = SERIES
+) -> DataFrame:
+    """The days that carry information, with their rolling rating.
+
+    ``daily`` has one row per review day of a series. The result has these days and
+    the ``days - 1`` after each; on every other day of the dense series nothing was
+    counted and ``final_rating`` is null. One shuffle, and work that follows the number
+    of review days, not the length of the series.
+    """
+    near = densify(
+        daily, keys, "review_date", {"rating_sum": 0, "rating_count": 0}, reach=days - 1
+    )
+    number_of_day = F.unix_date("review_date")
+    recent = Window.partitionBy(*keys).orderBy(number_of_day).rangeBetween(1 - days, 0)
+    total, number = F.sum("rating_sum").over(recent), F.sum("rating_count").over(recent)
+    return near.withColumn("final_rating", ratio(total, number))
+
+
 def rating_timeline(
     reviews: DataFrame,
     days: int = WINDOW_DAYS,

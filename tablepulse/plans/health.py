@@ -11,18 +11,26 @@ date, so that a repeated file changes nothing.
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tablepulse import schemas
+from tablepulse.functions import day
 from tablepulse.layout import HEALTH_SITE, Site
 from tablepulse.operators.affected import days_of_ranges
 from tablepulse.operators.grades import daily_grade, forward_fill_grades, grade_changes
-from tablepulse.operators.merge import in_dates, merge_partitions
+from tablepulse.operators.merge import in_dates, merge_partitions, union_all
 from tablepulse.operators.normalize import normalize_health, rejected, usable
 from tablepulse.operators.rolling import attach_restaurants
-from tablepulse.operators.rollups import merge_restaurants, restaurants, touched_dates
+from tablepulse.operators.rollups import (
+    active_span,
+    merge_restaurants,
+    merge_spans,
+    restaurants,
+    touched_dates,
+)
 from tablepulse.plans.report import BatchReport, batch_report
 from tablepulse.sources.readers import read_dates, read_sites, read_table
 from tablepulse.sources.writers import overwrite_partitions, replace_table, write_archive
@@ -58,13 +66,13 @@ def ingest_health(
             restaurants(good, ATTRIBUTES, "grade_date"), f"{site.restaurants}/batch={batch_key}", None
         )
 
-        history = read_table(spark, site.input, schemas.HEALTH)
-        changes = grade_changes(daily_grade(history), daily_grade(good))
+        series = recent_series(spark, site, good, batch_key)
+        changes = grade_changes(series, daily_grade(good))
         affected = [row[0] for row in days_of_ranges(changes, "grade_date").collect()]
     finally:
         raw.unpersist()
 
-    filled = forward_fill_grades(history, only=(min(affected), max(affected)))
+    filled = forward_fill_grades(series, only=(min(affected), max(affected)))
     overwrite_partitions(
         in_dates(filled, "grade_date", affected).select(schemas.GRADE_VALUES.names),
         site.grade_values,
@@ -73,6 +81,31 @@ def ingest_health(
     return report
 
 
+def recent_series(spark: SparkSession, site: Site, batch: DataFrame, batch_key: str) -> DataFrame:
+    """Daily grades from the first day that a merged batch can change.
+
+    That is the first inspection of the batch or the day after the last one that a
+    restaurant of the batch had before. The grades in force on the day before, one
+    partition of ``grade_values``, stand for all earlier inspections, so only later ones
+    are read. The spans before the batch come from the rows that other batches left in
+    ``restaurants``, so a repeated batch starts from the same day.
+    """
+    log = read_table(spark, site.restaurants, schemas.HEALTH_RESTAURANTS)
+    others = log.where(F.col("batch") != batch_key)
+    start = (
+        active_span(batch, date_col="grade_date")
+        .select("restaurant_id", F.col("first_date").alias("touched"))
+        .join(merge_spans(others), "restaurant_id", "left")
+        .agg(F.min(F.least("touched", F.date_add("last_date", 1))))
+        .first()[0]
+    )
+    columns = schemas.GRADE_VALUES.names
+    before = [start - timedelta(1)]
+    state = read_dates(spark, site.grade_values, schemas.GRADE_VALUES, "grade_date", before)
+    later = read_table(spark, site.input, schemas.HEALTH).where(F.col("grade_date") >= day(start))
+    return union_all(state.select(columns), daily_grade(later).select(columns))
+
+
 def read_health_restaurants(spark: SparkSession, root: str) -> DataFrame:
     """Latest attributes, the cuisine among them, and inspection span per restaurant."""
     log = read_sites(spark, root, "restaurants", schemas.HEALTH_RESTAURANTS, [HEALTH_SITE])

@@ -5,8 +5,12 @@ however often one is repeated:
 
 ``input_parquet``  distinct reviews by review date
 ``restaurants``    attributes and active span, one row per restaurant and batch
-``rating_sum``     dense daily totals by review date
-``final_rating``   the same with the rolling rating, by review date
+``rating_sum``     totals of every day with reviews, by review date
+``final_rating``   the same with the rolling rating, on these days and the six after
+
+On every other day of a series nothing was counted and there is no rating. The readers
+add these days from the spans, so a restaurant that returns after a pause, or a date
+far off, rewrites a week and not the time between.
 
 Where a rule differs from a plain full load: exact copies of a review count
 once in both jobs; a series belongs to a restaurant id and shows the latest
@@ -21,21 +25,19 @@ from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tablepulse import schemas
-from tablepulse.layout import Site
-from tablepulse.operators.affected import affected_dates, days_of_ranges, span_growth
-from tablepulse.operators.merge import in_dates, listed, merge_partitions, union_all
+from tablepulse.functions import day
+from tablepulse.layout import HEALTH_SITE, Site
+from tablepulse.operators.affected import affected_dates
+from tablepulse.operators.calendar import join_calendar
+from tablepulse.operators.merge import in_dates, merge_partitions
 from tablepulse.operators.normalize import normalize_reviews, rejected, usable
-from tablepulse.operators.rolling import (
-    WINDOW_DAYS,
-    attach_restaurants,
-    rating_timeline,
-    rolling_rating,
-)
+from tablepulse.operators.rolling import SERIES, WINDOW_DAYS, rated_days
 from tablepulse.operators.rollups import (
+    daily_rating,
     merge_restaurants,
-    merge_spans,
     restaurants,
     touched_dates,
 )
@@ -83,9 +85,7 @@ def backfill_reviews(
 def recompute_reviews(spark: SparkSession, site: Site, days: int = WINDOW_DAYS) -> None:
     """Rebuild everything that derives from the stored reviews of a site.
 
-    ``final_rating`` is written before ``rating_sum``: it holds the same totals,
-    so the second table is copied from the first, date by date, without another
-    shuffle.
+    The reviews are grouped once, for ``rating_sum``; the ratings come from these totals.
     """
     stored = read_table(spark, site.input, schemas.REVIEWS)
     replace_table(
@@ -93,10 +93,15 @@ def recompute_reviews(spark: SparkSession, site: Site, days: int = WINDOW_DAYS)
         site.restaurants,
         "batch",
     )
-    timeline = rating_timeline(stored, days).select(schemas.FINAL_RATING.names)
-    replace_table(timeline, site.final_rating, "review_date")
-    totals = read_table(spark, site.final_rating, schemas.FINAL_RATING).drop("final_rating")
-    replace_table(totals, site.rating_sum, "review_date", clustered=True)
+    replace_table(_totals(stored), site.rating_sum, "review_date")
+    totals = read_table(spark, site.rating_sum, schemas.RATING_SUM)
+    rated = rated_days(totals, days).select(schemas.FINAL_RATING.names)
+    replace_table(rated, site.final_rating, "review_date")
+
+
+def _totals(reviews: DataFrame) -> DataFrame:
+    daily = daily_rating(reviews, SERIES).fillna(0, ["rating_sum"])
+    return daily.select(schemas.RATING_SUM.names)
 
 
 def ingest_reviews(
@@ -136,112 +141,95 @@ def ingest_reviews(
     finally:
         raw.unpersist()
 
-    update_ratings(spark, site, touched, batch_key, days)
+    update_ratings(spark, site, touched, days)
     return report
 
 
 def update_ratings(
-    spark: SparkSession, site: Site, touched: list[date], batch_key: str, days: int = WINDOW_DAYS
+    spark: SparkSession, site: Site, touched: list[date], days: int = WINDOW_DAYS
 ) -> None:
     """Recompute ``rating_sum`` and ``final_rating`` on the dates that a merged batch affects.
 
-    The span of each restaurant before the batch comes from the rows that other
-    batches left in ``restaurants``, so a repeated batch finds the same growth.
+    These are the touched dates and the ``days - 1`` after each, whatever the batch does
+    to the span of a restaurant: days without information are not stored.
     """
-    log = read_table(spark, site.restaurants, schemas.REVIEW_RESTAURANTS)
-    own = F.col("batch") == batch_key
-    growth = span_growth(log.where(own), merge_spans(log.where(~own)))
     plan = affected_dates(
-        spark.createDataFrame([(day,) for day in touched], "review_date date"),
-        days,
-        days_of_ranges(growth),
+        spark.createDataFrame([(when,) for when in touched], "review_date date"), days
     ).collect()
     needed = [row["review_date"] for row in plan]
     outputs = [row["review_date"] for row in plan if row["is_output"]]
-    grown = [row["review_date"] for row in plan if row["is_grown"]]
-    changed = [*touched, *grown]
 
     reviews = read_dates(spark, site.input, schemas.REVIEWS, "review_date", touched)
-    totals = read_dates(spark, site.rating_sum, schemas.RATING_SUM, "review_date", changed)
-    overwrite_partitions(
-        updated_totals(reviews, totals, growth if grown else None, touched),
-        site.rating_sum,
-        "review_date",
-    )
+    overwrite_partitions(_totals(reviews), site.rating_sum, "review_date")
 
-    dense = read_dates(spark, site.rating_sum, schemas.RATING_SUM, "review_date", needed)
-    final = in_dates(rolling_rating(dense, days), "review_date", outputs)
+    totals = read_dates(spark, site.rating_sum, schemas.RATING_SUM, "review_date", needed)
+    rated = in_dates(rated_days(totals, days), "review_date", outputs)
     overwrite_partitions(
-        final.select(schemas.FINAL_RATING.names), site.final_rating, "review_date"
-    )
-
-
-def updated_totals(
-    reviews: DataFrame, totals: DataFrame, growth: DataFrame | None, touched: list[date]
-) -> DataFrame:
-    """Dense daily totals of the changed dates.
-
-    ``reviews`` are all stored reviews on the touched dates, ``totals`` the old
-    rows on all changed dates, ``growth`` the new calendar ranges. Old rows of a
-    touched date only say that the restaurant has that day; its numbers are
-    counted again. One grouping with map-side sums brings all three together.
-    """
-    is_touched = listed("review_date", touched)
-    none = F.lit(0).cast("long")
-    counted = reviews.select(
-        "restaurant_id",
-        "review_date",
-        F.coalesce(F.col("rating").cast("long"), none).alias("rating_sum"),
-        F.col("rating").isNotNull().cast("long").alias("rating_count"),
-    )
-    kept = totals.select(
-        "restaurant_id",
-        "review_date",
-        *(
-            F.when(is_touched, none).otherwise(F.col(name)).alias(name)
-            for name in ("rating_sum", "rating_count")
-        ),
-    )
-    parts = [counted, kept]
-    if growth is not None:
-        parts.append(
-            growth.select(
-                "restaurant_id",
-                F.explode(F.sequence("first_day", "last_day")).alias("review_date"),
-                none.alias("rating_sum"),
-                none.alias("rating_count"),
-            )
-        )
-    return (
-        union_all(*parts)
-        .groupBy("restaurant_id", "review_date")
-        .agg(F.sum("rating_sum").alias("rating_sum"), F.sum("rating_count").alias("rating_count"))
-        .select(schemas.RATING_SUM.names)
+        rated.select(schemas.FINAL_RATING.names), site.final_rating, "review_date"
     )
 
 
 def read_restaurants(spark: SparkSession, root: str, sites: Sequence[str] = ()) -> DataFrame:
     """Latest attributes and active span per site and restaurant."""
     log = read_sites(spark, root, "restaurants", schemas.REVIEW_RESTAURANTS, sites)
-    return merge_restaurants(log, ATTRIBUTES, ("site", "restaurant_id"))
+    reviewed = log.where(F.col("site") != HEALTH_SITE)
+    return merge_restaurants(reviewed, ATTRIBUTES, ("site", "restaurant_id"))
 
 
-def _with_names(facts: DataFrame, names: DataFrame) -> DataFrame:
-    return attach_restaurants(facts, names, *ATTRIBUTES, keys=("site", "restaurant_id"))
+def _every_day(
+    spark: SparkSession,
+    root: str,
+    table: str,
+    schema: StructType,
+    sites: Sequence[str],
+    between: DateRange | None,
+) -> DataFrame:
+    """A stored table with names and with the days that it leaves out.
 
+    The spans of the restaurants give the days; ``between`` cuts them, and the scan of
+    the stored partitions, to a closed range.
+    """
+    facts = read_sites(spark, root, table, schema, sites)
+    first_day, last_day = F.col("first_date"), F.col("last_date")
+    if between:
+        facts = facts.where(F.col("review_date").between(*map(day, between)))
+        first_day, last_day = F.greatest(first_day, day(between[0])), F.least(last_day, day(between[1]))
+    calendar = (
+        read_restaurants(spark, root, sites)
+        .where(first_day <= last_day)
+        .select(
+            "site",
+            "restaurant_id",
+            *ATTRIBUTES,
+            F.explode(F.sequence(first_day, last_day)).alias("review_date"),
+        )
+    )
+    keys = ("site", "restaurant_id", "review_date")
+    return join_calendar(calendar, facts, keys, {"rating_sum": 0, "rating_count": 0})
 
-def read_rating_sum(spark: SparkSession, root: str, sites: Sequence[str] = ()) -> DataFrame:
-    """``rating_sum`` of the given sites with name and county."""
-    facts = read_sites(spark, root, "rating_sum", schemas.RATING_SUM, sites)
-    return _with_names(facts, read_restaurants(spark, root, sites)).select(
+
+def read_rating_sum(
+    spark: SparkSession,
+    root: str,
+    sites: Sequence[str] = (),
+    between: DateRange | None = None,
+) -> DataFrame:
+    """The dense daily totals of the given sites with name and county."""
+    dense = _every_day(spark, root, "rating_sum", schemas.RATING_SUM, sites, between)
+    return dense.select(
         "site", "restaurant_id", "restaurant_name", "county", "rating_sum", "rating_count", "review_date"
     )
 
 
-def read_final_rating(spark: SparkSession, root: str, sites: Sequence[str] = ()) -> DataFrame:
-    """``final_rating`` of the given sites with name and county."""
-    facts = read_sites(spark, root, "final_rating", schemas.FINAL_RATING, sites)
-    return _with_names(facts, read_restaurants(spark, root, sites)).select(
+def read_final_rating(
+    spark: SparkSession,
+    root: str,
+    sites: Sequence[str] = (),
+    between: DateRange | None = None,
+) -> DataFrame:
+    """The dense daily series of the given sites with the rolling rating, name and county."""
+    dense = _every_day(spark, root, "final_rating", schemas.FINAL_RATING, sites, between)
+    return dense.select(
         "site",
         "restaurant_name",
         "county",

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from tablepulse import schemas
+from tablepulse.layout import HEALTH_SITE
 from tablepulse.sources.readers import table_exists
 
 # Published name, stored schema, date partition.
@@ -18,15 +19,29 @@ FACTS = (
 # Published names whose folder is called otherwise.
 FOLDERS = {"reviews": "input_parquet"}
 # Columns of each published view. Attributes come from the restaurants view.
+COUNTS = (
+    "coalesce(f.rating_sum, 0) AS rating_sum, coalesce(f.rating_count, 0) AS rating_count"
+)
 VIEW_COLUMNS = {
-    "rating_sum": "f.site, f.restaurant_id, r.restaurant_name, r.county, f.rating_sum, "
-    "f.rating_count, f.review_date",
-    "final_rating": "f.site, r.restaurant_name, r.county, f.rating_sum, f.rating_count, "
-    "f.review_date, f.final_rating, f.restaurant_id",
+    "rating_sum": f"r.site, r.restaurant_id, r.restaurant_name, r.county, {COUNTS}, r.review_date",
+    "final_rating": f"r.site, r.restaurant_name, r.county, {COUNTS}, r.review_date, "
+    "f.final_rating, r.restaurant_id",
     "grade_values": "f.restaurant_id, f.grade_date, r.restaurant_name, r.cuisine, f.health_grade",
     "reviews": "f.site, f.review_id, f.restaurant_id, r.restaurant_name, r.county, f.rating, "
     "f.reviewer_name, f.comments, f.operation, f.review_date",
 }
+# Stored facts with the attributes beside them.
+STORED_ROWS = """
+    `{facts}` f LEFT JOIN `{restaurants}` r
+    ON f.site = r.site AND f.restaurant_id = r.restaurant_id
+"""
+# Every day of a restaurant's span with the stored facts, for tables that leave days out.
+EVERY_DAY = """
+    (SELECT *, explode(sequence(first_date, last_date)) AS review_date
+     FROM `{restaurants}` WHERE site <> '{health}') r LEFT JOIN `{facts}` f
+    ON f.site = r.site AND f.restaurant_id = r.restaurant_id AND f.review_date = r.review_date
+"""
+DENSE = ("rating_sum", "final_rating")
 RESTAURANTS_VIEW = """
     SELECT site, restaurant_id, latest.restaurant_name, latest.county, latest.cuisine,
            first_date, latest.last_date
@@ -68,8 +83,9 @@ def publish_warehouse(spark: SparkSession, root: str, prefix: str = "") -> dict[
     """Publish the rating and grade tables that exist below ``root``.
 
     The stored facts become external tables and the names the views over them:
-    ``rating_sum``, ``final_rating`` and ``grade_values`` with the restaurant's
-    latest attributes joined on. Returns the names given.
+    ``rating_sum``, ``final_rating``, ``grade_values`` and ``reviews`` with the
+    restaurant's latest attributes joined on. The first two have every day of a series.
+    Returns the names given.
     """
     root = root.rstrip("/")
     log, restaurants = f"{prefix}restaurants_log", f"{prefix}restaurants"
@@ -91,9 +107,9 @@ def publish_warehouse(spark: SparkSession, root: str, prefix: str = "") -> dict[
         publish_table(
             spark, facts, path, schemas.with_site(schema), "site", date_col
         )
-        spark.sql(
-            f"CREATE OR REPLACE VIEW `{view}` AS SELECT {VIEW_COLUMNS[table]} FROM `{facts}` f "
-            f"LEFT JOIN `{restaurants}` r ON f.site = r.site AND f.restaurant_id = r.restaurant_id"
+        rows = (EVERY_DAY if table in DENSE else STORED_ROWS).format(
+            facts=facts, restaurants=restaurants, health=HEALTH_SITE
         )
+        spark.sql(f"CREATE OR REPLACE VIEW `{view}` AS SELECT {VIEW_COLUMNS[table]} FROM {rows}")
         names[table] = view
     return names

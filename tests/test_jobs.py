@@ -120,6 +120,49 @@ def test_reviews_outside_the_known_span(spark, site):
     check(spark, site, known + outside)
 
 
+def test_one_review_after_a_pause_rewrites_a_week(spark, site):
+    known = [review("k1", START, "1", 4)]
+    known += [review(f"d{i}", START + timedelta(i), "2", 1 + i % 5) for i in range(60)]
+    ingest_reviews(site, raw_reviews(spark, known), "b0")
+
+    def files(table):
+        return set(spark.read.parquet(table).inputFiles())
+
+    tables = {site.input: 1, site.rating_sum: 1, site.final_rating: 7}
+    before = {table: files(table) for table in tables}
+    late = [review("k2", START + timedelta(50), "1", 2)]
+    ingest_reviews(site, raw_reviews(spark, late), "b1")
+    check(spark, site, known + late)
+    for table, most in tables.items():
+        folders = {path.rsplit("/", 1)[0] for path in files(table) - before[table]}
+        assert 1 <= len(folders) <= most, table
+
+
+def test_a_date_far_off_writes_a_week(spark, site):
+    rows = [review("k1", START, "1", 4), review("k2", "02020101", "1", 2)]
+    ingest_reviews(site, raw_reviews(spark, rows), "b0")
+    stored = spark.read.parquet(site.final_rating)
+    assert stored.select("review_date").distinct().count() == 14
+    between = (START - timedelta(2), START)
+    got = read_final_rating(spark, site.root, [site.name], between).orderBy("review_date").collect()
+    assert [(r.rating_count, r.final_rating) for r in got] == [(0, None), (0, None), (1, 4.0)]
+
+
+def test_series_cut_to_a_range(spark, site):
+    rows = random_reviews(5)
+    ingest_reviews(site, raw_reviews(spark, rows), "b0")
+    between = (START + timedelta(8), START + timedelta(17))
+    want = {key: value for key, value in expected_final_rating(rows).items()
+            if between[0] <= key[1] <= between[1]}
+    ratings = read_final_rating(spark, site.root, (), between).collect()
+    got = {(r.restaurant_id, r.review_date): r.final_rating for r in ratings}
+    assert len(ratings) == len(want) and got == {key: value[2] for key, value in want.items()}
+    totals = read_rating_sum(spark, site.root, (), between).collect()
+    assert {(r.restaurant_id, r.review_date): r.rating_sum for r in totals} == {
+        key: value[0] for key, value in want.items()
+    }
+
+
 def test_backfill_then_batches(spark, site):
     rows = random_reviews(7, span=14)
     land(spark, site, rows[:16])
@@ -137,7 +180,7 @@ def test_repeated_batch_changes_nothing(spark, site):
     assert read_table(spark, site.input, schemas.REVIEWS).count() == len(set(rows))
 
 
-@pytest.mark.parametrize("stop_before", ["update_ratings", "rolling_rating"])
+@pytest.mark.parametrize("stop_before", ["update_ratings", "rated_days"])
 def test_batch_that_broke_off_is_completed(spark, site, monkeypatch, stop_before):
     """The job dies after the merge, or after ``rating_sum``, and the batch comes again."""
     known = [review("k1", START + timedelta(9), "1", 4), review("k2", START + timedelta(9), "2", 2)]

@@ -154,6 +154,30 @@ def test_rolling_window_length(spark):
     assert short == [1.0] + [i - 0.5 for i in range(2, 11)]
 
 
+def test_rated_days_are_the_informed_days_of_the_timeline(spark):
+    random.seed(4)
+    start = date(2024, 2, 20)
+    facts = spark.createDataFrame(
+        [
+            ("r", str(random.randrange(5)), start + timedelta(random.randrange(90)), stars)
+            for stars in [None, 1, 2, 3, 4, 5] * 8
+        ],
+        "review_id string, restaurant_id string, review_date date, rating int",
+    )
+    dense = rating_timeline(facts)
+    reviewed = {(r[0], r[1]) for r in facts.select("restaurant_id", "review_date").collect()}
+    informed = {(who, when + timedelta(i)) for who, when in reviewed for i in range(7)}
+    got = rated_days(daily_rating(facts, ("restaurant_id",))).select(dense.columns)
+    stored = {(r.restaurant_id, r.review_date): r for r in got.collect()}
+    assert got.count() == len(stored) and set(stored) == informed
+    for row in dense.collect():
+        key = row.restaurant_id, row.review_date
+        if key in stored:
+            assert stored[key] == row
+        else:
+            assert (row.rating_sum, row.rating_count, row.final_rating) == (0, 0, None)
+
+
 def test_densify_equals_the_calendar_join(spark):
     random.seed(3)
     start = date(2024, 2, 20)
