@@ -21,7 +21,7 @@ from tablepulse.operators.merge import (
     set_union,
 )
 from tablepulse.operators.normalize import normalize_health, normalize_reviews, rejected, usable
-from tablepulse.operators.rolling import rating_timeline, rolling_rating
+from tablepulse.operators.rolling import rated_days, rating_timeline, rolling_rating
 from tablepulse.operators.rollups import (
     active_span,
     daily_rating,
