@@ -72,4 +72,47 @@ SELECT doc_id, len(words) AS n_words, CAST(coalesce(removed, 0) AS BIGINT) AS n_
 FROM split LEFT JOIN kept USING (row)
 """
 
-ORACLES = {"op3_source_mix": MIX, "op9_substring_dedup": SUBSTRINGS}
+PHRASES = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                  'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), split AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces
+), totals AS (
+    SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM split GROUP BY lang
+), places AS (
+    SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS place
+    FROM split, (SELECT unnest([1, 2, 3, 4, 5]) AS size)
+), counts AS (
+    SELECT lang, size, words[place:place + size - 1] AS words, count(*) AS f
+    FROM places GROUP BY ALL HAVING count(*) >= 100
+), cuts AS (
+    SELECT lang, size, words, f AS a, unnest(range(1, size)) AS k FROM counts WHERE size > 1
+), scored AS (
+    SELECT cuts.*, lefts.f AS l, rights.f AS r, n,
+           CAST(1000 AS HUGEINT) * a * n // (CAST(lefts.f AS HUGEINT) * rights.f) AS score
+    FROM cuts
+    JOIN counts lefts ON lefts.lang = cuts.lang AND lefts.words = cuts.words[1:k]
+    JOIN counts rights ON rights.lang = cuts.lang AND rights.words = cuts.words[k + 1:cuts.size]
+    JOIN totals ON totals.lang = cuts.lang
+), weakest AS (
+    SELECT * FROM scored
+    QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1
+), inside AS (
+    SELECT DISTINCT outer_.lang, outer_.words[start:start + length - 1] AS words, outer_.f
+    FROM (SELECT *, unnest(range(2, size)) AS length FROM counts WHERE size > 2) outer_,
+         LATERAL (SELECT unnest(range(1, size - length + 2)) AS start)
+), named AS (
+    SELECT *, array_to_string(words, ' ') AS phrase FROM weakest
+    WHERE NOT EXISTS (SELECT 1 FROM inside WHERE inside.lang = weakest.lang
+                      AND inside.words = weakest.words AND 100 * inside.f >= 100 * weakest.a)
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+    FROM named
+)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 2000
+"""
+
+ORACLES = {"op3_source_mix": MIX, "op9_substring_dedup": SUBSTRINGS, "op11_phrases": PHRASES}

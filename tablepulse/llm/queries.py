@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprints, html_text, language, mixing, near_dedup, pii, quality, substrings, tokens
+from . import (
+    alignment,
+    decontaminate,
+    fingerprints,
+    html_text,
+    language,
+    mixing,
+    near_dedup,
+    neighbours,
+    phrases,
+    pii,
+    quality,
+    substrings,
+    tokens,
+)
 
 FOLDS = 5
 
@@ -85,6 +99,24 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     return predicted.select("doc_id", _held_out(), "lang_pred", "score")
 
 
+def op11_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    """The first 2,000 collocations of every language."""
+    return phrases.collocations(_read(spark, folder, "documents"))
+
+
+def op12_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 vectors nearest to every twentieth one."""
+    vectors = _read(spark, folder, "embeddings")
+    return neighbours.nearest(vectors, F.col("vec_id") % 20 == 0)
+
+
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups and links of the tokens of two vocabularies in every document."""
+    aligned = alignment.align_tokens(_read(spark, folder, "documents"))
+    digest = F.when(F.col("n_a") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise("")
+    return aligned.withColumn("groups_sha256", digest).drop("groups")
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -98,5 +130,8 @@ QUERIES = {
         op8_pii,
         op9_substring_dedup,
         op10_language,
+        op11_phrases,
+        op12_neighbours,
+        op13_alignment,
     )
 }
