@@ -7,17 +7,16 @@ after which both go on with a space-marked token is an anchor. Anchors cut a doc
 into windows of token ids, and windows recur as words do: the alignment of a window,
 its groups and links, is worked out once and kept by the two tuples of ids.
 
-Three passes, each a scan with nothing but its own rows:
-
-1. ``encode`` stores the ids of every document, two bytes a token, so that no text is
-   encoded twice;
+1. ``encode`` works on runs of a few MB. It stores each different window of a run once,
+   beside the places where it stands, so that no text is encoded twice and the later
+   passes align a window once for all its places;
 2. ``count_links`` counts the linked id pairs of the corpus, summed in tasks first;
 3. ``align`` gives each document its groups and the counts of its links.
 
-Different pairs are at most the product of the two vocabularies, whatever the corpus.
-They reach the tasks of the third pass as broadcasts of at most ``PAIRS`` pairs, cut by
-B id; where that takes more than one, each is a scan of its own and the documents' sums
-are added up. Memos are emptied at ``MEMO`` tokens, which changes no result.
+Every pass is a scan with nothing but its own rows. Different pairs are at most the
+product of the two vocabularies, whatever the corpus. They reach the tasks of the third
+pass as broadcasts of at most ``PAIRS`` pairs, cut by B id; where that takes more than
+one, each is a scan of its own and the documents' sums are added up.
 
 Null and empty texts, and texts whose joined token bytes of A or B are not the space
 and the text, have no tokens: zeros and empty groups. Very long texts are encoded in
@@ -41,18 +40,21 @@ from pyspark.sql import functions as F
 
 from tablepulse.session import scratch_dir
 
-from .arrays import bounded_batches, runs
+from .arrays import bounded_batches, mix, runs
 
 BYTE_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 PART = 1 << 19
-RUN = 1 << 20
-MEMO = 1 << 22
+RUN = 1 << 22
 PAIRS = 1 << 22
 IDS = np.dtype("<u2")
 
 SPACE_MARK = "▁"
+# Fixed value: the split pattern that belongs to byte-level vocabularies of this kind.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
 _CUT = re.compile(r"(?<=[!-~]) (?=[A-Za-z])")
+_LONG_RUN = re.compile(r"\s{4096}|\S{4096}")
 
 
 def byte_letters() -> dict[str, int]:
@@ -76,12 +78,25 @@ def read_file(spark: SparkSession, path: str) -> bytes:
         return file.read()
 
 
+class Vocabulary(NamedTuple):
+    """What alignment needs of a vocabulary: bytes a token, and whether it begins with a space."""
+
+    sizes: np.ndarray
+    spaced: np.ndarray
+
+    @classmethod
+    def of(cls, tokens: list[bytes]) -> Vocabulary:
+        sizes = np.array([len(token) for token in tokens], np.int64)
+        return cls(sizes, np.array([token.startswith(b" ") for token in tokens]))
+
+
 class Encoders:
     """Both encoders and the bytes of their tokens."""
 
     def __init__(self, byte_model: bytes, piece_model: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_str(byte_model.decode())
@@ -89,6 +104,7 @@ class Encoders:
         self.b = sentencepiece.SentencePieceProcessor(model_proto=piece_model)
         letters = byte_letters()
         vocabulary = self.a.get_vocab(with_added_tokens=True)
+        special = set(self.a.get_added_tokens_decoder())
         self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
         for token, at in vocabulary.items():
             known = all(letter in letters for letter in token)
@@ -100,6 +116,13 @@ class Encoders:
             else piece.replace(SPACE_MARK, " ").encode()
             for at, piece in enumerate(pieces)
         ]
+        self.vocabularies = Vocabulary.of(self.a_bytes), Vocabulary.of(self.b_bytes)
+        ranks = {
+            token: at for at, token in enumerate(self.a_bytes) if token and at not in special
+        }
+        self.fast = tiktoken.Encoding(
+            "ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}
+        )
         # A piece that goes on after a space could span a cut.
         self.cuttable = not any(SPACE_MARK in piece.lstrip(SPACE_MARK) for piece in pieces)
         if max(len(self.a_bytes), len(self.b_bytes)) > 1 << (8 * IDS.itemsize):
@@ -116,18 +139,23 @@ class Encoders:
             at = cut.end()
         yield text[at:]
 
-    def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
+    def _ids_of_a(self, parts: list[str]) -> list[list[int]]:
+        """Ids of A: by its merges as ranks, and by the slower encoder where a run is very long."""
+        found = [None if _LONG_RUN.search(part) else self.fast.encode_ordinary(f" {part}") for part in parts]
+        slow = [at for at, ids in enumerate(found) if ids is None]
+        encoded = self.a.encode_batch([f" {parts[at]}" for at in slow], add_special_tokens=False)
+        for at, ids in zip(slow, encoded, strict=True):
+            found[at] = ids.ids
+        return found
+
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """The ids of A and B for each text; none where the bytes do not agree."""
         cut = [list(self.parts(text)) for text in texts]
         flat = [part for parts in cut for part in parts]
-        found_a = [
-            x.ids for x in self.a.encode_batch([f" {part}" for part in flat], add_special_tokens=False)
-        ]
-        found_b = self.b.encode(flat, num_threads=1)
+        ids = self._ids_of_a(flat), self.b.encode(flat, num_threads=1)
         result, at = [], 0
         for text, parts in zip(texts, cut, strict=True):
-            a = [x for ids in found_a[at : at + len(parts)] for x in ids]
-            b = [x for ids in found_b[at : at + len(parts)] for x in ids]
+            a, b = ([x for part in side[at : at + len(parts)] for x in part] for side in ids)
             at += len(parts)
             whole = f" {text}".encode()
             same = (
@@ -135,7 +163,7 @@ class Encoders:
                 and b"".join(map(self.a_bytes.__getitem__, a)) == whole
                 and b"".join(map(self.b_bytes.__getitem__, b)) == whole
             )
-            result.append((a, b) if same else ([], []))
+            result.append((np.array(a if same else [], IDS), np.array(b if same else [], IDS)))
         return result
 
 
@@ -144,96 +172,146 @@ def _encoders(byte_model: bytes, piece_model: bytes) -> Encoders:
     return Encoders(byte_model, piece_model)
 
 
-class Vocabulary(NamedTuple):
-    """What alignment needs of a vocabulary: bytes a token, and whether it begins with a space."""
+class Windows(NamedTuple):
+    """The windows of some documents: each different one once, and where they stand."""
 
-    sizes: np.ndarray
-    spaced: np.ndarray
+    order: np.ndarray  # the window at each place of the documents
+    per_document: np.ndarray
+    a: np.ndarray  # ids of the different windows, one after the other
+    a_sizes: np.ndarray
+    b: np.ndarray
+    b_sizes: np.ndarray
 
-    @classmethod
-    def of(cls, tokens: list[bytes]) -> Vocabulary:
-        sizes = np.array([len(token) for token in tokens], np.int64)
-        return cls(sizes, np.array([token.startswith(b" ") for token in tokens]))
+    def times(self) -> np.ndarray:
+        return np.bincount(self.order, minlength=len(self.a_sizes))
 
 
-class Aligned(NamedTuple):
-    """The alignment of one window."""
-
-    text: str
-    n_groups: int
-    pairs: tuple[int, ...]  # a << 16 | b, one for each link
-
-
-def align_window(a: list[int], b: list[int], a_sizes: list[int], b_sizes: list[int]) -> Aligned:
-    """Groups between shared ends, and every pair of tokens whose bytes overlap."""
-    groups, pairs = [], []
-    i = j = first_a = first_b = end_a = end_b = 0
-    while i < len(a) and j < len(b):
-        size_a, size_b = a_sizes[i], b_sizes[j]
-        if size_a and size_b:
-            pairs.append(a[i] << 16 | b[j])
-        left, right = end_a + size_a, end_b + size_b
-        if left <= right:
-            i, end_a = i + 1, left
-        if right <= left:
-            j, end_b = j + 1, right
-        if left == right:
-            groups.append(
-                f"{','.join(map(str, a[first_a:i]))}|{','.join(map(str, b[first_b:j]))}"
-            )
-            first_a, first_b = i, j
-    return Aligned(";".join(groups), len(groups), tuple(pairs))
-
-
-class Memo:
-    """Windows already aligned, by the tuples of their ids."""
-
-    def __init__(self, a: Vocabulary, b: Vocabulary):
-        self.vocabularies, self.known, self.aligned, self.size = (a, b), {}, [], 0
-
-    def full(self) -> bool:
-        return self.size > MEMO
-
-    def clear(self) -> None:
-        self.known, self.aligned, self.size = {}, [], 0
-
-    def _add(self, key: tuple[bytes, bytes]) -> int:
-        ids = [np.frombuffer(part, IDS) for part in key]
-        sizes = [known.sizes[x].tolist() for known, x in zip(self.vocabularies, ids, strict=True)]
-        self.aligned.append(align_window(*(x.tolist() for x in ids), *sizes))
-        self.size += sum(map(len, ids)) + 8
-        at = self.known[key] = len(self.aligned) - 1
-        return at
-
-    def windows(self, a: list[bytes], b: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The place in ``aligned`` of each window of the documents, and each document's last."""
-        all_a, all_b = b"".join(a), b"".join(b)
-        x, y = np.frombuffer(all_a, IDS), np.frombuffer(all_b, IDS)
-        of_a, of_b = self.vocabularies
-        ends_a, ends_b = np.cumsum(of_a.sizes[x]), np.cumsum(of_b.sizes[y])
-        place = np.searchsorted(ends_b, ends_a)
-        shared = np.flatnonzero(ends_b[place] == ends_a) if len(x) else np.empty(0, np.int64)
-        after_a, after_b = shared + 1, place[shared] + 1
-        # Behind the last token of a document stands that of the next one or none.
-        anchor = np.append(of_a.spaced[x], True)[after_a] & np.append(of_b.spaced[y], True)[after_b]
-        last_a = np.cumsum([len(ids) // IDS.itemsize for ids in a])
-        anchor |= np.isin(after_a, last_a)
-        cuts_a, cuts_b = after_a[anchor], after_b[anchor]
-        bounds_a = np.concatenate([[0], cuts_a]) * IDS.itemsize
-        bounds_b = np.concatenate([[0], cuts_b]) * IDS.itemsize
-        known, add = self.known, self._add
-        found = []
-        from_a, from_b = 0, 0
-        for to_a, to_b in zip(bounds_a[1:].tolist(), bounds_b[1:].tolist(), strict=True):
-            key = (all_a[from_a:to_a], all_b[from_b:to_b])
-            at = known.get(key)
-            found.append(add(key) if at is None else at)
-            from_a, from_b = to_a, to_b
-        return np.array(found, np.int64), np.searchsorted(cuts_a, last_a, "right")
+def _starts(sizes: np.ndarray) -> np.ndarray:
+    return np.cumsum(sizes) - sizes
+
+
+def _places(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All places of the pieces that begin at ``starts``."""
+    return np.repeat(starts - _starts(sizes), sizes) + np.arange(sizes.sum())
+
+
+def _tuple_hashes(ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A hash of the ids of each window, which all have some."""
+    offsets = _places(np.zeros(len(sizes), np.int64), sizes)
+    return np.add.reduceat(mix((ids.astype(np.int64) << 32) + offsets), _starts(sizes))
+
+
+def _distinct(ids: tuple[np.ndarray, ...], sizes: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """The first window of each different pair of tuples, and each window's place among them.
+
+    Hashes bring equal windows together, a comparison of their ids decides.
+    """
+    hashes = mix(_tuple_hashes(ids[0], sizes[0])) + _tuple_hashes(ids[1], sizes[1])
+    _, first, order = np.unique(hashes, return_index=True, return_inverse=True)
+    unlike = np.zeros(len(order), bool)
+    for x, n in zip(ids, sizes, strict=True):
+        begin, same_size = _starts(n), n == n[first[order]]
+        unlike |= ~same_size
+        checked = np.flatnonzero(same_size)
+        here, there = (
+            x[_places(begin[of], n[checked])] for of in (checked, first[order[checked]])
+        )
+        unlike[np.repeat(checked, n[checked])[here != there]] = True
+    others = np.flatnonzero(unlike)  # of another one's hash: windows of their own
+    order[others] = len(first) + np.arange(len(others))
+    return np.concatenate([first, others]), order
+
+
+def find_windows(
+    a: list[np.ndarray], b: list[np.ndarray], of_a: Vocabulary, of_b: Vocabulary
+) -> Windows:
+    """Cut documents at their anchors."""
+    x, y = np.concatenate(a), np.concatenate(b)
+    last_a = np.cumsum([len(ids) for ids in a])
+    if not len(x):
+        none = np.empty(0, np.int64)
+        return Windows(none, np.zeros(len(a), np.int64), x, none, y, none)
+    ends_a, ends_b = np.cumsum(of_a.sizes[x]), np.cumsum(of_b.sizes[y])
+    place = np.searchsorted(ends_b, ends_a)
+    shared = np.flatnonzero(ends_b[place] == ends_a)
+    after_a, after_b = shared + 1, place[shared] + 1
+    # Behind the last token stands none.
+    anchor = np.append(of_a.spaced[x], True)[after_a] & np.append(of_b.spaced[y], True)[after_b]
+    anchor |= np.isin(after_a, last_a)
+    cuts_a, cuts_b = after_a[anchor], after_b[anchor]
+    sizes = np.diff(cuts_a, prepend=0), np.diff(cuts_b, prepend=0)
+    chosen, order = _distinct((x, y), sizes)
+    kept = [
+        (ids[_places(_starts(n)[chosen], n[chosen])], n[chosen])
+        for ids, n in zip((x, y), sizes, strict=True)
+    ]
+    upto = np.searchsorted(cuts_a, last_a, "right")
+    return Windows(order, np.diff(upto, prepend=0), *kept[0], *kept[1])
+
+
+class Alignment(NamedTuple):
+    """Groups and links of windows that stand one after the other."""
+
+    a_groups: np.ndarray  # the group of each token of A
+    b_groups: np.ndarray
+    n_groups: np.ndarray  # of each window
+    n_links: np.ndarray
+    links: np.ndarray  # a << 16 | b, by window
+
+
+def align_windows(windows: Windows, of_a: Vocabulary, of_b: Vocabulary) -> Alignment:
+    """Each window once: groups between shared ends, and all pairs whose bytes overlap."""
+    x, y = windows.a.astype(np.int64), windows.b.astype(np.int64)
+    sizes_a, sizes_b = of_a.sizes[x], of_b.sizes[y]
+    ends_a, ends_b = np.cumsum(sizes_a), np.cumsum(sizes_b)
+    begins_a, begins_b = ends_a - sizes_a, ends_b - sizes_b
+    shared = np.intersect1d(ends_a, ends_b, assume_unique=True)
+    a_groups, b_groups = np.searchsorted(shared, ends_a), np.searchsorted(shared, ends_b)
+    first = np.searchsorted(ends_b, begins_a, "right")
+    each = np.searchsorted(begins_b, ends_a, "left") - first
+    links = np.repeat(x, each) << 16 | y[_places(first, each)]
+    last_a = np.cumsum(windows.a_sizes)
+    n_groups = np.diff(a_groups[last_a - 1] + 1, prepend=0)
+    n_links = np.diff(np.cumsum(each)[last_a - 1], prepend=0)
+    return Alignment(a_groups, b_groups, n_groups, n_links, links)
+
+
+def written(windows: Windows, alignment: Alignment) -> list[bytes]:
+    """The groups of each window as text, each with a semicolon behind it."""
+    n_a, n_b = len(windows.a), len(windows.b)
+    in_a, in_b = alignment.a_groups, alignment.b_groups
+    # A group's tokens of A come first, then those of B.
+    at_a = np.arange(n_a) + np.searchsorted(in_b, in_a, "left")
+    at_b = np.arange(n_b) + np.searchsorted(in_a, in_b, "right")
+    ids, marks = np.empty(n_a + n_b, np.int64), np.full(n_a + n_b, ord(","), np.uint8)
+    ids[at_a], ids[at_b] = windows.a, windows.b
+    for at, groups, mark in ((at_a, in_a, "|"), (at_b, in_b, ";")):
+        marks[at[np.append(groups[1:] != groups[:-1], True)]] = ord(mark)
+    digits = 1 + sum((ids >= 10**power).astype(np.int64) for power in range(1, 5))
+    ends = np.cumsum(digits + 1)
+    text = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
+    text[ends - 1] = marks
+    for power in range(5):
+        long = digits > power
+        text[ends[long] - 2 - power] = ord("0") + ids[long] // 10**power % 10
+    last = at_b[np.cumsum(windows.b_sizes) - 1]
+    whole, bounds = text.tobytes(), [0, *ends[last].tolist()]
+    return [whole[begin:end] for begin, end in zip(bounds, bounds[1:])]
+
+
+_PACKED = ("order", "per_document", "a", "a_sizes", "b", "b_sizes")
+_KINDS = dict.fromkeys(("order", "per_document", "a_sizes", "b_sizes"), np.dtype("<i4")) | {
+    "a": IDS,
+    "b": IDS,
+}
 
 
 def encode(docs: DataFrame, byte_vocabulary: str, piece_vocabulary: str) -> tuple[DataFrame, Encoders]:
-    """The stored ids of every document as ``row``, ``doc_id``, ``a``, ``b``; and the encoders."""
+    """The encoded documents in runs, one row each; and the encoders.
+
+    A run holds ``rows`` and ``doc_ids`` of its documents, their token numbers ``n_a``
+    and ``n_b``, and their windows, each different one once.
+    """
     spark = docs.sparkSession
     bounded_batches(spark)
     models = read_file(spark, byte_vocabulary), read_file(spark, piece_vocabulary)
@@ -245,64 +323,61 @@ def encode(docs: DataFrame, byte_vocabulary: str, piece_vocabulary: str) -> tupl
             texts = [text or "" for text in batch.column(2).to_pylist()]
             for begin, end in runs([len(text) for text in texts], RUN):
                 found = encoders.encode(texts[begin:end])
-                ids = [
-                    pa.array([np.array(x[side], IDS).tobytes() for x in found], pa.binary())
-                    for side in (0, 1)
-                ]
+                a, b = ([ids[side] for ids in found] for side in (0, 1))
+                windows = find_windows(a, b, *encoders.vocabularies)
                 part = batch.slice(begin, end - begin)
+                bounds = pa.array([0, end - begin], pa.int32())
+                lists = [
+                    pa.ListArray.from_arrays(bounds, values)
+                    for values in (
+                        part.column(0),
+                        part.column(1),
+                        *(pa.array([len(ids) for ids in side], pa.int64()) for side in (a, b)),
+                    )
+                ]
+                packed = [
+                    pa.array([getattr(windows, name).astype(_KINDS[name]).tobytes()], pa.binary())
+                    for name in _PACKED
+                ]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), *ids], ["row", "doc_id", "a", "b"]
+                    [*lists, *packed], ["rows", "doc_ids", "n_a", "n_b", *_PACKED]
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    # The ids are stored with their rows, so they stay the same in every later scan.
+    fields = f"rows array<long>, doc_ids array<{kind}>, n_a array<long>, n_b array<long>"
+    fields += "".join(f", {name} binary" for name in _PACKED)
+    # The row numbers are stored, so they stay the same in every later scan.
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
     path = f"{scratch_dir(spark)}/tokens"
-    encoded = rows.mapInArrow(encode_texts, f"row long, doc_id {kind}, a binary, b binary")
-    encoded.write.option("compression", "zstd").parquet(path)
+    rows.mapInArrow(encode_texts, fields).write.option("compression", "zstd").parquet(path)
     return spark.read.parquet(path), _encoders(*models)
 
 
-def _batches(batches, memo: Memo):
-    """Documents in runs, with the windows of each run."""
-    for batch in batches:
-        a, b = (batch.column(at).to_pylist() for at in (2, 3))
-        for begin, end in runs([len(ids) for ids in a], RUN):
-            found, last = memo.windows(a[begin:end], b[begin:end])
-            yield batch.slice(begin, end - begin), a[begin:end], b[begin:end], found, last
+def _unpacked(row: dict) -> Windows:
+    return Windows(*(np.frombuffer(row[name], _KINDS[name]) for name in _PACKED))
 
 
 def count_links(encoded: DataFrame, encoders: Encoders) -> DataFrame:
     """Each linked id pair of the corpus: ``a``, ``b``, ``n`` and whether it is ``best`` for its B id."""
-    shared = encoded.sparkSession.sparkContext.broadcast(
-        (Vocabulary.of(encoders.a_bytes), Vocabulary.of(encoders.b_bytes))
-    )
+    shared = encoded.sparkSession.sparkContext.broadcast(encoders.vocabularies)
 
     def count(batches):
-        memo = Memo(*shared.value)
-        times = np.zeros(0, np.int64)
-
-        def summed():
-            sizes = [len(window.pairs) for window in memo.aligned]
-            pairs = np.fromiter((x for w in memo.aligned for x in w.pairs), np.int64, sum(sizes))
-            values, group = np.unique(pairs, return_inverse=True)
-            total = np.zeros(len(values), np.int64)
-            np.add.at(total, group, np.repeat(times, sizes))
-            return pa.RecordBatch.from_arrays(
-                [pa.array(values >> 16), pa.array(values & 0xFFFF), pa.array(total)], ["a", "b", "n"]
-            )
+        for batch in batches:
+            for at in range(batch.num_rows):
+                windows = _unpacked(batch.slice(at, 1).to_pylist()[0])
+                found = align_windows(windows, *shared.value)
+                order = np.argsort(found.links, kind="stable")
+                links = found.links[order]
+                times = np.repeat(windows.times(), found.n_links)[order]
+                first = np.flatnonzero(np.diff(links, prepend=-1))
+                total = np.add.reduceat(times, first) if len(first) else times
+                pairs = links[first]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(pairs >> 16), pa.array(pairs & 0xFFFF), pa.array(total)], ["a", "b", "n"]
+                )
 
-        for *_, found, _last in _batches(batches, memo):
-            seen = np.bincount(found, minlength=len(memo.aligned))
-            seen[: len(times)] += times
-            times = seen
-            if memo.full():
-                yield summed()
-                memo.clear()
-                times = np.zeros(0, np.int64)
-        yield summed()
-
-    counted = encoded.mapInArrow(count, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    each = encoded.select(*_PACKED).mapInArrow(count, "a long, b long, n long")
+    counted = each.groupBy("a", "b").agg(F.sum("n").alias("n"))
     highest = F.max("n").over(Window.partitionBy("b"))
     path = f"{scratch_dir(encoded.sparkSession)}/pairs"
     counted.withColumn("best", F.col("n") == highest).write.parquet(path)
@@ -316,13 +391,14 @@ class Counts(NamedTuple):
     n: np.ndarray
     best: np.ndarray
 
-    def sums(self, window: Aligned) -> tuple[int, int]:
-        """How many links of the window are best, and the sum of their counts."""
-        links = np.array(window.pairs, np.int64)
+    def of(self, links: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each link is best, and its count; 0 for pairs that are not here."""
         at = np.searchsorted(self.pairs, links)
-        at, links = at[at < len(self.pairs)], links[at < len(self.pairs)]
-        at = at[self.pairs[at] == links]
-        return int(self.best[at].sum()), int(self.n[at].sum())
+        at[at == len(self.pairs)] = -1
+        here = self.pairs[at] == links if len(self.pairs) else np.zeros(len(links), bool)
+        best, n = np.zeros(len(links), np.int64), np.zeros(len(links), np.int64)
+        best[here], n[here] = self.best[at[here]], self.n[at[here]]
+        return best, n
 
 
 def _slices(counts: DataFrame, most: int) -> list[tuple[int, int]]:
@@ -340,8 +416,7 @@ def _slices(counts: DataFrame, most: int) -> list[tuple[int, int]]:
 def align(encoded: DataFrame, counts: DataFrame, encoders: Encoders, most: int = PAIRS) -> DataFrame:
     """Groups and links of each document with the corpus-wide counts of its links."""
     spark = encoded.sparkSession
-    vocabularies = Vocabulary.of(encoders.a_bytes), Vocabulary.of(encoders.b_bytes)
-    kind = encoded.schema["doc_id"].dataType.simpleString()
+    kind = encoded.schema["doc_ids"].dataType.elementType.simpleString()
     schema = (
         f"row long, doc_id {kind}, n_a long, n_b long, n_groups long, n_links long, "
         "n_best long, count_sum long, groups string"
@@ -355,42 +430,33 @@ def align(encoded: DataFrame, counts: DataFrame, encoders: Encoders, most: int =
         known = Counts(
             table["pair"].to_numpy(), table["n"].to_numpy(), table["best"].to_numpy(zero_copy_only=False)
         )
-        shared = spark.sparkContext.broadcast((*vocabularies, known))
+        shared = spark.sparkContext.broadcast((encoders.vocabularies, known))
 
         def resolve(batches):
-            *both, found_counts = shared.value
-            memo = Memo(*both)
-            values: list[tuple[int, int, int, int]] = []
-            for batch, a, b, found, last in _batches(batches, memo):
-                values += [
-                    (window.n_groups, len(window.pairs), *found_counts.sums(window))
-                    for window in memo.aligned[len(values) :]
-                ]
-                used, place = np.unique(found, return_inverse=True)
-                table = np.array([values[at] for at in used.tolist()], np.int64).reshape(-1, 4)
-                upto = np.vstack([np.zeros((1, 4), np.int64), np.cumsum(table[place], axis=0)])
-                first = np.concatenate([[0], last[:-1]])
-                sums = upto[last] - upto[first]
-                texts = [window.text for window in memo.aligned]
-                order = found.tolist()
-                groups = [
-                    ";".join([texts[at] for at in order[x:y]])
-                    for x, y in zip(first.tolist(), last.tolist(), strict=True)
-                ]
-                sizes = [[len(ids) // IDS.itemsize for ids in side] for side in (a, b)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0),
-                        batch.column(1),
-                        *(pa.array(side, pa.int64()) for side in sizes),
-                        *(pa.array(sums[:, at]) for at in range(4)),
-                        pa.array(groups, pa.string()),
-                    ],
-                    names,
-                )
-                if memo.full():
-                    memo.clear()
-                    values = []
+            vocabularies, found_counts = shared.value
+            for batch in batches:
+                for at in range(batch.num_rows):
+                    row = batch.slice(at, 1)
+                    windows = _unpacked(row.select(_PACKED).to_pylist()[0])
+                    found = align_windows(windows, *vocabularies)
+                    of_links = [
+                        np.concatenate([[0], np.cumsum(values)]) for values in found_counts.of(found.links)
+                    ]
+                    bounds = np.concatenate([[0], np.cumsum(found.n_links)])
+                    of_windows = [found.n_groups, found.n_links, *(np.diff(x[bounds]) for x in of_links)]
+                    last = np.concatenate([[0], np.cumsum(windows.per_document, dtype=np.int64)])
+                    sums = []
+                    for values in of_windows:
+                        upto = np.concatenate([[0], np.cumsum(values[windows.order])])
+                        sums.append(pa.array(np.diff(upto[last])))
+                    texts, order = written(windows, found), windows.order.tolist()
+                    groups = [
+                        b"".join([texts[at] for at in order[begin:end]])[:-1]
+                        for begin, end in zip(last.tolist(), last[1:].tolist())
+                    ]
+                    lists = [row[name].flatten() for name in ("rows", "doc_ids", "n_a", "n_b")]
+                    text = pa.array(groups, pa.binary()).cast(pa.string())
+                    yield pa.RecordBatch.from_arrays([*lists, *sums, text], names)
 
         return encoded.mapInArrow(resolve, schema)
 

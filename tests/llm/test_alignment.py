@@ -1,6 +1,8 @@
 import hashlib
+import re
 from collections import Counter
 
+import numpy as np
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -104,8 +106,7 @@ def test_equals_brute_force(documents, models):
     assert [got[at] for at in range(len(texts))] == brute_force(models, texts)
 
 
-def test_counts_in_slices_and_small_memos(spark, documents, models, monkeypatch):
-    monkeypatch.setattr(alignment, "MEMO", 50)
+def test_counts_in_slices_and_small_runs(spark, documents, models, monkeypatch):
     monkeypatch.setattr(alignment, "RUN", 200)
     docs = documents(list(enumerate(TEXTS))).repartition(3)
     encoded, encoders = alignment.encode(docs, alignment.BYTE_VOCABULARY, alignment.PIECE_VOCABULARY)
@@ -121,10 +122,24 @@ def test_parts_encode_as_the_whole(models, monkeypatch):
         encoders = alignment.Encoders(a.read(), b.read())
     assert encoders.cuttable
     texts = [text for text in TEXTS if text] + [prose(3, 400), " ".join(TEXTS[:5] * 9)]
-    whole = encoders.encode(texts)
+
+    def ids():
+        return [(a.tolist(), b.tolist()) for a, b in encoders.encode(texts)]
+
+    whole = ids()
     monkeypatch.setattr(alignment, "PART", 7)
     assert len(list(encoders.parts(prose(3, 400)))) > 50
-    assert encoders.encode(texts) == whole
+    assert ids() == whole
+    monkeypatch.setattr(alignment, "_LONG_RUN", re.compile(""))  # all by the slower encoder
+    assert ids() == whole
+
+
+def test_windows_of_one_hash_stay_apart(monkeypatch):
+    monkeypatch.setattr(alignment, "_tuple_hashes", lambda ids, sizes: np.zeros(len(sizes), np.uint64))
+    a, b = np.array([1, 2, 1, 2, 1, 3], alignment.IDS), np.array([5, 5, 6], alignment.IDS)
+    sizes = np.array([2, 2, 2]), np.array([1, 1, 1])
+    first, order = alignment._distinct((a, b), sizes)
+    assert first[order].tolist() == [0, 0, 2]
 
 
 def test_long_texts_repeated_rows_and_clashing_columns(spark, documents):
