@@ -22,8 +22,10 @@ table that fits one bucket is searched in full.
 
 Equal vectors are one class: it is indexed and searched once and stands for its
 ``k + 1`` smallest ids, which is all that a result can name. Buckets of more than
-``BLOCK`` vectors are dealt in blocks over several cells; queries go to each of them.
-A cell holds about ``CELL`` bytes; a task keeps one cell and a run of queries.
+``BLOCK`` vectors are dealt over several cells; queries go to each of them. There are
+less than ``LARGE`` such buckets: in tables beyond ``BLOCK * LARGE`` rows more vectors
+make a bucket large. A cell holds about ``CELL`` bytes; a task keeps one cell and a run
+of queries. A query travels once for each cell that it visits.
 
 Vectors that are null, zero, or hold a null or non-finite component take no part, nor
 do rows without an id and vectors whose length is not the most frequent (of several,
@@ -54,6 +56,7 @@ WIDTH = 2.5  # steps, in standard deviations of a projection
 VISITS = 2048
 SAMPLE = 256
 BLOCK = 4096
+LARGE = 1 << 20
 CELL = 1 << 23
 RUN = 512
 SEED = 20
@@ -282,34 +285,73 @@ def _index(classes: DataFrame, hashes: Hashes) -> DataFrame:
     )
 
 
-def _visits(classes: DataFrame, hashes: Hashes) -> DataFrame:
-    """The buckets that each query class visits."""
-    shared = classes.sparkSession.sparkContext.broadcast(hashes)
+class Cells(NamedTuple):
+    """Where the vectors of a bucket lie: ``count`` cells a table, large buckets in several."""
+
+    count: int
+    keys: np.ndarray  # of large buckets, ascending
+    blocks: np.ndarray  # in how many cells each of them lies
+
+    def of(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Every cell of each bucket: places in ``keys``, and cells."""
+        own = keys % self.count
+        blocks = np.ones(len(keys), np.int64)
+        if len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            large = self.keys[at] == keys
+            blocks[large] = self.blocks[at[large]]
+        place = np.repeat(np.arange(len(keys)), blocks)
+        block = np.arange(len(place)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+        return place, (own[place] + block) % self.count
+
+
+def _large_buckets(index: DataFrame, cells: int, rows: int) -> DataFrame:
+    """Buckets of more than ``BLOCK`` vectors, or more than the table has for ``LARGE`` buckets.
+
+    So there are less than ``LARGE`` of them. A bucket lies in no more cells than there are.
+    """
+    most = max(BLOCK, rows // LARGE)
+    sizes = index.groupBy(F.col("key").alias("large")).count().where(F.col("count") > most)
+    blocks = F.least(F.ceil(F.col("count") / most), F.lit(cells)).cast("long")
+    return sizes.select("large", blocks.alias("blocks"))
+
+
+def _visits(classes: DataFrame, hashes: Hashes, cells: Cells) -> DataFrame:
+    """The queries, once for each cell that holds buckets they visit, with these buckets."""
+    shared = classes.sparkSession.sparkContext.broadcast((hashes, cells))
 
     def visit(batches):
-        known = shared.value
+        known, where = shared.value
         for batch in batches:
             for begin in range(0, batch.num_rows, 64):
                 part = batch.slice(begin, 64)
                 points = known.scaled(_matrix(part.column(2)))
                 for table in range(len(known.directions)):
                     keys = known.keys(known.visited(points, table), table)
-                    offsets = pa.array(np.arange(len(keys) + 1, dtype=np.int32) * keys.shape[1])
+                    query = np.repeat(np.arange(len(keys)), keys.shape[1])
+                    place, cell = where.of(keys.ravel())
+                    order = np.lexsort((cell, query[place]))
+                    place, cell = place[order], cell[order]
+                    query, key = query[place], keys.ravel()[place]
+                    new = (np.diff(query, prepend=-1) != 0) | (np.diff(cell, prepend=-1) != 0)
+                    first = np.flatnonzero(new)
+                    rows = part.take(pa.array(query[first]))
+                    bounds = pa.array(np.append(first, len(key)).astype(np.int32))
                     yield pa.RecordBatch.from_arrays(
                         [
-                            part.column(0),
-                            part.column(1),
-                            pa.array(np.full(len(keys), table, np.int32)),
-                            pa.ListArray.from_arrays(offsets, pa.array(keys.ravel())),
+                            pa.array(cell[first] + table * where.count),
+                            pa.ListArray.from_arrays(bounds, pa.array(key)),
+                            *rows.columns,
                         ],
-                        [*_CLASS, "table", "keys"],
+                        ["cell", "keys", *_CLASS, "embedding"],
                     )
 
     asked = classes.where("asked").select(
         *_CLASS, F.col("embedding").cast("array<double>").alias("embedding")
     )
-    found = asked.mapInArrow(visit, "c1 long, c2 long, table int, keys array<long>")
-    return found.select(*_CLASS, "table", F.explode("keys").alias("key"))
+    return asked.mapInArrow(
+        visit, "cell long, keys array<long>, c1 long, c2 long, embedding array<double>"
+    )
 
 
 class _Cell:
@@ -423,42 +465,25 @@ def nearest(
 
     index = _stored(_index(classes, hashes), f"{folder}/index")
     dimensions = hashes.directions.shape[2] - 1
-    cells = max(index.count() // len(hashes.directions) * dimensions * 8 // CELL, 1)
-    sizes = index.groupBy("key").count()
-    blocks = sizes.select(
-        F.col("key").alias("_key"), F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")
-    )
-    blocks = _stored(blocks, f"{folder}/blocks")
-
-    def cell(block: Column) -> Column:
-        dealt = F.pmod(F.xxhash64("key", block), F.lit(cells))
-        return (F.col("table") * F.lit(cells) + dealt).cast("long").alias("cell")
-
-    large = blocks.where("blocks > 1")
+    rows = index.count()
+    dimensions = hashes.directions.shape[2] - 1
+    count = max(rows // len(hashes.directions) * dimensions * 8 // CELL, 1)
+    large = _stored(_large_buckets(index, count, rows), f"{folder}/large")
+    known = large.orderBy("large").toArrow()
+    cells = Cells(count, known["large"].to_numpy(), known["blocks"].to_numpy())
     block = F.pmod(F.xxhash64(*_CLASS), F.coalesce("blocks", F.lit(1)))
-    placed = index.join(large, F.col("key") == F.col("_key"), "left").select(
-        cell(block), F.lit(False).alias("is_query"), "key", *_CLASS, "least", "embedding"
-    )
-    found = _visits(classes, hashes).join(blocks, F.col("key") == F.col("_key"))
-    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
-    visits = found.select(*_CLASS, "table", "key", every).select(
-        *_CLASS, "key", cell(F.col("block").cast("long"))
-    )
-    # At most ``visits`` keys a query and cell.
-    asked = (
-        visits.groupBy(*_CLASS, "cell")
-        .agg(F.collect_set("key").alias("keys"))
-        .join(classes.select(*_CLASS, "embedding"), list(_CLASS))
-        .select(
-            "cell",
-            F.lit(True).alias("is_query"),
-            "keys",
-            *_CLASS,
-            F.col("embedding").cast("array<double>").alias("embedding"),
-        )
+    own = F.pmod("key", F.lit(count)) + block
+    placed = index.join(large, F.col("key") == F.col("large"), "left").select(
+        (F.col("table") * F.lit(count) + F.pmod(own, F.lit(count))).cast("long").alias("cell"),
+        F.lit(False).alias("is_query"),
+        "key",
+        *_CLASS,
+        "least",
+        "embedding",
     )
+    asked = _visits(classes, hashes, cells).withColumn("is_query", F.lit(True))
     both = placed.unionByName(asked, allowMissingColumns=True)
-    dealt = both.repartition(min(2 * cells * len(hashes.directions), 1 << 16), "cell")
+    dealt = both.repartition(min(2 * count * len(hashes.directions), 1 << 16), "cell")
     best = _search_cells(dealt.sortWithinPartitions("cell", "is_query"), k)
 
     once = best.groupBy("q1", "q2", *_CLASS, "least").agg(F.max("score").alias("score"))
