@@ -54,7 +54,7 @@ SPACE_MARK = "▁"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 _CUT = re.compile(r"(?<=[!-~]) (?=[A-Za-z])")
-_LONG_RUN = re.compile(r"\s{4096}|\S{4096}")
+LONG_RUN = 2048
 
 
 def byte_letters() -> dict[str, int]:
@@ -78,6 +78,18 @@ def read_file(spark: SparkSession, path: str) -> bytes:
         return file.read()
 
 
+def has_long_run(text: str) -> bool:
+    """True where white space, or text without it, goes on for twice ``LONG_RUN`` characters.
+
+    Such a run fills one of the text's slices; half of that may count as well.
+    """
+    for at in range(0, len(text) - LONG_RUN + 1, LONG_RUN):
+        piece = text[at : at + LONG_RUN]
+        if len(piece.split(None, 1)) < 2:
+            return True
+    return False
+
+
 class Vocabulary(NamedTuple):
     """What alignment needs of a vocabulary: bytes a token, and whether it begins with a space."""
 
@@ -141,7 +153,7 @@ class Encoders:
 
     def _ids_of_a(self, parts: list[str]) -> list[list[int]]:
         """Ids of A: by its merges as ranks, and by the slower encoder where a run is very long."""
-        found = [None if _LONG_RUN.search(part) else self.fast.encode_ordinary(f" {part}") for part in parts]
+        found = [None if has_long_run(part) else self.fast.encode_ordinary(f" {part}") for part in parts]
         slow = [at for at, ids in enumerate(found) if ids is None]
         encoded = self.a.encode_batch([f" {parts[at]}" for at in slow], add_special_tokens=False)
         for at, ids in zip(slow, encoded, strict=True):
@@ -155,7 +167,10 @@ class Encoders:
         ids = self._ids_of_a(flat), self.b.encode(flat, num_threads=1)
         result, at = [], 0
         for text, parts in zip(texts, cut, strict=True):
-            a, b = ([x for part in side[at : at + len(parts)] for x in part] for side in ids)
+            a, b = (
+                side[at] if len(parts) == 1 else [x for part in side[at : at + len(parts)] for x in part]
+                for side in ids
+            )
             at += len(parts)
             whole = f" {text}".encode()
             same = (
@@ -210,13 +225,13 @@ def _distinct(ids: tuple[np.ndarray, ...], sizes: tuple[np.ndarray, ...]) -> tup
     _, first, order = np.unique(hashes, return_index=True, return_inverse=True)
     unlike = np.zeros(len(order), bool)
     for x, n in zip(ids, sizes, strict=True):
-        begin, same_size = _starts(n), n == n[first[order]]
+        same_size = n == n[first[order]]
+        begin = _starts(n)
+        shift = np.where(same_size, begin[first[order]] - begin, 0)
+        other = x[np.arange(len(x)) + np.repeat(shift, n)] != x
         unlike |= ~same_size
-        checked = np.flatnonzero(same_size)
-        here, there = (
-            x[_places(begin[of], n[checked])] for of in (checked, first[order[checked]])
-        )
-        unlike[np.repeat(checked, n[checked])[here != there]] = True
+        if other.any():
+            unlike[np.repeat(np.arange(len(n)), n)[other]] = True
     others = np.flatnonzero(unlike)  # of another one's hash: windows of their own
     order[others] = len(first) + np.arange(len(others))
     return np.concatenate([first, others]), order

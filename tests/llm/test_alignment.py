@@ -1,5 +1,4 @@
 import hashlib
-import re
 from collections import Counter
 
 import numpy as np
@@ -130,10 +129,17 @@ def test_parts_encode_as_the_whole(models, monkeypatch):
     monkeypatch.setattr(alignment, "PART", 7)
     assert len(list(encoders.parts(prose(3, 400)))) > 50
     assert ids() == whole
-    monkeypatch.setattr(alignment, "_LONG_RUN", re.compile(""))  # all by the slower encoder
+    monkeypatch.setattr(alignment, "has_long_run", lambda text: True)  # all by the slower encoder
     assert ids() == whole
 
 
+def test_long_runs_are_seen():
+    words = prose(4, 3000)
+    assert not alignment.has_long_run(words) and not alignment.has_long_run("")
+    for run in (" " * 4096, "\n\t" * 2048, "z" * 4096):
+        assert alignment.has_long_run(run) and alignment.has_long_run(f"{words} {run} {words}")
+
+
 def test_windows_of_one_hash_stay_apart(monkeypatch):
     monkeypatch.setattr(alignment, "_tuple_hashes", lambda ids, sizes: np.zeros(len(sizes), np.uint64))
     a, b = np.array([1, 2, 1, 2, 1, 3], alignment.IDS), np.array([5, 5, 6], alignment.IDS)
