@@ -1,8 +1,10 @@
 """Where the tables of a warehouse lie.
 
-``<root>/<table>/site=<site>/<date column>=.../``: the site is a partition
-column of every table, so a query over all sites reads one path and a job for
-one site writes below its own folder only.
+``<root>/<table>/site=<site>/version=<version>/<date column>=.../``: the site is a
+partition column of every table, so a query over all sites is one scan and a job for
+one site writes below its own folder only. Which versions count is said by the site's
+releases, see ``sources.releases``. Landed files, their archive and rejects have no
+versions.
 """
 
 from __future__ import annotations
@@ -11,6 +13,13 @@ from dataclasses import dataclass
 
 HEALTH_SITE = "health_grade"
 
+# Tables of a release.
+INPUT = "input_parquet"
+RESTAURANTS = "restaurants"
+RATING_SUM = "rating_sum"
+FINAL_RATING = "final_rating"
+GRADE_RUNS = "grade_runs"
+
 
 @dataclass(frozen=True)
 class Site:
@@ -19,44 +28,28 @@ class Site:
     root: str
     name: str
 
-    def _table(self, table: str) -> str:
+    def table(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}/site={self.name}"
 
     @property
     def landing(self) -> str:
-        return self._table("raw_data")
+        return self.table("raw_data")
 
     @property
     def history(self) -> str:
-        return self._table("raw_data_history")
+        return self.table("raw_data_history")
 
     @property
     def rejects(self) -> str:
-        return self._table("rejects")
-
-    @property
-    def input(self) -> str:
-        return self._table("input_parquet")
+        return self.table("rejects")
 
     @property
-    def restaurants(self) -> str:
-        return self._table("restaurants")
-
-    @property
-    def rating_sum(self) -> str:
-        return self._table("rating_sum")
-
-    @property
-    def final_rating(self) -> str:
-        return self._table("final_rating")
-
-    @property
-    def grade_values(self) -> str:
-        return self._table("grade_values")
+    def checkpoint(self) -> str:
+        return self.table("_checkpoints")
 
     @property
-    def checkpoint(self) -> str:
-        return self._table("_checkpoints")
+    def releases(self) -> str:
+        return self.table("_releases")
 
 
 def health_site(root: str) -> Site:

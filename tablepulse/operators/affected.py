@@ -10,82 +10,21 @@ from tablepulse.operators.rolling import WINDOW_DAYS
 
 
 def affected_dates(
-    touched: DataFrame,
-    days: int = WINDOW_DAYS,
-    grown: DataFrame | None = None,
-    date_col: str = "review_date",
+    touched: DataFrame, days: int = WINDOW_DAYS, date_col: str = "review_date"
 ) -> DataFrame:
     """All dates that play a part in a recomputation, one row each.
 
     ``is_touched``  the batch has reviews on this date
-    ``is_grown``    a series gets this day because its span grew
     ``is_output``   the rolling rating can change: a review counts on its own
-                    day and the ``days - 1`` that follow, and a day that is new
-                    to a series has no rating yet
-    Every row is needed as input: an output date and the ``days - 1`` before it.
+                    day and the ``days - 1`` that follow
+    Every row is needed as input: an output date and the ``days - 1`` before it. A batch
+    that lengthens a series adds no further dates, as days without information are not
+    stored.
     """
-    flags = ("is_touched", "is_grown")
-
-    def mark(df: DataFrame, flag: str) -> DataFrame:
-        return df.select(
-            F.col(date_col).alias("day"), *((F.lit(name == flag)).alias(name) for name in flags)
-        )
-
-    marks = mark(touched, "is_touched")
-    if grown is not None:
-        marks = marks.unionByName(mark(grown, "is_grown"))
-    marks = marks.where("day is not null").groupBy("day").agg(*(F.max(f).alias(f) for f in flags))
-
-    reach = F.when(F.col("is_touched"), days_from("day", days - 1)).otherwise(F.array("day"))
-    outputs = marks.select("*", F.explode(reach).alias("output_day"))
+    marks = touched.select(F.col(date_col).alias("day")).where("day is not null").distinct()
+    outputs = marks.select("day", F.explode(days_from("day", days - 1)).alias("output_day"))
     inputs = outputs.select("*", F.explode(days_around("output_day", days - 1, 0)).alias(date_col))
-    own_day = F.col("day") == F.col(date_col)
     return inputs.groupBy(date_col).agg(
-        *(F.max(F.col(flag) & own_day).alias(flag) for flag in flags),
+        F.max(F.col("day") == F.col(date_col)).alias("is_touched"),
         F.max(F.col("output_day") == F.col(date_col)).alias("is_output"),
     )
-
-
-def span_growth(batch_spans: DataFrame, known_spans: DataFrame) -> DataFrame:
-    """The day ranges that a batch adds to each restaurant's calendar.
-
-    Before the first known day, after the last one, or the whole span of a
-    restaurant that was not known. Both inputs have one row per restaurant.
-    """
-    known = known_spans.select(
-        "restaurant_id",
-        F.col("first_date").alias("known_first"),
-        F.col("last_date").alias("known_last"),
-    )
-    # A batch that lies wholly on one side grows the calendar up to the known span.
-    up_to_known = F.struct(
-        F.col("first_date").alias("first_day"),
-        F.when(F.col("first_date") < F.col("known_first"), F.date_sub("known_first", 1))
-        .when(F.col("known_first").isNull(), F.col("last_date"))
-        .alias("last_day"),
-    )
-    from_known = F.struct(
-        F.date_add("known_last", 1).alias("first_day"),
-        F.when(F.col("last_date") > F.col("known_last"), F.col("last_date")).alias("last_day"),
-    )
-    return (
-        batch_spans.select("restaurant_id", "first_date", "last_date")
-        .join(known, "restaurant_id", "left")
-        .select("restaurant_id", F.explode(F.array(up_to_known, from_known)).alias("range"))
-        .select("restaurant_id", "range.first_day", "range.last_day")
-        .where("last_day >= first_day")
-    )
-
-
-def days_of_ranges(ranges: DataFrame, date_col: str = "review_date") -> DataFrame:
-    """The distinct days that lie in any of the ranges.
-
-    Of the ranges with one first day the longest holds the others, so no more ranges
-    are spread than the calendar has days.
-    """
-    return (
-        ranges.groupBy("first_day")
-        .agg(F.max("last_day").alias("last_day"))
-        .select(F.explode(F.sequence("first_day", "last_day")).alias(date_col))
-        .distinct()
-    )

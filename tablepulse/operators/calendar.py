@@ -44,6 +44,7 @@ def densify(
     until: date | None = None,
     only: tuple[date, date] | None = None,
     reach: int | None = None,
+    beyond: bool = True,
 ) -> DataFrame:
     """Add a row for every missing day between the rows of each entity.
 
@@ -53,7 +54,7 @@ def densify(
     ``until`` extends each series beyond its own last date; ``only`` emits the
     days of a closed range and skips the rest before they are made. With ``reach``
     only the days that lie at most so many after a row are added, also after the
-    last one.
+    last one unless ``beyond`` is false.
 
     Each row is spread up to the day before the next one. This needs one
     shuffle by ``keys`` and neither a second grouping nor a join, and it leaves
@@ -69,7 +70,8 @@ def densify(
     last_day = F.greatest(F.col(date_col), F.coalesce(day_before_next, end_of_series))
     if reach is not None:
         within = F.date_add(date_col, reach)
-        last_day = F.least(within, F.coalesce(day_before_next, within))
+        end = within if beyond else F.col(date_col)
+        last_day = F.least(within, F.coalesce(day_before_next, end))
     if only:
         first_day = F.greatest(first_day, day(only[0]))
         last_day = F.least(last_day, day(only[1]))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tablepulse.functions import day as as_day
 from tablepulse.functions import ratio
+from tablepulse.operators.asof import as_of_join
 
 
 def _pearson(left: str, right: str) -> Column:
@@ -17,27 +18,32 @@ def _pearson(left: str, right: str) -> Column:
     return F.try_divide(F.covar_pop(left, right), F.nullif(spread, F.lit(0.0)))
 
 
-def ratings_with_grades(final_rating: DataFrame, grades: DataFrame) -> DataFrame:
-    """Days that have both a rating series and a grade in force, per restaurant.
+def ratings_with_grades(final_rating: DataFrame, runs: DataFrame) -> DataFrame:
+    """The rated days of a series with the grade in force on them, per restaurant.
 
-    The keys are restaurant and day, so a restaurant with a long series spreads
-    over all tasks. Both series are dense. Spark's size estimate misses the days
-    that filling adds, so the merge hint keeps it from broadcasting one of them.
+    ``runs`` are those of :func:`tablepulse.operators.grades.grade_runs`. Neither side has
+    to be dense: days without a rating can be left out of the one, and a run stands for
+    all its days.
     """
-    graded = grades.select(
-        "restaurant_id", F.col("grade_date").alias("review_date"), "health_grade"
-    ).hint("merge")
-    return final_rating.join(graded, ["restaurant_id", "review_date"])
+    last_day = F.coalesce("valid_to", "valid_from")
+    return as_of_join(
+        final_rating,
+        runs,
+        ["restaurant_id"],
+        "review_date",
+        "valid_from",
+        last_day,
+        ["health_grade"],
+    )
 
 
 def rating_hygiene_correlation(
-    final_rating: DataFrame, grades: DataFrame, per_restaurant: bool = False
+    final_rating: DataFrame, runs: DataFrame, per_restaurant: bool = False
 ) -> DataFrame:
     """Correlation of rolling rating and health grade, per site or per site and restaurant."""
     keys = ["site", "restaurant_id"] if per_restaurant else ["site"]
-    both = ratings_with_grades(final_rating, grades).where(
-        "final_rating is not null and health_grade is not null"
-    )
+    rated = final_rating.where("final_rating is not null")
+    both = ratings_with_grades(rated, runs).where("health_grade is not null")
     pairs = both.select(
         *keys, "final_rating", F.col("health_grade").cast("double").alias("health_grade")
     )

@@ -30,17 +30,23 @@ def rolling_rating(
 
 
 def rated_days(
-    daily: DataFrame, days: int = WINDOW_DAYS, keys: Sequence[str] = SERIES
+    daily: DataFrame, days: int = WINDOW_DAYS, keys: Sequence[str] = SERIES, beyond: bool = True
 ) -> DataFrame:
     """The days that carry information, with their rolling rating.
 
     ``daily`` has one row per review day of a series. The result has these days and
     the ``days - 1`` after each; on every other day of the dense series nothing was
     counted and ``final_rating`` is null. One shuffle, and work that follows the number
-    of review days, not the length of the series.
+    of review days, not the length of the series. Without ``beyond`` the days after the
+    last review day, by which a later batch may lengthen the series, are left out.
     """
     near = densify(
-        daily, keys, "review_date", {"rating_sum": 0, "rating_count": 0}, reach=days - 1
+        daily,
+        keys,
+        "review_date",
+        {"rating_sum": 0, "rating_count": 0},
+        reach=days - 1,
+        beyond=beyond,
     )
     number_of_day = F.unix_date("review_date")
     recent = Window.partitionBy(*keys).orderBy(number_of_day).rangeBetween(1 - days, 0)

@@ -216,6 +216,38 @@ ORACLES: dict[str, str] = {
     "backfill_reviews": _with(_FINAL_RATING, _RATED),
     "incremental_reviews": _with(_FINAL_RATING, _RATED),
     "ingest_health": _GRADE_VALUES,
+    "grade_runs": _with(
+        """SELECT restaurant_id, grade_date AS valid_from,
+               CAST(lead(grade_date) OVER series - 1 AS DATE) AS valid_to,
+               last_value(health_grade IGNORE NULLS) OVER so_far AS health_grade,
+               last_value(CASE WHEN health_grade IS NOT NULL THEN grade_date END IGNORE NULLS)
+                   OVER so_far AS graded_on
+        FROM daily_grade
+        WINDOW series AS (PARTITION BY restaurant_id ORDER BY grade_date),
+               so_far AS (PARTITION BY restaurant_id ORDER BY grade_date
+                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+    ),
+    "uncommitted_batch": _with(
+        f"SELECT site, {_SERIES} FROM morning LEFT JOIN restaurants USING (restaurant_id)",
+        _timeline(
+            "morning",
+            "(SELECT * FROM all_reviews WHERE posted_hour < 12 AND site = 'google_reviews')",
+        ),
+    ),
+    "graded_ratings": _with(
+        """SELECT rated.site, rated.restaurant_id, review_date, final_rating, health_grade
+        FROM rated JOIN grades ON rated.restaurant_id = grades.restaurant_id
+                              AND review_date = grade_date
+        WHERE final_rating IS NOT NULL""",
+        _RATED,
+    ),
+    "republished_ratings": _with(
+        """SELECT county, count(*) AS n_days, CAST(sum(rating_count) AS BIGINT) AS n_reviews,
+               max(final_rating) AS best_rating
+        FROM rated LEFT JOIN restaurants USING (restaurant_id)
+        WHERE site = 'google_reviews' GROUP BY county""",
+        _RATED,
+    ),
     "rating_hygiene_corr": _correlation("site"),
     "rating_hygiene_corr_by_restaurant": _correlation("site, rated.restaurant_id"),
     "quality_timeline": _with(

@@ -2,15 +2,17 @@
 
 ``input_parquet``  distinct inspections by grade date
 ``restaurants``    attributes and active span, one row per restaurant and batch
-``grade_values``   the grade in force on every day, by grade date
+``grade_runs``     the grade from each inspection day to the next one, by its first day
 
-A new file is merged with the inspections already stored, so that a grade is
-carried from one file to the next, and ``grade_values`` is replaced date by
-date, so that a repeated file changes nothing.
+A new file is merged with the inspections already stored, so that a grade is carried
+from one file to the next. Only the runs that it changes are recomputed, and only the
+dates on which such a run begins are replaced, so a repeated file writes no run. Days are
+made from the runs on reading. All tables of a batch are published as one release.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,22 +20,16 @@ from pyspark.sql import functions as F
 
 from tablepulse import schemas
 from tablepulse.functions import day
-from tablepulse.layout import HEALTH_SITE, Site
-from tablepulse.operators.affected import days_of_ranges
-from tablepulse.operators.grades import daily_grade, forward_fill_grades, grade_changes
-from tablepulse.operators.merge import in_dates, merge_partitions, union_all
+from tablepulse.layout import GRADE_RUNS, HEALTH_SITE, INPUT, RESTAURANTS, Site
+from tablepulse.operators.grades import days_of_runs, updated_runs
+from tablepulse.operators.merge import merge_partitions, union_all
 from tablepulse.operators.normalize import normalize_health, rejected, usable
 from tablepulse.operators.rolling import attach_restaurants
-from tablepulse.operators.rollups import (
-    active_span,
-    merge_restaurants,
-    merge_spans,
-    restaurants,
-    touched_dates,
-)
+from tablepulse.operators.rollups import merge_restaurants, restaurants, touched_dates
 from tablepulse.plans.report import BatchReport, batch_report
-from tablepulse.sources.readers import read_dates, read_sites, read_table
-from tablepulse.sources.writers import overwrite_partitions, replace_table, write_archive
+from tablepulse.schemas import with_site
+from tablepulse.sources.releases import Release, current_release, read_released
+from tablepulse.sources.writers import replace_table, write_archive
 
 ATTRIBUTES = ("restaurant_name", "county", "cuisine")
 
@@ -59,62 +55,68 @@ def ingest_health(
         if not touched:
             return report
 
-        stored = read_dates(spark, site.input, schemas.HEALTH, "grade_date", touched)
+        release = current_release(spark, site)
+        stored = release.read(INPUT, schemas.HEALTH, touched)
         merged = merge_partitions(stored, good, "grade_date", touched, match_on="restaurant_id")
-        overwrite_partitions(merged, site.input, "grade_date")
-        replace_table(
-            restaurants(good, ATTRIBUTES, "grade_date"), f"{site.restaurants}/batch={batch_key}", None
-        )
-
-        series = recent_series(spark, site, good, batch_key)
-        changes = grade_changes(series, daily_grade(good))
-        affected = [row[0] for row in days_of_ranges(changes, "grade_date").collect()]
+        release.replace(merged, INPUT, "grade_date", touched)
+        log = restaurants(good, ATTRIBUTES, "grade_date").withColumn("batch", F.lit(batch_key))
+        release.replace(log, RESTAURANTS, "batch", [batch_key])
+        update_runs(release, good, min(touched))
     finally:
         raw.unpersist()
-
-    filled = forward_fill_grades(series, only=(min(affected), max(affected)))
-    overwrite_partitions(
-        in_dates(filled, "grade_date", affected).select(schemas.GRADE_VALUES.names),
-        site.grade_values,
-        "grade_date",
-    )
+    release.commit()
     return report
 
 
-def recent_series(spark: SparkSession, site: Site, batch: DataFrame, batch_key: str) -> DataFrame:
-    """Daily grades from the first day that a merged batch can change.
+def update_runs(release: Release, batch: DataFrame, start: date) -> None:
+    """Replace the dates on which a run begins that the batch adds or changes.
 
-    That is the first inspection of the batch or the day after the last one that a
-    restaurant of the batch had before. The grades in force on the day before, one
-    partition of ``grade_values``, stand for all earlier inspections, so only later ones
-    are read. The spans before the batch come from the rows that other batches left in
-    ``restaurants``, so a repeated batch starts from the same day.
+    Of the stored runs those of the batch's restaurants are read that can follow or
+    precede its inspections. The driver sees the dates of the changed runs only.
     """
-    log = read_table(spark, site.restaurants, schemas.HEALTH_RESTAURANTS)
-    others = log.where(F.col("batch") != batch_key)
-    start = (
-        active_span(batch, date_col="grade_date")
-        .select("restaurant_id", F.col("first_date").alias("touched"))
-        .join(merge_spans(others), "restaurant_id", "left")
-        .agg(F.min(F.least("touched", F.date_add("last_date", 1))))
-        .first()[0]
-    )
-    columns = schemas.GRADE_VALUES.names
-    before = [start - timedelta(1)]
-    state = read_dates(spark, site.grade_values, schemas.GRADE_VALUES, "grade_date", before)
-    later = read_table(spark, site.input, schemas.HEALTH).where(F.col("grade_date") >= day(start))
-    return union_all(state.select(columns), daily_grade(later).select(columns))
+    stored = release.read(GRADE_RUNS, schemas.GRADE_RUNS)
+    reaching = F.col("valid_to").isNull() | (F.col("valid_to") >= day(start - timedelta(1)))
+    seen = batch.select("restaurant_id").distinct()
+    near = stored.where(reaching).join(seen, "restaurant_id", "left_semi")
+    changed = updated_runs(near, batch, start).persist()
+    try:
+        dates = [row[0] for row in changed.select("valid_from").distinct().collect()]
+        if not dates:
+            return
+        names = schemas.GRADE_RUNS.names
+        keys = ["restaurant_id", "valid_from"]
+        kept = release.read(GRADE_RUNS, schemas.GRADE_RUNS, dates).join(
+            changed.select(*keys), keys, "left_anti"
+        )
+        release.replace(
+            union_all(kept.select(names), changed.select(names)), GRADE_RUNS, "valid_from", dates
+        )
+    finally:
+        changed.unpersist()
 
 
 def read_health_restaurants(spark: SparkSession, root: str) -> DataFrame:
     """Latest attributes, the cuisine among them, and inspection span per restaurant."""
-    log = read_sites(spark, root, "restaurants", schemas.HEALTH_RESTAURANTS, [HEALTH_SITE])
+    schema = with_site(schemas.HEALTH_RESTAURANTS)
+    log = read_released(spark, root, RESTAURANTS, schema, [HEALTH_SITE])
     return merge_restaurants(log, ATTRIBUTES)
 
 
-def read_grade_values(spark: SparkSession, root: str) -> DataFrame:
-    """``grade_values`` with name and cuisine."""
-    facts = read_sites(spark, root, "grade_values", schemas.GRADE_VALUES, [HEALTH_SITE])
+def read_grade_runs(
+    spark: SparkSession, root: str, restaurant_ids: Sequence[str] = ()
+) -> DataFrame:
+    """The stored grade runs of all restaurants, or of those named."""
+    schema = with_site(schemas.GRADE_RUNS)
+    runs = read_released(spark, root, GRADE_RUNS, schema, [HEALTH_SITE]).drop("site")
+    chosen = list(restaurant_ids)
+    return runs.where(F.col("restaurant_id").isin(chosen)) if chosen else runs
+
+
+def read_grade_values(
+    spark: SparkSession, root: str, restaurant_ids: Sequence[str] = ()
+) -> DataFrame:
+    """The grade in force on every day, with name and cuisine."""
+    facts = days_of_runs(read_grade_runs(spark, root, restaurant_ids))
     return attach_restaurants(
         facts, read_health_restaurants(spark, root), "restaurant_name", "cuisine"
     ).select("restaurant_id", "grade_date", "restaurant_name", "cuisine", "health_grade")

@@ -1,7 +1,8 @@
 """Review jobs over stored tables: full backfill and incremental ingestion.
 
 Both leave the same tables behind, whatever the order of the batches and
-however often one is repeated:
+however often one is repeated, and publish them as one release: readers see all tables
+of a batch or none.
 
 ``input_parquet``  distinct reviews by review date
 ``restaurants``    attributes and active span, one row per restaurant and batch
@@ -29,7 +30,7 @@ from pyspark.sql.types import StructType
 
 from tablepulse import schemas
 from tablepulse.functions import day
-from tablepulse.layout import HEALTH_SITE, Site
+from tablepulse.layout import FINAL_RATING, HEALTH_SITE, INPUT, RATING_SUM, RESTAURANTS, Site
 from tablepulse.operators.affected import affected_dates
 from tablepulse.operators.calendar import join_calendar
 from tablepulse.operators.merge import in_dates, merge_partitions
@@ -42,13 +43,10 @@ from tablepulse.operators.rollups import (
     touched_dates,
 )
 from tablepulse.plans.report import BatchReport, batch_report
-from tablepulse.sources.readers import read_dates, read_raw, read_sites, read_table
-from tablepulse.sources.writers import (
-    delete_folder,
-    overwrite_partitions,
-    replace_table,
-    write_archive,
-)
+from tablepulse.schemas import with_site
+from tablepulse.sources.readers import read_raw
+from tablepulse.sources.releases import Release, current_release, read_released
+from tablepulse.sources.writers import delete_folder, replace_table, write_archive
 
 ATTRIBUTES = ("restaurant_name", "county")
 DateRange = tuple[date, date]
@@ -74,29 +72,28 @@ def backfill_reviews(
         counts, F.count_if(~usable("review_date", plausible)).alias("n_rejected")
     )
     good = reviews.where(usable("review_date", plausible)).distinct()
-    replace_table(good, site.input, "review_date")
+    release = current_release(spark, site)
+    release.replace(good, INPUT, "review_date")
     delete_folder(spark, site.rejects)
     if counts.get["n_rejected"]:
         bad = rejected(raw, "review_date", plausible)
         replace_table(bad, f"{site.rejects}/batch={BACKFILL}", None)
-    recompute_reviews(spark, site, days)
+    recompute_reviews(release, days)
+    release.commit()
 
 
-def recompute_reviews(spark: SparkSession, site: Site, days: int = WINDOW_DAYS) -> None:
-    """Rebuild everything that derives from the stored reviews of a site.
+def recompute_reviews(release: Release, days: int = WINDOW_DAYS) -> None:
+    """Rebuild everything that derives from the stored reviews of a release.
 
     The reviews are grouped once, for ``rating_sum``; the ratings come from these totals.
     """
-    stored = read_table(spark, site.input, schemas.REVIEWS)
-    replace_table(
-        restaurants(stored, ATTRIBUTES).withColumn("batch", F.lit(BACKFILL)),
-        site.restaurants,
-        "batch",
-    )
-    replace_table(_totals(stored), site.rating_sum, "review_date")
-    totals = read_table(spark, site.rating_sum, schemas.RATING_SUM)
+    stored = release.read(INPUT, schemas.REVIEWS)
+    log = restaurants(stored, ATTRIBUTES).withColumn("batch", F.lit(BACKFILL))
+    release.replace(log, RESTAURANTS, "batch")
+    release.replace(_totals(stored), RATING_SUM, "review_date")
+    totals = release.read(RATING_SUM, schemas.RATING_SUM)
     rated = rated_days(totals, days).select(schemas.FINAL_RATING.names)
-    replace_table(rated, site.final_rating, "review_date")
+    release.replace(rated, FINAL_RATING, "review_date")
 
 
 def _totals(reviews: DataFrame) -> DataFrame:
@@ -113,9 +110,9 @@ def ingest_reviews(
 ) -> BatchReport:
     """Merge one batch of raw rows and recompute the dates it affects.
 
-    Safe to repeat: each write replaces whole partitions with content that does
-    not depend on whether the batch, or part of it, was applied before. The
-    driver sees dates only, to prune partitions by literals.
+    Safe to repeat: partitions are replaced by content that does not depend on
+    whether the batch was applied before. A batch that breaks off leaves the tables as
+    they were. The driver sees dates only, to pick the partitions to read.
     """
     spark = raw.sparkSession
     raw = raw.persist()
@@ -134,44 +131,45 @@ def ingest_reviews(
         if not touched:
             return report
 
-        stored = read_dates(spark, site.input, schemas.REVIEWS, "review_date", touched)
+        release = current_release(spark, site)
+        stored = release.read(INPUT, schemas.REVIEWS, touched)
         merged = merge_partitions(stored, good, "review_date", touched, match_on="review_id")
-        overwrite_partitions(merged, site.input, "review_date")
-        replace_table(restaurants(good, ATTRIBUTES), f"{site.restaurants}/batch={batch_key}", None)
+        release.replace(merged, INPUT, "review_date", touched)
+        log = restaurants(good, ATTRIBUTES).withColumn("batch", F.lit(batch_key))
+        release.replace(log, RESTAURANTS, "batch", [batch_key])
     finally:
         raw.unpersist()
 
-    update_ratings(spark, site, touched, days)
+    update_ratings(release, touched, days)
+    release.commit()
     return report
 
 
-def update_ratings(
-    spark: SparkSession, site: Site, touched: list[date], days: int = WINDOW_DAYS
-) -> None:
+def update_ratings(release: Release, touched: list[date], days: int = WINDOW_DAYS) -> None:
     """Recompute ``rating_sum`` and ``final_rating`` on the dates that a merged batch affects.
 
     These are the touched dates and the ``days - 1`` after each, whatever the batch does
     to the span of a restaurant: days without information are not stored.
     """
     plan = affected_dates(
-        spark.createDataFrame([(when,) for when in touched], "review_date date"), days
+        release.spark.createDataFrame([(when,) for when in touched], "review_date date"), days
     ).collect()
     needed = [row["review_date"] for row in plan]
     outputs = [row["review_date"] for row in plan if row["is_output"]]
 
-    reviews = read_dates(spark, site.input, schemas.REVIEWS, "review_date", touched)
-    overwrite_partitions(_totals(reviews), site.rating_sum, "review_date")
+    reviews = release.read(INPUT, schemas.REVIEWS, touched)
+    release.replace(_totals(reviews), RATING_SUM, "review_date", touched)
 
-    totals = read_dates(spark, site.rating_sum, schemas.RATING_SUM, "review_date", needed)
+    totals = release.read(RATING_SUM, schemas.RATING_SUM, needed)
     rated = in_dates(rated_days(totals, days), "review_date", outputs)
-    overwrite_partitions(
-        rated.select(schemas.FINAL_RATING.names), site.final_rating, "review_date"
+    release.replace(
+        rated.select(schemas.FINAL_RATING.names), FINAL_RATING, "review_date", outputs
     )
 
 
 def read_restaurants(spark: SparkSession, root: str, sites: Sequence[str] = ()) -> DataFrame:
     """Latest attributes and active span per site and restaurant."""
-    log = read_sites(spark, root, "restaurants", schemas.REVIEW_RESTAURANTS, sites)
+    log = read_released(spark, root, RESTAURANTS, with_site(schemas.REVIEW_RESTAURANTS), sites)
     reviewed = log.where(F.col("site") != HEALTH_SITE)
     return merge_restaurants(reviewed, ATTRIBUTES, ("site", "restaurant_id"))
 
@@ -183,20 +181,23 @@ def _every_day(
     schema: StructType,
     sites: Sequence[str],
     between: DateRange | None,
+    only: Sequence[str],
 ) -> DataFrame:
     """A stored table with names and with the days that it leaves out.
 
-    The spans of the restaurants give the days; ``between`` cuts them, and the scan of
-    the stored partitions, to a closed range.
+    The spans of the restaurants give the days; ``between`` cuts them to a closed range
+    and names the stored partitions to read. ``only`` names restaurants: stored rows are
+    sorted by them within a date, so that other row groups are skipped.
     """
-    facts = read_sites(spark, root, table, schema, sites)
+    facts = read_released(spark, root, table, with_site(schema), sites, between)
+    named = read_restaurants(spark, root, sites)
+    if only:
+        facts, named = (df.where(F.col("restaurant_id").isin(list(only))) for df in (facts, named))
     first_day, last_day = F.col("first_date"), F.col("last_date")
     if between:
-        facts = facts.where(F.col("review_date").between(*map(day, between)))
         first_day, last_day = F.greatest(first_day, day(between[0])), F.least(last_day, day(between[1]))
     calendar = (
-        read_restaurants(spark, root, sites)
-        .where(first_day <= last_day)
+        named.where(first_day <= last_day)
         .select(
             "site",
             "restaurant_id",
@@ -213,9 +214,12 @@ def read_rating_sum(
     root: str,
     sites: Sequence[str] = (),
     between: DateRange | None = None,
+    restaurant_ids: Sequence[str] = (),
 ) -> DataFrame:
     """The dense daily totals of the given sites with name and county."""
-    dense = _every_day(spark, root, "rating_sum", schemas.RATING_SUM, sites, between)
+    dense = _every_day(
+        spark, root, RATING_SUM, schemas.RATING_SUM, sites, between, restaurant_ids
+    )
     return dense.select(
         "site", "restaurant_id", "restaurant_name", "county", "rating_sum", "rating_count", "review_date"
     )
@@ -226,9 +230,12 @@ def read_final_rating(
     root: str,
     sites: Sequence[str] = (),
     between: DateRange | None = None,
+    restaurant_ids: Sequence[str] = (),
 ) -> DataFrame:
     """The dense daily series of the given sites with the rolling rating, name and county."""
-    dense = _every_day(spark, root, "final_rating", schemas.FINAL_RATING, sites, between)
+    dense = _every_day(
+        spark, root, FINAL_RATING, schemas.FINAL_RATING, sites, between, restaurant_ids
+    )
     return dense.select(
         "site",
         "restaurant_name",

@@ -6,13 +6,22 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tablepulse import schemas
-from tablepulse.layout import Site
+from tablepulse.layout import RESTAURANTS, Site
 from tablepulse.operators.rollups import merge_restaurants
-from tablepulse.sources.readers import read_table
-from tablepulse.sources.writers import delete_folder, replace_table
+from tablepulse.sources.releases import (
+    current_release,
+    list_file,
+    names_in,
+    release_numbers,
+    used_folders,
+)
+from tablepulse.sources.writers import delete_folder
+
+TABLES = ("input_parquet", "restaurants", "rating_sum", "final_rating", "grade_runs")
 
 
 def compact_restaurants(
@@ -23,12 +32,37 @@ def compact_restaurants(
 ) -> None:
     """Replace the rows that each batch left in ``restaurants`` by one row per restaurant.
 
-    Run it between batches, when none has to be repeated. A crash in between
-    leaves some rows twice, which changes no result.
+    Run it between batches, when none has to be repeated.
+    """
+    release = current_release(spark, site)
+    merged = merge_restaurants(release.read(RESTAURANTS, schema), attributes)
+    key = f"compacted-{uuid.uuid4().hex}"
+    release.replace(merged.withColumn("batch", F.lit(key)), RESTAURANTS, "batch")
+    release.commit()
+
+
+def clean_releases(spark: SparkSession, site: Site, keep: int = 2) -> int:
+    """Delete all but the last ``keep`` releases and every folder that these do not use.
+
+    Run it between batches: the folders of a job that is still writing would go too, as
+    those of lost jobs do. Readers of a kept release are not disturbed. Returns the number
+    of folders deleted.
     """
-    log = read_table(spark, site.restaurants, schema)
-    batches = [row["batch"] for row in log.select("batch").distinct().collect()]
-    compacted = f"{site.restaurants}/batch=compacted-{uuid.uuid4().hex}"
-    replace_table(merge_restaurants(log, attributes), compacted, None)
-    for batch in batches:
-        delete_folder(spark, f"{site.restaurants}/batch={batch}")
+    numbers = release_numbers(spark, site)
+    kept, old = numbers[-keep:], numbers[:-keep]
+    used = used_folders(spark, site, kept)
+    versions = {folder.rsplit("/", 1)[0] for folder in used}
+    unused: list[str] = []
+    for table in TABLES:
+        for name in names_in(spark, site.table(table)):
+            folder = f"{site.table(table)}/{name}"
+            if not name.startswith("version="):
+                continue
+            if folder not in versions:
+                unused.append(folder)
+                continue
+            parts = (f"{folder}/{part}" for part in names_in(spark, folder) if "=" in part)
+            unused += [part for part in parts if part not in used]
+    for path in [*(list_file(site, number) for number in old), *unused]:
+        delete_folder(spark, path)
+    return len(unused)

@@ -13,11 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablepulse import schemas
-from tablepulse.layout import HEALTH_SITE, Site, health_site
+from tablepulse.layout import HEALTH_SITE, INPUT, Site, health_site
 from tablepulse.operators import insights
 from tablepulse.operators.affected import affected_dates as affected
 from tablepulse.operators.calendar import daily_calendar, densify as fill_gaps, join_calendar
-from tablepulse.operators.grades import daily_grade, forward_fill_grades as fill_grades
+from tablepulse.operators.grades import daily_grade, forward_fill_grades as fill_grades, grade_runs as runs_of
 from tablepulse.operators.merge import (
     in_dates,
     merge_partitions as merge,
@@ -27,7 +27,7 @@ from tablepulse.operators.merge import (
     union_all,
 )
 from tablepulse.operators.normalize import normalize_reviews
-from tablepulse.operators.rolling import attach_restaurants, rating_timeline
+from tablepulse.operators.rolling import attach_restaurants, rated_days, rating_timeline
 from tablepulse.operators.rollups import (
     active_span as span,
     daily_rating as daily,
@@ -35,11 +35,12 @@ from tablepulse.operators.rollups import (
     touched_dates as touched,
 )
 from tablepulse.plans.health import read_grade_values
-from tablepulse.plans.reviews import read_final_rating
+from tablepulse.plans.reviews import read_final_rating, recompute_reviews
 from tablepulse.session import scratch_dir
 from tablepulse.sources import sample_tables as sample
 from tablepulse.sources.catalog import publish_warehouse, refresh, register_view
 from tablepulse.sources.readers import read_dates, read_raw, read_table, stream_raw, tag_site
+from tablepulse.sources.releases import current_release
 from tablepulse.sources.writers import (
     append_rows,
     overwrite_partitions,
@@ -47,7 +48,7 @@ from tablepulse.sources.writers import (
     replace_table,
 )
 from tablepulse.streaming.bookmark import (
-    backfill_landed_reviews,
+    backfill_all_sites,
     ingest_all_sites,
     ingest_new_health,
     run_new_files,
@@ -129,7 +130,7 @@ def bookmark_ingest(spark: SparkSession, folder: str) -> DataFrame:
     raw = sample.raw_reviews(spark, folder)
 
     def keep(batch: DataFrame, key: str) -> None:
-        replace_table(normalize_reviews(batch), f"{site.input}/batch={key}", None)
+        replace_table(normalize_reviews(batch), f"{site.table('input_parquet')}/batch={key}", None)
 
     def run() -> int:
         stream = stream_raw(spark, site.landing, schemas.RAW_REVIEWS)
@@ -140,7 +141,7 @@ def bookmark_ingest(spark: SparkSession, folder: str) -> DataFrame:
     _land(raw.where(F.col("posted_hour") >= NOON), schemas.RAW_REVIEWS, site.landing)
     run()
     run()
-    return read_table(spark, site.input, schemas.REVIEWS).select(schemas.REVIEWS.names)
+    return read_table(spark, site.table("input_parquet"), schemas.REVIEWS).select(schemas.REVIEWS.names)
 
 
 def site_tagged_reviews(spark: SparkSession, folder: str) -> DataFrame:
@@ -151,7 +152,7 @@ def site_tagged_reviews(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _partitioned_reviews(spark: SparkSession, folder: str) -> str:
-    path = Site(scratch_dir(spark), GOOGLE).input
+    path = Site(scratch_dir(spark), GOOGLE).table("input_parquet")
     replace_table(_stored_form(_named_reviews(spark, folder)), path, "review_date")
     return path
 
@@ -170,7 +171,7 @@ def excluded_dates(spark: SparkSession, folder: str) -> DataFrame:
 
 def appended_grades(spark: SparkSession, folder: str) -> DataFrame:
     """Append sink: each call adds rows and keeps those before."""
-    path = health_site(scratch_dir(spark)).grade_values
+    path = health_site(scratch_dir(spark)).table("grade_values")
     grades = sample.health(spark, folder)
     columns = schemas.GRADE_VALUES.names
     append_rows(grades.where(F.col("posted_hour") < NOON).select(columns), path)
@@ -282,7 +283,7 @@ def forward_fill_grades(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def merge_partitions(spark: SparkSession, folder: str) -> DataFrame:
-    path = Site(scratch_dir(spark), GOOGLE).input
+    path = Site(scratch_dir(spark), GOOGLE).table("input_parquet")
     stored, batch = _stored_and_batch(spark, folder)
     replace_table(stored, path, "review_date")
     dates = [row["review_date"] for row in touched(batch).collect()]
@@ -301,7 +302,7 @@ def affected_dates(spark: SparkSession, folder: str) -> DataFrame:
 
 def replace_dates(spark: SparkSession, folder: str) -> DataFrame:
     """A series from the morning's reviews, recomputed from all reviews on weekends."""
-    path = Site(scratch_dir(spark), GOOGLE).final_rating
+    path = Site(scratch_dir(spark), GOOGLE).table("final_rating")
     rows = sample.reviews(spark, folder)
     columns = schemas.FINAL_RATING.names
     replace_table(
@@ -324,12 +325,17 @@ def replaced_dates_in_memory(spark: SparkSession, folder: str) -> DataFrame:
     return replace(before, recomputed, "review_date", dates).select(schemas.FINAL_RATING.names)
 
 
+def _backfill(spark: SparkSession, folder: str, root: str) -> None:
+    sites = [Site(root, name) for name in sample.SITES]
+    for site in sites:
+        _land(sample.raw_reviews(spark, folder, site.name), schemas.RAW_REVIEWS, site.landing)
+    backfill_all_sites(spark, sites)
+
+
 def backfill_reviews(spark: SparkSession, folder: str) -> DataFrame:
+    """A full load of all sites, side by side."""
     root = scratch_dir(spark)
-    for name in sample.SITES:
-        site = Site(root, name)
-        _land(sample.raw_reviews(spark, folder, name), schemas.RAW_REVIEWS, site.landing)
-        backfill_landed_reviews(spark, site)
+    _backfill(spark, folder, root)
     return read_final_rating(spark, root)
 
 
@@ -359,19 +365,50 @@ def ingest_health(spark: SparkSession, folder: str) -> DataFrame:
     return read_grade_values(spark, root)
 
 
+def grade_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """The grade from each inspection day to the next one."""
+    return runs_of(sample.health(spark, folder))
+
+
+def uncommitted_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """The morning's reviews are published; a job that loads all is lost before its release."""
+    root = scratch_dir(spark)
+    site = Site(root, GOOGLE)
+    raw = sample.raw_reviews(spark, folder, GOOGLE)
+    _land(raw.where(F.col("posted_hour") < NOON), schemas.RAW_REVIEWS, site.landing)
+    ingest_all_sites(spark, [site])
+    lost = current_release(spark, site)
+    lost.replace(normalize_reviews(raw), INPUT, "review_date")
+    recompute_reviews(lost)
+    return read_final_rating(spark, root)
+
+
 # Insights
 
 
+def graded_ratings(spark: SparkSession, folder: str) -> DataFrame:
+    """The rolling rating of every rated day beside the grade in force, as of that day."""
+    rated = _rated(spark, folder).where("final_rating is not null")
+    graded = insights.ratings_with_grades(rated, runs_of(sample.health(spark, folder)))
+    return graded.select("site", "restaurant_id", "review_date", "final_rating", "health_grade")
+
+
+def _rated(spark: SparkSession, folder: str) -> DataFrame:
+    """The days of all series that have a rolling rating."""
+    keys = ("site", "restaurant_id")
+    return rated_days(daily(sample.all_reviews(spark, folder), keys), keys=keys, beyond=False)
+
+
 def rating_hygiene_corr(spark: SparkSession, folder: str) -> DataFrame:
     result = insights.rating_hygiene_correlation(
-        _all_timelines(spark, folder), fill_grades(sample.health(spark, folder))
+        _rated(spark, folder), runs_of(sample.health(spark, folder))
     )
     return result.withColumn("r", _rounded("r"))
 
 
 def rating_hygiene_corr_by_restaurant(spark: SparkSession, folder: str) -> DataFrame:
     result = insights.rating_hygiene_correlation(
-        _all_timelines(spark, folder), fill_grades(sample.health(spark, folder)), per_restaurant=True
+        _rated(spark, folder), runs_of(sample.health(spark, folder)), per_restaurant=True
     )
     return result.withColumn("r", _rounded("r"))
 
@@ -397,10 +434,7 @@ def cross_site_outliers(spark: SparkSession, folder: str) -> DataFrame:
 def _published(spark: SparkSession, folder: str) -> dict[str, str]:
     """A warehouse of all sites and its SQL names, which each run replaces."""
     root = scratch_dir(spark)
-    for name in sample.SITES:
-        site = Site(root, name)
-        _land(sample.raw_reviews(spark, folder, name), schemas.RAW_REVIEWS, site.landing)
-        backfill_landed_reviews(spark, site)
+    _backfill(spark, folder, root)
     _land(sample.raw_health(spark, folder), schemas.RAW_HEALTH, health_site(root).landing)
     ingest_new_health(spark, health_site(root))
     names = publish_warehouse(spark, root, prefix="sample_")
@@ -430,6 +464,21 @@ def published_cuisine_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def republished_ratings(spark: SparkSession, folder: str) -> DataFrame:
+    """SQL over tables that are published, changed by a batch, and published again."""
+    root = scratch_dir(spark)
+    site = Site(root, GOOGLE)
+    raw = sample.raw_reviews(spark, folder, GOOGLE)
+    for upload in (F.col("posted_hour") < EVENING, F.col("posted_hour") >= NOON):
+        _land(raw.where(upload), schemas.RAW_REVIEWS, site.landing)
+        ingest_all_sites(spark, [site])
+        names = publish_warehouse(spark, root, prefix="again_")
+    return spark.sql(
+        f"SELECT county, CAST(count(*) AS BIGINT) AS n_days, sum(rating_count) AS n_reviews, "
+        f"max(final_rating) AS best_rating FROM {names['final_rating']} GROUP BY county"
+    )
+
+
 QUERIES: dict[str, Query] = {
     function.__name__: function
     for function in (
@@ -464,6 +513,9 @@ QUERIES: dict[str, Query] = {
         backfill_reviews,
         incremental_reviews,
         ingest_health,
+        grade_runs,
+        uncommitted_batch,
+        graded_ratings,
         rating_hygiene_corr,
         rating_hygiene_corr_by_restaurant,
         quality_timeline,
@@ -471,5 +523,6 @@ QUERIES: dict[str, Query] = {
         cross_site_outliers,
         published_sql,
         published_cuisine_counts,
+        republished_ratings,
     )
 }

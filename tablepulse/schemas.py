@@ -83,6 +83,14 @@ GRADE_VALUES = _struct(
     health_grade=IntegerType,
     grade_date=DateType,
 )
+# One row per restaurant and inspection day, see operators.grades.grade_runs.
+GRADE_RUNS = _struct(
+    restaurant_id=StringType,
+    health_grade=IntegerType,
+    graded_on=DateType,
+    valid_to=DateType,
+    valid_from=DateType,
+)
 
 # One row per restaurant and batch, see operators.restaurants.
 REVIEW_RESTAURANTS = _struct(

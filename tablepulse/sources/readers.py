@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tablepulse.operators.merge import in_dates
-from tablepulse.schemas import with_site
 
 # Files are known by their paths alone; none is too old to be new.
 ANY_AGE = "36500d"
@@ -97,12 +96,3 @@ def read_dates(
 
 def tag_site(df: DataFrame, site: str) -> DataFrame:
     return df.withColumn("site", F.lit(site))
-
-
-def read_sites(
-    spark: SparkSession, root: str, table: str, schema: StructType, sites: Iterable[str] = ()
-) -> DataFrame:
-    """A table of all sites, or of those named, with the site as a column."""
-    df = spark.read.schema(with_site(schema)).parquet(f"{root.rstrip('/')}/{table}")
-    chosen = list(sites)
-    return df.where(F.col("site").isin(chosen)) if chosen else df

@@ -69,15 +69,28 @@ def backfill_landed_reviews(
     """Load all landed files of a site, replace its tables, and take the files as seen.
 
     The load runs as the stream's batch, so the bookmark moves on only once the tables
-    are written, and files that land meanwhile are left to the next run.
+    are published. It reads the whole landing folder: a file that lands meanwhile may be
+    loaded already, and is merged by the next run, which changes nothing.
     """
+    backfill_all_sites(spark, [site], days, plausible, **options)
 
-    def load(*_) -> None:
+
+def backfill_all_sites(
+    spark: SparkSession,
+    sites: Sequence[Site],
+    days: int = WINDOW_DAYS,
+    plausible: tuple[date, date] | None = None,
+    **options,
+) -> None:
+    """``backfill_landed_reviews`` for several sites, side by side."""
+
+    def load(site: Site, *_) -> None:
         backfill_reviews(spark, site, days=days, plausible=plausible, **options)
 
-    stream = stream_raw(spark, site.landing, schemas.RAW_REVIEWS, **options)
-    if not run_new_files(stream, site.checkpoint, load):
-        load()
+    batches = _side_by_side(spark, sites, load, None, options)
+    for site, number in zip(sites, batches, strict=True):
+        if not number:
+            load(site)
 
 
 def ingest_new_reviews(
@@ -106,6 +119,20 @@ def ingest_all_sites(
     others still finish before its error is raised. A site without a landing folder
     has no new file. Returns the number of batches per site.
     """
+    def ingest(site: Site, batch: DataFrame, key: str) -> None:
+        ingest_reviews(site, batch, key, days, plausible)
+
+    return _side_by_side(spark, sites, ingest, max_files_per_trigger, options)
+
+
+def _side_by_side(
+    spark: SparkSession,
+    sites: Sequence[Site],
+    job: Callable[[Site, DataFrame, str], None],
+    max_files_per_trigger: int | None,
+    options: dict,
+) -> list[int]:
+    """Give the new files of each site to ``job``, one stream a site."""
     started: list[tuple[StreamingQuery, list] | None] = []
     errors: list[Exception] = []
     for site in sites:
@@ -116,8 +143,7 @@ def ingest_all_sites(
             stream = stream_raw(
                 spark, site.landing, schemas.RAW_REVIEWS, max_files_per_trigger, **options
             )
-            job = partial(_ingest, site, days, plausible)
-            started.append(start_new_files(stream, site.checkpoint, job))
+            started.append(start_new_files(stream, site.checkpoint, partial(job, site)))
         except Exception as error:
             errors.append(error)
     for begun in started:
@@ -131,10 +157,6 @@ def ingest_all_sites(
     return [len(begun[1]) if begun else 0 for begun in started]
 
 
-def _ingest(site: Site, days: int, plausible, batch: DataFrame, key: str) -> None:
-    ingest_reviews(site, batch, key, days, plausible)
-
-
 def ingest_new_health(
     spark: SparkSession,
     site: Site,

@@ -27,7 +27,8 @@ from tablepulse.plans.reviews import (
 )
 from tablepulse.plans.upkeep import compact_restaurants
 from tablepulse.sources.catalog import publish_warehouse, refresh, register_view
-from tablepulse.sources.readers import read_raw, read_table
+from tablepulse.sources.readers import read_raw
+from tablepulse.sources.releases import current_release
 from tablepulse.sources.writers import overwrite_partitions, replace_date_partitions, replace_table
 
 START = date(2023, 1, 1)
@@ -53,8 +54,7 @@ def final_rating(spark, site):
 
 def check(spark, site, rows):
     want = expected_final_rating(rows)
-    stored = read_final_rating(spark, site.root, [site.name])
-    assert stored.count() == len(want)
+    assert read_final_rating(spark, site.root, [site.name]).count() == len(want)
     assert final_rating(spark, site) == want
     totals = {
         (r.restaurant_id, r.review_date): (r.rating_sum, r.rating_count)
@@ -63,6 +63,14 @@ def check(spark, site, rows):
     assert totals == {key: value[:2] for key, value in want.items()}
 
 
+def stored(spark, site, table, schema):
+    return current_release(spark, site).read(table, schema)
+
+
+def folders(spark, site, table):
+    return set(current_release(spark, site).folders(table))
+
+
 def land(spark, site, rows):
     raw_reviews(spark, rows).write.mode("append").option("header", True).csv(site.landing)
 
@@ -86,7 +94,7 @@ def test_backfill(spark, site):
     land(spark, site, rows)
     backfill_reviews(spark, site)
     check(spark, site, REVIEW_ROWS)
-    assert read_table(spark, site.input, schemas.REVIEWS).count() == len(REVIEW_ROWS)
+    assert stored(spark, site, "input_parquet", schemas.REVIEWS).count() == len(REVIEW_ROWS)
     rejects = spark.read.parquet(site.rejects).select("review_id", "review_date").collect()
     assert [tuple(r) for r in rejects] == [("bad", "2023xx01")]
     archived = read_raw(spark, site.history, schemas.RAW_REVIEWS)
@@ -125,24 +133,20 @@ def test_one_review_after_a_pause_rewrites_a_week(spark, site):
     known += [review(f"d{i}", START + timedelta(i), "2", 1 + i % 5) for i in range(60)]
     ingest_reviews(site, raw_reviews(spark, known), "b0")
 
-    def files(table):
-        return set(spark.read.parquet(table).inputFiles())
-
-    tables = {site.input: 1, site.rating_sum: 1, site.final_rating: 7}
-    before = {table: files(table) for table in tables}
+    tables = {"input_parquet": 1, "rating_sum": 1, "final_rating": 7}
+    before = {table: folders(spark, site, table) for table in tables}
     late = [review("k2", START + timedelta(50), "1", 2)]
     ingest_reviews(site, raw_reviews(spark, late), "b1")
     check(spark, site, known + late)
     for table, most in tables.items():
-        folders = {path.rsplit("/", 1)[0] for path in files(table) - before[table]}
-        assert 1 <= len(folders) <= most, table
+        assert 1 <= len(folders(spark, site, table) - before[table]) <= most, table
 
 
 def test_a_date_far_off_writes_a_week(spark, site):
     rows = [review("k1", START, "1", 4), review("k2", "02020101", "1", 2)]
     ingest_reviews(site, raw_reviews(spark, rows), "b0")
-    stored = spark.read.parquet(site.final_rating)
-    assert stored.select("review_date").distinct().count() == 14
+    rated = stored(spark, site, "final_rating", schemas.FINAL_RATING)
+    assert rated.select("review_date").distinct().count() == 14
     between = (START - timedelta(2), START)
     got = read_final_rating(spark, site.root, [site.name], between).orderBy("review_date").collect()
     assert [(r.rating_count, r.final_rating) for r in got] == [(0, None), (0, None), (1, 4.0)]
@@ -177,7 +181,7 @@ def test_repeated_batch_changes_nothing(spark, site):
     for key in ("b1", "b1", "b2"):
         ingest_reviews(site, raw_reviews(spark, rows[10:]), key)
         check(spark, site, rows)
-    assert read_table(spark, site.input, schemas.REVIEWS).count() == len(set(rows))
+    assert stored(spark, site, "input_parquet", schemas.REVIEWS).count() == len(set(rows))
 
 
 @pytest.mark.parametrize("stop_before", ["update_ratings", "rated_days"])
@@ -284,9 +288,9 @@ def test_published_tables(spark, tmp_path):
     ingest_health(health, raw_health(spark, HEALTH_ROWS), "b0")
     names = publish_warehouse(spark, root, "t1_")
     assert set(names) == {"restaurants", "rating_sum", "final_rating", "grade_values", "reviews"}
-    stored = spark.table(names["reviews"])
-    assert {r.site for r in stored.collect()} == {site.name}
-    assert stored.count() == len(set(REVIEW_ROWS))
+    kept = spark.table(names["reviews"])
+    assert {r.site for r in kept.collect()} == {site.name}
+    assert kept.count() == len(set(REVIEW_ROWS))
     rated = spark.table(names["final_rating"])
     want = read_final_rating(spark, root, [site.name]).select(rated.columns)
     assert {tuple(r) for r in rated.collect()} == {tuple(r) for r in want.collect()}
@@ -312,7 +316,7 @@ def test_compacted_restaurants(spark, site):
     ingest_reviews(site, raw_reviews(spark, rows[:4]), "b0")
     ingest_reviews(site, raw_reviews(spark, rows[4:8]), "b1")
     compact_restaurants(spark, site)
-    assert spark.read.parquet(site.restaurants).select("batch").distinct().count() == 1
+    assert len(folders(spark, site, "restaurants")) == 1
     ingest_reviews(site, raw_reviews(spark, rows[8:]), "b2")
     check(spark, site, rows)
 

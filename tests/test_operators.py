@@ -4,15 +4,23 @@ import random
 from datetime import date, timedelta
 
 import pytest
-from frames import HEALTH_ROWS, REVIEW_ROWS, day, expected_grades, raw_health, raw_reviews, review
+from frames import HEALTH_ROWS, REVIEW_ROWS, day, expected_grades, parse, raw_health, raw_reviews, review
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tablepulse.functions import parse_compact_date, ratio
 from tablepulse.operators import insights
-from tablepulse.operators.affected import affected_dates, days_of_ranges, span_growth
+from tablepulse.operators.affected import affected_dates
+from tablepulse.operators.asof import as_of_join
 from tablepulse.operators.calendar import daily_calendar, densify, join_calendar
-from tablepulse.operators.grades import daily_grade, forward_fill, forward_fill_grades, grade_changes
+from tablepulse.operators.grades import (
+    daily_grade,
+    days_of_runs,
+    forward_fill,
+    forward_fill_grades,
+    grade_runs,
+    updated_runs,
+)
 from tablepulse.operators.merge import (
     in_dates,
     merge_partitions,
@@ -176,6 +184,10 @@ def test_rated_days_are_the_informed_days_of_the_timeline(spark):
             assert stored[key] == row
         else:
             assert (row.rating_sum, row.rating_count, row.final_rating) == (0, 0, None)
+    within = rated_days(daily_rating(facts, ("restaurant_id",)), beyond=False).select(dense.columns)
+    kept = {(r.restaurant_id, r.review_date): r for r in within.collect()}
+    span = {(r.restaurant_id, r.review_date) for r in dense.collect()}
+    assert kept == {key: row for key, row in stored.items() if key in span}
 
 
 def test_densify_equals_the_calendar_join(spark):
@@ -269,33 +281,82 @@ def test_forward_fill(spark):
     assert [r[2] for r in got] == [None, 5, 5, None]
 
 
-def test_grade_changes_cover_every_difference(spark):
+def run_rows(df):
+    return sorted(
+        ((r.restaurant_id, r.valid_from, r.valid_to, r.health_grade, r.graded_on) for r in df.collect()),
+        key=lambda row: row[:2],
+    )
+
+
+def test_grade_runs_hold_every_day(spark):
+    random.seed(12)
+    raw = [
+        ((date(2023, 1, 1) + timedelta(random.randrange(60))).strftime("%Y%m%d"),
+         str(random.randrange(4)), "n", "c", "b", random.choice([None, "1", "3", "5"]))
+        for _ in range(40)
+    ]
+    health = normalize_health(raw_health(spark, raw))
+    runs = grade_runs(health)
+    assert runs.count() == daily_grade(health).count()
+    got = days_of_runs(runs).collect()
+    assert {(r.restaurant_id, r.grade_date): r.health_grade for r in got} == expected_grades(raw)
+    assert len(got) == len(expected_grades(raw))
+
+
+def test_updated_runs_equal_a_recomputation(spark):
     random.seed(11)
     start = date(2023, 1, 1)
-    for _ in range(4):
+    for _ in range(5):
         raw = [
             (
                 (start + timedelta(random.randrange(40))).strftime("%Y%m%d"),
-                str(random.randrange(2)),
+                str(random.randrange(3)),
                 "n",
                 "c",
                 "b",
                 random.choice([None, "1", "3", "5"]),
             )
-            for _ in range(10)
+            for _ in range(14)
         ]
-        cut = random.randrange(1, 10)
-        history = daily_grade(normalize_health(raw_health(spark, raw)))
-        batch = daily_grade(normalize_health(raw_health(spark, raw[cut:])))
-        changes = grade_changes(history, batch)
-        allowed = {r[0] for r in days_of_ranges(changes, "grade_date").collect()}
-        before, after = expected_grades(raw[:cut]), expected_grades(raw)
-        changed = {
-            key[1]
-            for key in before.keys() | after.keys()
-            if before.get(key, "missing") != after.get(key, "missing")
-        }
-        assert changed <= allowed
+        cut = random.randrange(1, 14)
+        before = grade_runs(normalize_health(raw_health(spark, raw[:cut])))
+        after = run_rows(grade_runs(normalize_health(raw_health(spark, raw))))
+        batch = normalize_health(raw_health(spark, raw[cut:]))
+        first = min(parse(row[0]) for row in raw[cut:])
+        near = before.where(
+            (F.col("valid_to").isNull() | (F.col("valid_to") >= F.lit(first - timedelta(1))))
+            & F.col("restaurant_id").isin([row[1] for row in raw[cut:]])
+        )
+        changed = run_rows(updated_runs(near, batch, first))
+        known = run_rows(before)
+        assert sorted(set(after) - set(known)) == sorted(changed)
+        stored = {row[:2]: row for row in known} | {row[:2]: row for row in changed}
+        assert sorted(stored.values(), key=lambda row: row[:2]) == after
+
+
+def test_as_of_join_equals_the_join_of_days(spark):
+    random.seed(13)
+    start = date(2023, 1, 1)
+    events = [
+        (random.choice(["1", "2", "3", None]), random.choice(["s", "t"]),
+         random.choice([None, *(start + timedelta(i) for i in range(40))]), i)
+        for i in range(200)
+    ]
+    intervals, cover = [], {}
+    for key in ("1", "2", "4", None):
+        at = start + timedelta(5)
+        while at < start + timedelta(30):
+            last = at + timedelta(random.randrange(6))
+            grade = random.choice([None, 1, 5])
+            intervals.append((key, at, last, grade))
+            cover |= {(key, at + timedelta(i)): grade for i in range((last - at).days + 1)}
+            at = last + timedelta(random.randrange(1, 4))
+    left = spark.createDataFrame(events, "k string, site string, d date, n int")
+    right = spark.createDataFrame(intervals, "k string, first date, last date, grade int")
+    joined = as_of_join(left, right, ["k"], "d", "first", F.col("last"), ["grade"])
+    want = [(*e, cover[e[0], e[2]]) for e in events if e[0] and e[2] and (e[0], e[2]) in cover]
+    assert sorted(map(tuple, joined.collect()), key=lambda r: r[3]) == sorted(want, key=lambda r: r[3])
+    assert joined.columns == ["k", "site", "d", "n", "grade"] and want
 
 
 def test_date_filters(spark):
@@ -355,52 +416,27 @@ def test_merge_of_distinct_rows_equals_the_set_union(spark):
 
 def test_affected_dates_against_sets(spark):
     touched = {date(2023, 1, 1), date(2023, 1, 2), date(2023, 2, 10)}
-    grown = {date(2023, 1, 20), date(2023, 1, 21), date(2023, 2, 10)}
-    frame = lambda days: spark.createDataFrame([(d,) for d in days] * 2, "review_date date")
-    got = {
-        r.review_date: (r.is_touched, r.is_grown, r.is_output)
-        for r in affected_dates(frame(touched), 7, frame(grown)).collect()
-    }
-    output = {d + timedelta(i) for d in touched for i in range(7)} | grown
+    frame = spark.createDataFrame([(d,) for d in touched] * 2, "review_date date")
+    got = {r.review_date: (r.is_touched, r.is_output) for r in affected_dates(frame, 7).collect()}
+    output = {d + timedelta(i) for d in touched for i in range(7)}
     needed = {d - timedelta(i) for d in output for i in range(7)}
-    assert got == {d: (d in touched, d in grown, d in output) for d in needed}
-
-
-def test_span_growth_against_sets(spark):
-    random.seed(5)
-    start = date(2023, 1, 1)
-    known, batch = {}, {}
-    for i in range(60):
-        a, b, c, d = (start + timedelta(random.randrange(12)) for _ in range(4))
-        batch[str(i)] = (min(a, b), max(a, b))
-        if i % 4:
-            known[str(i)] = (min(c, d), max(c, d))
-    schema = "restaurant_id string, first_date date, last_date date"
-    frame = lambda spans: spark.createDataFrame([(k, *v) for k, v in spans.items()], schema)
-    got = {}
-    for r in span_growth(frame(batch), frame(known)).collect():
-        days = got.setdefault(r.restaurant_id, set())
-        new = {r.first_day + timedelta(i) for i in range((r.last_day - r.first_day).days + 1)}
-        assert not days & new
-        days |= new
-    span = lambda lo, hi: {lo + timedelta(i) for i in range((hi - lo).days + 1)}
-    for key, (lo, hi) in batch.items():
-        old = span(*known[key]) if key in known else set()
-        whole = span(min(lo, *old), max(hi, *old)) if old else span(lo, hi)
-        assert got.get(key, set()) == whole - old
+    assert got == {d: (d in touched, d in output) for d in needed}
 
 
 def test_correlation(spark):
     ratings = [("s", "1", date(2023, 1, i), float(i)) for i in range(1, 6)]
     ratings += [("s", "2", date(2023, 1, i), float(i)) for i in range(1, 6)]
     ratings += [("t", "3", date(2023, 1, 1), None)]
-    grades = [("1", date(2023, 1, i), 6 - i) for i in range(1, 6)]
-    grades += [("2", date(2023, 1, i), 3) for i in range(1, 6)]
-    grades += [("3", date(2023, 1, 1), 3)]
+    runs = [("1", date(2023, 1, i), date(2023, 1, i), 6 - i) for i in range(1, 5)]
+    runs += [("1", date(2023, 1, 5), None, 1)]
+    runs += [("2", date(2023, 1, 1), date(2023, 1, 4), 3), ("2", date(2023, 1, 5), None, 3)]
+    runs += [("3", date(2023, 1, 1), None, 3)]
     rated = spark.createDataFrame(
         ratings, "site string, restaurant_id string, review_date date, final_rating double"
     )
-    graded = spark.createDataFrame(grades, "restaurant_id string, grade_date date, health_grade int")
+    graded = spark.createDataFrame(
+        runs, "restaurant_id string, valid_from date, valid_to date, health_grade int"
+    )
     each = insights.rating_hygiene_correlation(rated, graded, per_restaurant=True)
     got = {r.restaurant_id: (r.n_days, r.r) for r in each.collect()}
     assert got["1"][1] == pytest.approx(-1.0)

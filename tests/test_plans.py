@@ -31,6 +31,8 @@ WRITING = {
     "incremental_reviews",
     "ingest_health",
     "published_sql",
+    "republished_ratings",
+    "uncommitted_batch",
     "published_cuisine_counts",
     "raw_history",
 }
@@ -61,6 +63,14 @@ def test_timeline_shuffles_twice(spark):
     assert re.search(r"PushedFilters: \[[^\]]*event_type", text)
 
 
+def test_grades_meet_ratings_without_days(spark):
+    """Runs and rated days meet in one sorted run; no calendar of grades and no join."""
+    text = plan(QUERIES["graded_ratings"](spark, FOLDER))
+    assert "Join" not in text and len(re.findall(r"\bUnion\b", text)) == 1
+    assert count(text, "Generate") == 1  # the days after a review, none for the grades
+    assert count(text, "Exchange") == 5
+
+
 def test_all_sites_share_one_scan(spark):
     text = plan(rating_timeline(sample.all_reviews(spark, FOLDER), keys=("site", "restaurant_id")))
     assert count(text, "FileScan") == 1

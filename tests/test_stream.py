@@ -13,7 +13,8 @@ from tablepulse.__main__ import main
 from tablepulse.layout import Site, health_site
 from tablepulse.plans.health import read_grade_values
 from tablepulse.plans.reviews import read_final_rating
-from tablepulse.sources.readers import read_raw, read_table, stream_raw
+from tablepulse.sources.readers import read_raw, stream_raw
+from tablepulse.sources.releases import current_release
 from tablepulse.streaming import bookmark
 from tablepulse.streaming.bookmark import (
     backfill_landed_reviews,
@@ -57,7 +58,7 @@ def test_old_modification_times_and_missing_folders(spark, site):
         for path in glob.glob(f"{site.landing}/part-*"):
             os.utime(path, (time.time() - age,) * 2)
         assert ingest_new_reviews(spark, site) == 1
-    stored = {row.review_id for row in spark.read.parquet(site.input).collect()}
+    stored = {row.review_id for row in current_release(spark, site).read("input_parquet", schemas.REVIEWS).collect()}
     assert stored == {"k0", "k1", "k2"}
     nowhere = Site(site.root, "unknown_reviews")
     assert ingest_all_sites(spark, [nowhere, site]) == [0, 0]
@@ -97,7 +98,7 @@ def test_missing_and_misplaced_columns_fail(spark, site):
         read_raw(spark, mixed.landing, schemas.RAW_REVIEWS).collect()
     with pytest.raises(Exception, match="header"):
         ingest_new_reviews(spark, mixed)
-    assert read_table(spark, mixed.input, schemas.REVIEWS).count() == 0
+    assert current_release(spark, mixed).read("input_parquet", schemas.REVIEWS).count() == 0
 
 
 def test_backfill_takes_its_files_as_seen(spark, site):
@@ -169,7 +170,7 @@ def test_quoted_text_survives(spark, site):
     row[7] = 'said "fine", twice'
     land(spark, site, [tuple(row)])
     ingest_new_reviews(spark, site)
-    stored = spark.read.parquet(site.input)
+    stored = current_release(spark, site).read("input_parquet", schemas.REVIEWS)
     assert stored.first().comments == row[7]
 
 
