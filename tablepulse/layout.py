@@ -19,6 +19,7 @@ RESTAURANTS = "restaurants"
 RATING_SUM = "rating_sum"
 FINAL_RATING = "final_rating"
 GRADE_RUNS = "grade_runs"
+RATING_HISTOGRAM = "rating_histogram"
 
 
 @dataclass(frozen=True)

@@ -87,6 +87,11 @@ def cuisine_site_counts(reviews: DataFrame, cuisines: DataFrame) -> DataFrame:
     per_restaurant = reviews.groupBy("restaurant_id", "site").agg(
         F.count(F.lit(1)).alias("n_reviews")
     )
+    return counts_by_cuisine(per_restaurant, cuisines)
+
+
+def counts_by_cuisine(per_restaurant: DataFrame, cuisines: DataFrame) -> DataFrame:
+    """The same from ``n_reviews`` per restaurant and site."""
     return (
         per_restaurant.join(cuisines.select("restaurant_id", "cuisine"), "restaurant_id", "left")
         .groupBy("cuisine", "site")
@@ -103,6 +108,11 @@ def cross_site_outliers(reviews: DataFrame, threshold: float = 1.0) -> DataFrame
     per_site = reviews.groupBy("restaurant_id", "site").agg(
         F.sum("rating").alias("rating_sum"), F.count("rating").alias("rating_count")
     )
+    return outliers_of_totals(per_site, threshold)
+
+
+def outliers_of_totals(per_site: DataFrame, threshold: float = 1.0) -> DataFrame:
+    """The same from ``rating_sum`` and ``rating_count`` per restaurant and site."""
     restaurant = Window.partitionBy("restaurant_id")
     means = per_site.select(
         "restaurant_id",
@@ -117,6 +127,52 @@ def cross_site_outliers(reviews: DataFrame, threshold: float = 1.0) -> DataFrame
     return means.withColumn("is_outlier", far)
 
 
+def histogram_profile(histogram: DataFrame, value: str, n: str = "n") -> DataFrame:
+    """Count, mean, deviation, extremes and quartiles from counts by value.
+
+    Histograms of any parts can be put together first: counts of one value add up, and
+    all statistics but the mean and the deviation are exact integers. The window runs over
+    one row a value. Null values do not count. One row a statistic.
+    """
+    counts = histogram.where(F.col(value).isNotNull()).groupBy(value).agg(F.sum(n).alias("n"))
+    upto = Window.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    every = Window.partitionBy(F.lit(0))
+    placed = counts.select(
+        F.col(value).alias("x"),
+        "n",
+        F.sum("n").over(upto).alias("upto"),
+        F.sum("n").over(every).alias("total"),
+    )
+    x, times = F.col("x").cast("double"), F.col("n")
+    count, total = F.sum("n"), F.sum(F.col("x") * times).cast("double")
+    mean = F.try_divide(total, count.cast("double"))
+    squares = F.sum(x * x * times) - total * mean
+    spread = F.sqrt(F.greatest(squares, F.lit(0.0)) / F.nullif(count - 1, F.lit(0)))
+
+    def quartile(share: float) -> Column:
+        return F.min(F.when(F.col("upto") >= F.col("total") * F.lit(share), x))
+
+    statistics = {
+        "count": F.coalesce(count, F.lit(0)).cast("double"),
+        "mean": mean,
+        "stddev": spread,
+        "min": F.min(x),
+        "25%": quartile(0.25),
+        "50%": quartile(0.5),
+        "75%": quartile(0.75),
+        "max": F.max(x),
+    }
+    pairs = placed.agg(
+        F.array(
+            *(
+                F.struct(F.lit(name).alias("statistic"), found.alias(value))
+                for name, found in statistics.items()
+            )
+        ).alias("rows")
+    )
+    return pairs.select(F.inline("rows"))
+
+
 def column_profile(df: DataFrame, *columns: str) -> DataFrame:
     """Count, mean, deviation, extremes and quartiles of each column, in one pass."""
     return df.select(*columns).summary()

@@ -8,7 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablepulse.functions import as_id, day, parse_compact_date
-from tablepulse.schemas import HEALTH, REVIEWS
+from tablepulse.schemas import HEALTH, MALFORMED, REVIEWS
+
+
+def _stamped(raw: DataFrame, date_col: str) -> Column:
+    """The date of a raw row; null, so that the row is rejected, where its line is malformed."""
+    parsed = parse_compact_date(date_col)
+    return F.when(F.col(MALFORMED).isNull(), parsed) if MALFORMED in raw.columns else parsed
 
 
 def normalize_reviews(raw: DataFrame) -> DataFrame:
@@ -26,7 +32,7 @@ def normalize_reviews(raw: DataFrame) -> DataFrame:
         "reviewer_name",
         "comments",
         "operation",
-        parse_compact_date("review_date").alias("review_date"),
+        _stamped(raw, "review_date").alias("review_date"),
     ).to(REVIEWS)
 
 
@@ -38,7 +44,7 @@ def normalize_health(raw: DataFrame) -> DataFrame:
         "cuisine",
         "county",
         F.col("health_grade").try_cast("int").alias("health_grade"),
-        parse_compact_date("grade_date").alias("grade_date"),
+        _stamped(raw, "grade_date").alias("grade_date"),
     ).to(HEALTH)
 
 
@@ -59,7 +65,7 @@ def rejected(raw: DataFrame, date_col: str, plausible: tuple[date, date] | None
     """The raw rows that :func:`usable` turns away, with their text unchanged."""
     parsed = raw.select(
         F.struct(*raw.columns).alias("row"),
-        parse_compact_date(date_col).alias(date_col),
+        _stamped(raw, date_col).alias(date_col),
         "restaurant_id",
     )
     return parsed.where(~usable(date_col, plausible)).select("row.*")

@@ -8,21 +8,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 IDENTITY = ("restaurant_id", "restaurant_name", "county")
 
 
-def daily_rating(reviews: DataFrame, keys: Sequence[str] = IDENTITY) -> DataFrame:
+def daily_rating(
+    reviews: DataFrame, keys: Sequence[str] = IDENTITY, *further: Column
+) -> DataFrame:
     """Sum and count of the ratings per restaurant and day. Null ratings do not count.
 
     ``keys=("restaurant_id",)`` gives the narrow form that the timeline uses:
     only numbers are aggregated, so Spark hashes instead of sorting, and no
-    text travels through the later shuffles.
+    text travels through the later shuffles. ``further`` are other aggregates of a day.
     """
     return reviews.groupBy(*keys, "review_date").agg(
-        F.sum("rating").alias("rating_sum"), F.count("rating").alias("rating_count")
+        F.sum("rating").alias("rating_sum"), F.count("rating").alias("rating_count"), *further
     )
 
 

@@ -285,3 +285,14 @@ ORACLES: dict[str, str] = {
         USING (restaurant_id) GROUP BY cuisine, site"""
     ),
 }
+
+# The same results from stored totals.
+ORACLES |= {
+    "stored_cuisine_counts": ORACLES["published_cuisine_counts"],
+    "stored_outliers": ORACLES["cross_site_outliers"],
+    "stored_rating_profile": ORACLES["rating_profile"],
+    "malformed_lines": _with(
+        "SELECT review_id, review_id || ',' || strftime(review_date, '%Y%m%d') AS line "
+        "FROM all_reviews WHERE posted_hour < 12"
+    ),
+}

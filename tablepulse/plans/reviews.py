@@ -8,6 +8,7 @@ of a batch or none.
 ``restaurants``    attributes and active span, one row per restaurant and batch
 ``rating_sum``     totals of every day with reviews, by review date
 ``final_rating``   the same with the rolling rating, on these days and the six after
+``rating_histogram``  reviews by rating and review date
 
 On every other day of a series nothing was counted and there is no rating. The readers
 add these days from the spans, so a restaurant that returns after a pause, or a date
@@ -30,7 +31,15 @@ from pyspark.sql.types import StructType
 
 from tablepulse import schemas
 from tablepulse.functions import day
-from tablepulse.layout import FINAL_RATING, HEALTH_SITE, INPUT, RATING_SUM, RESTAURANTS, Site
+from tablepulse.layout import (
+    FINAL_RATING,
+    HEALTH_SITE,
+    INPUT,
+    RATING_HISTOGRAM,
+    RATING_SUM,
+    RESTAURANTS,
+    Site,
+)
 from tablepulse.operators.affected import affected_dates
 from tablepulse.operators.calendar import join_calendar
 from tablepulse.operators.merge import in_dates, merge_partitions
@@ -91,16 +100,24 @@ def recompute_reviews(release: Release, days: int = WINDOW_DAYS) -> None:
     log = restaurants(stored, ATTRIBUTES).withColumn("batch", F.lit(BACKFILL))
     release.replace(log, RESTAURANTS, "batch")
     release.replace(_totals(stored), RATING_SUM, "review_date")
+    release.replace(_histogram(stored), RATING_HISTOGRAM, "review_date", clustered_by=None)
     totals = release.read(RATING_SUM, schemas.RATING_SUM)
     rated = rated_days(totals, days).select(schemas.FINAL_RATING.names)
     release.replace(rated, FINAL_RATING, "review_date")
 
 
 def _totals(reviews: DataFrame) -> DataFrame:
-    daily = daily_rating(reviews, SERIES).fillna(0, ["rating_sum"])
+    """Daily totals; ``review_count`` also counts reviews without a rating."""
+    every = F.count(F.lit(1)).alias("review_count")
+    daily = daily_rating(reviews, SERIES, every).fillna(0, ["rating_sum"])
     return daily.select(schemas.RATING_SUM.names)
 
 
+def _histogram(reviews: DataFrame) -> DataFrame:
+    counts = reviews.groupBy("review_date", "rating").agg(F.count(F.lit(1)).alias("n"))
+    return counts.select(schemas.RATING_HISTOGRAM.names)
+
+
 def ingest_reviews(
     site: Site,
     raw: DataFrame,
@@ -159,6 +176,9 @@ def update_ratings(release: Release, touched: list[date], days: int = WINDOW_DAY
 
     reviews = release.read(INPUT, schemas.REVIEWS, touched)
     release.replace(_totals(reviews), RATING_SUM, "review_date", touched)
+    release.replace(
+        _histogram(reviews), RATING_HISTOGRAM, "review_date", touched, clustered_by=None
+    )
 
     totals = release.read(RATING_SUM, schemas.RATING_SUM, needed)
     rated = in_dates(rated_days(totals, days), "review_date", outputs)

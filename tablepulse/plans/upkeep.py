@@ -21,7 +21,7 @@ from tablepulse.sources.releases import (
 )
 from tablepulse.sources.writers import delete_folder
 
-TABLES = ("input_parquet", "restaurants", "rating_sum", "final_rating", "grade_runs")
+TABLES = ("input_parquet", "restaurants", "rating_sum", "final_rating", "grade_runs", "rating_histogram")
 
 
 def compact_restaurants(

@@ -36,6 +36,11 @@ from tablepulse.operators.rollups import (
 )
 from tablepulse.plans.health import read_grade_values
 from tablepulse.plans.reviews import read_final_rating, recompute_reviews
+from tablepulse.plans.summaries import (
+    read_cross_site_outliers,
+    read_cuisine_site_counts,
+    read_rating_profile,
+)
 from tablepulse.session import scratch_dir
 from tablepulse.sources import sample_tables as sample
 from tablepulse.sources.catalog import publish_warehouse, refresh, register_view
@@ -339,8 +344,8 @@ def backfill_reviews(spark: SparkSession, folder: str) -> DataFrame:
     return read_final_rating(spark, root)
 
 
-def incremental_reviews(spark: SparkSession, folder: str) -> DataFrame:
-    """Three uploads per site, the earliest days last and some rows twice."""
+def _ingested(spark: SparkSession, folder: str) -> str:
+    """All sites in three uploads each, the earliest days last and some rows twice."""
     root = scratch_dir(spark)
     sites = [Site(root, name) for name in sample.SITES]
     early = F.coalesce(F.col("review_date") < "20240111", F.lit(False))
@@ -350,7 +355,28 @@ def incremental_reviews(spark: SparkSession, folder: str) -> DataFrame:
             raw = sample.raw_reviews(spark, folder, site.name).where(upload)
             _land(raw, schemas.RAW_REVIEWS, site.landing)
         ingest_all_sites(spark, sites)
-    return read_final_rating(spark, root)
+    return root
+
+
+def incremental_reviews(spark: SparkSession, folder: str) -> DataFrame:
+    """Uploads in any order give what a full load gives."""
+    return read_final_rating(spark, _ingested(spark, folder))
+
+
+def malformed_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Reviews of the morning cut off behind their date; each line reaches the rejects as it came."""
+    site = Site(scratch_dir(spark), GOOGLE)
+    raw = sample.raw_reviews(spark, folder)
+    whole = raw.select(schemas.RAW_REVIEWS.names)
+    _land(whole.where(raw["posted_hour"] >= NOON), schemas.RAW_REVIEWS, site.landing)
+    broken = raw.where(F.col("posted_hour") < NOON)
+    line = F.concat_ws(",", "review_id", "review_date")
+    header = spark.createDataFrame([(",".join(schemas.RAW_REVIEWS.names),)], "line string")
+    lines = header.union(broken.select(line)).coalesce(1)
+    lines.write.mode("append").text(site.landing)
+    ingest_all_sites(spark, [site])
+    rejects = spark.read.parquet(site.rejects)
+    return rejects.select("review_id", F.col(schemas.MALFORMED).alias("line"))
 
 
 def ingest_health(spark: SparkSession, folder: str) -> DataFrame:
@@ -431,13 +457,34 @@ def cross_site_outliers(spark: SparkSession, folder: str) -> DataFrame:
     return insights.cross_site_outliers(sample.all_reviews(spark, folder), threshold=0.5)
 
 
-def _published(spark: SparkSession, folder: str) -> dict[str, str]:
-    """A warehouse of all sites and its SQL names, which each run replaces."""
+def _warehouse(spark: SparkSession, folder: str) -> str:
+    """All sites and inspections, loaded in a new folder."""
     root = scratch_dir(spark)
     _backfill(spark, folder, root)
     _land(sample.raw_health(spark, folder), schemas.RAW_HEALTH, health_site(root).landing)
     ingest_new_health(spark, health_site(root))
-    names = publish_warehouse(spark, root, prefix="sample_")
+    return root
+
+
+def stored_cuisine_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Review counts from the stored daily totals."""
+    return read_cuisine_site_counts(spark, _warehouse(spark, folder))
+
+
+def stored_outliers(spark: SparkSession, folder: str) -> DataFrame:
+    """Cross-site outliers from the stored daily totals, kept by batches."""
+    return read_cross_site_outliers(spark, _ingested(spark, folder), threshold=0.5)
+
+
+def stored_rating_profile(spark: SparkSession, folder: str) -> DataFrame:
+    """Statistics of all ratings from the stored daily histograms, kept by batches."""
+    profile = read_rating_profile(spark, _ingested(spark, folder))
+    return profile.withColumn("rating", F.round("rating", 6))
+
+
+def _published(spark: SparkSession, folder: str) -> dict[str, str]:
+    """A warehouse of all sites and its SQL names, which each run replaces."""
+    names = publish_warehouse(spark, _warehouse(spark, folder), prefix="sample_")
     for name in names.values():
         refresh(spark, name)
     return names
@@ -515,6 +562,10 @@ QUERIES: dict[str, Query] = {
         ingest_health,
         grade_runs,
         uncommitted_batch,
+        malformed_lines,
+        stored_cuisine_counts,
+        stored_outliers,
+        stored_rating_profile,
         graded_ratings,
         rating_hygiene_corr,
         rating_hygiene_corr_by_restaurant,

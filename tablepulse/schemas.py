@@ -17,6 +17,10 @@ from pyspark.sql.types import (
 )
 
 
+# Holds the text of a line that does not fit the header of its file; null for all others.
+MALFORMED = "_malformed"
+
+
 def _struct(**fields) -> StructType:
     return StructType([StructField(name, kind()) for name, kind in fields.items()])
 
@@ -69,6 +73,13 @@ RATING_SUM = _struct(
     restaurant_id=StringType,
     rating_sum=LongType,
     rating_count=LongType,
+    review_count=LongType,
+    review_date=DateType,
+)
+# Reviews by rating, null among them, for each day.
+RATING_HISTOGRAM = _struct(
+    rating=IntegerType,
+    n=LongType,
     review_date=DateType,
 )
 FINAL_RATING = _struct(

@@ -7,9 +7,10 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tablepulse.operators.merge import in_dates
+from tablepulse.schemas import MALFORMED
 
 # Files are known by their paths alone; none is too old to be new.
 ANY_AGE = "36500d"
@@ -37,17 +38,28 @@ def read_raw(spark: SparkSession, path: str, schema: StructType, **options) -> D
     The columns of ``schema`` come first, then all others, whatever their order in the
     files. A file whose header differs from that of the others fails the read, so no
     value gets into a wrong column; files of another layout belong into another folder.
+    A line with too few or too many fields, or with a quote that is not closed, keeps its
+    text in the column ``_malformed``, by which the jobs reject it.
 
     ``options`` reach Spark's reader, for instance ``multiLine`` for texts with
     line breaks (such a file is read by a single task).
     """
     found = _raw_schema(spark, path, schema, **options)
-    reader = spark.read.schema(found).options(
-        header=True, enforceSchema=False, recursiveFileLookup=True, **options
+    reader = spark.read.schema(_with_malformed(found)).options(
+        header=True,
+        enforceSchema=False,
+        recursiveFileLookup=True,
+        columnNameOfCorruptRecord=MALFORMED,
+        **options,
     )
     return _known_first(reader.csv(path), schema)
 
 
+def _with_malformed(schema: StructType) -> StructType:
+    known = {name.lower() for name in schema.names}
+    return schema if MALFORMED in known else StructType([*schema.fields, StructField(MALFORMED, StringType())])
+
+
 def _known_first(raw: DataFrame, schema: StructType) -> DataFrame:
     known = {name.lower() for name in schema.names}
     others = [name for name in raw.columns if name.lower() not in known]
@@ -67,8 +79,13 @@ def stream_raw(
     old modification time is as new as any.
     """
     found = _raw_schema(spark, path, schema, **options)
-    reader = spark.readStream.schema(found).options(
-        header=True, enforceSchema=False, recursiveFileLookup=True, maxFileAge=ANY_AGE, **options
+    reader = spark.readStream.schema(_with_malformed(found)).options(
+        header=True,
+        enforceSchema=False,
+        recursiveFileLookup=True,
+        maxFileAge=ANY_AGE,
+        columnNameOfCorruptRecord=MALFORMED,
+        **options,
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

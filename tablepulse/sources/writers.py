@@ -14,14 +14,19 @@ from datetime import date
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tablepulse.schemas import MALFORMED
+
 
 def _by_date(df: DataFrame, date_col: str, clustered: bool) -> DataFrame:
     return df if clustered else df.hint("rebalance", date_col)
 
 
 def write_archive(raw: DataFrame, path: str, batch_key: str) -> None:
-    """Keep a batch as it came, always with a header. Writing a batch again replaces it."""
-    raw.write.mode("overwrite").option("header", True).csv(f"{path}/batch={batch_key}")
+    """Keep a batch as it came, always with a header. Writing a batch again replaces it.
+
+    The text of malformed lines goes to the rejects.
+    """
+    raw.drop(MALFORMED).write.mode("overwrite").option("header", True).csv(f"{path}/batch={batch_key}")
 
 
 def replace_table(df: DataFrame, path: str, date_col: str | None, clustered: bool = False) -> None:

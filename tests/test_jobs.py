@@ -1,9 +1,11 @@
 """Jobs over stored tables: incremental results equal a full load, and repeats change nothing."""
 
+import os
 import random
 from datetime import date, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 from frames import (
     HEALTH_ROWS,
     REVIEW_ROWS,
@@ -17,6 +19,9 @@ from frames import (
 
 from tablepulse import schemas
 from tablepulse.layout import Site, health_site
+from tablepulse.operators import insights
+from tablepulse.operators.merge import union_all
+from tablepulse.operators.normalize import normalize_reviews
 from tablepulse.plans import reviews as review_jobs
 from tablepulse.plans.health import ingest_health, read_grade_values, read_health_restaurants
 from tablepulse.plans.reviews import (
@@ -25,9 +30,14 @@ from tablepulse.plans.reviews import (
     read_final_rating,
     read_rating_sum,
 )
+from tablepulse.plans.summaries import (
+    read_cross_site_outliers,
+    read_cuisine_site_counts,
+    read_rating_profile,
+)
 from tablepulse.plans.upkeep import compact_restaurants
 from tablepulse.sources.catalog import publish_warehouse, refresh, register_view
-from tablepulse.sources.readers import read_raw
+from tablepulse.sources.readers import read_raw, tag_site
 from tablepulse.sources.releases import current_release
 from tablepulse.sources.writers import overwrite_partitions, replace_date_partitions, replace_table
 
@@ -328,3 +338,59 @@ def test_implausible_dates_are_rejected(spark, site):
     ingest_reviews(site, raw, "b0", plausible=(date(2000, 1, 1), date(2100, 1, 1)))
     check(spark, site, rows[:1])
     assert spark.read.parquet(site.rejects).count() == 2
+
+
+def test_malformed_lines_reach_the_rejects(spark, site):
+    header = ",".join(schemas.RAW_REVIEWS.names)
+    good = "k1,20230105,1,North,Bergen,4,x,x,add"
+    bad = [
+        "k2,20230105,1",
+        'k3,20230105,1,North,Bergen,4,x,"never closed,add',
+        "k4,20230105,1,North,Bergen,4,x,x,add,more,fields",
+    ]
+    os.makedirs(site.landing)
+    with open(f"{site.landing}/part-0.csv", "w") as file:
+        file.write("\n".join([header, good, *bad]) + "\n")
+    backfill_reviews(spark, site)
+    kept = stored(spark, site, "input_parquet", schemas.REVIEWS)
+    assert [r.review_id for r in kept.collect()] == ["k1"]
+    rejects = spark.read.parquet(site.rejects)
+    assert sorted(r._malformed for r in rejects.collect()) == sorted(bad)
+    raw = read_raw(spark, site.landing, schemas.RAW_REVIEWS)
+    report = ingest_reviews(site, raw, "b1")
+    assert (report.rows, report.rejected) == (4, 3)
+    assert sorted(r._malformed for r in spark.read.parquet(f"{site.rejects}/batch=b1").collect()) == sorted(bad)
+    archived = spark.read.option("header", True).csv(f"{site.history}/batch=b1")
+    assert archived.columns == schemas.RAW_REVIEWS.names and archived.count() == 4
+
+
+def test_summaries_follow_the_batches(spark, tmp_path):
+    """Totals and histograms, kept by batches, give what all reviews give, for any dates."""
+    root = str(tmp_path)
+    sites = [Site(root, name) for name in ("google_reviews", "yelp_reviews")]
+    every = []
+    for number, one in enumerate(sites):
+        rows = random_reviews(20 + number, n=40)
+        ingest_reviews(one, raw_reviews(spark, rows[:25]), "b0")
+        ingest_reviews(one, raw_reviews(spark, rows[15:]), "b1")
+        every.append(tag_site(normalize_reviews(raw_reviews(spark, sorted(set(rows), key=str))), one.name))
+    ingest_health(health_site(root), raw_health(spark, HEALTH_ROWS), "b0")
+    reviews = union_all(*every)
+    cuisines = read_health_restaurants(spark, root)
+    for between in (None, (START + timedelta(5), START + timedelta(12))):
+        some = reviews if between is None else reviews.where(F.col("review_date").between(*map(F.lit, between)))
+        pairs = [
+            (insights.cuisine_site_counts(some, cuisines), read_cuisine_site_counts(spark, root, between)),
+            (
+                insights.cross_site_outliers(some, 0.5),
+                read_cross_site_outliers(spark, root, 0.5, between),
+            ),
+        ]
+        for want, got in pairs:
+            assert sorted(map(str, want.collect())) == sorted(map(str, got.collect()))
+        profile = insights.column_profile(some, "rating").collect()
+        want = {r.summary: None if r.rating is None else float(r.rating) for r in profile}
+        got = {r.statistic: r.rating for r in read_rating_profile(spark, root, (), between).collect()}
+        assert got == pytest.approx(want)
+    nothing = read_rating_profile(spark, root, (), (date(1990, 1, 1), date(1990, 1, 2))).collect()
+    assert {r.statistic: r.rating for r in nothing}["count"] == 0

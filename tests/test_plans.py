@@ -31,6 +31,10 @@ WRITING = {
     "incremental_reviews",
     "ingest_health",
     "published_sql",
+    "malformed_lines",
+    "stored_cuisine_counts",
+    "stored_outliers",
+    "stored_rating_profile",
     "republished_ratings",
     "uncommitted_batch",
     "published_cuisine_counts",

@@ -77,7 +77,7 @@ def test_job_lost_between_any_two_steps(spark, site, monkeypatch):
                 steps += 1
                 continue
         break
-    assert steps == 5 and ratings(spark, site) == expected(known + new)
+    assert steps == 6 and ratings(spark, site) == expected(known + new)
 
 
 def test_lost_during_the_rename_of_the_list(spark, site):
@@ -110,7 +110,7 @@ def test_second_job_of_a_site_fails(spark, site):
 def test_listed_partitions_without_rows_go(spark, site):
     release = current_release(spark, site)
     days = [START + timedelta(i) for i in range(3)]
-    frame = spark.createDataFrame([("r", 1, 1, day) for day in days], schemas.RATING_SUM)
+    frame = spark.createDataFrame([("r", 1, 1, 1, day) for day in days], schemas.RATING_SUM)
     release.replace(frame, "rating_sum", "review_date")
     release.commit()
     release.replace(frame.where(F.col("review_date") == days[1]), "rating_sum", "review_date", days[1:])
