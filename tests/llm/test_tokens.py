@@ -1,3 +1,6 @@
+import random
+import re
+
 from tablepulse.llm import tokens
 
 from .common import SF, prose
@@ -41,3 +44,19 @@ def test_edges(documents):
     empty = tokens.length_histogram(tokens.token_lengths(frame.limit(0)))
     assert empty.count() == 0
     assert tokens.truncated_total(empty, 5).head()[0] == 0
+
+
+def test_long_white_space_is_cut_where_the_pattern_cuts(monkeypatch):
+    plain = encoder()
+    monkeypatch.setattr(tokens, "_LONG_RUNS", re.compile(rf"[{tokens.SPACES}]{{3,}}"))
+    rng = random.Random(4)
+    parts = [" ", "  ", "\t", "\n\n", "\u3000", "\x85", "\x1c", "\u200b", "word", "1", "!", "'s", "é"]
+    for _ in range(3000):
+        text = "".join(rng.choices(parts, k=rng.randint(0, 12)))
+        assert tokens.text_length(plain, text) == len(plain.encode_ordinary(text)), repr(text)
+
+
+def test_very_long_runs(documents):
+    rows = [(1, " " * 10_000_000), (2, "a" + "\n" * 3_000_000 + "b"), (3, "y" * 1_000_000)]
+    got = tokens.token_lengths(documents(rows)).collect()
+    assert len(got) == 3 and min(r["n_tokens"] for r in got) > 1000
