@@ -16,6 +16,8 @@ Added kinds: ``login`` is ``user:password`` before an at-sign in an address with
 scheme; ``account`` is an identifier of six or more of ``[A-Za-z0-9_-]`` with three or
 more digits, after a cue word and up to four of ``[\\x20:=#"']``.
 
+Connecting words such as "number" or "is" may stand between cue and identifier.
+
 Spans count code points, end exclusive. Null and empty texts have no span. Rows are
 independent of each other: repeated rows give equal rows. ``find_pii`` reads id and text
 alone, ``redact_documents`` keeps every other column. An empty table gives no row. Work
@@ -49,7 +51,11 @@ _ADDRESS = re.compile(r"[0-9]+(?:\.[0-9]+){3}")
 _CHAIN = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"[0-9][\x20().0-9-]+[0-9]")
 _LOGIN = re.compile(r"[^\s/@:?#\"'<>]+:[^\s/@?#\"'<>]+(?=@)")
-_ACCOUNT = re.compile(r"[\x20:=#\"']{1,4}([A-Za-z0-9_-]{6,})")
+# Connecting words between a cue and its identifier are passed over.
+_ACCOUNT = re.compile(
+    r"[\x20:=#\"']{1,4}(?:(?i:number|num|no|nr|id|is|code|key|was)\b[\x20.:=#\"']{1,4}){0,2}"
+    r"([A-Za-z0-9_-]{6,})"
+)
 
 Span = tuple[str, int, int]
 
@@ -130,8 +136,9 @@ def find_spans(text: str | None) -> list[Span]:
             if last >= after["login"] and (match := _LOGIN.match(text, last + 1)):
                 keep("login", match.start(), match.end(), True)
         elif last >= after["account"] and (match := _ACCOUNT.match(text, last + 1)):
-            start, end = match.span(1)
-            keep("account", start, end, sum(c in DIGITS for c in match.group(1)) >= 3)
+            # A word without digits may hold the next cue, so only a find moves on.
+            if sum(c in DIGITS for c in match.group(1)) >= 3:
+                keep("account", *match.span(1), True)
     return [span for kind in KINDS for span in found[kind]]
 
 

@@ -81,6 +81,18 @@ def test_added_spans_and_redaction():
     assert pii.redact("plain", []) == "plain" and pii.redact(None, []) is None
 
 
+def test_identifiers_behind_cues():
+    def accounts(text):
+        return [text[s:e] for kind, s, e in pii.find_spans(text) if kind == "account"]
+
+    assert accounts("Account number: 12345678") == ["12345678"]
+    assert accounts("password account 99887766") == ["99887766"]
+    assert accounts("account 12345678, iban no. is DE8937040044") == ["12345678", "DE8937040044"]
+    assert accounts("Passport no 123456789 and token id: ab12cd34") == ["123456789", "ab12cd34"]
+    assert accounts("account numbering 123456 password nothing") == []
+    assert accounts("token token token " * 3 + "abc12345") == ["abc12345"]
+
+
 def test_edges(documents):
     table = [(1, None), (2, ""), (3, "a@b.co"), (3, "a@b.co"), (None, "+1 222 333 4444")]
     table += [(5, prose(1, 200000) + " x@y.org"), (6, "1" * 100000), (7, "a@" * 50000)]
