@@ -12,6 +12,7 @@ import re
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    r"|<(/?)([A-Za-z][^\s/>]*)([^>]*)>"  # a quote that is never closed ends with the tag
     r"|<[!?][^>]*(?:>|\Z)"
     r"|<(?=/?[A-Za-z])[^>]*\Z",
     re.S,
@@ -80,15 +81,18 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     """
     nodes = [Node(-1, "#page", "", 0, False)]
     stack = [0]
+    opened = {"#page": 1}  # how many elements of a tag are on the stack
     events: list[tuple[int, str]] = []
 
     def leave(size: int) -> None:
         while len(stack) > size:
             if nodes[stack[-1]].tag in BLOCKS:
                 events.append((stack[-1], ""))
-            stack.pop()
+            opened[nodes[stack.pop()].tag] -= 1
 
     def close(tags, bounds) -> None:
+        if not any(opened.get(tag) for tag in tags):
+            return
         for place in range(len(stack) - 1, 0, -1):
             tag = nodes[stack[place]].tag
             if tag in tags:
@@ -105,10 +109,11 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     while found := _TOKEN.search(page, at):
         text(at, found.start())
         at = found.end()
-        tag = (found.group(2) or "").lower()
+        ending, name, written = found.group(1, 2, 3) if found.group(2) else found.group(4, 5, 6)
+        tag = (name or "").lower()
         if not tag:
             continue
-        if found.group(1):
+        if ending:
             close({tag}, ())
             continue
         if tag in CLOSES_P:
@@ -123,10 +128,10 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
             if not silent and tag in ("br", "hr"):
                 events.append((top, " " if tag == "br" else ""))
             continue
-        written = found.group(3)
         words = _attribute_words(written) if written else ""
         nodes.append(Node(top, tag, words, nodes[top].depth + 1, silent))
         stack.append(len(nodes) - 1)
+        opened[tag] = opened.get(tag, 0) + 1
         if tag in BLOCKS:
             events.append((stack[-1], ""))
         if tag in RAW and not written.endswith("/"):

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from .arrays import bounded_batches, without
+from .arrays import bounded_batches, free_name, without
 from .boosting import Trees, fit_trees
 from .dom import BLOCKS, Node, parse
 
@@ -273,7 +273,7 @@ def main_text(pages: DataFrame, trees: Trees) -> DataFrame:
     bounded_batches(spark)
     shared = spark.sparkContext.broadcast(trees)
     kept = without(pages.columns, ("html", "text", "n_chars"))
-    read = pages.select(*kept, pages["html"].alias("_html"))
+    read = pages.select(*kept, pages["html"].alias(free_name("_html", kept)))
 
     def read_pages(batches):
         for batch in batches:

@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 
@@ -87,6 +89,22 @@ def test_trees_learn_an_interaction():
     assert ((trees.log_odds(table) > 0) == labels).mean() > 0.97
 
 
+def test_unclosed_quotes_and_very_deep_pages():
+    nodes, events = parse('<p>One <a title="x>hello</a> two, three.</p><p>More</p>')
+    assert "".join(text for _, text in events) == "One hello two, three.More"
+    start = time.perf_counter()
+    deep = parse("<div>" * 100_000 + "text" + "<p>a</span>" * 20_000)[0]
+    assert len(deep) == 120_001 and time.perf_counter() - start < 10
+
+
+def test_clashing_columns(spark, trees):
+    page = "<html><body><article><h1>T</h1><p>Some words, and a few more of them.</p></article></body></html>"
+    frame = spark.createDataFrame([(1, "u", page, "kept", 5)], "page_id long, url string, html string, _html string, N_CHARS int")
+    out = html_text.main_text(frame, trees)
+    assert out.columns == ["page_id", "url", "_html", "text", "n_chars"]
+    assert out.first()["_html"] == "kept"
+
+
 def test_broken_markup_never_fails():
     rng = np.random.default_rng(4)
     parts = ["<p>", "</p>", "<div class=", "'", '"', "<", ">", "</", "&", "x ", "<!--", "-->", "<li>",
