@@ -7,10 +7,17 @@ their numbers. Landmark texts span a Nystrom feature space, one kernel ridge
 regression a language (one versus rest) is solved there, and texts are scored in
 batches: presence matrix times landmark matrix times coefficients.
 
-The model is fitted on a bounded sample: at most ``per_language`` different texts of
-each of at most ``languages`` languages (the most frequent), those with the smallest
-hash; the driver gets them as bit sets of ``BUCKETS`` bits. Everything else runs over
-all rows in one pass without a shuffle. A model is a few megabytes whatever the corpus.
+The model is fitted on a bounded sample: of every language that occurs at most
+``per_language`` different texts, those with the smallest hash, and fewer where that
+would be more than ``sample`` texts of all languages (one of each is kept); the driver
+gets them as bit sets of ``BUCKETS`` bits. Everything else runs over all rows in one
+pass without a shuffle. A model is a few megabytes whatever the corpus.
+
+``keep_known_language`` rejects a document without a letter; one in no language learned:
+the landmarks know less than ``FAMILIAR`` of its n-grams, beyond what they would by chance
+(not asked where landmarks hold over nine tenths of all buckets, which tells nothing); and
+one whose own label is contradicted: another language claims it, with a score of at least
+``CLAIMED`` and by ``CONTRADICTION`` more than that of its label.
 
 Null texts and texts without a letter are ``und`` with score 0; no language is learned
 from them. Without any labelled text all are ``und``. Ties go to the first language by
@@ -35,6 +42,11 @@ UNKNOWN = "und"
 BUCKETS = 1 << 14
 LONGEST = 3
 ROWS = 256
+SLICES = 64
+FAMILIAR = 0.5
+CROWDED = 0.9
+CLAIMED = 0.5
+CONTRADICTION = 0.25
 
 
 @functools.cache
@@ -92,22 +104,24 @@ class LanguageModel:
         return (table @ self.landmarks) @ self.coefficients[:-1] + self.coefficients[-1]
 
 
-def _sample(labelled: DataFrame, per_language: int, languages: int) -> DataFrame:
+def _sample(labelled: DataFrame, per_language: int, sample: int) -> DataFrame:
     """Bit sets of the sampled texts with their language."""
     known = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
         "doc_id", "lang", "text", F.xxhash64("text").alias("_hash")
     )
-    counts = known.groupBy("lang").count()
-    common = counts.orderBy(F.desc("count"), "lang").limit(languages).select("lang")
+    languages = known.select("lang").distinct().count()
+    each = max(1, min(per_language, sample // max(languages, 1)))
     different = known.groupBy("lang", "_hash").agg(F.min("doc_id").alias("doc_id"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("_hash"))
+    # A language may hold most rows: each slice of it offers its first ones.
+    slices = Window.partitionBy("lang", F.pmod("_hash", F.lit(SLICES))).orderBy("_hash")
+    whole = Window.partitionBy("lang").orderBy("_hash")
+    offered = different.withColumn("_rank", F.row_number().over(slices)).where(F.col("_rank") <= each)
     keys = (
-        different.join(F.broadcast(common), "lang")  # at most `languages` rows
-        .withColumn("_rank", rank)
-        .where(F.col("_rank") <= per_language)
+        offered.withColumn("_rank", F.row_number().over(whole))
+        .where(F.col("_rank") <= each)
         .select("doc_id", "lang", "_hash", "_rank")
     )
-    # At most languages * per_language rows.
+    # At most the larger of `sample` and the number of languages.
     chosen = known.join(F.broadcast(keys), ["doc_id", "lang", "_hash"])
 
     def pack(batches):
@@ -129,13 +143,13 @@ def _sample(labelled: DataFrame, per_language: int, languages: int) -> DataFrame
 def fit_language(
     labelled: DataFrame,
     per_language: int = 400,
-    languages: int = 128,
+    sample: int = 50_000,
     landmarks: int = 128,
     ridge: float = 1e-3,
 ) -> LanguageModel | None:
     """Fit on rows with text, lang and doc_id; None if nothing can be learned."""
     bounded_batches(labelled.sparkSession)
-    rows = {(r.lang, r.rank): r.bits for r in _sample(labelled, per_language, languages).collect()}
+    rows = {(r.lang, r.rank): r.bits for r in _sample(labelled, per_language, sample).collect()}
     rows = [(lang, rank, bits) for (lang, rank), bits in sorted(rows.items())]
     sets = [np.unpackbits(np.frombuffer(bits, np.uint8)).astype(np.float32) for *_, bits in rows]
     use = [at for at, flags in enumerate(sets) if flags.any()]
@@ -185,16 +199,37 @@ def _answers(model: LanguageModel | None, texts: list[str | None]):
     return languages, scores
 
 
+def _recognised(model: LanguageModel | None, texts: list, labels: list) -> list[bool]:
+    """Whether each text is in a language learned and none contradicts its label."""
+    if model is None:
+        return [False] * len(texts)
+    place = {name: at for at, name in enumerate(model.languages)}
+    chance = float((model.place >= 0).mean())
+    least = chance + FAMILIAR * (1 - chance) if chance <= CROWDED else 0.0
+    kept = []
+    for begin in range(0, len(texts), ROWS):
+        sets = [presence(text) for text in texts[begin : begin + ROWS]]
+        values = (model.scores(sets) + 1) / 2
+        for scores, buckets, label in zip(values, sets, labels[begin : begin + ROWS], strict=True):
+            if not len(buckets) or (model.place[buckets] >= 0).mean() < least:
+                kept.append(False)
+                continue
+            best = float(scores.max())
+            own = float(scores[place[label]]) if label in place else best
+            kept.append(best < CLAIMED or best - own < CONTRADICTION)
+    return kept
+
+
 def keep_known_language(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
-    """The documents whose language is recognised, with the columns they have."""
+    """The documents in a language learned whose label is not contradicted, as they are."""
     bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index("text")
+    at, label = docs.columns.index("text"), docs.columns.index("lang")
 
     def keep(batches):
         for batch in batches:
-            languages, _ = _answers(shared.value, batch.column(at).to_pylist())
-            yield batch.filter(pa.array([x != UNKNOWN for x in languages], pa.bool_()))
+            texts, labels = batch.column(at).to_pylist(), batch.column(label).to_pylist()
+            yield batch.filter(pa.array(_recognised(shared.value, texts, labels), pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
 

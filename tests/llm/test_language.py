@@ -41,6 +41,32 @@ def test_scores_equal_the_kernel_expansion(spark, documents):
         assert np.allclose(score, want, atol=1e-4)
 
 
+def test_every_language_is_learned(documents):
+    rng = np.random.default_rng(2)
+    rows = []
+    for number in range(140):
+        letters = [chr(0x4E00 + 20 * number + i) for i in range(20)]
+        for at in range(3 if number else 60):
+            rows.append((len(rows), "".join(rng.choice(letters, 30)), f"l{number:03}", "s"))
+    model = language.fit_language(documents(rows), per_language=40, sample=300)
+    assert len(model.languages) == 140
+    got = language.predict_language(documents(rows), model).collect()
+    assert np.mean([r["lang_pred"] == r["lang"] for r in got]) > 0.9
+
+
+def test_the_pipeline_rejects_by_the_prediction(documents):
+    def other(i):
+        return prose(i, 40).translate(str.maketrans("aeioulmnrt", "öäüßyqwxzj"))
+
+    rows = [(i, prose(i, 40), "aa", "s") for i in range(40)]
+    rows += [(100 + i, other(i), "bb", "s") for i in range(40)]
+    odd = [(200, other(90), "aa", "s"), (201, prose(91, 40), "bb", "s"), (202, "漢字仮名交じり文", "aa", "s"),
+           (203, prose(92, 40), None, "s"), (204, other(93), "cc", "s"), (205, "12 34", "aa", "s")]
+    model = language.fit_language(documents(rows))
+    kept = {r["doc_id"] for r in language.keep_known_language(documents(rows + odd), model).collect()}
+    assert kept == {row[0] for row in rows} | {203, 204}
+
+
 def test_edges(documents):
     rows = [(i, prose(i, 30), "aa", "s", "x") for i in range(20)]
     rows += [(50 + i, " ".join(["zzyx", "wvut"] * 9) + str(i), "bb", "s", "x") for i in range(20)]
