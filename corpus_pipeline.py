@@ -4,7 +4,7 @@ Every stage takes the session, the documents that the stage before kept and the
 of the tables, and returns a frame that is written as Parquet and read again. All but
 the last return the columns of ``documents``.
 
-1. language ID: documents without a recognisable language go.
+1. language ID: documents in no language learned, or in another than their label, go.
 2. near-dedup: one document of each near-duplicate class stays.
 3. decontamination: documents that contain a benchmark item go.
 4. PII: personal data is replaced by its kind; ``n_chars`` follows the text.
