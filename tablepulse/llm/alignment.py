@@ -45,7 +45,7 @@ from .arrays import bounded_batches, mix, runs
 BYTE_VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 PART = 1 << 19
-RUN = 1 << 22
+RUN = 1 << 20
 PAIRS = 1 << 22
 IDS = np.dtype("<u2")
 
@@ -102,6 +102,32 @@ class Vocabulary(NamedTuple):
         return cls(sizes, np.array([token.startswith(b" ") for token in tokens]))
 
 
+class Spelling:
+    """The bytes of all tokens of a vocabulary in one array."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.tokens = tokens
+        self.sizes = np.array([len(token) for token in tokens], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def spell(self, ids: list[np.ndarray], texts: list[bytes]) -> list[bool]:
+        """Whether the tokens of each row, put together, are its text."""
+        every = np.concatenate(ids)
+        sizes = self.sizes[every]
+        upto = np.concatenate([[0], np.cumsum(sizes)])
+        lengths = upto[np.cumsum([len(row) for row in ids])]
+        text = b"".join(texts)
+        if len(text) == upto[-1] and (lengths == np.cumsum([len(x) for x in texts])).all():
+            place = np.repeat(self.starts[every] - upto[:-1], sizes) + np.arange(upto[-1])
+            if (self.bytes[place] == np.frombuffer(text, np.uint8)).all():
+                return [True] * len(texts)
+        return [
+            b"".join(map(self.tokens.__getitem__, row.tolist())) == text
+            for row, text in zip(ids, texts, strict=True)
+        ]
+
+
 class Encoders:
     """Both encoders and the bytes of their tokens."""
 
@@ -129,6 +155,7 @@ class Encoders:
             for at, piece in enumerate(pieces)
         ]
         self.vocabularies = Vocabulary.of(self.a_bytes), Vocabulary.of(self.b_bytes)
+        self.flat = Spelling(self.a_bytes), Spelling(self.b_bytes)
         ranks = {
             token: at for at, token in enumerate(self.a_bytes) if token and at not in special
         }
@@ -151,35 +178,33 @@ class Encoders:
             at = cut.end()
         yield text[at:]
 
-    def _ids_of_a(self, parts: list[str]) -> list[list[int]]:
+    def _ids_of_a(self, parts: list[str]) -> list[np.ndarray]:
         """Ids of A: by its merges as ranks, and by the slower encoder where a run is very long."""
-        found = [None if has_long_run(part) else self.fast.encode_ordinary(f" {part}") for part in parts]
-        slow = [at for at, ids in enumerate(found) if ids is None]
-        encoded = self.a.encode_batch([f" {parts[at]}" for at in slow], add_special_tokens=False)
-        for at, ids in zip(slow, encoded, strict=True):
-            found[at] = ids.ids
+        found = []
+        for part in parts:
+            if has_long_run(part):
+                ids = self.a.encode(f" {part}", add_special_tokens=False).ids
+            else:
+                ids = self.fast.encode_to_numpy(f" {part}", disallowed_special=())
+            found.append(np.asarray(ids, IDS))
         return found
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """The ids of A and B for each text; none where the bytes do not agree."""
-        cut = [list(self.parts(text)) for text in texts]
+        cut = [list(self.parts(text)) if text else [] for text in texts]
         flat = [part for parts in cut for part in parts]
-        ids = self._ids_of_a(flat), self.b.encode(flat, num_threads=1)
-        result, at = [], 0
-        for text, parts in zip(texts, cut, strict=True):
-            a, b = (
-                side[at] if len(parts) == 1 else [x for part in side[at : at + len(parts)] for x in part]
-                for side in ids
-            )
-            at += len(parts)
-            whole = f" {text}".encode()
-            same = (
-                text
-                and b"".join(map(self.a_bytes.__getitem__, a)) == whole
-                and b"".join(map(self.b_bytes.__getitem__, b)) == whole
-            )
-            result.append((np.array(a if same else [], IDS), np.array(b if same else [], IDS)))
-        return result
+        found = self._ids_of_a(flat), [np.array(ids, IDS) for ids in self.b.encode(flat, num_threads=1)]
+        bounds = np.cumsum([0, *map(len, cut)]).tolist()
+        none = [np.empty(0, IDS)]
+        a, b = (
+            [np.concatenate(side[x:y] or none) for x, y in zip(bounds, bounds[1:])] for side in found
+        )
+        whole = [f" {text}".encode() if text else b"" for text in texts]
+        same = [self.flat[at].spell(ids, whole) for at, ids in enumerate((a, b))]
+        return [
+            (x, y) if good and fine else (none[0], none[0])
+            for x, y, good, fine in zip(a, b, *same, strict=True)
+        ]
 
 
 @functools.lru_cache(maxsize=1)
