@@ -4,6 +4,7 @@
     ingest-reviews   --root ROOT --site SITE
     ingest-health    --root ROOT
     publish          --root ROOT [--prefix PREFIX]
+    upkeep           --root ROOT [--keep RELEASES], between batches
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from datetime import date
 from pyspark.sql import SparkSession
 
 from tablepulse.layout import Site, health_site
+from tablepulse.plans.upkeep import upkeep
 from tablepulse.session import apply_runtime_settings
 from tablepulse.sources.catalog import publish_warehouse
 from tablepulse.streaming.bookmark import (
@@ -27,12 +29,15 @@ from tablepulse.streaming.bookmark import (
 def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="tablepulse", description="Restaurant quality jobs")
     jobs = parser.add_subparsers(dest="job", required=True)
-    for name in ("backfill-reviews", "ingest-reviews", "ingest-health", "publish"):
+    for name in ("backfill-reviews", "ingest-reviews", "ingest-health", "publish", "upkeep"):
         job = jobs.add_parser(name)
         job.add_argument("--root", required=True, help="folder of the warehouse")
         if name == "publish":
             job.add_argument("--prefix", default="", help="put before every table name")
             continue
+        if name == "upkeep":
+            job.add_argument("--keep", type=int, default=2, help="releases to keep")
+            continue
         job.add_argument("--earliest", type=date.fromisoformat, default=None)
         job.add_argument("--latest", type=date.fromisoformat, default=None)
         if name.endswith("reviews"):
@@ -54,6 +59,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     apply_runtime_settings(spark)
     if args.job == "publish":
         publish_warehouse(spark, args.root, args.prefix)
+    elif args.job == "upkeep":
+        upkeep(spark, args.root, args.keep)
     elif args.job == "backfill-reviews":
         backfill_landed_reviews(spark, Site(args.root, args.site), plausible=_plausible(args))
     elif args.job == "ingest-reviews":

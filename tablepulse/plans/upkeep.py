@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tablepulse import schemas
-from tablepulse.layout import RESTAURANTS, Site
+from tablepulse.layout import HEALTH_SITE, RESTAURANTS, Site
 from tablepulse.operators.rollups import merge_restaurants
 from tablepulse.sources.releases import (
     current_release,
     list_file,
     names_in,
     release_numbers,
+    released_sites,
     used_folders,
 )
 from tablepulse.sources.writers import delete_folder
@@ -66,3 +67,14 @@ def clean_releases(spark: SparkSession, site: Site, keep: int = 2) -> int:
     for path in [*(list_file(site, number) for number in old), *unused]:
         delete_folder(spark, path)
     return len(unused)
+
+
+def upkeep(spark: SparkSession, root: str, keep: int = 2) -> None:
+    """Compact ``restaurants`` of every site and delete what its last releases do not use."""
+    for site in released_sites(spark, root):
+        if site.name == HEALTH_SITE:
+            attributes = ("restaurant_name", "county", "cuisine")
+            compact_restaurants(spark, site, schemas.HEALTH_RESTAURANTS, attributes)
+        else:
+            compact_restaurants(spark, site)
+        clean_releases(spark, site, keep)

@@ -5,7 +5,7 @@ import os
 import time
 
 import pytest
-from frames import REVIEW_ROWS, expected_final_rating, raw_health, raw_reviews, review
+from frames import HEALTH_ROWS, REVIEW_ROWS, expected_final_rating, raw_health, raw_reviews, review
 from pyspark.sql import functions as F
 
 from tablepulse import schemas
@@ -14,7 +14,7 @@ from tablepulse.layout import Site, health_site
 from tablepulse.plans.health import read_grade_values
 from tablepulse.plans.reviews import read_final_rating
 from tablepulse.sources.readers import read_raw, stream_raw
-from tablepulse.sources.releases import current_release
+from tablepulse.sources.releases import current_release, release_numbers
 from tablepulse.streaming import bookmark
 from tablepulse.streaming.bookmark import (
     backfill_landed_reviews,
@@ -198,3 +198,11 @@ def test_jobs_by_command(spark, site):
     assert ratings(spark, site) == expected([*REVIEW_ROWS, review("k8", "20230504", "1", 1)])
     main(["publish", "--root", site.root, "--prefix", "cmd_"])
     assert spark.table("cmd_final_rating").count() == len(ratings(spark, site))
+    raw_health(spark, HEALTH_ROWS).write.option("header", True).csv(health_site(site.root).landing)
+    main(["ingest-health", "--root", site.root])
+    before = ratings(spark, site), sorted(map(str, read_grade_values(spark, site.root).collect()))
+    main(["upkeep", "--root", site.root, "--keep", "1"])
+    assert release_numbers(spark, site) == [3] and len(before[1]) > 0
+    after = ratings(spark, site), sorted(map(str, read_grade_values(spark, site.root).collect()))
+    assert after == before
+    assert len(current_release(spark, site).values("restaurants")) == 1
