@@ -15,11 +15,13 @@ share at least ``length - Q + 1 - Q * e`` q-grams on neighbouring diagonals, so
 Documents are read once, without a shuffle. The windows are broadcast in blocks of
 items of at most about ``BLOCK`` characters, one pass over the documents a block.
 
-Null and empty documents match nothing. Items with fewer than ``SHORTEST`` characters,
-null ones among them, are too short to be told from common prose and match nothing.
-Items with equal texts match alike, each under its id. Repeated rows get equal results,
+Null and empty documents and items match nothing. Items with fewer than ``SHORTEST``
+characters have too few q-grams: they are found exactly, as whole words, by one automaton
+of all of them. Items with equal texts match alike, each under its id; a window that
+several items share is sought once. Repeated rows get equal results,
 all columns are kept (one named like the result is replaced), empty tables give no match. Very long
-texts are read in overlapping pieces.
+texts are read in overlapping pieces, and pairs of equal q-grams are made for at most
+``PAIRS`` at a time, or two window lengths of text.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -41,6 +44,8 @@ STEP = 40
 BUDGET = 0.075
 SHORTEST = 25
 BLOCK = 4 << 20
+PAIRS = 1 << 20
+MEMO = 1 << 14
 TABLE_BITS = 22
 
 _FACTOR = np.uint32(0x9E3779B1)
@@ -81,9 +86,9 @@ def _slots(grams: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Windows:
-    """Windows of a block of items and where their q-grams occur."""
+    """Different windows of a block of items, where their q-grams occur, and short items."""
 
-    items: list
+    items: list[list]
     texts: list[np.ndarray]
     budgets: np.ndarray
     bounds: np.ndarray
@@ -92,37 +97,54 @@ class Windows:
     begin: np.ndarray
     owner: np.ndarray
     offset: np.ndarray
+    short: ahocorasick.Automaton | None
 
     @property
     def reach(self) -> int:
         return max(map(len, self.texts)) + int(self.budgets.max())
 
 
+def _automaton(items: dict[str, list]) -> ahocorasick.Automaton | None:
+    if not items:
+        return None
+    found = ahocorasick.Automaton()
+    for text, names in items.items():
+        found.add_word(text, (len(text), names))
+    found.make_automaton()
+    return found
+
+
 def cut_windows(items: list[tuple[object, str | None]]) -> Windows | None:
-    """The windows of the items; None if no item is long enough."""
-    names, texts = [], []
+    """The windows of the items; None if every item is empty."""
+    short: dict[str, list] = {}
+    cut: dict[str, list] = {}
     for name, text in items:
-        codes = codes_of(normal(text))
-        if len(codes) < SHORTEST:
+        text = normal(text)
+        if len(text) < SHORTEST:
+            if text:
+                short.setdefault(text, []).append(name)
             continue
-        last = max(len(codes) - WINDOW, 0)
+        last = max(len(text) - WINDOW, 0)
         for start in sorted({*range(0, last + 1, STEP), last}):
-            names.append(name)
-            texts.append(codes[start : start + WINDOW])
-    if not texts:
+            cut.setdefault(text[start : start + WINDOW], []).append(name)
+    if not cut and not short:
         return None
-    budgets = np.array([int(BUDGET * len(text)) for text in texts])
-    bounds = np.array([len(text) - Q + 1 for text in texts]) - Q * budgets
+    texts = [codes_of(text) for text in cut]
+    budgets = np.array([int(BUDGET * len(text)) for text in texts], np.int64)
+    bounds = np.array([len(text) - Q + 1 for text in texts], np.int64) - Q * budgets
     grams = [q_grams(text) for text in texts]
-    owner = np.repeat(np.arange(len(texts)), [len(x) for x in grams])
-    offset = np.concatenate([np.arange(len(x)) for x in grams])
-    every = np.concatenate(grams)
+    owner = np.repeat(np.arange(len(texts)), np.array([len(x) for x in grams], np.int64))
+    offset = np.concatenate([np.arange(len(x)) for x in grams] or [np.empty(0, np.int64)])
+    every = np.concatenate(grams or [np.empty(0, np.uint32)])
     order = np.argsort(every, kind="stable")
     known, begin = np.unique(every[order], return_index=True)
     table = np.zeros(1 << TABLE_BITS, bool)
     table[_slots(known)] = True
     begin = np.append(begin, len(every))
-    return Windows(names, texts, budgets, bounds, table, known, begin, owner[order], offset[order])
+    return Windows(
+        list(cut.values()), texts, budgets, bounds, table, known, begin,
+        owner[order], offset[order], _automaton(short),
+    )
 
 
 def banded_search(pattern, text, low: int, high: int, budget: int) -> int | None:
@@ -174,11 +196,31 @@ def _search(codes: np.ndarray, windows: Windows) -> dict[int, tuple[int, int]]:
     at[at == len(windows.grams)] = 0
     real = windows.grams[at] == grams[hits]
     hits, at = hits[real], at[real]
+    found: dict[int, tuple[int, int]] = {}
+    failed: set[tuple] = set()
+    upto = np.append(0, np.cumsum(windows.begin[at + 1] - windows.begin[at]))
+    start = 0
+    while start < len(hits):
+        # As many as PAIRS allows, but never less than holds any match that begins here.
+        enough = np.searchsorted(hits, hits[start] + 2 * windows.reach)
+        end = max(int(np.searchsorted(upto, upto[start] + PAIRS)) - 1, int(enough))
+        _count(codes, hits[start:end], at[start:end], windows, found, failed)
+        if end >= len(hits):
+            break
+        start = int(np.searchsorted(hits, hits[end] - windows.reach))
+    return found
+
+
+def _count(codes, hits, at, windows: Windows, found: dict, failed: set) -> None:
+    """Add the windows with enough q-grams among the hits in one band, once verified."""
     count = windows.begin[at + 1] - windows.begin[at]
     first = np.cumsum(count) - count
     posting = np.arange(count.sum()) - np.repeat(first - windows.begin[at], count)
     owner, offset = windows.owner[posting], windows.offset[posting]
     diagonal = np.repeat(hits, count) - offset
+    if found:
+        new = ~np.isin(owner, list(found))
+        owner, offset, diagonal = owner[new], offset[new], diagonal[new]
     width = windows.budgets[owner] + 1
     # Band b holds the diagonals from b * width on, twice the width of them; matches
     # spread over at most one width.
@@ -194,7 +236,6 @@ def _search(codes: np.ndarray, windows: Windows) -> dict[int, tuple[int, int]]:
     different[1:] |= offsets[1:] != offsets[:-1]
     start = np.flatnonzero(fresh)
     shared = np.add.reduceat(different, start) if len(start) else start
-    found: dict[int, tuple[int, int]] = {}
     for group in np.flatnonzero(shared >= np.maximum(windows.bounds[owners[start]], 1)):
         window = int(owners[start[group]])
         if window in found:
@@ -204,27 +245,50 @@ def _search(codes: np.ndarray, windows: Windows) -> dict[int, tuple[int, int]]:
         high = low + 2 * (budget + 1) + 2 * budget
         begin = max(low - budget, 0)
         end = max(high, 0) + len(windows.texts[window]) + budget
-        part = codes[begin:end].tolist()
+        part = codes[begin:end]
+        # Repeated passages bring the same stretch again and again.
+        seen = (window, low - begin, part.tobytes())
+        if seen in failed:
+            continue
         pattern = windows.texts[window].tolist()
-        edits = banded_search(pattern, part, low - begin, high - begin, budget)
+        edits = banded_search(pattern, part.tolist(), low - begin, high - begin, budget)
         if edits is not None:
             found[window] = (max(low, 0), edits)
-    return found
+        else:
+            if len(failed) >= MEMO:
+                failed.clear()
+            failed.add(seen)
+
+
+def _short_items(text: str, automaton: ahocorasick.Automaton):
+    """Each short item that stands in the text as whole words, and where."""
+    for last, (size, names) in automaton.iter(text):
+        first = last - size + 1
+        before, after = text[first - 1 : first] if first else "", text[last + 1 : last + 2]
+        if not before.isalnum() and not after.isalnum():
+            for name in names:
+                yield name, first
 
 
 def find_items(text: str | None, windows: Windows | None) -> list[dict]:
     """The items that a text contains: windows found, one place about where, least edits."""
     if windows is None or not text:
         return []
-    codes = codes_of(normal(text))
-    found: dict[int, tuple[int, int]] = {}
-    for base in range(0, max(len(codes), 1), CHARS):
-        piece = codes[base : base + CHARS + 2 * windows.reach]
-        for window, (place, edits) in _search(piece, windows).items():
-            found.setdefault(window, (base + place, edits))
+    text = normal(text)
     by_item: dict = {}
-    for window, (place, edits) in sorted(found.items()):
-        by_item.setdefault(windows.items[window], []).append((place, edits))
+    if windows.texts:
+        codes = codes_of(text)
+        found: dict[int, tuple[int, int]] = {}
+        for base in range(0, max(len(codes), 1), CHARS):
+            piece = codes[base : base + CHARS + 2 * windows.reach]
+            for window, (place, edits) in _search(piece, windows).items():
+                found.setdefault(window, (base + place, edits))
+        for window, (place, edits) in sorted(found.items()):
+            for item in windows.items[window]:
+                by_item.setdefault(item, []).append((place, edits))
+    if windows.short:
+        for item, place in _short_items(text, windows.short):
+            by_item.setdefault(item, [(place, 0)])
     return [
         {
             "item_id": item,

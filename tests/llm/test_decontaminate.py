@@ -23,7 +23,12 @@ def brute_force(text, item):
     """The definition: a window of the item within its budget of some part of the text."""
     text, item = dc.normal(text), dc.normal(item)
     if len(item) < dc.SHORTEST:
-        return False
+        return bool(item) and any(
+            text[at : at + len(item)] == item
+            and not text[max(at - 1, 0) : at].isalnum()
+            and not text[at + len(item) : at + len(item) + 1].isalnum()
+            for at in range(len(text))
+        )
     last = max(len(item) - dc.WINDOW, 0)
     windows = {item[s : s + dc.WINDOW] for s in {*range(0, last + 1, dc.STEP), last}}
     return any(semi_global(w, text) <= int(dc.BUDGET * len(w)) for w in windows)
@@ -106,7 +111,7 @@ def test_edges_and_blocks(spark, documents, monkeypatch):
     ]
     frame = documents([(*row[:4], "m") for row in table], ", Matches string")
     want = sorted(
-        [(1, 1), (1, 1), (1, 6), (1, 6), (4, 2), (5, 2), (None, 1), (None, 6)], key=str
+        [(1, 1), (1, 1), (1, 6), (1, 6), (4, 2), (5, 2), (8, 5), (None, 1), (None, 6)], key=str
     )
     for block in (dc.BLOCK, 200):
         monkeypatch.setattr(dc, "BLOCK", block)
@@ -114,6 +119,36 @@ def test_edges_and_blocks(spark, documents, monkeypatch):
         assert sorted(map(tuple, got), key=str) == want
         clean = dc.drop_contaminated(frame, benchmark)
         assert clean.columns == frame.columns
-        assert rows(clean, "doc_id", "Matches") == [(i, "m") for i in (2, 3, 7, 8)]
+        assert rows(clean, "doc_id", "Matches") == [(i, "m") for i in (2, 3, 7)]
     assert dc.drop_contaminated(frame, benchmark.limit(0)).count() == len(table)
     assert dc.contaminated(frame.limit(0), benchmark).count() == 0
+
+
+def test_short_items_are_found_as_whole_words():
+    items = ["Tell me", "tell  me", "a b", "", None, "42", "words in all, 24 letters"]
+    windows = dc.cut_windows(list(enumerate(items)))
+    texts = [
+        "please TELL\nme now", "foretell me", "tell mean", "tell me", "42", "142 a bc", "(42)",
+        "x words in all, 24 letters", "", prose(4, 50), "ab a b",
+    ]
+    for text in texts:
+        got = {match["item_id"] for match in dc.find_items(text, windows)}
+        assert got == {at for at, item in enumerate(items) if brute_force(text, item)}
+    assert {m["item_id"] for m in dc.find_items("tell me", windows)} == {0, 1}
+    assert dc.cut_windows([(1, None), (2, " ")]) is None
+
+
+def test_items_with_one_stem_in_slices(monkeypatch):
+    stem = "which of the following answers is the right one to the question that was asked here "
+    items = [stem + prose(900 + i, 12) for i in range(40)]
+    windows = dc.cut_windows(list(enumerate(items)))
+    assert len(windows.texts) < sum(map(len, windows.items))
+    text = " ".join([prose(1, 30), *[stem + prose(50 + i, 3) for i in range(25)], items[7]])
+    want = dc.find_items(text, windows)
+    assert {match["item_id"] for match in want} == {
+        at for at, item in enumerate(items) if brute_force(text, item)
+    }
+    for pairs in (1, 500, 20_000):
+        monkeypatch.setattr(dc, "PAIRS", pairs)
+        got = dc.find_items(text, windows)
+        assert {m["item_id"]: m["windows"] for m in got} == {m["item_id"]: m["windows"] for m in want}
