@@ -58,3 +58,58 @@ def test_sums_do_not_depend_on_the_partitioning(spark, documents):
     docs, labels = labelled(spark, documents, lambda i: i % 2)
     one, many = score(docs.repartition(1), labels), score(docs.repartition(6), labels)
     assert all(abs(one[i]["score"] - many[i]["score"]) < 1e-6 for i in one)
+
+
+def monotone(means, weights):
+    """Isotonic regression by its min-max formula."""
+    n = len(means)
+
+    def average(i, j):
+        return np.average(means[i : j + 1], weights=weights[i : j + 1])
+
+    return np.array(
+        [max(min(average(i, j) for j in range(k, n)) for i in range(k + 1)) for k in range(n)]
+    )
+
+
+def test_fit_and_scores_equal_a_direct_dense_computation(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    texts = sorted((r["doc_id"], r["text"]) for r in docs.collect())
+    stats = np.array([quality.statistics(text) for _, text in texts])
+    rows = [
+        (stats[at].tolist(), float(labels[doc_id]), doc_id % 5 == 4)
+        for at, (doc_id, _) in enumerate(texts)
+        if labels.get(doc_id) in (0, 1)
+    ]
+    frame = spark.createDataFrame(rows, "stats array<double>, label double, calibrate boolean")
+    model = quality.fit_quality(frame.repartition(5))
+
+    known, wanted, later = (np.array(column) for column in zip(*rows))
+    mean, spread = known.mean(axis=0), known.std(axis=0)
+    spread[spread == 0] = 1
+    weights, shifts = quality._projection(4.0)
+
+    def features(table):
+        scaled = np.clip((table - mean) / spread, -6, 6)
+        waves = np.cos(scaled @ weights + shifts) * np.sqrt(2 / len(shifts))
+        return np.hstack([waves, np.ones((len(table), 1))])
+
+    fitted = features(known[~later])
+    scale = 1e-4 * (fitted**2).sum() / fitted.shape[1]
+    # Ridge as least squares over rows stacked on a scaled unit matrix.
+    stacked = np.vstack([fitted, np.sqrt(scale) * np.eye(fitted.shape[1])])
+    target = np.append(wanted[~later], np.zeros(fitted.shape[1]))
+    solution = np.linalg.lstsq(stacked, target, rcond=None)[0]
+    direct = np.clip(features(stats) @ solution, 0, 1)
+    assert np.allclose(model.ridge_scores(stats), direct, atol=1e-6)
+
+    held = np.clip(features(known[later]) @ solution, 0, 1)
+    bins = np.floor(held * quality.BINS)
+    every = np.unique(bins)
+    counts = np.array([(bins == x).sum() for x in every], float)
+    shares = np.array([wanted[later][bins == x].mean() for x in every])
+    knots = np.array([held[bins == x].mean() for x in every])
+    level = monotone(shares, counts)
+    assert np.allclose(model.knots, knots, atol=1e-6) and np.allclose(model.values, level, atol=1e-9)
+    assert np.allclose(model.scores(stats), np.interp(direct, knots, level), atol=1e-4)
