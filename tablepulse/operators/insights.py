@@ -52,6 +52,42 @@ def rating_hygiene_correlation(
     )
 
 
+def correlation_sums(final_rating: DataFrame, runs: DataFrame) -> DataFrame:
+    """What the correlation of a site needs to know of each day, one row a site and day.
+
+    Days can be stored and replaced one by one, as with ``replace_dates``;
+    :func:`correlation_of_sums` adds up any of them, in any order.
+    """
+    rated = final_rating.where("final_rating is not null")
+    both = ratings_with_grades(rated, runs).where("health_grade is not null")
+    x, y = F.col("final_rating"), F.col("health_grade").cast("double")
+    return both.groupBy("site", "review_date").agg(
+        F.count(F.lit(1)).alias("n_days"),
+        F.sum(x).alias("x"),
+        F.sum(y).alias("y"),
+        F.sum(x * x).alias("xx"),
+        F.sum(y * y).alias("yy"),
+        F.sum(x * y).alias("xy"),
+        F.min(x).alias("least_x"),
+        F.max(x).alias("most_x"),
+        F.min(y).alias("least_y"),
+        F.max(y).alias("most_y"),
+    )
+
+
+def correlation_of_sums(sums: DataFrame) -> DataFrame:
+    """The same as :func:`rating_hygiene_correlation` per site, from stored sums."""
+    total = sums.groupBy("site").agg(
+        *(F.sum(name).alias(name) for name in ("n_days", "x", "y", "xx", "yy", "xy")),
+        *(F.min(name).alias(name) for name in ("least_x", "least_y")),
+        *(F.max(name).alias(name) for name in ("most_x", "most_y")),
+    )
+    # Rounding may leave a spread in the sums of a constant series; its limits tell.
+    varied = (F.col("least_x") < F.col("most_x")) & (F.col("least_y") < F.col("most_y"))
+    r = F.expr("try_divide(n_days * xy - x * y, sqrt(n_days * xx - x * x) * sqrt(n_days * yy - y * y))")
+    return total.select("site", "n_days", F.when(varied, r).alias("r"))
+
+
 def quality_timeline(
     final_rating: DataFrame,
     grades: DataFrame,

@@ -249,6 +249,7 @@ ORACLES: dict[str, str] = {
         _RATED,
     ),
     "rating_hygiene_corr": _correlation("site"),
+    "summed_hygiene_corr": _correlation("site"),
     "rating_hygiene_corr_by_restaurant": _correlation("site, rated.restaurant_id"),
     "quality_timeline": _with(
         """SELECT coalesce(rated.restaurant_id, grades.restaurant_id) AS restaurant_id,

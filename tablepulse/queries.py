@@ -432,6 +432,11 @@ def rating_hygiene_corr(spark: SparkSession, folder: str) -> DataFrame:
     return result.withColumn("r", _rounded("r"))
 
 
+def summed_hygiene_corr(spark: SparkSession, folder: str) -> DataFrame:
+    sums = insights.correlation_sums(_rated(spark, folder), runs_of(sample.health(spark, folder)))
+    return insights.correlation_of_sums(sums).withColumn("r", _rounded("r"))
+
+
 def rating_hygiene_corr_by_restaurant(spark: SparkSession, folder: str) -> DataFrame:
     result = insights.rating_hygiene_correlation(
         _rated(spark, folder), runs_of(sample.health(spark, folder)), per_restaurant=True
@@ -568,6 +573,7 @@ QUERIES: dict[str, Query] = {
         stored_rating_profile,
         graded_ratings,
         rating_hygiene_corr,
+        summed_hygiene_corr,
         rating_hygiene_corr_by_restaurant,
         quality_timeline,
         cuisine_site_counts,

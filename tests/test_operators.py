@@ -484,3 +484,30 @@ def test_head_and_tail(spark):
     df = spark.range(10)
     assert rows(insights.head(df, 3, "id")) == [(0,), (1,), (2,)]
     assert rows(insights.tail(df, 2, "id")) == [(9,), (8,)]
+
+
+def test_summed_correlation_follows_replaced_days(spark):
+    kind = "site string, restaurant_id string, review_date date, final_rating double"
+    days = [date(2023, 1, i) for i in range(1, 9)]
+    first = [
+        (site, str(who), day, 1.0 + (3 * at + who * (site == "a")) % 5 / 1.5)
+        for site in "ab" for who in (1, 2) for at, day in enumerate(days)
+    ]
+    first += [("flat", "1", day, 10 / 3) for day in days]
+    late = {days[2], days[6], days[7]}
+    second = [(s, r, d, x if s == "flat" else x / 2 + (d.day % 3)) for s, r, d, x in first if d in late]
+    runs = spark.createDataFrame(
+        [("1", days[0], days[3], 2), ("1", days[4], None, 4), ("2", days[1], None, 3)],
+        "restaurant_id string, valid_from date, valid_to date, health_grade int",
+    )
+    new, old = spark.createDataFrame(second, kind), spark.createDataFrame(first, kind)
+    stored = insights.correlation_sums(old, runs)
+    for part in ([days[7]], [days[6], days[2]]):
+        changed = insights.correlation_sums(new.where(new.review_date.isin(part)), runs)
+        stored = replace_dates(stored, changed, "review_date", part)
+    whole = spark.createDataFrame([r for r in first if r[2] not in late] + second, kind)
+    want = {r.site: r for r in insights.rating_hygiene_correlation(whole, runs).collect()}
+    got = {r.site: r for r in insights.correlation_of_sums(stored).collect()}
+    assert set(got) == set(want) == {"a", "b", "flat"} and got["flat"].r is None
+    assert all(got[s].n_days == want[s].n_days for s in want)
+    assert all(got[s].r == pytest.approx(want[s].r, abs=1e-9) for s in "ab")
