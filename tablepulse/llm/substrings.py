@@ -12,9 +12,9 @@ and two equal windows never lie in one super-k-mer. So:
    minimiser; equal strings of a document travel once, with their places. A task reads
    its buckets in sorted order, one at a time, and sorts the windows of a bucket: equal
    neighbours are repeats, compared as text, not by hash. A bucket of over
-   ``BUCKET_ROWS`` documents (some 100 MB of windows) is not gathered: its windows
-   become rows of their own, counted with map-side sums and joined back, with equal
-   result.
+   ``BUCKET_WINDOWS`` windows (some 100 MB), of many documents or of one, is not
+   gathered: its windows become rows of their own, counted with map-side sums and
+   joined back, with equal result.
 3. Repeated stretches return to their documents and the words in them are removed.
 
 Rows are told apart by id and text. A row that occurs twice is two rows, so all its
@@ -38,7 +38,7 @@ from tablepulse.session import scratch_dir
 from .arrays import WORD, bounded_batches, rolling, word_hashes
 
 SEED_WORDS = 8
-BUCKET_ROWS = 1 << 14
+BUCKET_WINDOWS = 1 << 18
 
 _WORD = re.compile(WORD)
 _KEY = ("doc_id", "_hash")
@@ -305,11 +305,12 @@ def remove_repeats(docs: DataFrame, size: int = 35) -> DataFrame:
     rows = docs.select("doc_id", F.xxhash64("text").alias("_hash"), "text")
 
     places = _places(rows, size, kind)
+    windows = F.aggregate("numbers", F.lit(0).cast("long"), lambda total, one: total + one)
     shared = (
         places.groupBy("minimiser")
-        .agg(F.sum(F.size("firsts")).alias("number"), F.count(F.lit(1)).alias("rows"))
+        .agg(F.sum(F.size("firsts")).alias("number"), F.sum(windows).alias("windows"))
         .where("number > 1")
-        .select("minimiser", (F.col("rows") > BUCKET_ROWS).alias("hot"))
+        .select("minimiser", (F.col("windows") > BUCKET_WINDOWS).alias("hot"))
     )
     place = F.struct("minimiser", "firsts", "numbers", "hot")
     cuts = places.join(shared, "minimiser").groupBy(*_KEY).agg(F.collect_set(place).alias("cuts"))

@@ -37,9 +37,9 @@ def table():
     return texts
 
 
-@pytest.mark.parametrize("rows_in_a_bucket", [ss.BUCKET_ROWS, 3])
-def test_equals_brute_force(documents, monkeypatch, rows_in_a_bucket):
-    monkeypatch.setattr(ss, "BUCKET_ROWS", rows_in_a_bucket)
+@pytest.mark.parametrize("windows_in_a_bucket", [ss.BUCKET_WINDOWS, 3, 100])
+def test_equals_brute_force(documents, monkeypatch, windows_in_a_bucket):
+    monkeypatch.setattr(ss, "BUCKET_WINDOWS", windows_in_a_bucket)
     texts = table()
     want = brute_force(texts, 35)
     got = ss.remove_repeats(documents(list(enumerate(texts))).repartition(5)).collect()
@@ -58,6 +58,21 @@ def test_repeated_rows_null_ids_and_clashing_columns(documents):
     assert ss.remove_repeats(frame.limit(0)).count() == 0
 
 
+def test_one_document_can_make_a_bucket_hot(documents, monkeypatch):
+    """The guard counts windows, so a document with many in one bucket is not gathered."""
+    monkeypatch.setattr(ss, "BUCKET_WINDOWS", 50)
+    spread, seen = ss._hot_stretches, []
+    monkeypatch.setattr(ss, "_hot_stretches", lambda hot, *a: seen.append(hot) or spread(hot, *a))
+    # The line with the least hash of many is the minimiser of all windows around it.
+    lines = [prose(seed, ss.SEED_WORDS) for seed in range(100, 600)]
+    line = min(lines, key=lambda one: rolling(next(iter(word_hashes([one]))), ss.SEED_WORDS)[0])
+    texts = [" ".join(f"{line} {prose(20 + i, 9)}" for i in range(30)), prose(2, 60), prose(2, 60)]
+    got = ss.remove_repeats(documents(list(enumerate(texts)))).collect()
+    by = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept"]) for r in got}
+    assert [by[at] for at in range(len(texts))] == brute_force(texts, 35)
+    assert {r["doc_id"] for r in seen[0].collect()} == {0}
+
+
 def test_other_window_sizes(documents):
     texts = [prose(i % 7, 20 + i) for i in range(20)]
     for size in (1, 3, 8, 12):
