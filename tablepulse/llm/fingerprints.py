@@ -8,10 +8,11 @@ an estimate of the Jaccard likeness of the phrase sets, which is high if one tex
 to compress the other.
 
 ``compare_with_next`` needs each text beside the next one by descending id. Ids are cut
-into ranges by their quantiles, each range becomes one stretch of a partition, sorted,
-and gets a copy of the first row of the range after it (the last range that of the
+into ranges by their quantiles (ids that are not numbers by those of the ``DRAWN`` ids a
+range with the least hashes), as many as there are shuffle partitions. Each range becomes
+one partition, sorted, and gets a copy of the first row of the range after it (the last range that of the
 first). So texts are shuffled once, and a task holds two texts at a time however many
-rows a range has. The driver gets one id a range.
+rows a range has. The driver gets one id a range, or ``DRAWN`` where ids are not numbers.
 
 Null texts count as empty. A text without phrases has the empty fingerprint; two empty
 ones are alike (1.0), an empty and another are not (0.0). Null ids come last; rows with
@@ -29,10 +30,12 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from .arrays import CHARS, bounded_batches, codes_of, mix
 
 KEPT = 128
+DRAWN = 64  # ids a range, to cut ids that are not numbers
 _MASK = (1 << 64) - 1
 _FACTOR = 0x9E3779B97F4A7C15
 _POINT = 21  # bits of a code point
@@ -134,17 +137,30 @@ RESULT = (
 )
 
 
+def _bounds(docs: DataFrame, number: int) -> list:
+    """Ascending ids that cut all ids into at most ``number`` ranges of about equal size."""
+    if isinstance(docs.schema["doc_id"].dataType, NumericType):
+        shares = [float(x) for x in np.linspace(0, 1, number + 1)[1:-1]] or [0.5]
+        found = docs.agg(F.percentile_approx("doc_id", shares, 10 * max(number, 1000)).alias("x"))
+        return sorted({float(x) for x in found.head()["x"] or []})
+    ids = docs.select("doc_id").where("doc_id IS NOT NULL").distinct()
+    drawn = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(DRAWN * number).collect()
+    return sorted(row[0] for row in drawn)[DRAWN::DRAWN]
+
+
 def _ranges(docs: DataFrame, number: int):
-    """A function that gives the range of an id, 0 for the greatest ids."""
-    shares = [float(x) for x in np.linspace(0, 1, number + 1)[1:-1]] or [0.5]
-    found = docs.agg(F.percentile_approx("doc_id", shares, 10 * max(number, 1000)).alias("x"))
-    bounds = np.array(sorted(set(found.head()["x"] or [])), dtype=np.float64)
+    """A function that gives the range of an id, 0 for the greatest ids, the last for nulls."""
+    found = _bounds(docs, number)
+    dtype = np.float64 if isinstance(docs.schema["doc_id"].dataType, NumericType) else object
+    bounds = np.array(found, dtype=dtype)
 
     @F.pandas_udf("int")
     def place(ids: pd.Series) -> pd.Series:
-        values = ids.to_numpy(dtype=np.float64, na_value=-np.inf)
-        at = len(bounds) - np.searchsorted(bounds, values, side="left")
-        return pd.Series(np.where(np.isneginf(values), len(bounds) + 1, at).astype(np.int32))
+        known = ids.notna().to_numpy()
+        at = np.full(len(ids), len(bounds) + 1, np.int32)
+        values = ids[known].to_numpy(dtype=dtype)
+        at[known] = len(bounds) - np.searchsorted(bounds, values, side="left")
+        return pd.Series(at)
 
     return place
 
@@ -179,7 +195,8 @@ def compare_with_next(docs: DataFrame, share: int = 3) -> DataFrame:
         "doc_id", "_hash", "text", F.col("_to").alias("_range"), F.lit(1).alias("_extra")
     )
     placed = rows.withColumn("_extra", F.lit(0)).unionByName(extra)
-    ordered = placed.repartition("_range").sortWithinPartitions(
+    # Each range, and the null ids, are a partition of their own.
+    ordered = placed.repartitionById(number + 1, "_range").sortWithinPartitions(
         "_range", "_extra", F.col("doc_id").desc_nulls_last(), F.col("_hash").desc()
     )
 

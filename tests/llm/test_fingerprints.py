@@ -1,6 +1,7 @@
 import hashlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tablepulse.llm import fingerprints as fp
 
@@ -95,3 +96,18 @@ def test_edges(documents):
     got = fp.compare_with_next(repeated).collect()
     assert sorted(str(r["doc_id"]) for r in got) == ["4", "4", "4", "None", "None"]
     assert len({r["fingerprint"] for r in got if r["doc_id"] == 4}) == 1
+
+
+def test_ids_that_are_text(spark, monkeypatch):
+    monkeypatch.setattr(fp, "DRAWN", 2)
+    texts = [prose(seed, 60) for seed in range(40)]
+    rows = [(f"{chr(233) if at % 3 else 'k'}-{at}", text) for at, text in enumerate(texts)]
+    got = fp.compare_with_next(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    check(got, sorted(rows, reverse=True))
+
+
+def test_each_range_is_a_partition(spark):
+    docs = spark.range(4000).selectExpr("id AS doc_id", "repeat(string(id), 5) AS text")
+    sizes = fp.compare_with_next(docs).groupBy(F.spark_partition_id()).count().collect()
+    number = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(sizes) == number and max(r["count"] for r in sizes) < 1.2 * 4000 / number
