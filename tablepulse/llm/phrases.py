@@ -12,8 +12,8 @@ The running counts are a table, not a broadcast: a step's counts are summed in t
 by shuffle, and with those of the phrases that are still active. What goes to the tasks
 is an array of ``slots`` bytes whatever the corpus: for each hash the step in which a
 phrase of that hash reached the threshold. Two phrases that share a slot only let
-longer ones start early; these too are counted for one full cycle from there on, so
-results do not depend on it. Phrases travel as text, their 64-bit hashes are used only
+longer ones start early, but none before its subphrases are counted themselves; these
+too are counted for one full cycle from there on, so results do not depend on it. Phrases travel as text, their 64-bit hashes are used only
 within a run of a few MB to group equal ones.
 
 Each scan reads the texts again: a stored table is read as often as there are steps, at
@@ -168,8 +168,10 @@ class Words:
             hashes = self.phrase_hashes(at, size)
             counted = (later + shards >= step) & self.own[at + size - 1]
             yield size, at[counted], later[counted]
+            # Another phrase may have reached the slot before this one was counted itself.
+            spot = reached[(hashes & mask).astype(np.int64)]
             subphrase = np.full(len(self.starts), NEVER, np.uint8)
-            subphrase[at] = reached[(hashes & mask).astype(np.int64)]
+            subphrase[at] = np.maximum(spot, later.astype(np.uint8))
 
 
 def _texts(batches, longest: int) -> Iterator[Words]:

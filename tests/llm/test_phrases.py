@@ -74,6 +74,15 @@ def test_equals_brute_force(documents, shards, slots):
     assert sorted(map(tuple, got)) == sorted(brute_force(rows, 6, 5, 25))
 
 
+def test_shared_slots_lose_no_count(documents):
+    """A slot that another phrase reached first starts no phrase before its subphrases."""
+    rows = [(lang, " ".join([word] * (4 + at % 9))) for at in range(12) for lang in ("en", "fr") for word in words(9, 30)]
+    docs = documents([(at, text, lang) for at, (lang, text) in enumerate(rows)])
+    counts = phrases.count_phrases(docs, 40, 5, 3, slots=32)
+    got = phrases.rank_collocations(counts, first=200).select(COLUMNS).collect()
+    assert sorted(map(tuple, got)) == sorted(brute_force(rows, 40, 5, 200))
+
+
 def test_phrases_across_the_cuts_of_long_texts(documents, monkeypatch):
     rng = random.Random(5)
     vocabulary = words(2, 12)
