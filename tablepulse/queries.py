@@ -370,10 +370,11 @@ def malformed_lines(spark: SparkSession, folder: str) -> DataFrame:
     whole = raw.select(schemas.RAW_REVIEWS.names)
     _land(whole.where(raw["posted_hour"] >= NOON), schemas.RAW_REVIEWS, site.landing)
     broken = raw.where(F.col("posted_hour") < NOON)
-    line = F.concat_ws(",", "review_id", "review_date")
-    header = spark.createDataFrame([(",".join(schemas.RAW_REVIEWS.names),)], "line string")
-    lines = header.union(broken.select(line)).coalesce(1)
-    lines.write.mode("append").text(site.landing)
+    # One unquoted column named as the header line, so that every file begins with it.
+    line = F.concat_ws(",", "review_id", "review_date").alias(",".join(schemas.RAW_REVIEWS.names))
+    spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    plain = {"header": True, "sep": "\x01", "quote": "", "emptyValue": "", **spaces}
+    broken.select(line).write.mode("append").options(**plain).csv(site.landing)
     ingest_all_sites(spark, [site])
     rejects = spark.read.parquet(site.rejects)
     return rejects.select("review_id", F.col(schemas.MALFORMED).alias("line"))

@@ -36,6 +36,7 @@ from tablepulse.plans.summaries import (
     read_rating_profile,
 )
 from tablepulse.plans.upkeep import compact_restaurants
+from tablepulse.queries import malformed_lines
 from tablepulse.sources.catalog import publish_warehouse, refresh, register_view
 from tablepulse.sources.readers import read_raw, tag_site
 from tablepulse.sources.releases import current_release
@@ -364,6 +365,29 @@ def test_malformed_lines_reach_the_rejects(spark, site):
     assert archived.columns == schemas.RAW_REVIEWS.names and archived.count() == 4
 
 
+def test_cut_off_lines_have_a_header_in_every_file(spark, tmp_path):
+    """Without broadcasts the rows come from shuffles, in any order beside a header row."""
+    noon = "timestamp_ntz'2024-01-05 12:00:00'"
+    spark.range(40).selectExpr(
+        "id event_id", f"{noon} - make_interval(0, 0, 0, 0, int(id % 3)) ts", "id % 7 user_id",
+        "'view' event_type", "double(id) value", "'p' props",
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    spark.range(7).selectExpr(
+        "id c_custkey", "'c' c_name", "int(id % 2) c_nationkey", "0D c_acctbal", "'m' c_mktsegment"
+    ).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(2).selectExpr("int(id) n_nationkey", "'n' n_name", "0 n_regionkey").write.parquet(
+        f"{tmp_path}/nation.parquet"
+    )
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = malformed_lines(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    want = [(str(at), f"{at},20240105") for at in range(40) if at % 3]
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 def test_summaries_follow_the_batches(spark, tmp_path):
     """Totals and histograms, kept by batches, give what all reviews give, for any dates."""
     root = str(tmp_path)
