@@ -15,10 +15,12 @@ How many pairs are compared, always in proportion to the rows:
 * If that leaves a bucket in several classes, its texts of different classes are
   compared, all in buckets of up to ``SMALL`` texts, with a second pivot in larger
   ones, another for each bucket. No pair is compared within one class.
+* What is then still apart in a larger bucket is compared pair by pair, but for pairs whose
+  numbers of words, in all and in each of ``BINS`` bins of words, rule a link out.
 
-So a link is missed if two texts share no sketch (at an edit similarity of 0.8, the least
-that counts, fewer than one in ten; at 0.85 one in 50 or fewer), or if in every large bucket that they share they are
-similar to each other but neither chain of links nor pivot joins them.
+So a link is missed only if two texts share no sketch (at an edit similarity of 0.8, the
+least that counts, fewer than one in ten; at 0.85 one in 50 or fewer). The last step is
+quadratic in the texts of a bucket that stay in different classes.
 
 Texts travel only for candidates. Copies join by text hash and id, so that a hot text
 is spread. Tables in the shared scratch folder cut the lineage between steps.
@@ -47,6 +49,7 @@ SIMILARITY = 0.8
 SKETCHES = 64
 PICKED = 2
 SMALL = 8
+BINS = 64
 CELLS = 1 << 16
 
 _U = np.uint64
@@ -93,6 +96,20 @@ def order_minhash(words: np.ndarray) -> np.ndarray:
     return mix(keys).view(np.int64)
 
 
+def word_bins(words: np.ndarray) -> np.ndarray:
+    """How many words fall into each bin."""
+    return np.bincount((words % _U(BINS)).astype(np.int64), minlength=BINS).astype(np.int32)
+
+
+def may_be_similar(a: str, b: str) -> Column:
+    """False only if numbers of words rule out that two texts are similar."""
+    words = F.col(f"{a}.n_words"), F.col(f"{b}.n_words")
+    budget = F.floor(F.lit(1 - SIMILARITY) * F.greatest(*words) + F.lit(1e-9))
+    least = F.zip_with(f"{a}.bins", f"{b}.bins", lambda x, y: F.least(x, y))
+    common = F.aggregate(least, F.lit(0), lambda total, one: total + one)
+    return (F.abs(words[0] - words[1]) <= budget) & (F.greatest(*words) - common <= budget)
+
+
 def _shared_words(a: np.ndarray, b: np.ndarray) -> int:
     """Size of the common bag of words."""
     left, left_counts = np.unique(a, return_counts=True)
@@ -194,13 +211,14 @@ def _sketches(docs: DataFrame, kind: str) -> DataFrame:
                 [
                     *(batch.column(at) for at in range(3)),
                     pa.array([len(words) for words in found], pa.int32()),
+                    pa.array([word_bins(words) for words in found], pa.list_(pa.int32())),
                     pa.array(keys, pa.list_(pa.int64())),
                 ],
-                ["doc_id", *_TEXT, "n_words", "sketches"],
+                ["doc_id", *_TEXT, "n_words", "bins", "sketches"],
             )
 
     return docs.select("doc_id", *text_hashes(), "text").mapInArrow(
-        sketch, f"doc_id {kind}, t1 long, t2 long, n_words int, sketches array<long>"
+        sketch, f"doc_id {kind}, t1 long, t2 long, n_words int, bins array<int>, sketches array<long>"
     )
 
 
@@ -284,16 +302,21 @@ class _Search:
         pairs = shared.where("t1 <> b1").select(F.col("t1").alias("a1"), "b1").distinct()
         return pairs, shared.where("size > 2").select("t1", "sketch", "size")
 
-    def rest(self, nodes: DataFrame, shared: DataFrame, roots: DataFrame) -> DataFrame:
-        """Pairs in different classes that share a bucket in which no pivot joined them."""
-        named = nodes.select("t1", _name().alias("node")).distinct()
+    def open_members(
+        self, nodes: DataFrame, shared: DataFrame, roots: DataFrame, name: str, *columns: str
+    ) -> DataFrame:
+        """The members, with their classes, of buckets that hold more than one class."""
+        named = nodes.select("t1", _name().alias("node"), *columns).distinct()
         classed = named.join(roots, "node", "left").select(
-            "t1", F.coalesce("root", "node").alias("root")
+            "t1", F.coalesce("root", "node").alias("root"), *columns
         )
-        members = self.store(shared.join(classed, "t1"), "members")
+        members = self.store(shared.join(classed, "t1"), name)
         spread = members.groupBy("sketch").agg(F.min("root").alias("x"), F.max("root").alias("y"))
-        spread = spread.where("x <> y").select("sketch")
-        open_members = members.join(spread, "sketch")
+        return members.join(spread.where("x <> y").select("sketch"), "sketch")
+
+    def rest(self, nodes: DataFrame, shared: DataFrame, roots: DataFrame) -> DataFrame:
+        """Pairs in different classes that share a bucket in which no pivot joined them."""
+        open_members = self.open_members(nodes, shared, roots, "members")
         other = F.xxhash64("t1", "sketch")
         second = (
             open_members.where(F.col("size") > SMALL)
@@ -307,18 +330,43 @@ class _Search:
         first, last = F.least("a.t1", "b.t1"), F.greatest("a.t1", "b.t1")
         return a.join(b, apart).select(first.alias("a1"), last.alias("b1")).distinct()
 
+    def remaining(
+        self, nodes: DataFrame, shared: DataFrame, roots: DataFrame, compared: DataFrame
+    ) -> DataFrame:
+        """All pairs in different classes of large buckets that were not compared so far."""
+        large = shared.where(F.col("size") > SMALL)
+        members = self.open_members(nodes, large, roots, "large_members", "n_words", "bins")
+        a, b = members.alias("a"), members.alias("b")
+        apart = (
+            (F.col("a.sketch") == F.col("b.sketch"))
+            & (F.col("a.t1") < F.col("b.t1"))
+            & (F.col("a.root") != F.col("b.root"))
+        )
+        pairs = a.join(b, apart & may_be_similar("a", "b")).select(
+            F.col("a.t1").alias("a1"), F.col("b.t1").alias("b1")
+        )
+        return pairs.distinct().join(compared, ["a1", "b1"], "left_anti")
+
+    def all_links(self, nodes: DataFrame) -> DataFrame:
+        """Links enough to connect all similar texts that share a sketch."""
+        pairs, shared = self.candidates(nodes)
+        links = self.links(nodes, pairs, "pivot")
+        rest = self.store(self.rest(nodes, shared, components(links)), "apart")
+        if rest.isEmpty():
+            return links
+        links = links.union(self.links(nodes, rest, "rest"))
+        compared = pairs.select(F.col("b1").alias("a1"), F.col("a1").alias("b1")).union(rest)
+        last = self.remaining(nodes, shared, components(links), compared)
+        last = self.store(last, "last")
+        return links if last.isEmpty() else links.union(self.links(nodes, last, "last"))
+
 
 def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Every node with its root, and every row's id and text hash."""
     bounded_batches(docs.sparkSession)
     search = _Search(docs)
     nodes = search.nodes()
-    pairs, shared = search.candidates(nodes)
-    links = search.links(nodes, pairs, "pivot")
-    rest = search.store(search.rest(nodes, shared, components(links)), "apart")
-    if not rest.isEmpty():
-        links = links.union(search.links(nodes, rest, "rest"))
-    roots = components(links)
+    roots = components(search.all_links(nodes))
     named = nodes.select("doc_id", *_TEXT, _name().alias("node"))
     classed = named.join(roots, "node", "left").select(
         "doc_id", *_TEXT, F.coalesce("root", "node").alias("root")

@@ -153,3 +153,26 @@ def test_similar_pairs_share_a_sketch():
                 total += 1
                 shared += bool((nd.order_minhash(a) == nd.order_minhash(b)).any())
         assert total > 250 and shared / total >= least, (size, similarity, shared / total)
+
+
+def test_every_pair_of_a_large_bucket_is_compared(documents, monkeypatch):
+    """All texts in one bucket: links that no pivot meets are found too."""
+    docs = []
+    for group in range(9):
+        text = prose(400 + group, 40)
+        docs += [(2 * group, text), (2 * group + 1, edited(text, 6, group))]
+    whole = nd._Search.nodes
+    one = nd.F.array(nd.F.lit(7).cast("long"))
+    monkeypatch.setattr(nd._Search, "nodes", lambda self: whole(self).withColumn("sketches", one))
+    got = rows(nd.near_duplicate_classes(documents(docs)), "doc_id", "class_id", "class_size")
+    assert sorted(got) == [(at, at // 2 * 2, 2) for at in range(18)]
+
+
+def test_bins_rule_out_no_similar_pair(spark):
+    pairs = [(prose(at, 50), edited(prose(at, 50), at % 14, at)) for at in range(40)]
+    found = [[next(word_hashes([text])) for text in pair] for pair in pairs]
+    fields = [[(len(x), nd.word_bins(x).tolist()) for x in pair] for pair in found]
+    kind = "struct<n_words: int, bins: array<int>>"
+    frame = spark.createDataFrame([(at, *pair) for at, pair in enumerate(fields)], f"at int, a {kind}, b {kind}")
+    kept = {row[0] for row in frame.where(nd.may_be_similar("a", "b")).select("at").collect()}
+    assert {at for at, (a, b) in enumerate(found) if nd.similar(a, b)} <= kept

@@ -67,6 +67,12 @@ def test_timeline_shuffles_twice(spark):
     assert re.search(r"PushedFilters: \[[^\]]*event_type", text)
 
 
+def test_timeline_sorts_review_days_only(spark):
+    text = plan(QUERIES["shipment_timeline"](spark, FOLDER))
+    assert count(text, "Sort") == 1
+    assert text.index("Generate") < text.index("Sort")  # the days are made after it
+
+
 def test_grades_meet_ratings_without_days(spark):
     """Runs and rated days meet in one sorted run; no calendar of grades and no join."""
     text = plan(QUERIES["graded_ratings"](spark, FOLDER))
