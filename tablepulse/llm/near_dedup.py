@@ -11,16 +11,21 @@ How many pairs are compared, always in proportion to the rows:
 
 * Copies of a text are one node from the start, found by hash with map-side sums.
 * In a bucket (texts sharing a sketch) all are compared with one pivot, the text with
-  the least hash, so that the buckets of one group tend to have the same pivot.
+  the least hash, so that the buckets of one group tend to have the same pivot. Each text
+  meets the least pivot of its buckets first, the others only if they stay in another class:
+  a group of n texts has about n links then, not one for each text and pivot.
 * If that leaves a bucket in several classes, its texts of different classes are
   compared, all in buckets of up to ``SMALL`` texts, with a second pivot in larger
   ones, another for each bucket. No pair is compared within one class.
-* What is then still apart in a larger bucket is compared pair by pair, but for pairs whose
-  numbers of words, in all and in each of ``BINS`` bins of words, rule a link out.
+* What is then still apart in a larger bucket is joined by its rarest words: similar texts
+  have all words but a fifth in common, so they share one of that fifth and one more, taken in
+  the same order of all words. How rare a word is, is taken from about ``SAMPLE`` texts; links
+  do not depend on it. Pairs whose numbers of words, in all and in each of ``BINS`` bins of
+  words, rule a link out are not compared.
 
 So a link is missed only if two texts share no sketch (at an edit similarity of 0.8, the
-least that counts, fewer than one in ten; at 0.85 one in 50 or fewer). The last step is
-quadratic in the texts of a bucket that stay in different classes.
+least that counts, fewer than one in ten; at 0.85 one in 50 or fewer). The last step grows
+with the pairs of texts that share a rare word, not with all pairs of a bucket.
 
 Texts travel only for candidates. Copies join by text hash and id, so that a hot text
 is spread. Tables in the shared scratch folder cut the lineage between steps.
@@ -50,6 +55,8 @@ SKETCHES = 64
 PICKED = 2
 SMALL = 8
 BINS = 64
+SAMPLE = 2000
+FREQUENT = 1 << 16
 CELLS = 1 << 16
 
 _U = np.uint64
@@ -101,10 +108,15 @@ def word_bins(words: np.ndarray) -> np.ndarray:
     return np.bincount((words % _U(BINS)).astype(np.int64), minlength=BINS).astype(np.int32)
 
 
+def _budget(a: str, b: str) -> Column:
+    """The most edits between similar texts of these numbers of words."""
+    return F.floor(F.lit(1 - SIMILARITY) * F.greatest(a, b) + F.lit(1e-9))
+
+
 def may_be_similar(a: str, b: str) -> Column:
     """False only if numbers of words rule out that two texts are similar."""
     words = F.col(f"{a}.n_words"), F.col(f"{b}.n_words")
-    budget = F.floor(F.lit(1 - SIMILARITY) * F.greatest(*words) + F.lit(1e-9))
+    budget = _budget(f"{a}.n_words", f"{b}.n_words")
     least = F.zip_with(f"{a}.bins", f"{b}.bins", lambda x, y: F.least(x, y))
     common = F.aggregate(least, F.lit(0), lambda total, one: total + one)
     return (F.abs(words[0] - words[1]) <= budget) & (F.greatest(*words) - common <= budget)
@@ -243,6 +255,59 @@ def _verify(pairs: DataFrame) -> DataFrame:
     return pairs.select("a", "a_text", "b", "b_text").mapInArrow(align, "a string, b string")
 
 
+def _frequent_words(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent words, ascending, of some texts, and how often they occur there."""
+
+    def count(batches):
+        for batch in batches:
+            labels = [occurrence_labels(words) for words in word_hashes(batch.column(0).to_pylist())]
+            found, n = np.unique(np.concatenate([np.empty(0, _U), *labels]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], ["word", "n"])
+
+    share = max(1, texts.count() // SAMPLE)
+    some = texts.where(F.pmod("t1", F.lit(share)) == 0).select("text")
+    counts = some.mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    rows = counts.where("n > 1").orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
+    words = np.array([row["word"] for row in rows], np.int64).view(_U)
+    order = np.argsort(words)
+    return words[order], np.array([row["n"] for row in rows], np.int64)[order]
+
+
+def rarest_words(words: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """One word more than a similar text may lack, the rarest first.
+
+    Equal words are told apart by their occurrence. A similar text has all words but those
+    of the budget, so the first common word in one order of all words is among these in both.
+    """
+    labels = occurrence_labels(words)
+    often = np.zeros(len(labels), np.int64)
+    if len(frequent[0]):
+        at = np.minimum(np.searchsorted(frequent[0], labels), len(frequent[0]) - 1)
+        known = frequent[0][at] == labels
+        often[known] = frequent[1][at[known]]
+    size = int((1 - SIMILARITY) * len(labels) + 1e-9) + 1
+    return labels[np.lexsort((labels, often))[:size]].view(np.int64)
+
+
+def _rare_words(texts: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    def pick(batches):
+        for batch in batches:
+            found = list(word_hashes(batch.column(2).to_pylist()))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array([len(words) for words in found], pa.int32()),
+                    pa.array([rarest_words(words, frequent) for words in found], pa.list_(pa.int64())),
+                ],
+                ["t1", "root", "n_words", "words"],
+            )
+
+    return texts.select("t1", "root", "text").mapInArrow(
+        pick, "t1 long, root string, n_words int, words array<long>"
+    )
+
+
 def _name(t1: str = "t1", t2: str = "t2") -> Column:
     return F.concat(F.lpad(F.hex(t1), 16, "0"), F.lpad(F.hex(t2), 16, "0"))
 
@@ -272,9 +337,8 @@ class _Search:
         # Repeated rows make a node twice, which changes no least or greatest hash.
         return self.store(rows.join(least, same, "left_semi"), "nodes")
 
-    def links(self, nodes: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
-        """Verified links among pairs of hashes ``a1``, ``b1``."""
-        pairs = self.store(pairs, f"{name}_pairs")
+    def texts(self, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+        """Hash, name and text of all that the pairs hold; later steps compare no others."""
         wanted = pairs.select(F.col("a1").alias("t1")).union(pairs.select("b1")).distinct()
         needed = nodes.join(wanted, "t1", "left_semi").select("doc_id", *_TEXT).distinct()
         texts = self.docs.select("doc_id", *text_hashes(), "text")
@@ -284,11 +348,28 @@ class _Search:
             & texts["doc_id"].eqNullSafe(needed["doc_id"])
         )
         found = texts.join(needed, same, "left_semi").select("t1", _name().alias("node"), "text")
-        found = self.store(found, f"{name}_texts")
-        a = found.select(F.col("t1").alias("a1"), F.col("node").alias("a"), F.col("text").alias("a_text"))
-        b = found.select(F.col("t1").alias("b1"), F.col("node").alias("b"), F.col("text").alias("b_text"))
+        return self.store(found, "texts")
+
+    def links(self, texts: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
+        """Verified links among pairs of hashes ``a1``, ``b1``."""
+        pairs = self.store(pairs, f"{name}_pairs")
+        a = texts.select(F.col("t1").alias("a1"), F.col("node").alias("a"), F.col("text").alias("a_text"))
+        b = texts.select(F.col("t1").alias("b1"), F.col("node").alias("b"), F.col("text").alias("b_text"))
         return self.store(_verify(pairs.join(a, "a1").join(b, "b1")).distinct(), f"{name}_links")
 
+    def connected(self, roots: DataFrame, links: DataFrame, name: str) -> DataFrame:
+        """The classes after further links, by the components of the classes that these connect."""
+        left, right = roots.toDF("a", "a_root"), roots.toDF("b", "b_root")
+        ends = links.join(left, "a", "left").join(right, "b", "left")
+        between = ends.select(
+            F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b")
+        ).distinct()
+        tops = components(self.store(between, f"{name}_between"))
+        tops = tops.select(F.col("node").alias("root"), F.col("root").alias("top"))
+        known = roots.join(tops, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+        # A root is a node too, so it comes twice, with the same class.
+        return self.store(known.union(tops).distinct(), f"{name}_roots")
+
     def candidates(self, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Pairs of a text and the pivot of its bucket; and the members of buckets of three or more."""
         members = nodes.select("t1", F.explode("sketches").alias("sketch"))
@@ -300,17 +381,28 @@ class _Search:
         shared = members.join(buckets.drop("_last"), "sketch")
         shared = self.store(shared.select("t1", "sketch", "b1", "size"), "shared")
         pairs = shared.where("t1 <> b1").select(F.col("t1").alias("a1"), "b1").distinct()
+        pairs = self.store(pairs, "candidates")
         return pairs, shared.where("size > 2").select("t1", "sketch", "size")
 
+    def classed(self, nodes: DataFrame, roots: DataFrame, *columns: str) -> DataFrame:
+        """The class of every text, that of a text without links being its own."""
+        named = nodes.select("t1", _name().alias("node"), *columns).distinct()
+        return named.join(roots, "node", "left").select(
+            "t1", F.coalesce("root", "node").alias("root"), *columns
+        )
+
+    def apart(self, nodes: DataFrame, pairs: DataFrame, roots: DataFrame) -> DataFrame:
+        """The pairs of texts that are in different classes so far."""
+        classes = self.classed(nodes, roots)
+        a, b = classes.toDF("a1", "a_root"), classes.toDF("b1", "b_root")
+        both = pairs.join(a, "a1").join(b, "b1")
+        return both.where("a_root <> b_root").select("a1", "b1").distinct()
+
     def open_members(
         self, nodes: DataFrame, shared: DataFrame, roots: DataFrame, name: str, *columns: str
     ) -> DataFrame:
         """The members, with their classes, of buckets that hold more than one class."""
-        named = nodes.select("t1", _name().alias("node"), *columns).distinct()
-        classed = named.join(roots, "node", "left").select(
-            "t1", F.coalesce("root", "node").alias("root"), *columns
-        )
-        members = self.store(shared.join(classed, "t1"), name)
+        members = self.store(shared.join(self.classed(nodes, roots, *columns), "t1"), name)
         spread = members.groupBy("sketch").agg(F.min("root").alias("x"), F.max("root").alias("y"))
         return members.join(spread.where("x <> y").select("sketch"), "sketch")
 
@@ -331,34 +423,52 @@ class _Search:
         return a.join(b, apart).select(first.alias("a1"), last.alias("b1")).distinct()
 
     def remaining(
-        self, nodes: DataFrame, shared: DataFrame, roots: DataFrame, compared: DataFrame
+        self,
+        nodes: DataFrame,
+        texts: DataFrame,
+        shared: DataFrame,
+        roots: DataFrame,
+        compared: DataFrame,
     ) -> DataFrame:
-        """All pairs in different classes of large buckets that were not compared so far."""
+        """All pairs in different classes of large buckets that may be similar and were not compared so far."""
         large = shared.where(F.col("size") > SMALL)
-        members = self.open_members(nodes, large, roots, "large_members", "n_words", "bins")
-        a, b = members.alias("a"), members.alias("b")
+        members = self.open_members(nodes, large, roots, "large_members")
+        left = texts.join(members.select("t1", "root").distinct(), "t1").select("t1", "root", "text")
+        left = self.store(left, "left")
+        rare = self.store(_rare_words(left, _frequent_words(left)), "rare")
+        rare = rare.select("t1", "root", "n_words", F.explode("words").alias("word"))
+        a, b = rare.alias("a"), rare.alias("b")
         apart = (
-            (F.col("a.sketch") == F.col("b.sketch"))
+            (F.col("a.word") == F.col("b.word"))
             & (F.col("a.t1") < F.col("b.t1"))
             & (F.col("a.root") != F.col("b.root"))
+            & (F.abs(F.col("a.n_words") - F.col("b.n_words")) <= _budget("a.n_words", "b.n_words"))
         )
-        pairs = a.join(b, apart & may_be_similar("a", "b")).select(
-            F.col("a.t1").alias("a1"), F.col("b.t1").alias("b1")
-        )
-        return pairs.distinct().join(compared, ["a1", "b1"], "left_anti")
-
-    def all_links(self, nodes: DataFrame) -> DataFrame:
-        """Links enough to connect all similar texts that share a sketch."""
+        pairs = a.join(b, apart).select(F.col("a.t1").alias("a1"), F.col("b.t1").alias("b1"))
+        pairs = self.store(pairs.distinct().join(compared, ["a1", "b1"], "left_anti"), "rare_pairs")
+        fields = nodes.select("t1", "n_words", "bins", "sketches")
+        x, y = fields.withColumnRenamed("t1", "a1").alias("a"), fields.withColumnRenamed("t1", "b1").alias("b")
+        both = pairs.join(x, "a1").join(y, "b1")
+        met = F.arrays_overlap("a.sketches", "b.sketches")
+        return both.where(met & may_be_similar("a", "b")).select("a1", "b1").distinct()
+
+    def classes(self, nodes: DataFrame) -> DataFrame:
+        """``node`` and ``root`` of every text that is linked to another."""
         pairs, shared = self.candidates(nodes)
-        links = self.links(nodes, pairs, "pivot")
-        rest = self.store(self.rest(nodes, shared, components(links)), "apart")
+        texts = self.texts(nodes, pairs)
+        first = pairs.groupBy("a1").agg(F.min("b1").alias("b1"))
+        roots = components(self.links(texts, first, "first"))
+        others = self.apart(nodes, pairs, roots)
+        roots = self.connected(roots, self.links(texts, others, "pivot"), "pivot")
+        rest = self.store(self.rest(nodes, shared, roots), "apart")
         if rest.isEmpty():
-            return links
-        links = links.union(self.links(nodes, rest, "rest"))
+            return roots
+        roots = self.connected(roots, self.links(texts, rest, "rest"), "rest")
         compared = pairs.select(F.col("b1").alias("a1"), F.col("a1").alias("b1")).union(rest)
-        last = self.remaining(nodes, shared, components(links), compared)
-        last = self.store(last, "last")
-        return links if last.isEmpty() else links.union(self.links(nodes, last, "last"))
+        last = self.store(self.remaining(nodes, texts, shared, roots, compared), "last")
+        if last.isEmpty():
+            return roots
+        return self.connected(roots, self.links(texts, last, "last"), "last")
 
 
 def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -366,7 +476,7 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     bounded_batches(docs.sparkSession)
     search = _Search(docs)
     nodes = search.nodes()
-    roots = components(search.all_links(nodes))
+    roots = search.classes(nodes)
     named = nodes.select("doc_id", *_TEXT, _name().alias("node"))
     classed = named.join(roots, "node", "left").select(
         "doc_id", *_TEXT, F.coalesce("root", "node").alias("root")

@@ -176,3 +176,55 @@ def test_bins_rule_out_no_similar_pair(spark):
     frame = spark.createDataFrame([(at, *pair) for at, pair in enumerate(fields)], f"at int, a {kind}, b {kind}")
     kept = {row[0] for row in frame.where(nd.may_be_similar("a", "b")).select("at").collect()}
     assert {at for at, (a, b) in enumerate(found) if nd.similar(a, b)} <= kept
+
+
+def test_a_group_of_near_copies_has_few_links(documents, monkeypatch):
+    """Links grow with the texts of a group, not with its texts and pivots."""
+    base = prose(20, 150)
+    docs = documents([(at, edited(base, 10, at)) for at in range(60)])
+    seen = []
+
+    def counted(links):
+        seen.append(links.count())
+        return components(links)
+
+    monkeypatch.setattr(nd, "components", counted)
+    got = rows(nd.near_duplicate_classes(docs), "class_id", "class_size")
+    assert set(got) == {(0, 60)}
+    assert 59 <= sum(seen) <= 120
+
+
+def test_texts_with_a_common_passage_are_not_compared_pair_by_pair(documents, monkeypatch):
+    """Pairs compared in the last step grow with what is alike, not with the square of a bucket."""
+    passage = prose(30, 20)
+    table = [(at, f"{passage} {prose(500 + at, 60)}") for at in range(60)]
+    table += [(60 + at, edited(table[at][1], 9, at)) for at in range(0, 60, 6)]
+    whole, links = nd._Search.nodes, nd._Search.links
+    one = nd.F.array(nd.F.lit(7).cast("long"))
+    monkeypatch.setattr(nd._Search, "nodes", lambda self: whole(self).withColumn("sketches", one))
+    seen = {}
+
+    def counted(self, texts, pairs, name):
+        found = links(self, texts, pairs, name)
+        seen[name] = self.spark.read.parquet(f"{self.folder}/{name}_pairs").count()
+        return found
+
+    monkeypatch.setattr(nd._Search, "links", counted)
+    monkeypatch.setattr(nd, "may_be_similar", lambda a, b: nd.F.lit(True))
+    got = dict(rows(nd.near_duplicate_classes(documents(table)), "doc_id", "class_id"))
+    assert got == brute_force(table)
+    assert 0 < seen["last"] < 200
+
+
+def test_similar_texts_share_one_of_their_rarest_words():
+    rng = np.random.default_rng(5)
+    for size in (1, 4, 5, 9, 30, 121):
+        for at in range(40):
+            a = rng.integers(0, 40, size).astype(np.uint64)
+            b = a.copy()
+            places = rng.choice(size, size // 5, replace=False)
+            b[places] = rng.integers(0, 60, len(places))
+            b = np.delete(b, places[: at % 3])
+            frequent = np.arange(at, dtype=np.uint64), np.arange(at)[::-1] + 1
+            if nd.similar(a, b):
+                assert set(nd.rarest_words(a, frequent)) & set(nd.rarest_words(b, frequent))
