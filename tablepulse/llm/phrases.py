@@ -52,6 +52,8 @@ SHARE = 100
 SHARDS = 2
 SLOTS = 1 << 24
 RUN = 1 << 22
+BLOCK = 1 << 18  # bytes hashed at once
+ROWS = 1 << 15  # phrases made at once
 NEVER = 255
 UNKNOWN = "und"
 
@@ -120,18 +122,35 @@ class Words:
         self.owner = np.searchsorted(firsts, self.starts, "right") - 1
         self.own = self.starts >= (firsts + np.array(skips))[self.owner] if len(edges) else self.starts > 0
         self.langs = np.array(langs, object)
-        powers, inverse = _powers_to(max(len(codes), 1))
-        sums = np.zeros(len(codes) + 1, _U)
-        np.cumsum((codes + _U(1)) * powers[: len(codes)], out=sums[1:])
-        plain = mix((sums[self.ends] - sums[self.starts]) * inverse[self.starts])
         seeds = np.array([_seed(lang) for lang in langs], _U)
-        self.hashes = mix(plain ^ seeds[self.owner])
+        self.hashes = np.empty(len(self.starts), _U)
+        for begin, end in self._blocks():
+            plain = mix(self._sums(codes, begin, end))
+            self.hashes[begin:end] = mix(plain ^ seeds[self.owner[begin:end]])
         breaks = np.flatnonzero(kinds == 2)
         piece = np.searchsorted(breaks, self.starts)
         self.joined = piece[1:] == piece[:-1]  # with the word that follows
         gaps = self.starts[1:] - self.ends[:-1]
         self.plain = b"\t" not in self.text and not (gaps[self.joined] > 1).any()
 
+    def _blocks(self) -> Iterator[tuple[int, int]]:
+        """The words in blocks of about ``BLOCK`` bytes, at least one word each."""
+        begin = 0
+        while begin < len(self.starts):
+            end = int(np.searchsorted(self.ends, self.starts[begin] + BLOCK, "right"))
+            yield begin, max(end, begin + 1)
+            begin = max(end, begin + 1)
+
+    def _sums(self, codes: np.ndarray, begin: int, end: int) -> np.ndarray:
+        """For each word of a block its bytes times the powers of the base."""
+        first = self.starts[begin]
+        block = codes[first : self.ends[end - 1]]
+        powers, inverse = _powers_to(len(block))
+        sums = np.zeros(len(block) + 1, _U)
+        np.cumsum((block + _U(1)) * powers[: len(block)], out=sums[1:])
+        starts, ends = self.starts[begin:end] - first, self.ends[begin:end] - first
+        return (sums[ends] - sums[starts]) * inverse[starts]
+
     def phrase_hashes(self, at: np.ndarray, size: int) -> np.ndarray:
         if size == 1:
             return self.hashes[at]
@@ -190,36 +209,46 @@ def _texts(batches, longest: int) -> Iterator[Words]:
 _COUNTS = "lang string, phrase binary, n_words int, since int, n long"
 
 
-def _scan(shard: DataFrame, reached: Broadcast, step: int, shards: int, longest: int) -> DataFrame:
-    """Counts of the active phrases of one shard; the empty phrase counts all words."""
+def _rows(langs: np.ndarray, phrases: list[bytes], size: int, since: np.ndarray, n: np.ndarray):
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(langs, pa.string()),
+            pa.array(phrases, pa.binary()),
+            pa.array(np.full(len(n), size, np.int32)),
+            pa.array((since + 1).astype(np.int32)),
+            pa.array(n.astype(np.int64)),
+        ],
+        ["lang", "phrase", "n_words", "since", "n"],
+    )
+
 
-    def rows(langs: np.ndarray, phrases: list[bytes], size: int, since: np.ndarray, n: np.ndarray):
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(langs, pa.string()),
-                pa.array(phrases, pa.binary()),
-                pa.array(np.full(len(n), size, np.int32)),
-                pa.array((since + 1).astype(np.int32)),
-                pa.array(n.astype(np.int64)),
-            ],
-            ["lang", "phrase", "n_words", "since", "n"],
+def _counts(
+    words: Words, known: np.ndarray, step: int, shards: int, longest: int
+) -> Iterator[pa.RecordBatch]:
+    """Counts of the active phrases of a run, ``ROWS`` at a time."""
+    for size, at, since in words.active(known, step, shards, longest):
+        if size == 1:
+            owners, n = np.unique(words.owner[at], return_counts=True)
+            yield _rows(words.langs[owners], [b""] * len(owners), 0, -np.ones(len(owners)), n)
+        _, first, n = np.unique(
+            words.phrase_hashes(at, size), return_index=True, return_counts=True
         )
+        for begin in range(0, len(first), ROWS):
+            some = first[begin : begin + ROWS]
+            found = at[some]
+            langs = words.langs[words.owner[found]]
+            phrases = words.phrases(found, size)
+            yield _rows(langs, phrases, size, since[some], n[begin : begin + ROWS])
+
+
+def _scan(shard: DataFrame, reached: Broadcast, step: int, shards: int, longest: int) -> DataFrame:
+    """Counts of the active phrases of one shard; the empty phrase counts all words."""
 
     def count(batches):
         known = np.frombuffer(reached.value, np.uint8)
         for words in _texts(batches, longest):
-            if not len(words.starts):
-                continue
-            for size, at, since in words.active(known, step, shards, longest):
-                if size == 1:
-                    owners, n = np.unique(words.owner[at], return_counts=True)
-                    yield rows(words.langs[owners], [b""] * len(owners), 0, -np.ones(len(owners)), n)
-                _, first, n = np.unique(
-                    words.phrase_hashes(at, size), return_index=True, return_counts=True
-                )
-                found = at[first]
-                langs = words.langs[words.owner[found]]
-                yield rows(langs, words.phrases(found, size), size, since[first], n)
+            if len(words.starts):
+                yield from _counts(words, known, step, shards, longest)
 
     return shard.mapInArrow(count, _COUNTS)
 

@@ -1,7 +1,9 @@
 import random
 import re
+import tracemalloc
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from tablepulse.llm import phrases
@@ -117,3 +119,29 @@ def test_empty_tables_and_clashing_columns(spark, documents):
         docs = docs.withColumn(name, F.lit(5))
     got = phrases.collocations(docs, threshold=9).collect()
     assert [(r["phrase"], r["a"], r["score"]) for r in got] == [("a b c", 9, 3000)]
+
+
+def test_hashes_do_not_depend_on_the_blocks(monkeypatch):
+    texts = [" ".join(words(at, 60)).encode() + b" " + b"z" * 300 for at in range(9)]
+    langs = ["en", "fr", "und"] * 3
+    whole = phrases.Words(texts, langs, [0] * 9).hashes
+    assert len(set(whole.tolist())) > 100
+    for block in (1, 7, 100, 1000):
+        monkeypatch.setattr(phrases, "BLOCK", block)
+        assert (phrases.Words(texts, langs, [0] * 9).hashes == whole).all()
+
+
+def test_a_run_takes_a_bounded_part_of_memory():
+    rng = random.Random(7)
+    vocabulary = [word.encode() for word in words(3, 3000)]
+    texts = [b" ".join(rng.choices(vocabulary, k=200)) for _ in range(2600)]
+    known = np.zeros(1 << 16, np.uint8)
+    tracemalloc.start()
+    try:
+        run = phrases.Words(texts, ["en"] * len(texts), [0] * len(texts))
+        n = sum(len(batch) for batch in phrases._counts(run, known, 1, 2, 5))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n > 1_000_000 and len(run.text) > 3_000_000
+    assert most < 40 * len(run.text)
