@@ -20,12 +20,13 @@ How many pairs are compared, always in proportion to the rows:
 * What is then still apart in a larger bucket is joined by its rarest words: similar texts
   have all words but a fifth in common, so they share one of that fifth and one more, taken in
   the same order of all words. How rare a word is, is taken from about ``SAMPLE`` texts; links
-  do not depend on it. Pairs whose numbers of words, in all and in each of ``BINS`` bins of
-  words, rule a link out are not compared.
+  do not depend on it. Words of one class only are left out, a pair comes from one of the words
+  it shares, and only if their numbers of words, in all and in each of ``BINS`` bins, allow a link.
 
 So a link is missed only if two texts share no sketch (at an edit similarity of 0.8, the
-least that counts, fewer than one in ten; at 0.85 one in 50 or fewer). The last step grows
-with the pairs of texts that share a rare word, not with all pairs of a bucket.
+least that counts, fewer than one in ten; at 0.85 one in 50 or fewer). The last step tests
+the pairs of texts that share a rare word, not all pairs of a bucket: in a group of texts that
+stay apart though most of their words are common, these tests grow with the square of the group.
 
 Texts travel only for candidates. Copies join by text hash and id, so that a hot text
 is spread. Tables in the shared scratch folder cut the lineage between steps.
@@ -41,7 +42,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablepulse.session import scratch_dir
@@ -54,7 +55,7 @@ SIMILARITY = 0.8
 SKETCHES = 64
 PICKED = 2
 SMALL = 8
-BINS = 64
+BINS = 1024
 SAMPLE = 2000
 FREQUENT = 1 << 16
 CELLS = 1 << 16
@@ -104,8 +105,9 @@ def order_minhash(words: np.ndarray) -> np.ndarray:
 
 
 def word_bins(words: np.ndarray) -> np.ndarray:
-    """How many words fall into each bin."""
-    return np.bincount((words % _U(BINS)).astype(np.int64), minlength=BINS).astype(np.int32)
+    """How many words fall into each bin, at most 127."""
+    counts = np.bincount((words % _U(BINS)).astype(np.int64), minlength=BINS)
+    return np.minimum(counts, 127).astype(np.int8)
 
 
 def _budget(a: str, b: str) -> Column:
@@ -114,12 +116,16 @@ def _budget(a: str, b: str) -> Column:
 
 
 def may_be_similar(a: str, b: str) -> Column:
-    """False only if numbers of words rule out that two texts are similar."""
+    """False only if numbers of words rule out that two texts are similar.
+
+    The bins, cut at 127 or not, differ by no more than the words that only one text has.
+    """
     words = F.col(f"{a}.n_words"), F.col(f"{b}.n_words")
     budget = _budget(f"{a}.n_words", f"{b}.n_words")
-    least = F.zip_with(f"{a}.bins", f"{b}.bins", lambda x, y: F.least(x, y))
-    common = F.aggregate(least, F.lit(0), lambda total, one: total + one)
-    return (F.abs(words[0] - words[1]) <= budget) & (F.greatest(*words) - common <= budget)
+    differences = F.zip_with(f"{a}.bins", f"{b}.bins", lambda x, y: F.abs(x - y))
+    apart = F.aggregate(differences, F.lit(0), lambda total, one: total + one)
+    room = words[0] + words[1] - 2 * (F.greatest(*words) - budget)
+    return (F.abs(words[0] - words[1]) <= budget) & (apart <= room)
 
 
 def _shared_words(a: np.ndarray, b: np.ndarray) -> int:
@@ -222,15 +228,13 @@ def _sketches(docs: DataFrame, kind: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(at) for at in range(3)),
-                    pa.array([len(words) for words in found], pa.int32()),
-                    pa.array([word_bins(words) for words in found], pa.list_(pa.int32())),
                     pa.array(keys, pa.list_(pa.int64())),
                 ],
-                ["doc_id", *_TEXT, "n_words", "bins", "sketches"],
+                ["doc_id", *_TEXT, "sketches"],
             )
 
     return docs.select("doc_id", *text_hashes(), "text").mapInArrow(
-        sketch, f"doc_id {kind}, t1 long, t2 long, n_words int, bins array<int>, sketches array<long>"
+        sketch, f"doc_id {kind}, t1 long, t2 long, sketches array<long>"
     )
 
 
@@ -299,13 +303,33 @@ def _rare_words(texts: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> Da
                     batch.column(1),
                     pa.array([len(words) for words in found], pa.int32()),
                     pa.array([rarest_words(words, frequent) for words in found], pa.list_(pa.int64())),
+                    pa.array([word_bins(words) for words in found], pa.list_(pa.int8())),
                 ],
-                ["t1", "root", "n_words", "words"],
+                ["t1", "root", "n_words", "words", "bins"],
             )
 
     return texts.select("t1", "root", "text").mapInArrow(
-        pick, "t1 long, root string, n_words int, words array<long>"
+        pick, "t1 long, root string, n_words int, words array<long>, bins array<tinyint>"
+    )
+
+
+def word_pairs(rare: DataFrame) -> DataFrame:
+    """Each pair in different classes that shares a rare word and may be similar, once."""
+    same = Window.partitionBy("word")
+    spots = rare.select("t1", "root", F.explode("words").alias("word"))
+    spots = spots.select("*", F.min("root").over(same).alias("x"), F.max("root").over(same).alias("y"))
+    shared = spots.where("x <> y").groupBy("t1").agg(F.collect_set("word").alias("shared"))
+    texts = rare.join(shared, "t1").select("t1", "root", "n_words", "bins", "shared")
+    texts = texts.withColumn("word", F.explode("shared"))
+    a, b = texts.alias("a"), texts.alias("b")
+    apart = (
+        (F.col("a.word") == F.col("b.word"))
+        & (F.col("a.t1") < F.col("b.t1"))
+        & (F.col("a.root") != F.col("b.root"))
+        & (F.array_min(F.array_intersect("a.shared", "b.shared")) == F.col("a.word"))
+        & may_be_similar("a", "b")
     )
+    return a.join(b, apart).select(F.col("a.t1").alias("a1"), F.col("b.t1").alias("b1"))
 
 
 def _name(t1: str = "t1", t2: str = "t2") -> Column:
@@ -436,21 +460,14 @@ class _Search:
         left = texts.join(members.select("t1", "root").distinct(), "t1").select("t1", "root", "text")
         left = self.store(left, "left")
         rare = self.store(_rare_words(left, _frequent_words(left)), "rare")
-        rare = rare.select("t1", "root", "n_words", F.explode("words").alias("word"))
-        a, b = rare.alias("a"), rare.alias("b")
-        apart = (
-            (F.col("a.word") == F.col("b.word"))
-            & (F.col("a.t1") < F.col("b.t1"))
-            & (F.col("a.root") != F.col("b.root"))
-            & (F.abs(F.col("a.n_words") - F.col("b.n_words")) <= _budget("a.n_words", "b.n_words"))
-        )
-        pairs = a.join(b, apart).select(F.col("a.t1").alias("a1"), F.col("b.t1").alias("b1"))
-        pairs = self.store(pairs.distinct().join(compared, ["a1", "b1"], "left_anti"), "rare_pairs")
-        fields = nodes.select("t1", "n_words", "bins", "sketches")
-        x, y = fields.withColumnRenamed("t1", "a1").alias("a"), fields.withColumnRenamed("t1", "b1").alias("b")
-        both = pairs.join(x, "a1").join(y, "b1")
-        met = F.arrays_overlap("a.sketches", "b.sketches")
-        return both.where(met & may_be_similar("a", "b")).select("a1", "b1").distinct()
+        return word_pairs(rare).distinct().join(compared, ["a1", "b1"], "left_anti")
+
+    def met(self, nodes: DataFrame, links: DataFrame) -> DataFrame:
+        """The links between texts that share a sketch."""
+        named = nodes.select(_name().alias("node"), "sketches").distinct()
+        a, b = named.toDF("a", "a_sketches"), named.toDF("b", "b_sketches")
+        both = links.join(a, "a").join(b, "b")
+        return both.where(F.arrays_overlap("a_sketches", "b_sketches")).select("a", "b")
 
     def classes(self, nodes: DataFrame) -> DataFrame:
         """``node`` and ``root`` of every text that is linked to another."""
@@ -468,7 +485,8 @@ class _Search:
         last = self.store(self.remaining(nodes, texts, shared, roots, compared), "last")
         if last.isEmpty():
             return roots
-        return self.connected(roots, self.links(texts, last, "last"), "last")
+        links = self.met(nodes, self.links(texts, last, "last"))
+        return self.connected(roots, links, "last")
 
 
 def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:

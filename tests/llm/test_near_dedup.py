@@ -228,3 +228,29 @@ def test_similar_texts_share_one_of_their_rarest_words():
             frequent = np.arange(at, dtype=np.uint64), np.arange(at)[::-1] + 1
             if nd.similar(a, b):
                 assert set(nd.rarest_words(a, frequent)) & set(nd.rarest_words(b, frequent))
+
+
+def test_bins_rule_out_pairs_a_little_too_far_apart(spark):
+    """Texts of 800 words with 0.75 of them in common."""
+    rng = np.random.default_rng(7)
+    base = rng.integers(1 << 62, size=800).astype(np.uint64)
+    other = rng.integers(1 << 62, size=800).astype(np.uint64)
+    texts = [base, np.where(np.arange(800) % 4 > 0, base, other)]
+    often = np.append(np.zeros(400, np.uint64), base[:600]), np.append(np.zeros(500, np.uint64), base[:600])
+    assert not nd.similar(*texts) and nd.similar(*often)
+    fields = [[(len(x), nd.word_bins(x).tolist()) for x in pair] for pair in (texts, often)]
+    kind = "struct<n_words: int, bins: array<int>>"
+    frame = spark.createDataFrame([(at, *pair) for at, pair in enumerate(fields)], f"at int, a {kind}, b {kind}")
+    assert [row[0] for row in frame.where(nd.may_be_similar("a", "b")).select("at").collect()] == [1]
+
+
+def test_texts_with_many_rare_words_in_common_make_one_row(spark):
+    """Rows of the join by rare words grow with the pairs that may be similar, not with their words."""
+    texts = [prose(40, 100)] + [edited(prose(40, 100), 8 + at, at) for at in range(12)] + [prose(41, 100)]
+    docs = spark.createDataFrame([(at, f"{at:03d}", text) for at, text in enumerate(texts)], "t1 long, root string, text string")
+    none = np.empty(0, np.uint64), np.empty(0, np.int64)
+    found = rows(nd.word_pairs(nd._rare_words(docs, none)), "a1", "b1")
+    hashes = list(word_hashes(texts))
+    want = {(a, b) for a, b in itertools.combinations(range(14), 2) if nd.similar(hashes[a], hashes[b])}
+    assert len(found) == len(set(found)) < 14 * 13 / 2
+    assert len(want) > 12 and want <= set(found)
