@@ -20,8 +20,10 @@ How many pairs are compared, always in proportion to the rows:
 * What is then still apart in a larger bucket is joined by its rarest words: similar texts
   have all words but a fifth in common, so they share one of that fifth and one more, taken in
   the same order of all words. How rare a word is, is taken from about ``SAMPLE`` texts; links
-  do not depend on it. Words of one class only are left out, a pair comes from one of the words
-  it shares, and only if their numbers of words, in all and in each of ``BINS`` bins, allow a link.
+  do not depend on it. Words that only texts of one class or of other lengths have are left out,
+  a pair comes from about one of the words it shares, and only if their numbers of words, in all
+  and in each of ``BINS`` bins, allow a link. A row of that join has one word of a text; what else
+  it carries of the text (its bins, its ``LEAST`` least words) is bounded, however long the text.
 
 So a link is missed only if two texts share no sketch (at an edit similarity of 0.8, the
 least that counts, fewer than one in ten; at 0.85 one in 50 or fewer). The last step tests
@@ -56,6 +58,9 @@ SKETCHES = 64
 PICKED = 2
 SMALL = 8
 BINS = 1024
+DEEP = 16
+LEAST = 16
+BAND = 1.26
 SAMPLE = 2000
 FREQUENT = 1 << 16
 CELLS = 1 << 16
@@ -105,9 +110,13 @@ def order_minhash(words: np.ndarray) -> np.ndarray:
 
 
 def word_bins(words: np.ndarray) -> np.ndarray:
-    """How many words fall into each bin, at most 127."""
+    """How many words fall into each bin, at most ``DEEP``.
+
+    One bit a bin for each number, set if the bin has as many words: most texts need few numbers.
+    """
     counts = np.bincount((words % _U(BINS)).astype(np.int64), minlength=BINS)
-    return np.minimum(counts, 127).astype(np.int8)
+    numbers = np.arange(1, min(DEEP, int(counts.max())) + 1)
+    return np.packbits(counts >= numbers[:, None], axis=1).reshape(-1).view(np.int32)
 
 
 def _budget(a: str, b: str) -> Column:
@@ -118,11 +127,18 @@ def _budget(a: str, b: str) -> Column:
 def may_be_similar(a: str, b: str) -> Column:
     """False only if numbers of words rule out that two texts are similar.
 
-    The bins, cut at 127 or not, differ by no more than the words that only one text has.
+    The bins, cut at ``DEEP`` or not, differ by no more than the words that only one text has.
     """
     words = F.col(f"{a}.n_words"), F.col(f"{b}.n_words")
     budget = _budget(f"{a}.n_words", f"{b}.n_words")
-    differences = F.zip_with(f"{a}.bins", f"{b}.bins", lambda x, y: F.abs(x - y))
+    none, low = F.lit(0), F.lit(2**32 - 1)
+    differences = F.zip_with(
+        f"{a}.bins",
+        f"{b}.bins",
+        lambda x, y: F.bit_count(
+            F.coalesce(x, none).bitwiseXOR(F.coalesce(y, none)).cast("long").bitwiseAND(low)
+        ),
+    )
     apart = F.aggregate(differences, F.lit(0), lambda total, one: total + one)
     room = words[0] + words[1] - 2 * (F.greatest(*words) - budget)
     return (F.abs(words[0] - words[1]) <= budget) & (apart <= room)
@@ -303,33 +319,51 @@ def _rare_words(texts: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> Da
                     batch.column(1),
                     pa.array([len(words) for words in found], pa.int32()),
                     pa.array([rarest_words(words, frequent) for words in found], pa.list_(pa.int64())),
-                    pa.array([word_bins(words) for words in found], pa.list_(pa.int8())),
+                    pa.array([word_bins(words) for words in found], pa.list_(pa.int32())),
                 ],
                 ["t1", "root", "n_words", "words", "bins"],
             )
 
     return texts.select("t1", "root", "text").mapInArrow(
-        pick, "t1 long, root string, n_words int, words array<long>, bins array<tinyint>"
+        pick, "t1 long, root string, n_words int, words array<long>, bins array<int>"
+    )
+
+
+def word_rows(rare: DataFrame) -> DataFrame:
+    """A row for each rare word of a text that a text of another class and like length has too.
+
+    Lengths of similar texts are in the same band or in neighbouring ones.
+    """
+    band = F.floor(F.log("n_words") / F.lit(float(np.log(BAND)))).alias("band")
+    root = F.xxhash64("root").alias("root")
+    spots = rare.select("t1", root, band, F.explode("words").alias("word"))
+    near = Window.partitionBy("word").orderBy("band").rangeBetween(-1, 1)
+    bands = spots.groupBy("word", "band").agg(F.min("root").alias("x"), F.max("root").alias("y"))
+    bands = bands.select("word", "band", F.min("x").over(near).alias("x"), F.max("y").over(near).alias("y"))
+    spots = spots.join(bands.where("x <> y").select("word", "band"), ["word", "band"], "left_semi")
+    shared = spots.groupBy("t1").agg(F.sort_array(F.collect_set("word")).alias("shared"))
+    return rare.join(shared, "t1").select(
+        "t1", root, "n_words", "bins", F.slice("shared", 1, LEAST).alias("least"), F.explode("shared").alias("word")
     )
 
 
 def word_pairs(rare: DataFrame) -> DataFrame:
-    """Each pair in different classes that shares a rare word and may be similar, once."""
-    same = Window.partitionBy("word")
-    spots = rare.select("t1", "root", F.explode("words").alias("word"))
-    spots = spots.select("*", F.min("root").over(same).alias("x"), F.max("root").over(same).alias("y"))
-    shared = spots.where("x <> y").groupBy("t1").agg(F.collect_set("word").alias("shared"))
-    texts = rare.join(shared, "t1").select("t1", "root", "n_words", "bins", "shared")
-    texts = texts.withColumn("word", F.explode("shared"))
+    """Each pair in different classes that shares a rare word and may be similar, once.
+
+    It comes from the least word it shares, and from another only if that one is not among
+    the least words of both texts.
+    """
+    texts = word_rows(rare)
     a, b = texts.alias("a"), texts.alias("b")
+    least = F.array_min(F.array_intersect("a.least", "b.least"))
     apart = (
         (F.col("a.word") == F.col("b.word"))
         & (F.col("a.t1") < F.col("b.t1"))
         & (F.col("a.root") != F.col("b.root"))
-        & (F.array_min(F.array_intersect("a.shared", "b.shared")) == F.col("a.word"))
+        & F.coalesce(least >= F.col("a.word"), F.lit(True))
         & may_be_similar("a", "b")
     )
-    return a.join(b, apart).select(F.col("a.t1").alias("a1"), F.col("b.t1").alias("b1"))
+    return a.join(b, apart).select(F.col("a.t1").alias("a1"), F.col("b.t1").alias("b1")).distinct()
 
 
 def _name(t1: str = "t1", t2: str = "t2") -> Column:
@@ -396,7 +430,8 @@ class _Search:
 
     def candidates(self, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Pairs of a text and the pivot of its bucket; and the members of buckets of three or more."""
-        members = nodes.select("t1", F.explode("sketches").alias("sketch"))
+        # Dealt once, for the least of each bucket and for the join with it.
+        members = nodes.select("t1", F.explode("sketches").alias("sketch")).repartition("sketch")
         buckets = (
             members.groupBy("sketch")
             .agg(F.min("t1").alias("b1"), F.max("t1").alias("_last"), F.count("*").alias("size"))
@@ -460,11 +495,13 @@ class _Search:
         left = texts.join(members.select("t1", "root").distinct(), "t1").select("t1", "root", "text")
         left = self.store(left, "left")
         rare = self.store(_rare_words(left, _frequent_words(left)), "rare")
-        return word_pairs(rare).distinct().join(compared, ["a1", "b1"], "left_anti")
+        return word_pairs(rare).join(compared, ["a1", "b1"], "left_anti")
 
-    def met(self, nodes: DataFrame, links: DataFrame) -> DataFrame:
+    def met(self, texts: DataFrame, shared: DataFrame, links: DataFrame) -> DataFrame:
         """The links between texts that share a sketch."""
-        named = nodes.select(_name().alias("node"), "sketches").distinct()
+        ends = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
+        named = texts.select("t1", "node").join(ends, "node", "left_semi").distinct()
+        named = shared.join(named, "t1").groupBy("node").agg(F.collect_set("sketch").alias("sketches"))
         a, b = named.toDF("a", "a_sketches"), named.toDF("b", "b_sketches")
         both = links.join(a, "a").join(b, "b")
         return both.where(F.arrays_overlap("a_sketches", "b_sketches")).select("a", "b")
@@ -485,7 +522,7 @@ class _Search:
         last = self.store(self.remaining(nodes, texts, shared, roots, compared), "last")
         if last.isEmpty():
             return roots
-        links = self.met(nodes, self.links(texts, last, "last"))
+        links = self.met(texts, shared, self.links(texts, last, "last"))
         return self.connected(roots, links, "last")
 
 

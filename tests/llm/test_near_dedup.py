@@ -254,3 +254,31 @@ def test_texts_with_many_rare_words_in_common_make_one_row(spark):
     want = {(a, b) for a, b in itertools.combinations(range(14), 2) if nd.similar(hashes[a], hashes[b])}
     assert len(found) == len(set(found)) < 14 * 13 / 2
     assert len(want) > 12 and want <= set(found)
+
+
+def _rare(spark, texts):
+    docs = [(at, f"{at:03d}", text) for at, text in enumerate(texts)]
+    frame = spark.createDataFrame(docs, "t1 long, root string, text string")
+    return nd._rare_words(frame, (np.empty(0, np.uint64), np.empty(0, np.int64)))
+
+
+def test_rows_of_the_word_join_do_not_grow_with_the_text(spark):
+    """A long text has more rows, but none of them carries all of its words."""
+    texts = [prose(50, 4000), edited(prose(50, 4000), 300, 1), prose(51, 50), edited(prose(51, 50), 4, 2)]
+    found = nd.word_rows(_rare(spark, texts)).collect()
+    assert {row["t1"] for row in found} == {0, 1, 2, 3}
+    assert sum(row["t1"] == 0 for row in found) > 10 * nd.LEAST
+    assert all(len(row["least"]) <= nd.LEAST and len(row["bins"]) <= nd.DEEP * nd.BINS // 32 for row in found)
+    assert rows(nd.word_pairs(_rare(spark, texts)), "a1", "b1") == [(0, 1), (2, 3)]
+
+
+def test_words_that_only_texts_of_other_lengths_have_make_no_rows(spark):
+    whole = prose(52, 300).split(" ")
+    texts = [" ".join(whole), " ".join(whole[:150]), " ".join(whole[:60])]
+    assert nd.word_rows(_rare(spark, texts)).count() == 0
+    shorter = [" ".join(whole[:n]) for n in (100, 80)]
+    assert rows(nd.word_pairs(_rare(spark, shorter)), "a1", "b1") == [(0, 1)]
+    n = np.arange(1, 200_000)
+    least = n - np.floor((1 - nd.SIMILARITY) * n + 1e-9)
+    bands = [np.floor(np.log(x) / np.log(nd.BAND)) for x in (least, n)]
+    assert (bands[1] - bands[0]).max() == 1
